@@ -99,12 +99,14 @@ def member_id_prefer_detail(
     )
 
 
-def event_constants(df: DataFrame, category: str = "acn_cat_nme") -> DataFrame:
+def event_constants(
+    df: DataFrame, category: str = "acn_cat_nme", channel: str = CHANNEL, event_id: str = EVENT_ID
+) -> DataFrame:
     """Fixed event id and channel, event code from the category."""
     return df.withColumns(
         {
-            "event_id": F.lit(EVENT_ID),
-            "chnl_cd": F.lit(CHANNEL),
+            "event_id": F.lit(event_id),
+            "chnl_cd": F.lit(channel),
             "event_cd": F.trim(category),
         }
     )

@@ -62,7 +62,7 @@ def audit_flow(
     rows = fields.from_account_id(fields.to_account_id(rows))
     rows = fields.member_id_placeholder(rows)
     rows = customer.customer_id(rows, customer.active_customer_link(cust_link))
-    rows = fields.error_code(fields.event_constants(rows))
+    rows = fields.error_code(fields.event_constants(rows, channel=channel))
     # the channel is one constant, so its key is a scalar, not a join on that constant
     rows = rows.withColumn("chnl_key", chnl.scalar())
     rows = dimensions.dimension_keys_left(rows, None, event_map, err_map)
