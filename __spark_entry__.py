@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,19 +21,21 @@ class _Inputs:
     """The views of one data directory, by name."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        # the sample views compare dates and timestamps without a zone
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self._spark, self._dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return view(self._spark, self._dir, f"fx_{name}")
+        if name.startswith("_"):
+            raise AttributeError(name)
+        found = view(self._spark, self._dir, f"fx_{name}")
+        setattr(self, name, found)
+        return found
 
     def table(self, name: str) -> DataFrame:
         return base_table(self._spark, self._dir, name)
 
     # frames that several queries start from
 
-    @property
+    @cached_property
     def channel(self) -> DataFrame:
         return config.active_channel_key(self.chnl_map)
 

@@ -40,6 +40,15 @@ stripped AS (
                vol NULLS FIRST) AS rn
     FROM numbered) WHERE rn = 1)"""
 
+# the flow keeps, of equal rows, the one with the greatest volume
+LEAN = STRIPPED + """,
+lean AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY uid, log_dte, tagname, tagvalue
+      ORDER BY vol DESC, acn_cat_nme NULLS FIRST, ses_idr NULLS FIRST, log_millisec NULLS FIRST) AS rn
+    FROM numbered) WHERE rn = 1)"""
+
 # the active rules of the channel, written out as conditional aggregates
 WIDE_COLUMNS = """
     max(CASE WHEN lower(trim(acn_cat_nme)) = 'paym' AND lower(trim(tagname)) = 'tran_amt' THEN tagvalue END) AS tran_amt,
@@ -215,8 +224,8 @@ SELECT uid, string_agg(tagname || '=' || tagvalue, ',' ORDER BY tagname) AS tags
 FROM (SELECT uid, tagname, max(tagvalue) AS tagvalue FROM pairs GROUP BY uid, tagname) GROUP BY uid"""
 
     q["main_normalised"] = _with(("fx_main",), MAIN) + "SELECT * FROM main"
-    wide = f"wide AS (SELECT uid, {WIDE_COLUMNS}, max(vol) AS vol FROM stripped GROUP BY uid)"
-    q["main_enriched"] = _with(("fx_details", "fx_main"), STRIPPED, wide, MAIN) + """
+    wide = f"wide AS (SELECT uid, {WIDE_COLUMNS}, max(vol) AS vol FROM lean GROUP BY uid)"
+    q["main_enriched"] = _with(("fx_details", "fx_main"), LEAN, wide, MAIN) + """
 SELECT m.*, w.* EXCLUDE (uid) FROM main m LEFT JOIN wide w ON m.uid = w.uid"""
     q["main_grouped"] = _with(("fx_details", "fx_main"), CLEAN, MAIN) + """
 SELECT m.*, d.log_dte_t, d.mmb_num_t, d.acn_cat_nme_t, d.ses_idr
@@ -234,7 +243,7 @@ FROM fx_accounts"""
 SELECT uid, coalesce(regexp_replace(trim(fr_acct_id), '[^0-9]', '', 'g'), regexp_replace(trim(prd_key), '[^0-9]', '', 'g'),
   regexp_replace(trim(src_idw_tp), '[^0-9]', '', 'g'), regexp_replace(trim(val), '[^0-9.]', '', 'g')) AS fr_acct_id
 FROM fx_accounts"""
-    members = _with(("fx_details", "fx_main"), STRIPPED, wide, """members AS (
+    members = _with(("fx_details", "fx_main"), LEAN, wide, """members AS (
   SELECT m.uid, m.mmb_num, w.mmb_num_t FROM fx_main m LEFT JOIN wide w ON m.uid = w.uid)""")
     q["member_placeholder"] = members + """
 SELECT uid, CASE WHEN coalesce(trim(mmb_num), '0') = '999999999999' AND mmb_num_t IS NOT NULL AND trim(mmb_num_t) <> ''
@@ -311,7 +320,7 @@ FROM fx_journey j JOIN broken b USING (journey_id) WHERE {any_rule}"""
 
     q["audit_flow"] = _with(
         ("fx_details", "fx_main", "fx_custlink", "fx_chnl_map", "fx_event_map", "fx_err_map"),
-        STRIPPED, wide, MAIN, LINK, CHANNEL,
+        LEAN, wide, MAIN, LINK, CHANNEL,
         f"""enriched AS (
   SELECT m.uid, m.log_dte, m.err_msg_txt, m.acn_cat_nme, m.cus_idr AS main_cus_idr, m.stopflow_t,
     CASE WHEN trim(m.mmb_num) = '999999999999' AND trim(coalesce(w.mmb_num_t, '')) <> ''

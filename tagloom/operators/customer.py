@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.fields import NO_ID, PLACEHOLDER_MEMBER
 from tagloom.functions.text import is_blank
+from tagloom.operators.details import first_row
 from tagloom.operators.joins import spread_join
 
 # Members that stand for "unknown" and so are on a large share of the rows.
 HOT_MEMBERS = (NO_ID, PLACEHOLDER_MEMBER)
 
 
-def _one_per_member(links: DataFrame, *order) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("mmb_lnk_mmb_num").orderBy(*order))
-    return links.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
-
-
 def active_customer_link(cust_link: DataFrame) -> DataFrame:
     """The link of each member that counts: active status, not ended.
 
@@ -32,13 +28,13 @@ def active_customer_link(cust_link: DataFrame) -> DataFrame:
         "priority",
         F.when(F.trim("mmb_lnk_fls_type").isin("02", "03"), F.lit("B")).otherwise(F.lit("P")),
     )
-    return _one_per_member(
-        links,
+    order = [
         F.col("priority").desc(),
         F.col("eff_start_date").desc_nulls_last(),
         F.col("cus_idr").asc_nulls_first(),
         F.col("mmb_lnk_fls_type").asc_nulls_first(),
-    )
+    ]
+    return first_row(links, ["mmb_lnk_mmb_num"], order)
 
 
 def latest_customer_link(cust_link: DataFrame) -> DataFrame:
@@ -52,9 +48,8 @@ def latest_customer_link(cust_link: DataFrame) -> DataFrame:
         & F.col("mmb_lnk_mmb_num").isNotNull()
         & F.col("cus_idr").isNotNull()
     ).select("mmb_lnk_mmb_num", "cus_idr", "eff_start_date")
-    return _one_per_member(
-        links, F.col("eff_start_date").desc_nulls_last(), F.col("cus_idr").asc()
-    ).select("mmb_lnk_mmb_num", "cus_idr")
+    order = [F.col("eff_start_date").desc_nulls_last(), F.col("cus_idr").asc()]
+    return first_row(links, ["mmb_lnk_mmb_num"], order).select("mmb_lnk_mmb_num", "cus_idr")
 
 
 def customer_id(main: DataFrame, link: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import is_blank, is_present, keep_chars, norm
@@ -34,35 +34,106 @@ def clean_details(details: DataFrame, business_date: date | str | None = None) -
     return of_day(details, business_date).filter(is_present("tagvalue"))
 
 
+def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """First row per key.  Spark cuts each key to one row per task before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+
+
 def dedup_details(
-    df: DataFrame, key: Sequence[str] = DEDUP_KEY, order_by: Sequence[str] | None = None
+    df: DataFrame,
+    key: Sequence[str] = DEDUP_KEY,
+    order_by: Sequence[str] = (),
+    greatest: str | None = None,
 ) -> DataFrame:
     """One row per `key`: the smallest by `order_by`, then by the remaining columns.
 
-    An aggregate rather than a window, so copies are merged before the shuffle.
+    `greatest` names a column whose greatest value comes before all of that.
     """
-    lead = [c for c in (order_by or []) if c not in key]
+    lead = [c for c in order_by if c not in key]
     rest = lead + [c for c in df.columns if c not in key and c not in lead]
     if not rest:
         return df.dropDuplicates(list(key))
-    picked = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_row"))
-    return picked.select(
-        *[F.col(c) if c in key else F.col("_row").getField(c).alias(c) for c in df.columns]
-    )
+    head = [F.col(greatest).desc_nulls_last()] if greatest else []
+    return first_row(df, key, head + [F.col(c).asc_nulls_first() for c in rest if c != greatest])
+
+
+def read_rules(rules: DataFrame) -> list[Row]:
+    """The normalised rules as rows, in a fixed order.
+
+    Rules name output columns, so they have to be known while the plan is built.
+    This is one small read of configuration; a table beyond the bound is an error.
+    """
+    rows = rules.limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} transposition rules")
+    return sorted((r for r in rows if r.new_col), key=lambda r: tuple(str(v) for v in r))
+
+
+def _column_names(df: DataFrame, rules: Sequence[Row]) -> dict[str, str]:
+    """Columns of `df` by lower-case name, after a check that the rules name no other."""
+    names = {c.lower(): c for c in df.columns}
+    for rule in rules:
+        for field in ("filter_col1", "filter_col2", "value_col"):
+            if (rule[field] or "").strip(" ").lower() not in names:
+                raise ValueError(f"rule for {rule.new_col}: {field} names no column: {rule[field]}")
+    return names
+
+
+def _tests(rule: Row) -> dict[str, str]:
+    return {rule.filter_col1: rule.filter_condn1, rule.filter_col2: rule.filter_condn2}
 
 
-def _rule_condition(columns: dict[str, str], rule) -> Column | None:
-    """Test of one rule against the prepared comparison columns; None if it can never match."""
+def _can_match(rule: Row) -> bool:
+    """False for a null condition, and for two different conditions on one column."""
     if rule.filter_condn1 is None or rule.filter_condn2 is None:
-        return None
-    return (F.col(columns[rule.filter_col1]) == rule.filter_condn1) & (
-        F.col(columns[rule.filter_col2]) == rule.filter_condn2
+        return False
+    return rule.filter_col1 != rule.filter_col2 or rule.filter_condn1 == rule.filter_condn2
+
+
+def columns_for_rules(
+    df: DataFrame, rules: Sequence[Row], key: Sequence[str] = DEDUP_KEY, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Cut `df` down to what the rules can use, before it is shuffled.
+
+    Only the key, the columns in rules and `keep` stay.  In a row that no rule can
+    match by its key columns, the tag, its value and the rule columns become null, so
+    such rows of a request merge into one in the partial aggregate of the next
+    deduplication.  The transposed columns come out the same.
+    """
+    names = _column_names(df, rules)
+    live = [r for r in rules if _can_match(r)]
+    used = {c for r in rules for c in (*_tests(r), r.value_col.strip(" ").lower())}
+    fixed = {"uid", "log_dte", *[c.lower() for c in keep]}
+    key_names = {c.lower() for c in key}
+
+    usable = F.lit(False)
+    tests = sorted({tuple(sorted((c, v) for c, v in _tests(r).items() if c in key_names)) for r in live})
+    if () in tests:  # a rule that looks at no key column may match any row
+        usable = F.lit(True)
+    else:
+        by_columns: dict[tuple[str, ...], list[tuple[str, ...]]] = {}
+        for test in tests:
+            by_columns.setdefault(tuple(c for c, _ in test), []).append(tuple(v for _, v in test))
+        for columns, values in by_columns.items():
+            if len(columns) == 1:
+                usable = usable | norm(names[columns[0]]).isin([v[0] for v in values])
+            else:
+                for value in values:
+                    usable = usable | ((norm(names[columns[0]]) == value[0]) & (norm(names[columns[1]]) == value[1]))
+    usable = F.coalesce(usable, F.lit(False))
+    return df.withColumn("_usable", usable).select(
+        *[
+            F.col(c) if c.lower() in fixed else F.when(F.col("_usable"), F.col(c)).alias(c)
+            for c in df.columns
+            if c.lower() in fixed | key_names | used
+        ]
     )
 
 
 def transpose_by_rules(
     details: DataFrame,
-    rules: DataFrame,
+    rules: DataFrame | Sequence[Row],
     by: Sequence[str] = ("uid",),
     carry: Sequence[Column] = (),
     max_aggregate_rules: int = MAX_AGGREGATE_RULES,
@@ -75,81 +146,78 @@ def transpose_by_rules(
     condition never matches but still gives its column.  `carry` adds aggregates
     of the same grouping, such as the greatest volume.
 
-    The rules name the output columns, so they have to be read while the plan is
-    built: one small read of the configuration, whose size is checked.
+    `rules` are normalised rules, as a table or as the rows of `read_rules`.
     """
-    rows = rules.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} transposition rules")
-    rows = [r for r in rows if r.new_col]
-    names = {c.lower(): c for c in details.columns}
-    for r in rows:
-        for field in ("filter_col1", "filter_col2", "value_col"):
-            if (r[field] or "").strip().lower() not in names:
-                raise ValueError(f"rule for {r.new_col}: {field} names no column: {r[field]}")
+    rows = read_rules(rules) if isinstance(rules, DataFrame) else list(rules)
+    names = _column_names(details, rows)
     targets = sorted({r.new_col for r in rows})
-    taken = {c.lower() for c in by}
-    if taken & set(targets):
-        raise ValueError(f"rule target is a grouping column: {sorted(taken & set(targets))}")
+    both = {c.lower() for c in by} & set(targets)
+    if both:
+        raise ValueError(f"rule target is a grouping column: {sorted(both)}")
 
     # comparison form of every tested column, computed once per row
-    tested = sorted({c for r in rows for c in (r.filter_col1, r.filter_col2)})
-    keyed = {c: f"_key_{c}" for c in tested}
-    prepared = details.withColumns({keyed[c]: norm(names[c]) for c in tested}) if tested else details
+    keyed = {c: f"_key_{c}" for c in sorted({c for r in rows for c in _tests(r)})}
+    prepared = details.withColumns({k: norm(names[c]) for c, k in keyed.items()}) if keyed else details
     if len(rows) > max_aggregate_rules:
-        return _transpose_by_join(prepared, rules, rows, targets, names, keyed, by, carry)
+        return _transpose_by_join(prepared, rows, targets, names, keyed, by, carry)
 
     aggregates = []
     for target in targets:
-        values = []
-        for r in rows:
-            condition = _rule_condition(keyed, r) if r.new_col == target else None
-            if condition is not None:
-                value = F.col(names[r.value_col.strip().lower()]).cast("string")
-                values.append(F.when(condition, value))
-        value = F.lit(None).cast("string") if not values else values[0]
+        values = [
+            F.when(
+                (F.col(keyed[r.filter_col1]) == r.filter_condn1)
+                & (F.col(keyed[r.filter_col2]) == r.filter_condn2),
+                F.col(names[r.value_col.strip(" ").lower()]).cast("string"),
+            )
+            for r in rows
+            if r.new_col == target and _can_match(r)
+        ]
         if len(values) > 1:
-            value = F.greatest(*values)
-        aggregates.append(F.max(value).alias(target))
+            values = [F.greatest(*values)]
+        aggregates.append(F.max(values[0] if values else F.lit(None).cast("string")).alias(target))
     if not aggregates and not carry:
         return prepared.select(*by).distinct()
     return prepared.groupBy(*by).agg(*aggregates, *carry)
 
 
-def _transpose_by_join(prepared, rules, rows, targets, names, keyed, by, carry) -> DataFrame:
+def _transpose_by_join(prepared, rows, targets, names, keyed, by, carry) -> DataFrame:
     """The same result for long rule tables: match by join, then pivot."""
-    shapes = sorted({(r.filter_col1, r.filter_col2, r.value_col.strip().lower()) for r in rows})
+    shapes = sorted({(r.filter_col1, r.filter_col2, r.value_col.strip(" ").lower()) for r in rows})
     # each detail row once per combination of columns that some rule looks at
-    looks = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(a).alias("_c1"),
-                    F.lit(b).alias("_c2"),
-                    F.lit(v).alias("_vc"),
-                    F.col(keyed[a]).alias("_k1"),
-                    F.col(keyed[b]).alias("_k2"),
-                    F.col(names[v]).cast("string").alias("_value"),
-                )
-                for a, b, v in shapes
-            ]
+    looks = [
+        F.struct(
+            F.lit(i).alias("_shape"),
+            F.col(keyed[a]).alias("_test1"),
+            F.col(keyed[b]).alias("_test2"),
+            F.col(names[v]).cast("string").alias("_value"),
         )
+        for i, (a, b, v) in enumerate(shapes)
+    ]
+    long = prepared.select(*by, F.explode(F.array(*looks)).alias("_look")).select(*by, "_look.*")
+    matches = prepared.sparkSession.createDataFrame(
+        sorted(
+            {
+                (
+                    shapes.index((r.filter_col1, r.filter_col2, r.value_col.strip(" ").lower())),
+                    r.filter_condn1,
+                    r.filter_condn2,
+                    r.new_col,
+                )
+                for r in rows
+                if _can_match(r)
+            }
+        ),
+        "_shape int, _test1 string, _test2 string, _target string",
+    )
+    wide = (
+        long.join(F.broadcast(matches), ["_shape", "_test1", "_test2"], "left")
+        .groupBy(*by)
+        .pivot("_target", targets)
+        .agg(F.max("_value"))
     )
-    long = prepared.select(*by, looks.alias("_look")).select(*by, "_look.*")
-    wanted = rules.select(
-        F.col("filter_col1").alias("_c1"),
-        F.col("filter_col2").alias("_c2"),
-        norm("value_col").alias("_vc"),
-        F.col("filter_condn1").alias("_k1"),
-        F.col("filter_condn2").alias("_k2"),
-        F.col("new_col").alias("_target"),
-    ).distinct()
-    matched = long.join(wanted, ["_c1", "_c2", "_vc", "_k1", "_k2"], "left")
-    wide = matched.groupBy(*by).pivot("_target", targets).agg(F.max("_value"))
     if not carry:
         return wide
-    carried = prepared.groupBy(*by).agg(*carry)
-    return carried.join(wide, list(by), "left")
+    return prepared.groupBy(*by).agg(*carry).join(wide, list(by), "left")
 
 
 def group_details(df: DataFrame, by: Sequence[str] = ("uid",)) -> DataFrame:
@@ -209,12 +277,6 @@ def tag_map(tag_vec: Column | str) -> Column:
     return F.map_from_arrays(names, F.transform(names, greatest))
 
 
-def _first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row per key.  Spark cuts each key to one row per task before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
-
-
 def first_transaction(
     details: DataFrame,
     event_attr_config: DataFrame,
@@ -240,7 +302,7 @@ def first_transaction(
     ).join(wanted, ["_category", "_tag"], "left_semi")
     order = [F.col(f"_by_{c}").asc_nulls_first() for c in order_by] + [F.col("tran_amt").asc_nulls_first()]
     first = (
-        _first_row(amounts, ["uid", "_category"], order)
+        first_row(amounts, ["uid", "_category"], order)
         .filter(~is_blank("tran_amt"))
         .select(
             "uid",
@@ -276,6 +338,6 @@ def match_event_config(dedup: DataFrame, event_attr_config: DataFrame) -> DataFr
     )
     ties = ("tagname", "tagvalue", "tag_nm", "log_dte", "trgt_col_nm")
     order = [F.col("tran_amt").isNull(), *[F.col(c).asc_nulls_first() for c in ties]]
-    return _first_row(joined, ["uid", "evnt_cd"], order).select(
+    return first_row(joined, ["uid", "evnt_cd"], order).select(
         "uid", "log_dte", "tagname", "tagvalue", "evnt_cd", "trgt_col_nm", "tag_nm", "tran_amt"
     )

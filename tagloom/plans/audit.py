@@ -27,9 +27,13 @@ def wide_details(
     The volume is read before the suffix is stripped from the tag name, and rules are
     applied before rows are grouped, while the columns they name are still there.
     """
+    rules = details.read_rules(rules)
     rows = details.clean_details(audit_details, business_date)
     rows = fields.normalise_tagname(fields.tag_volume(rows))
-    rows = details.dedup_details(rows)
+    # of equal rows the one with the greatest volume stays: so the greatest volume of a
+    # request does not depend on which rows are merged, and unused tags can go first
+    rows = details.columns_for_rules(rows, rules, keep=["vol"])
+    rows = details.dedup_details(rows, greatest="vol")
     return details.transpose_by_rules(rows, rules, carry=[F.max("vol").alias("vol")])
 
 
@@ -59,9 +63,10 @@ def audit_flow(
     absent = [c for c in RULE_COLUMNS if c not in have]
     rows = rows.withColumns({c: F.lit(None).cast("string") for c in absent})
 
-    rows = fields.from_account_id(fields.to_account_id(rows))
     rows = fields.member_id_placeholder(rows)
     rows = customer.customer_id(rows, customer.active_customer_link(cust_link))
+    # derived fields come after the last shuffle of these rows, which stay narrow that way
+    rows = fields.from_account_id(fields.to_account_id(rows))
     rows = fields.error_code(fields.event_constants(rows, channel=channel))
     # the channel is one constant, so its key is a scalar, not a join on that constant
     rows = rows.withColumn("chnl_key", chnl.scalar())
