@@ -37,7 +37,7 @@ def is_present(c: Column | str) -> Column:
     The bare null test comes first: it is the part a Parquet scan can use.
     """
     c = _col(c)
-    return c.isNotNull() & (F.trim(c) != "") & (norm(c) != "null")
+    return c.isNotNull() & ~norm(c).isin("", "null")
 
 
 def keep_chars(c: Column | str, drop_pattern: str = "[^0-9]", blank_as_null: bool = True) -> Column:

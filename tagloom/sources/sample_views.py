@@ -3,7 +3,8 @@
 Each view is plain SQL that Spark and DuckDB run unchanged, so both engines see the
 same input.  `{name}` stands for a base table or another view.  The configuration
 tables grow with their base table too: every channel has its own few rows.  The
-channel under test is OLB with key 101."""
+channel under test is OLB with key 101.
+"""
 
 from __future__ import annotations
 
