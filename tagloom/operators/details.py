@@ -230,7 +230,7 @@ def tag_pairs(details: DataFrame, journey_tags: DataFrame) -> DataFrame:
     """Distinct (uid, tagname, tagvalue) whose tag is in the list of the row's own event."""
     wanted = journey_tags.select(
         norm("evnt_cd").alias("_event"), F.explode("cmpx_jrny_tag_vec").alias("_tag")
-    ).distinct()
+    )
     return (
         details.select(
             "uid", "tagname", "tagvalue", norm("acn_cat_nme").alias("_event"), norm("tagname").alias("_tag")
@@ -288,10 +288,8 @@ def first_transaction(
     The first row is taken before blank amounts are dropped: a blank first amount
     means that the request has none, not that a later one counts.
     """
-    wanted = (
-        event_attr_config.filter(norm("trgt_col_nm") == "tran_amt")
-        .select(norm("evnt_cd").alias("_category"), norm("tag_nm").alias("_tag"))
-        .distinct()
+    wanted = event_attr_config.filter(norm("trgt_col_nm") == "tran_amt").select(
+        norm("evnt_cd").alias("_category"), norm("tag_nm").alias("_tag")
     )
     amounts = details.select(
         "uid",

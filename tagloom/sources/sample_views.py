@@ -35,7 +35,7 @@ SELECT CAST(o_orderkey AS STRING) AS uid,
        WHEN 4 THEN 'a failure message far over the limit' ELSE ' E42' END AS err_msg_txt,
   CASE WHEN o_orderkey % 4 = 0 THEN ' SF1 ' END AS stopflow_t,
   CASE WHEN o_orderkey % 3 = 0 THEN 'LOGIN' ELSE 'paym' END AS acn_cat_nme,
-  'OLB' AS chnl_cd
+  CASE o_orderkey % 40 WHEN 0 THEN 'MOB' WHEN 20 THEN 'WEB' ELSE 'OLB' END AS chnl_cd
 FROM {orders}""",
     "fx_details": """
 SELECT CAST(l_orderkey AS STRING) AS uid,

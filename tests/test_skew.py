@@ -1,0 +1,165 @@
+"""A third of all rows with one key: right results, and no task that gets them all."""
+
+from __future__ import annotations
+
+import pytest
+from helpers import bag, final_plan
+from pyspark.sql import functions as F
+
+from tagloom.operators import customer, details, journeys, requests
+from tagloom.operators.joins import spread_join
+
+N = 60_000
+
+
+@pytest.fixture
+def small_limits(conf):
+    """Cluster behaviour on small data: no broadcast, skew seen from a few kilobytes."""
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__coalescePartitions__enabled="false",
+        adaptive__advisoryPartitionSizeInBytes="16KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
+    )
+
+
+def facts_of(spark, hot):
+    """A third of the keys is `hot`, the others are spread over 500 values."""
+    n = F.col("id")
+    return spark.range(0, N, 1, 8).select(
+        F.when(n % 3 == 0, F.lit(hot)).otherwise((n % 500).cast("string")).alias("k"),
+        n.alias("n"),
+        F.sha2(n.cast("string"), 256).alias("payload"),
+    )
+
+
+def lookup_of(spark, *extra):
+    """One row per key, out of an aggregate on the key."""
+    keys = spark.range(1000).select((F.col("id") % 400).cast("string").alias("k"), F.col("id").alias("v"))
+    more = spark.createDataFrame([(e, -1) for e in extra] or [("none", -1)], "k string, v long")
+    return keys.union(more).groupBy("k").agg(F.max("v").alias("v"))
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("hot", [None, "17", "-99"])
+def test_spread_join_equals_plain_join(spark, small_limits, how, hot):
+    facts, lookup = facts_of(spark, hot), lookup_of(spark, "-99")
+    got = spread_join(facts, lookup, ["k"], how, hot_keys=["-99"])
+    want = facts.join(lookup, ["k"], how)
+    assert got.columns == want.columns
+    assert bag(got) == bag(want)
+
+
+def largest_share(df) -> float:
+    """Share of the rows in the largest join task."""
+    placed = df.select(F.spark_partition_id().alias("task"), "v")
+    # the sum needs the looked-up value, so the join cannot be left out
+    sizes = [r.rows for r in placed.groupBy("task").agg(F.count("*").alias("rows"), F.sum("v")).collect()]
+    return max(sizes) / sum(sizes)
+
+
+@pytest.mark.parametrize("hot", [None, "-99"])
+def test_known_hot_keys_are_salted(spark, conf, hot):
+    """Without any help from adaptive execution, nulls and placeholders are spread."""
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false", shuffle__partitions="16")
+    facts, lookup = facts_of(spark, hot), lookup_of(spark, "-99")
+    plain = facts.join(lookup, ["k"], "left")
+    spread = spread_join(facts, lookup, ["k"], "left", hot_keys=["-99"])
+    assert largest_share(plain) > 0.33
+    assert largest_share(spread) < 0.15
+
+
+def test_unknown_hot_key_is_split_by_adaptive_execution(spark, small_limits):
+    facts, lookup = facts_of(spark, "17"), lookup_of(spark)
+    # a plain join reuses the shuffle of the aggregate, which cannot be split
+    assert "skew=true" not in final_plan(facts.join(lookup, ["k"], "left"))
+    assert "skew=true" in final_plan(spread_join(facts, lookup, ["k"], "left"))
+
+
+def test_hot_request_in_enrich_main(spark, small_limits):
+    main = facts_of(spark, "17").select(F.col("k").alias("uid"), "n", "payload")
+    wide = details.group_details(spark.range(5000).select((F.col("id") % 400).cast("string").alias("uid"), F.col("id").alias("v")))
+    out = requests.enrich_main(wide, main)
+    assert "skew=true" in final_plan(out)
+    assert bag(out) == bag(main.join(wide, "uid", "left"))
+
+
+def test_hot_member_in_customer_id(spark, small_limits):
+    main = facts_of(spark, "17").select(F.col("k").alias("mmb_num"), F.col("n").alias("uid"), "payload")
+    link = spark.range(3000).select(
+        (F.col("id") % 400).cast("string").alias("mmb_lnk_mmb_num"),
+        F.col("id").cast("string").alias("cus_idr"),
+        F.lit("AC").alias("mmb_lnk_sts"),
+        F.lit("1").alias("active"),
+        F.lit("2020-01-01").alias("eff_start_date"),
+    )
+    latest = customer.latest_customer_link(link)
+    out = customer.customer_id(main, latest)
+    assert "skew=true" in final_plan(out)
+    want = main.join(latest, F.col("mmb_num") == F.col("mmb_lnk_mmb_num"), "left").select(
+        "uid", F.coalesce(F.col("cus_idr").cast("long"), F.lit(-99)).alias("cust_id")
+    )
+    assert bag(out.select("uid", "cust_id")) == bag(want)
+
+
+def test_hot_journey(spark, small_limits):
+    n = F.col("id")
+    rows = spark.range(0, N, 1, 8).select(
+        F.when(n % 3 == 0, F.lit(7)).otherwise(n % 5000).alias("journey_id"),
+        F.lit("e").alias("evnt_ed"),
+        F.when(n == 3, F.lit("Xor")).otherwise(F.lit("And")).alias("emplx_jrny_attrb"),
+        n.cast("int").alias("flow_num"),
+        F.lit("EQ").alias("operator"),
+        F.sha2(n.cast("string"), 256).alias("IncompleteMap"),
+    )
+    kept, removed = journeys.validate_journeys(rows)
+    plan = final_plan(removed)
+    assert "skew=true" in plan
+    assert removed.filter("journey_id <> 7").count() == 0
+    assert kept.count() + removed.count() == N
+    assert removed.count() == rows.filter("journey_id = 7").count()
+
+
+def test_hot_group_is_cut_before_the_shuffle(spark, conf):
+    """A third of the rows are copies of one detail row: each task sends one of them."""
+    conf(adaptive__enabled="false")
+    n = F.col("id")
+    rows = spark.range(0, N, 1, 8).select(
+        F.when(n % 3 == 0, F.lit("hot")).otherwise(n.cast("string")).alias("uid"),
+        F.lit("2024-01-01").cast("date").alias("log_dte"),
+        F.lit("t").alias("tagname"),
+        F.lit("v").alias("tagvalue"),
+        (n % 1000).cast("int").alias("seq"),
+    )
+    out = details.dedup_details(rows)
+    assert out.count() == N * 2 // 3 + 1
+    assert out.filter("uid = 'hot'").first().seq == 0
+    shuffles = out._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")
+    assert len(shuffles) == 2 and "WindowGroupLimit" in shuffles[1].split("Window [")[0]
+
+
+def test_hot_request_in_transposition(spark, conf):
+    """All tags of one request: merged per task, the wide row comes out whole."""
+    n = F.col("id")
+    rows = spark.range(0, N, 1, 8).select(
+        F.when(n % 3 == 0, F.lit("hot")).otherwise((n % 900).cast("string")).alias("uid"),
+        F.lit("paym").alias("acn_cat_nme"),
+        F.concat(F.lit("t"), (n % 7).cast("string")).alias("tagname"),
+        F.lpad(n.cast("string"), 6, "0").alias("tagvalue"),
+    )
+    rules = spark.createDataFrame(
+        [("acn_cat_nme", "paym", "tagname", f"t{i}", "tagvalue", f"o{i}") for i in range(7)],
+        "filter_col1 string, filter_condn1 string, filter_col2 string, filter_condn2 string, value_col string, new_col string",
+    )
+    hot = details.transpose_by_rules(rows, rules).filter("uid = 'hot'").first().asDict()
+    for i in range(7):
+        assert hot[f"o{i}"] == f"{max(v for v in range(0, N, 3) if v % 7 == i):06d}"
+
+
+def test_salt_does_not_depend_on_the_run(spark, small_limits):
+    """The same rows get the same slots whatever their order, so a lost task can be redone."""
+    facts, lookup = facts_of(spark, None), lookup_of(spark)
+    again = facts.repartition(13, "payload").sortWithinPartitions(F.desc("n"))
+    assert bag(spread_join(facts, lookup, ["k"])) == bag(spread_join(again, lookup, ["k"]))
