@@ -172,6 +172,20 @@ def details_grouped(x: _Inputs) -> DataFrame:
     return details.group_details(x.stripped)
 
 
+@_query
+def details_grouped_by_request(x: _Inputs) -> DataFrame:
+    """The greatest volume of each combination of the request columns."""
+    request = ["uid", "mmb_num", "ses_idr", "log_tme", "acn_nme", "log_millisec", "acn_cat_nme", "msg_typ", "log_dte"]
+    return details.group_details(x.stripped.select(*request, "vol"), by=request)
+
+
+@_query
+def tag_names(x: _Inputs) -> DataFrame:
+    """Only the names of the vector."""
+    names = F.array_sort(F.array_distinct("tag_vec.tagname"))
+    return details.tag_vector(x.stripped, x.tags).select("uid", "part", F.array_join(names, ",").alias("tags"))
+
+
 @_query
 def tag_pairs(x: _Inputs) -> DataFrame:
     return details.tag_pairs(x.stripped, x.tags)
@@ -186,10 +200,9 @@ def tag_vector(x: _Inputs) -> DataFrame:
 
 @_query
 def tag_map(x: _Inputs) -> DataFrame:
-    vector = details.tag_vector(x.stripped, x.tags)
-    entries = F.map_entries(details.tag_map("tag_vec"))
-    pair = F.transform(F.sort_array(entries), lambda e: F.concat_ws("=", e.key, e.value))
-    return vector.select("uid", F.array_join(pair, ",").alias("tags"))
+    entries = F.sort_array(F.map_entries("tag_map"))
+    pair = F.transform(entries, lambda e: F.concat_ws("=", e.key, e.value))
+    return details.tag_map(x.stripped, x.tags).select("uid", "part", F.array_join(pair, ",").alias("tags"))
 
 
 # --- main rows ---------------------------------------------------------------

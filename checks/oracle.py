@@ -206,6 +206,9 @@ SELECT uid, max(log_dte) AS log_dte, max(seq) AS seq, max(acn_cat_nme) AS acn_ca
   max(tagvalue) AS tagvalue, max(mmb_num) AS mmb_num, max(ses_idr) AS ses_idr, max(log_tme) AS log_tme,
   max(acn_nme) AS acn_nme, max(log_millisec) AS log_millisec, max(msg_typ) AS msg_typ, max(vol) AS vol
 FROM stripped GROUP BY uid"""
+    request = "uid, mmb_num, ses_idr, log_tme, acn_nme, log_millisec, acn_cat_nme, msg_typ, log_dte"
+    q["details_grouped_by_request"] = _with(("fx_details",), STRIPPED) + f"""
+SELECT {request}, max(vol) AS vol FROM stripped GROUP BY {request}"""
     pairs = """
 , tags AS (
   SELECT DISTINCT lower(trim(evnt_cd)) AS event, lower(trim(tag)) AS tag
@@ -218,9 +221,12 @@ pairs AS (
     q["tag_vector"] = _with(vector_views, STRIPPED, ACTIVE_EVENTS) + pairs + """
 SELECT uid, CAST(0 AS INTEGER) AS part, string_agg(tagname || '=' || tagvalue, ',' ORDER BY tagname, tagvalue) AS tags
 FROM pairs GROUP BY uid"""
+    q["tag_names"] = _with(vector_views, STRIPPED, ACTIVE_EVENTS) + pairs + """
+SELECT uid, CAST(0 AS INTEGER) AS part, string_agg(tagname, ',' ORDER BY tagname) AS tags
+FROM (SELECT DISTINCT uid, tagname FROM pairs) GROUP BY uid"""
     q["tag_pairs"] = _with(vector_views, STRIPPED, ACTIVE_EVENTS) + pairs + "SELECT * FROM pairs"
     q["tag_map"] = _with(vector_views, STRIPPED, ACTIVE_EVENTS) + pairs + """
-SELECT uid, string_agg(tagname || '=' || tagvalue, ',' ORDER BY tagname) AS tags
+SELECT uid, CAST(0 AS INTEGER) AS part, string_agg(tagname || '=' || tagvalue, ',' ORDER BY tagname) AS tags
 FROM (SELECT uid, tagname, max(tagvalue) AS tagvalue FROM pairs GROUP BY uid, tagname) GROUP BY uid"""
 
     q["main_normalised"] = _with(("fx_main",), MAIN) + "SELECT * FROM main"

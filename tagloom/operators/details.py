@@ -22,14 +22,19 @@ MAX_RULES = 10_000
 TAG_PART_ROWS = 100_000
 
 
-def of_day(df: DataFrame, business_date: date | str | None) -> DataFrame:
-    """Rows of one business date; the bare column lets the scan prune partitions."""
+def of_day(df: DataFrame, business_date: date | str | Column | None) -> DataFrame:
+    """Rows of one business date; the bare column lets the scan prune partitions.
+
+    The date is an argument; `F.current_date()` gives the day of the run.
+    """
     if business_date is None:
         return df
     return df.filter(F.col("log_dte") == F.lit(business_date).cast("date"))
 
 
-def clean_details(details: DataFrame, business_date: date | str | None = None) -> DataFrame:
+def clean_details(
+    details: DataFrame, business_date: date | str | Column | None = None
+) -> DataFrame:
     """Detail rows with a usable tag value, of one business date if given."""
     return of_day(details, business_date).filter(is_present("tagvalue"))
 
@@ -241,40 +246,48 @@ def tag_pairs(details: DataFrame, journey_tags: DataFrame) -> DataFrame:
     )
 
 
-def tag_vector(
-    details: DataFrame, journey_tags: DataFrame, part_rows: int = TAG_PART_ROWS
-) -> DataFrame:
-    """Per uid the sorted array of its (tagname, tagvalue) pairs.
+def _gather(pairs: DataFrame, part_rows: int) -> DataFrame:
+    """Distinct (uid, tagname, tagvalue) as sorted arrays, `part_rows` in one at most or so.
 
-    A uid with more than `part_rows` pairs is given in several rows, numbered by
-    `part`, so that no array and no task holds an unbounded group.  All other uids
-    have the single part 0.  The parts of a uid hold all its pairs, each once.
+    The uid is compared inside a struct, where two nulls are equal: rows without a
+    uid are a group like any other, and may be as large.  That also keeps the counted
+    and the gathered pairs the same plan up to their shuffle, which Spark then runs once.
     """
-    pairs = tag_pairs(details, journey_tags)
+    keyed = pairs.withColumn("_group", F.struct("uid"))
     long = (
-        pairs.groupBy("uid")
+        keyed.groupBy("_group")
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > part_rows)
-        .select("uid", F.ceil(F.col("_n") / part_rows).alias("_parts"))
+        .select("_group", F.ceil(F.col("_n") / part_rows).alias("_parts"))
     )
     place = F.pmod(F.xxhash64("tagname", "tagvalue"), F.coalesce("_parts", F.lit(1))).cast("int")
     return (
-        spread_join(pairs, long, ["uid"])
+        spread_join(keyed, long, ["_group"])
         .groupBy("uid", place.alias("part"))
         .agg(F.sort_array(F.collect_list(F.struct("tagname", "tagvalue"))).alias("tag_vec"))
     )
 
 
-def tag_map(tag_vec: Column | str) -> Column:
-    """Map form of a tag vector; of several values of one tag the greatest is kept."""
-    vec = F.col(tag_vec) if isinstance(tag_vec, str) else tag_vec
-    names = F.array_distinct(F.transform(vec, lambda p: p.getField("tagname")))
+def tag_vector(
+    details: DataFrame, journey_tags: DataFrame, part_rows: int = TAG_PART_ROWS
+) -> DataFrame:
+    """Per uid the sorted array of its (tagname, tagvalue) pairs.
+
+    A uid with more than `part_rows` pairs is given in several rows, numbered by
+    `part`, so that no array and no task holds an unbounded group.  All other uids
+    have the single part 0.  The parts of a uid hold all its pairs, each once.
+    """
+    return _gather(tag_pairs(details, journey_tags), part_rows)
 
-    def greatest(name: Column) -> Column:
-        same = F.filter(vec, lambda p: p.getField("tagname") == name)
-        return F.array_max(F.transform(same, lambda p: p.getField("tagvalue")))
 
-    return F.map_from_arrays(names, F.transform(names, greatest))
+def tag_map(
+    details: DataFrame, journey_tags: DataFrame, part_rows: int = TAG_PART_ROWS
+) -> DataFrame:
+    """Per uid a map from tag to value, of several values the greatest; parts as above."""
+    pairs = tag_pairs(details, journey_tags).groupBy("uid", "tagname").agg(F.max("tagvalue").alias("tagvalue"))
+    return _gather(pairs, part_rows).select(
+        "uid", "part", F.map_from_entries("tag_vec").alias("tag_map")
+    )
 
 
 def first_transaction(

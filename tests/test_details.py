@@ -31,6 +31,8 @@ def test_clean_details(spark):
     assert details.clean_details(df).count() == 2
     assert column(details.clean_details(df, date(2024, 1, 2)), "log_dte") == [date(2024, 1, 2)]
     assert column(details.clean_details(df, "2024-01-02"), "log_dte") == [date(2024, 1, 2)]
+    today = df.withColumn("log_dte", F.date_sub(F.current_date(), F.dayofmonth("log_dte") - 1))
+    assert details.clean_details(today, F.current_date()).count() == 1
 
 
 def test_dedup_is_defined_and_idempotent(spark, sf_dir):
@@ -171,16 +173,18 @@ def test_tag_vector_matches_per_event(spark):
     )
     out = details.tag_vector(df, tags_of(spark)).collect()
     assert [(r.uid, r.part, [tuple(p) for p in r.tag_vec]) for r in out] == [("u", 0, [("Tran", "1"), ("mmb", "2"), ("y", "4")])]
-    mapped = details.tag_vector(df, tags_of(spark)).select(details.tag_map("tag_vec").alias("m")).first().m
-    assert mapped == {"Tran": "1", "mmb": "2", "y": "4"}
+    more = df.union(rows_of(spark, ("u", 6, "paym", "mmb", "11")))
+    mapped = details.tag_map(more, tags_of(spark)).collect()
+    assert [tuple(r) for r in mapped] == [("u", 0, {"Tran": "1", "mmb": "2", "y": "4"})]
 
 
-def test_tag_vector_splits_long_groups(spark):
+@pytest.mark.parametrize("uid", ["hot", None])
+def test_tag_vector_splits_long_groups(spark, uid):
     n = 1000
     long = [("hot", i, "paym", "mmb", f"v{i % 700}") for i in range(n)]
-    df = rows_of(spark, *long, ("u", 1, "paym", "mmb", "v1"))
+    df = rows_of(spark, *[(uid, *r) for _, *r in long], ("u", 1, "paym", "mmb", "v1"))
     out = details.tag_vector(df, tags_of(spark), part_rows=50).collect()
-    hot = [r for r in out if r.uid == "hot"]
+    hot = [r for r in out if r.uid == uid]
     assert len({r.part for r in hot}) == len(hot) == 14
     values = [p.tagvalue for r in hot for p in r.tag_vec]
     assert len(values) == 700 and set(values) == {f"v{i}" for i in range(700)}
