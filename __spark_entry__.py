@@ -147,7 +147,7 @@ def details_dedup(x: _Inputs) -> DataFrame:
 
 @_query
 def first_transaction(x: _Inputs) -> DataFrame:
-    return details.first_transaction(x.details, x.active_events, x.main)
+    return details.first_transaction(x.details, x.active_events, x.main, order_by=["log_dte", "seq"])
 
 
 @_query

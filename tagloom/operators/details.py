@@ -12,7 +12,6 @@ from tagloom.functions.text import is_blank, is_present, keep_chars, norm
 from tagloom.operators.joins import spread_join
 
 DEDUP_KEY = ("uid", "log_dte", "tagname", "tagvalue")
-FIRST_ROW_ORDER = ("log_dte", "seq", "tagvalue")
 
 # Up to this many rules become conditional aggregates; the generated code of more
 # would pass the size limit of one JVM method, so they are joined and pivoted.
@@ -294,13 +293,17 @@ def first_transaction(
     details: DataFrame,
     event_attr_config: DataFrame,
     main: DataFrame,
-    order_by: Sequence[str] = FIRST_ROW_ORDER,
+    order_by: Sequence[Column | str] | None = None,
 ) -> DataFrame:
     """Digits of the first configured amount of each (uid, category), on the main rows.
 
-    The first row is taken before blank amounts are dropped: a blank first amount
-    means that the request has none, not that a later one counts.
+    First by `order_by`, else by log date, time and millisecond; then by value.  The
+    first row is taken before blank amounts are dropped: a blank first amount means that the
+    request has none, not that a later one counts.
     """
+    if order_by is None:
+        order_by = ["log_dte", "log_tme", F.col("log_millisec").try_cast("int")]
+    order_by = [F.col(c) if isinstance(c, str) else c for c in order_by]
     wanted = event_attr_config.filter(norm("trgt_col_nm") == "tran_amt").select(
         norm("evnt_cd").alias("_category"), norm("tag_nm").alias("_tag")
     )
@@ -309,9 +312,10 @@ def first_transaction(
         norm("acn_cat_nme").alias("_category"),
         norm("tagname").alias("_tag"),
         F.col("tagvalue").alias("tran_amt"),
-        *[F.col(c).alias(f"_by_{c}") for c in order_by],
+        *[c.alias(f"_by_{i}") for i, c in enumerate(order_by)],
     ).join(wanted, ["_category", "_tag"], "left_semi")
-    order = [F.col(f"_by_{c}").asc_nulls_first() for c in order_by] + [F.col("tran_amt").asc_nulls_first()]
+    order = [F.col(f"_by_{i}").asc_nulls_first() for i in range(len(order_by))]
+    order.append(F.col("tran_amt").asc_nulls_first())
     first = (
         first_row(amounts, ["uid", "_category"], order)
         .filter(~is_blank("tran_amt"))

@@ -210,7 +210,7 @@ def test_first_transaction(spark):
     )
     config = config_of(spark, ("PAYM", "Tran_Amt", "Tran"), (" paym", "tran_amt", " tran "), ("login", "other", "tran"))
     main = main_of(spark, *[(f"u{i}", "PAYM") for i in range(1, 6)], ("u1", "login"), ("u1", " paym "))
-    out = details.first_transaction(df, config, main)
+    out = details.first_transaction(df, config, main, order_by=["log_dte", "seq"])
     # u2 and u3: the first amount is blank, the later one does not count
     assert bag(out) == {("PAYM", "1050", "u1"): 1, (" paym ", "1050", "u1"): 1, ("PAYM", "", "u4"): 1}
 
@@ -229,3 +229,13 @@ def test_match_event_config(spark):
         ("u3", None, "a", None, None),
     }
     assert len(out) == 3
+
+
+def test_first_transaction_by_log_time(spark):
+    df = spark.createDataFrame(
+        [("u", DAY, "p", "t", v, "10:01", ms) for v, ms in (("1", "10"), ("2", "9"), ("3", "100"))]
+        + [("u", DAY, "p", "t", "0", "10:02", "1")],
+        "uid string, log_dte date, acn_cat_nme string, tagname string, tagvalue string, log_tme string, log_millisec string",
+    )
+    out = details.first_transaction(df, config_of(spark, ("p", "tran_amt", "t")), main_of(spark, ("u", "p")))
+    assert column(out, "tran_amt_first") == ["2"]
