@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLOTS = 1024
+SLOTS = 4096
 
 _SLOT = "_slot"
 

@@ -29,15 +29,21 @@ def read_csv(spark: SparkSession, path: str, entity: str | None = None) -> DataF
 
 
 def write_table(
-    df: DataFrame, name: str, partition_by: str | None = "log_dte", path: str | None = None
+    df: DataFrame,
+    name: str,
+    partition_by: str | None = "log_dte",
+    path: str | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Overwrite the table `name`, as Parquet, split by `partition_by`.
 
-    Rows are gathered by partition value before writing so that each task opens few
-    files; adaptive execution splits a value that is too large for one task.
+    With `rebalance` the rows are gathered by partition value first, so that each task
+    opens few files; adaptive execution splits a value that is too large for one task.
+    Without it the rows are written where they are, which saves a shuffle where they
+    belong to few partitions anyway, such as one business date.
     """
-    writer_input = df.hint("rebalance", partition_by) if partition_by else df
-    writer = writer_input.write.mode("overwrite").format("parquet")
+    rows = df.hint("rebalance", partition_by) if partition_by and rebalance else df
+    writer = rows.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if path:

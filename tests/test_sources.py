@@ -4,6 +4,7 @@ from datetime import date
 
 import pytest
 from helpers import bag, column
+from pyspark.sql import functions as F
 
 from tagloom.schemas import SCHEMAS, conform
 from tagloom.sources import tables
@@ -53,6 +54,24 @@ def test_write_table_to_a_path(spark, tmp_path):
     spark.sql("DROP TABLE placed")
 
 
+def test_write_table_splits_a_large_day(spark, conf, tmp_path):
+    """A day that is too large for one task is written by several, a small one by one."""
+    conf(adaptive__advisoryPartitionSizeInBytes="64KB")
+    n = F.col("id")
+    df = spark.range(0, 20_000, 1, 8).select(
+        F.sha2(n.cast("string"), 256).alias("uid"),
+        F.when(n % 100 == 0, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).cast("date").alias("log_dte"),
+    )
+    for rebalance in (True, False):
+        path = tmp_path / f"days_{rebalance}"
+        tables.write_table(df, "days", path=str(path), rebalance=rebalance)
+        files = {d.name: len(list(d.glob("*.parquet"))) for d in path.iterdir() if d.is_dir()}
+        assert files["log_dte=2024-01-01"] >= 8
+        assert files["log_dte=2024-01-02"] == (1 if rebalance else 8)
+        assert spark.table("days").count() == 20_000
+        spark.sql("DROP TABLE days")
+
+
 def test_read_parquet_checks_schema(spark, tmp_path):
     path = str(tmp_path / "err")
     spark.createDataFrame([("E", "5")], "err_cd string, err_key string").write.parquet(path)
