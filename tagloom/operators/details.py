@@ -13,9 +13,9 @@ from tagloom.operators.joins import spread_join
 
 DEDUP_KEY = ("uid", "log_dte", "tagname", "tagvalue")
 
-# Up to this many rules become conditional aggregates; the generated code of more
-# would pass the size limit of one JVM method, so they are joined and pivoted.
-MAX_AGGREGATE_RULES = 200
+# Up to this many rules become conditional aggregates.  Each tag row is then shuffled as
+# a row as wide as the rule table; beyond it, tags are matched by a join and stay narrow.
+MAX_AGGREGATE_RULES = 100
 # Spark's own limit on pivoted columns; a rule table beyond it is an error.
 MAX_RULES = 10_000
 TAG_PART_ROWS = 100_000
@@ -139,7 +139,7 @@ def transpose_by_rules(
     details: DataFrame,
     rules: DataFrame | Sequence[Row],
     by: Sequence[str] = ("uid",),
-    carry: Sequence[Column] = (),
+    carry: Sequence[str] = (),
     max_aggregate_rules: int = MAX_AGGREGATE_RULES,
 ) -> DataFrame:
     """Turn tags into columns as a rule table says, one row per `by`.
@@ -147,17 +147,17 @@ def transpose_by_rules(
     A rule reads: where `filter_col1` equals `filter_condn1` and `filter_col2`
     equals `filter_condn2`, column `value_col` goes into output column `new_col`.
     Several rules may share a target; the greatest value wins.  A rule with a null
-    condition never matches but still gives its column.  `carry` adds aggregates
-    of the same grouping, such as the greatest volume.
+    condition never matches but still gives its column.  `carry` names columns whose
+    greatest value is added.
 
     `rules` are normalised rules, as a table or as the rows of `read_rules`.
     """
     rows = read_rules(rules) if isinstance(rules, DataFrame) else list(rules)
     names = _column_names(details, rows)
     targets = sorted({r.new_col for r in rows})
-    both = {c.lower() for c in by} & set(targets)
+    both = {c.lower() for c in (*by, *carry)} & set(targets)
     if both:
-        raise ValueError(f"rule target is a grouping column: {sorted(both)}")
+        raise ValueError(f"rule target is a grouping or carried column: {sorted(both)}")
 
     # comparison form of every tested column, computed once per row
     keyed = {c: f"_key_{c}" for c in sorted({c for r in rows for c in _tests(r)})}
@@ -179,13 +179,19 @@ def transpose_by_rules(
         if len(values) > 1:
             values = [F.greatest(*values)]
         aggregates.append(F.max(values[0] if values else F.lit(None).cast("string")).alias(target))
-    if not aggregates and not carry:
+    aggregates += [F.max(c).alias(c) for c in carry]
+    if not aggregates:
         return prepared.select(*by).distinct()
-    return prepared.groupBy(*by).agg(*aggregates, *carry)
+    return prepared.groupBy(*by).agg(*aggregates)
 
 
 def _transpose_by_join(prepared, rows, targets, names, keyed, by, carry) -> DataFrame:
-    """The same result for long rule tables: match by join, then pivot."""
+    """The same result for long rule tables: match by join, then pivot.
+
+    The matches are first merged to one short row per `by` and target.  After that a
+    group has no more rows than the rule table has targets, however hot it was, and
+    can be brought together as it is and pivoted in one place.
+    """
     shapes = sorted({(r.filter_col1, r.filter_col2, r.value_col.strip(" ").lower()) for r in rows})
     # each detail row once per combination of columns that some rule looks at
     looks = [
@@ -197,7 +203,8 @@ def _transpose_by_join(prepared, rows, targets, names, keyed, by, carry) -> Data
         )
         for i, (a, b, v) in enumerate(shapes)
     ]
-    long = prepared.select(*by, F.explode(F.array(*looks)).alias("_look")).select(*by, "_look.*")
+    long = prepared.select(*by, *carry, F.explode(F.array(*looks)).alias("_look"))
+    # no more rows than rules, and their number is bounded
     matches = prepared.sparkSession.createDataFrame(
         sorted(
             {
@@ -213,15 +220,16 @@ def _transpose_by_join(prepared, rows, targets, names, keyed, by, carry) -> Data
         ),
         "_shape int, _test1 string, _test2 string, _target string",
     )
-    wide = (
-        long.join(F.broadcast(matches), ["_shape", "_test1", "_test2"], "left")
-        .groupBy(*by)
-        .pivot("_target", targets)
-        .agg(F.max("_value"))
+    matched = long.select(*by, *carry, "_look.*").join(
+        F.broadcast(matches), ["_shape", "_test1", "_test2"], "left"
+    )
+    value = F.when(F.col("_target").isNotNull(), F.col("_value"))
+    merged = matched.groupBy(*by, "_target").agg(
+        F.max(value).alias("_value"), *[F.max(c).alias(c) for c in carry]
     )
-    if not carry:
-        return wide
-    return prepared.groupBy(*by).agg(*carry).join(wide, list(by), "left")
+    gathered = merged.repartition(*by).groupBy(*by)
+    wide = [F.max(F.when(F.col("_target") == t, F.col("_value"))).alias(t) for t in targets]
+    return gathered.agg(*wide, *[F.max(c).alias(c) for c in carry])
 
 
 def group_details(df: DataFrame, by: Sequence[str] = ("uid",)) -> DataFrame:

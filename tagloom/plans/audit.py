@@ -34,7 +34,7 @@ def wide_details(
     # request does not depend on which rows are merged, and unused tags can go first
     rows = details.columns_for_rules(rows, rules, keep=["vol"])
     rows = details.dedup_details(rows, greatest="vol")
-    return details.transpose_by_rules(rows, rules, carry=[F.max("vol").alias("vol")])
+    return details.transpose_by_rules(rows, rules, carry=["vol"])
 
 
 def audit_flow(

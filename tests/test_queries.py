@@ -23,16 +23,13 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_equals_sql(spark, duck, sf_dir, name):
-    assert compare(spark, duck, sf_dir, name) == ""
-
-
-@pytest.mark.parametrize("name", QUERIES)
-def test_plan_stays_in_the_engine(spark, sf_dir, name):
-    """No Python worker, no cross or nested loop join, no limit, one global task only for scalars."""
-    text = plan(QUERIES[name](spark, sf_dir))
+def test_equals_sql_and_stays_in_the_engine(spark, duck, sf_dir, name):
+    """Same values; no Python worker, no cross or nested loop join, no limit in the plan."""
+    df = QUERIES[name](spark, sf_dir)
+    assert compare(df, duck, name) == ""
+    text = plan(df).replace("WindowGroupLimit", "")
     for node in ("Python", "Arrow", "BroadcastNestedLoopJoin", "CartesianProduct", "Limit "):
-        assert node not in text.replace("WindowGroupLimit", ""), node
+        assert node not in text, node
 
 
 def test_entry_is_the_whole_flow(spark):
