@@ -6,7 +6,7 @@ import pytest
 from helpers import bag, final_plan
 from pyspark.sql import functions as F
 
-from tagloom.operators import customer, details, journeys, requests
+from tagloom.operators import customer, details, dimensions, journeys, requests
 from tagloom.operators.joins import spread_join
 
 N = 60_000
@@ -122,6 +122,36 @@ def test_hot_journey(spark, small_limits):
     assert removed.count() == rows.filter("journey_id = 7").count()
 
 
+def test_hot_code_of_a_large_dimension(spark, small_limits):
+    """A dimension too large to broadcast: the hot code, and the null code, are split."""
+    for hot in ("17", None):
+        rows = facts_of(spark, hot).withColumnRenamed("k", "event_cd")
+        events = spark.range(400).select(
+            F.lit(1).alias("active"), F.col("id").cast("string").alias("event_cd"), F.col("id").cast("int").alias("event_key")
+        )
+        out = dimensions.dimension_keys_left(rows, None, events)
+        assert "skew=true" in final_plan(out)
+        assert out.filter("event_key IS NULL").count() == rows.join(events, "event_cd", "left_anti").count()
+        assert out.count() == N
+
+
+def test_hot_tag_of_a_large_configuration(spark, small_limits):
+    rows = facts_of(spark, "17").select(
+        F.col("n").cast("string").alias("uid"),
+        F.col("k").alias("tagname"),
+        F.col("payload").alias("tagvalue"),
+        F.lit("paym").alias("acn_cat_nme"),
+    )
+    tags = spark.range(400).select(
+        F.when(F.col("id") % 2 == 0, F.lit("PAYM")).otherwise(F.lit("x")).alias("evnt_cd"),
+        F.array(F.col("id").cast("string"), F.lit("17")).alias("cmpx_jrny_tag_vec"),
+    )
+    out = details.tag_pairs(rows, tags)
+    assert "skew=true" in final_plan(out)
+    wanted = [str(i) for i in range(0, 400, 2)] + ["17"]
+    assert out.count() == rows.filter(F.col("tagname").isin(wanted)).count()
+
+
 def test_hot_group_is_cut_before_the_shuffle(spark, conf):
     """A third of the rows are copies of one detail row: each task sends one of them."""
     conf(adaptive__enabled="false")
