@@ -52,9 +52,10 @@ def tag_volume(df: DataFrame, category: str = GROUP_PAYMENT, out: str = "vol") -
 
     Has to run before `normalise_tagname`, which takes that number away.
     """
-    number = F.get(F.split(F.trim("tagname"), r"\."), F.lit(1)).try_cast("int")
-    in_group = norm("acn_cat_nme") == category.lower()
-    return df.withColumn(out, F.coalesce(F.when(in_group, number), F.lit(1)))
+    name = F.trim("tagname")
+    second = F.substring_index(F.substring_index(name, ".", 2), ".", -1)
+    numbered = (norm("acn_cat_nme") == category.lower()) & name.contains(".")
+    return df.withColumn(out, F.coalesce(F.when(numbered, second.try_cast("int")), F.lit(1)))
 
 
 def to_account_id(df: DataFrame, out: str = "v_to_acct_id_t") -> DataFrame:
