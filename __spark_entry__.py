@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from functools import cached_property, partial
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

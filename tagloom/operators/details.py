@@ -16,8 +16,9 @@ DEDUP_KEY = ("uid", "log_dte", "tagname", "tagvalue")
 # Up to this many rules become conditional aggregates.  Each tag row is then shuffled as
 # a row as wide as the rule table; beyond it, tags are matched by a join and stay narrow.
 MAX_AGGREGATE_RULES = 100
-# Spark's own limit on pivoted columns; a rule table beyond it is an error.
-MAX_RULES = 10_000
+# A longer rule table is an error: each target is an output column and an aggregate.
+MAX_RULES = 1_000
+# Pairs in one part of a tag vector.
 TAG_PART_ROWS = 100_000
 
 
@@ -102,8 +103,8 @@ def columns_for_rules(
 
     Only the key, the columns in rules and `keep` stay.  In a row that no rule can
     match by its key columns, the tag, its value and the rule columns become null, so
-    such rows of a request merge into one in the partial aggregate of the next
-    deduplication.  The transposed columns come out the same.
+    the next deduplication merges such rows of a request into one, in each task before
+    the shuffle.  The transposed columns come out the same.
     """
     names = _column_names(df, rules)
     live = [r for r in rules if _can_match(r)]
@@ -306,8 +307,8 @@ def first_transaction(
     """Digits of the first configured amount of each (uid, category), on the main rows.
 
     First by `order_by`, else by log date, time and millisecond; then by value.  The
-    first row is taken before blank amounts are dropped: a blank first amount means that the
-    request has none, not that a later one counts.
+    first row is taken before blank amounts are dropped: a blank first amount means
+    that the request has none, not that a later one counts.
     """
     if order_by is None:
         order_by = ["log_dte", "log_tme", F.col("log_millisec").try_cast("int")]

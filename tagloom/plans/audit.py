@@ -67,7 +67,9 @@ def audit_flow(
     rows = customer.customer_id(rows, customer.active_customer_link(cust_link))
     # derived fields come after the last shuffle of these rows, which stay narrow that way
     rows = fields.from_account_id(fields.to_account_id(rows))
-    rows = fields.error_code(fields.event_constants(rows, channel=channel))
+    rows = fields.event_constants(rows, channel=channel)
+    # an error text among the tags, if a rule takes one, goes before that of the main row
+    rows = fields.error_code(rows, "err_msg_txt_t" if "err_msg_txt_t" in rows.columns else "err_msg_txt")
     # the channel is one constant, so its key is a scalar, not a join on that constant
     rows = rows.withColumn("chnl_key", chnl.scalar())
     rows = dimensions.dimension_keys_left(rows, None, event_map, err_map)

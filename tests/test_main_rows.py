@@ -124,3 +124,61 @@ def test_dimension_keys(spark):
     assert bag(out.select("chnl_key", "event_key", "err_key")) == {(1, 5, 10): 1, (1, None, None): 1, (None, None, 10): 1}
     inner = dimensions.dimension_keys_inner(df.withColumnRenamed("event_cd", "evnt_cd"), chnl, event, err)
     assert bag(inner) == {(1, 5, 10): 1}
+
+
+def test_flow_on_a_few_rows(spark):
+    """All steps on rows made by hand, with sort codes and error text among the tags."""
+    from tagloom.plans.audit import audit_flow
+    from tagloom.schemas import SCHEMAS
+
+    def table(entity, *rows):
+        return spark.createDataFrame(list(rows), SCHEMAS[entity])
+
+    day = date(2024, 1, 1)
+    group = "/olb/bulkpay/grouppaymentstepfour.json"
+    tags = {
+        "u1": [
+            ("paym", "sc1", " 20"), ("paym", "sc2", "30"), ("paym", "sc3", "40"), ("paym", "from", "A-12345678901234"),
+            ("paym", "member", " 7 "), ("paym", "amount", "1234567890123.5"), (group, "payee.3", "x"), (group, "payee.12", "x"),
+        ],
+        "u2": [("paym", "to", "98765432109876"), ("paym", "error", " E7 "), ("paym", "stop", "S9")],
+        "u3": [("paym", "error", "null"), ("paym", "stop", " S9 "), ("paym", "member", "8")],
+    }
+    details = table(
+        "audit_details",
+        *[(u, day, c, t, v, None, None, None, None, None, None) for u, rows in tags.items() for c, t, v in rows],
+    )
+    targets = {
+        "sc1": "sortcode1_t", "sc2": "sortcode2_t", "sc3": "sortcode3_t", "from": "fr_acct_id", "to": "to_acct_id",
+        "member": "mmb_num", "amount": "tran_amt", "error": "err_msg_txt", "stop": "stopflow_t",
+    }
+    rules = table(
+        "rule_config", *[(1, 5, "acn_cat_nme", "paym", "tagname", t, "tagvalue", c) for t, c in targets.items()]
+    )
+    main = table(
+        "audit_main",
+        ("u1", day, "999999999999", "old", None, " paym "),
+        ("u2", day, "9", None, "main error", "login"),
+        ("u3", day, "9", None, "main error", "paym"),
+        ("u4", day, None, None, " none ", "paym"),
+    )
+    link = table("cust_link", ("7", "77", "AC", "01", None, "2020-01-01", "1"), ("9", "99", "AC", "01", None, "2020-01-01", "1"))
+    chnl = table("chnl_map", (1, "OLB", 5))
+    events = table("event_map", (1, "paym", 10))
+    errors = table("err_map", ("E7", 70), ("S9", 90))
+    out = {r.uid: r for r in audit_flow(details, main, link, chnl, rules, events, errors).collect()}
+
+    assert out.keys() == {"u1", "u2", "u3", "u4"}
+    one = out["u1"]
+    assert (one.v_to_acct_id_t, one.fr_acct_id, one.tran_amt, one.vol) == ("203040", "123456|8901234", "123456789012", 12)
+    assert (one.mmb_num, one.cus_idr, one.cust_id, one.main_cus_idr) == ("7", "77", 77, "old")
+    assert (one.chnl_cd, one.chnl_key, one.event_id, one.event_cd, one.event_key) == ("OLB", 5, "10001028", "paym", 10)
+    assert (one.err_cd, one.err_key, one.result_flag) == (None, None, "Success")
+    two = out["u2"]
+    assert (two.v_to_acct_id_t, two.cust_id, two.err_cd, two.err_key, two.event_key) == ("987654|2109876", 99, "E7", 70, None)
+    assert two.result_flag == "Failure"
+    # the word null is no tag value, so the stop-flow value is the code; member 8 does not replace a real one
+    three = out["u3"]
+    assert (three.err_cd, three.err_key, three.mmb_num, three.cust_id) == ("S9", 90, "9", 99)
+    four = out["u4"]
+    assert (four.mmb_num, four.cust_id, four.vol, four.err_cd, four.result_flag) == ("-99", -99, None, None, "Success")
