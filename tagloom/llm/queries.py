@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import decontamination, quality, secrets, simhash, token_counts, word_bpe
+from tagloom.llm import (
+    decontamination,
+    id_files,
+    language_model,
+    licenses,
+    quality,
+    secrets,
+    simhash,
+    token_counts,
+    vafile,
+    word_bpe,
+)
 from tagloom.llm.common import table
 
 
@@ -16,6 +27,14 @@ def fold(key: str, n: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % n
 
 
+def op1_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_files.crc32_of_ids(id_files.round_trip(table(spark, sf_dir, "documents")))
+
+
 def _count(kind: str) -> Column:
     return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
 
@@ -45,6 +64,22 @@ def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_paths(docs: DataFrame) -> DataFrame:
+    """The documents with a path: source, language, thousand and hundred of the id as directories. Every hundredth
+    document is the licence file of its hundred, every thousandth that of its thousand."""
+    place = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")))
+    thousand, hundred = F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100)
+    file = F.when(F.col("doc_id") % 100 == 0, F.lit("LICENSE")).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    inner = F.when(F.col("doc_id") % 1000 == 0, F.lit("")).otherwise(F.concat(hundred.cast("string"), F.lit("/")))
+    path = F.concat(place, F.lit("/"), thousand.cast("string"), F.lit("/"), inner, file)
+    return docs.select("doc_id", "text", path.alias("path"))
+
+
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(document_paths(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "path", "license", "origin", F.col("levels").cast("int").alias("levels"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -63,6 +98,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
+    return language_model.score_documents(table(spark, sf_dir, "documents"), held_out)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
@@ -75,10 +115,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_secret_scans": op3_secret_scans,
-    "op4_token_counts": op4_token_counts,
-    "op5_word_bpe": op5_word_bpe,
-    "op7_simhash": op7_simhash,
-    "op8_decontamination": op8_decontamination,
-    "op10_quality": op10_quality,
+    f.__name__: f
+    for f in (
+        op1_vector_topk,
+        op2_token_files,
+        op3_secret_scans,
+        op4_token_counts,
+        op5_word_bpe,
+        op6_license_scans,
+        op7_simhash,
+        op8_decontamination,
+        op9_language_model,
+        op10_quality,
+    )
 }
