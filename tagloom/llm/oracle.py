@@ -24,7 +24,7 @@ WITH doc AS (
     SELECT p.r, p.i, p.n, k.item FROM place p JOIN known k
     ON k.n = p.n AND k.words = array_to_string(p.w[p.i : p.i + p.n - 1], ' ')
 ), marked AS (
-    SELECT r, count(DISTINCT at) AS n FROM (SELECT r, unnest(range(i, i + n)) AS at FROM hit) GROUP BY r
+    SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(i, i + n)) AS place FROM hit) GROUP BY r
 ), named AS (
     SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
     FROM (SELECT DISTINCT r, item FROM hit WHERE item IS NOT NULL) GROUP BY r

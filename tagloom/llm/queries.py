@@ -65,14 +65,16 @@ def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_paths(docs: DataFrame) -> DataFrame:
-    """The documents with a path: source, language, thousand and hundred of the id as directories. Every hundredth
+    """The documents with a path: thousand and hundred of the id, language and source as directories. Every hundredth
     document is the licence file of its hundred, every thousandth that of its thousand."""
-    place = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")))
-    thousand, hundred = F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100)
-    file = F.when(F.col("doc_id") % 100 == 0, F.lit("LICENSE")).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    inner = F.when(F.col("doc_id") % 1000 == 0, F.lit("")).otherwise(F.concat(hundred.cast("string"), F.lit("/")))
-    path = F.concat(place, F.lit("/"), thousand.cast("string"), F.lit("/"), inner, file)
-    return docs.select("doc_id", "text", path.alias("path"))
+    thousand, hundred = (F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 100))
+    inner = [F.coalesce(c, F.lit("unknown")) for c in ("lang", "source")]
+    path = (
+        F.when(F.col("doc_id") % 1000 == 0, F.concat_ws("/", thousand, F.lit("LICENSE")))
+        .when(F.col("doc_id") % 100 == 0, F.concat_ws("/", thousand, hundred, F.lit("LICENSE")))
+        .otherwise(F.concat_ws("/", thousand, hundred, *inner, F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
+    )
+    return docs.select("doc_id", "text", F.when(F.col("doc_id").isNotNull(), path).alias("path"))
 
 
 def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
