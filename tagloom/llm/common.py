@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -49,6 +50,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Every row as one struct `_doc` beside its `_text`, so that no added name can clash with a column of `docs`."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(text).alias("_text"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs` out of `_doc`."""
+    return rows.select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
+
+
 def per_text(
     df: DataFrame,
     factory: Callable[[], Callable[..., tuple]],

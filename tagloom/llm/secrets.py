@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import per_text
+from tagloom.llm.common import packed, per_text
 
 KINDS = ("assign", "access", "hex", "novel")
 #: Characters on each side that count as surrounding code.
@@ -145,22 +145,22 @@ def masked(raw: bytes, spans: list[tuple[int, int, str]], mask: str = "[SECRET]"
 
 
 def mask_secrets(docs: DataFrame, text: str = "text", identifiers: str = IDENTIFIERS) -> DataFrame:
-    """The same rows and columns with all secrets masked; n_chars, if there is one, follows the text."""
+    """The same rows and columns with all secrets masked; n_chars, if there is one, follows a changed text. A null
+    text stays null."""
 
     def factory():
         marginal = compressor(identifiers)
 
-        def change(raw: bytes, value: str | None) -> tuple:
-            spans = scan_text(raw, marginal) if value is not None else []
-            return (masked(raw, spans) if spans else value,)
+        def change(raw: bytes) -> tuple:
+            spans = scan_text(raw, marginal)
+            return (masked(raw, spans) if spans else None,)
 
         return change
 
-    rows = docs.withColumn("_text", F.col(text))
-    rest = [c for c in docs.columns if c != text]
-    out = per_text(rows, factory, "_masked string", rest, "_text", [text]).withColumnRenamed("_masked", text)
-    if "n_chars" in rest:
+    rows = per_text(packed(docs, text), factory, "_masked string", ("_doc",), "_text")
+    out = {c: F.col("_doc")[c] for c in docs.columns}
+    out[text] = F.coalesce("_masked", out[text])
+    if "n_chars" in out:
         kind = docs.schema["n_chars"].dataType
-        changed = F.col("n_chars").isNotNull() & F.col(text).isNotNull()
-        out = out.withColumn("n_chars", F.when(changed, F.length(text).cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out["n_chars"] = F.when(F.col("_masked").isNotNull(), F.length("_masked").cast(kind)).otherwise(out["n_chars"])
+    return rows.select(*[column.alias(name) for name, column in out.items()])

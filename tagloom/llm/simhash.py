@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import LOWER, per_text, stored
+from tagloom.llm.common import LOWER, packed, per_text, stored, unpacked
 from tagloom.llm.components import connected_components
 from tagloom.operators.joins import spread_join
 
@@ -274,10 +274,16 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
 
     Rows without key stand behind all others; equal rows count as one.
     """
-    row = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(*docs.columns).alias("hash"))
-    keyed = docs.withColumn("_row", row)
-    found = simhash_components(keyed.select("_row", text), "_row", text, size, distance)
-    stay = found.where(F.col("_row") == F.col("component")).select(F.col("_row").alias("_stay")).distinct()
-    # "last" is never null, so struct equality by parts is safe for rows without key
-    same = [F.col("_row.last") == F.col("_stay.last"), F.col("_row.key").eqNullSafe(F.col("_stay.key")), F.col("_row.hash") == F.col("_stay.hash")]
-    return keyed.join(stay, same, "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+    hashed = F.xxhash64(*[F.col("_doc")[c] for c in docs.columns])
+    row = F.struct(F.col("_doc")[key].isNull().alias("last"), F.col("_doc")[key].alias("key"), hashed.alias("hash"))
+    keyed = packed(docs, text).withColumn("_row", row)
+    found = simhash_components(keyed, "_row", "_text", size, distance)
+    stay = found.where(F.col("_row").eqNullSafe(F.col("component"))).groupBy(F.col("_row").alias("_stay")).count()
+    stay = stored(stay, "stay")
+    # part by part, as a row without key is equal to itself too
+    same = [F.col(f"_row.{part}").eqNullSafe(F.col(f"_stay.{part}")) for part in ("last", "key", "hash")]
+    out = keyed.join(stay.where(F.col("count") == 1), same, "left_semi")
+    repeated = stay.where(F.col("count") > 1)
+    if not repeated.isEmpty():
+        out = out.unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates(["_row"]))
+    return unpacked(out, docs)
