@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tagloom.llm.licenses import TEMPLATES, THRESHOLD
+
 #: A window is 10 consecutive words of an item, or all of a shorter one's.
 _DECONTAMINATION = r"""
 WITH doc AS (
@@ -34,4 +36,85 @@ SELECT doc_id, len(w) AS n_words, coalesce(m.n, 0) AS n_hit, coalesce(i.n, 0) AS
 FROM doc LEFT JOIN marked m USING (r) LEFT JOIN named i USING (r)
 """
 
-SQL: dict[str, str] = {"op8_decontamination": _DECONTAMINATION}
+_TOP_K = """
+WITH v AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+    FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id != q.vec_id AND len(c.e) = len(q.e)
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def _licenses() -> str:
+    rows = ", ".join(
+        f"({k}, '{name}', '{text.lower().replace(chr(39), chr(39) * 2)}')" for k, (name, text) in enumerate(TEMPLATES)
+    )
+    return f"""
+WITH template(k, license, text) AS (VALUES {rows}),
+doc AS (
+    SELECT row_number() OVER () AS r, doc_id, lower(text) AS text,
+        CASE WHEN doc_id % 1000 = 0 THEN concat_ws('/', CAST(doc_id // 1000 AS VARCHAR), 'LICENSE')
+            WHEN doc_id % 100 = 0 THEN concat_ws('/', CAST(doc_id // 1000 AS VARCHAR), CAST(doc_id // 100 AS VARCHAR), 'LICENSE')
+            WHEN doc_id IS NOT NULL THEN concat_ws('/', CAST(doc_id // 1000 AS VARCHAR), CAST(doc_id // 100 AS VARCHAR),
+                coalesce(lang, 'unknown'), coalesce(source, 'unknown'), CAST(doc_id AS VARCHAR) || '.txt') END AS path
+    FROM documents
+), template_tf AS (
+    SELECT k, license, term, count(*) AS tf
+    FROM (SELECT k, license, unnest(regexp_extract_all(text, '[a-z0-9]+')) AS term FROM template) GROUP BY ALL
+), frequency AS (
+    SELECT term, count(*) AS df
+    FROM (SELECT DISTINCT r, unnest(regexp_extract_all(text, '[a-z0-9]+')) AS term FROM doc)
+    WHERE term IN (SELECT term FROM template_tf) GROUP BY term
+), size AS (SELECT count(*) AS n FROM doc),
+idf AS (
+    SELECT DISTINCT t.term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf
+    FROM template_tf t CROSS JOIN size LEFT JOIN frequency f ON f.term = t.term
+), template_weight AS (
+    SELECT k, license, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY k)) AS weight
+    FROM template_tf JOIN idf USING (term)
+), line AS (
+    SELECT r, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM doc
+), bag AS (
+    SELECT r, line_no, term, count(*) AS tf
+    FROM (SELECT r, line_no, unnest(regexp_extract_all(text, '[a-z0-9]+')) AS term FROM line) GROUP BY ALL
+), weighed AS (
+    SELECT r, line_no, term, tf * coalesce(idf, ln((1 + n) / 1) + 1) AS w
+    FROM bag CROSS JOIN size LEFT JOIN idf USING (term)
+), norm AS (SELECT r, line_no, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
+close AS (
+    SELECT r, license, round(sum(w * weight) / any_value(norm), 9) AS similarity
+    FROM weighed JOIN template_weight USING (term) JOIN norm USING (r, line_no)
+    GROUP BY r, line_no, k, license HAVING sum(w * weight) / any_value(norm) >= {THRESHOLD}
+), own AS (
+    SELECT r, license FROM close QUALIFY row_number() OVER (PARTITION BY r ORDER BY similarity DESC, license) = 1
+), marked AS (
+    SELECT doc.r, doc_id, path, regexp_replace(path, '/[^/]*$', '') AS dir, license
+    FROM doc LEFT JOIN own ON own.r = doc.r
+), licensed AS (
+    SELECT dir, min(license) AS license FROM marked
+    WHERE license IS NOT NULL AND regexp_matches(path, '(^|/)LICENSE$') GROUP BY dir
+), found AS (
+    SELECT m.r, l.license, len(string_split(m.dir, '/')) - len(string_split(l.dir, '/')) AS levels
+    FROM marked m JOIN licensed l ON m.dir = l.dir OR starts_with(m.dir, l.dir || '/')
+    WHERE m.license IS NULL QUALIFY row_number() OVER (PARTITION BY m.r ORDER BY len(l.dir) DESC) = 1
+)
+SELECT doc_id, path, coalesce(m.license, f.license) AS license,
+    CASE WHEN m.license IS NOT NULL THEN 'header' WHEN f.license IS NOT NULL THEN 'inherited' END AS origin,
+    CAST(f.levels AS INTEGER) AS levels
+FROM marked m LEFT JOIN found f USING (r)
+"""
+
+
+SQL: dict[str, str] = {
+    "op1_vector_topk": _TOP_K,
+    "op6_license_scans": _licenses(),
+    "op8_decontamination": _DECONTAMINATION,
+}
