@@ -1,0 +1,300 @@
+"""Vector search, SimHash groups, components and decontamination against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from helpers_llm import awkward, key
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tagloom.llm import components, decontamination, simhash, vafile
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+# --- vectors --------------------------------------------------------------------
+
+
+def top(rows, k, is_query):
+    """(query, rank, id, score) by comparing every query with every row."""
+    whole = {(i, tuple(int(np.floor(1024 * float(x))) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    out = []
+    for q, qv in whole:
+        if is_query(q):
+            scores = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in whole if i != q and len(v) == len(qv))
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
+    return sorted(out)
+
+
+def found(spark, rows, k=10, step=10):
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, id string, rep int")
+    got = vafile.nearest(df, F.col("id") % step == 0, k)
+    assert got.dtypes == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")]
+    return sorted(map(tuple, got.collect()))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_vectors_as_by_brute_force(spark, seed):
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.normal(0, 0.2, 6).astype(np.float32).tolist()) for i in range(300)]
+    assert found(spark, rows) == top(rows, 10, lambda q: q % 10 == 0)
+
+
+def test_copies_ties_and_unusable_vectors(spark):
+    rng = np.random.default_rng(4)
+    common, zero = [0.5, -0.25, 0.125], [0.0, 0.0, 0.0]
+    rows = [(i, common if i % 3 else rng.normal(0, 1, 3).round(1).tolist()) for i in range(120)]
+    rows += [(200, zero), (201, zero), (210, None), (220, [1.0, None, 2.0]), (230, [1.0, float("nan"), 2.0])]
+    rows += [(240, [float("inf"), 0.0, 0.0]), (None, common), (0, rows[0][1]), (250, [1.0, 2.0]), (251, [3.0, 4.0]), (260, [])]
+    assert found(spark, rows, 5) == top(rows, 5, lambda q: q % 10 == 0)
+
+
+def test_fewer_candidates_than_asked(spark):
+    rows = [(0, [1.0]), (1, [2.0]), (2, [-1.0])]
+    assert found(spark, rows) == [(0, 1, 1, 2048 * 1024), (0, 2, 2, -1024 * 1024)]
+    assert found(spark, rows[:1]) == []
+    assert found(spark, []) == []
+
+
+def test_queries_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vafile, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(vafile, "_ROWS", 16)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(0, 0.2, 4).tolist()) for i in range(200)]
+    assert found(spark, rows, 3, 5) == top([(i, np.float32(v)) for i, v in rows], 3, lambda q: q % 5 == 0)
+
+
+def test_cells_rule_out_most_vectors(spark):
+    """Exact vectors are read for few pairs."""
+    rng = np.random.default_rng(11)
+    rows = spark.createDataFrame([(i, rng.normal(0, 1, 16).tolist()) for i in range(2000)], "vec_id long, embedding array<double>")
+    exact = vafile.distinct_vectors(vafile.integer_vectors(rows, "vec_id", "embedding"), 10).cache()
+    low, width = vafile.grid(exact, 16)
+    queries = [(r.rep, r.v) for r in exact.where("rep % 100 = 0").collect()]
+    assert vafile.scan(vafile.approximate(exact, low, width), low, width, queries, 10).count() < 20 * 2000 / 4
+
+
+# --- components -------------------------------------------------------------------
+
+
+def components_of(links):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a is not None and b is not None and a != b:
+            p, q = find(a), find(b)
+            root[max(p, q)] = min(p, q)
+    return {x: find(x) for x in root}
+
+
+@pytest.mark.parametrize(
+    "links",
+    [
+        [],
+        [(1, 1), (None, 2), (3, None)],
+        [(i, i + 1) for i in range(200)],
+        [(7, i) for i in range(300)] + [(500, 501), (501, 500), (500, 501)],
+        [(int(a), int(b)) for a, b in np.random.default_rng(2).integers(-60, 60, (55, 2))],
+    ],
+)
+def test_components(spark, links):
+    got = components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.node: r.component for r in got} == components_of(links)
+    assert len(got) == len({r.node for r in got})
+
+
+# --- SimHash ------------------------------------------------------------------------
+
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(pairs, distance=4):
+    fps = [plain_fingerprint(t) for _, t in pairs]
+    root = list(range(len(fps)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= distance:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    groups = {}
+    for i, (d, _) in enumerate(pairs):
+        groups.setdefault(find(i), []).append(d)
+    least = {g: min((d for d in ids if d is not None), default=None) for g, ids in groups.items()}
+    return sorted([(d, fps[i], least[find(i)]) for i, (d, _) in enumerate(pairs)], key=key)
+
+
+def signed(fp):
+    return fp - (1 << 64) if fp >> 63 else fp
+
+
+def test_awkward_documents_group_as_by_brute_force(odd_docs):
+    got = [(r.doc_id, r.fp % (1 << 64), r.component) for r in simhash.simhash_components(odd_docs).collect()]
+    assert sorted(got, key=key) == plain_components(awkward())
+
+
+def test_no_documents_no_groups(no_docs):
+    assert simhash.simhash_components(no_docs).collect() == []
+    assert simhash.one_of_each(no_docs).collect() == []
+
+
+def test_spark_hashes_a_shingle_alike(spark):
+    texts = ["a b c d", "naïve café 日本 x", "", "x" * 100]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(F.xxhash64("t")).collect()
+    assert [r[0] % (1 << 64) for r in got] == [xxhash.xxh64_intdigest(t.encode(), 42) for t in texts]
+
+
+def near_group(rng, n, centre, most):
+    """Fingerprints at up to `most` random bits from a centre."""
+    out = []
+    for _ in range(n):
+        fp = centre
+        for b in rng.choice(64, rng.integers(0, most + 1), replace=False):
+            fp ^= 1 << int(b)
+        out.append(fp)
+    return out
+
+
+@pytest.mark.parametrize("large,block", [(256, 8192), (4, 16), (1, 1000)])
+def test_links_lose_no_component(spark, monkeypatch, large, block):
+    """Small and large buckets, one block and several, give the components of all pairs."""
+    monkeypatch.setattr(simhash, "LARGE_BUCKET", large)
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = np.random.default_rng(large)
+    fps = set()
+    for most in (2, 5, 9):
+        fps.update(near_group(rng, 80, int(rng.integers(0, 1 << 62)) * 4 + 1, most))
+    fps.update(int(x) * 3 for x in rng.integers(0, 1 << 62, 60))
+    fps = sorted(fp % (1 << 64) for fp in fps)
+    nodes = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
+    for plan in (simhash.plan_parts(nodes), [(list(range(32)), 2), (list(range(32, 64)), 1)], [([*range(0, 64, 3)], 1), ([*range(1, 64, 3)], 1), ([*range(2, 64, 3)], 0)]):
+        links = [(r.a, r.b) for r in simhash.near_links(nodes, plan).collect()]
+        assert all((a % (1 << 64) ^ b % (1 << 64)).bit_count() <= 4 for a, b in links)
+        want = components_of([(signed(a), signed(b)) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 4])
+        assert components_of(links) == want
+
+
+def test_large_buckets_give_fewer_links_than_members():
+    rng = np.random.default_rng(3)
+    fps = np.unique(np.array(near_group(rng, 3000, 0xDEADBEEF12345678, 3), dtype=np.uint64))
+    own = np.ones(len(fps), dtype=bool)
+    a, b = simhash._spanning(fps, own, fps, own, True, 4)
+    assert len(a) < len(fps)
+    assert (np.bitwise_count(a ^ b) <= 4).all()
+
+
+def test_thresholds_cover_the_distance(spark):
+    nodes = spark.createDataFrame([(int(x),) for x in np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 500)], "fp long")
+    plan = simhash.plan_parts(nodes)
+    used = [b for bits, _ in plan for b in bits]
+    assert len(used) == len(set(used))
+    # any way to spread 4 differing bits over the parts leaves one part within its threshold
+    assert sum(t + 1 for _, t in plan) == 5
+    costs = [[0.0, 5.0, 9.0], [0.0, 1.0, 2.0], [0.0, 1.0, 7.0]]
+    assert simhash.allocate(costs, 0) == (2.0 + 1.0, [-1, 1, 0])
+
+
+def test_correlated_bits_share_a_part():
+    rng = np.random.default_rng(8)
+    bits = rng.integers(0, 2, (4000, 64))
+    bits[:, 40] = bits[:, 3] ^ (rng.random(4000) < 0.02)
+    both = bits.T @ bits
+    for m in (2, 3, 4, 5):
+        parts = simhash.correlated_parts(4000, both, m)
+        assert sorted(sum(parts, [])) == list(range(64))
+        assert any(3 in p and 40 in p for p in parts)
+
+
+def test_one_of_each_keeps_the_first_row(odd_docs):
+    kept = simhash.one_of_each(odd_docs)
+    assert kept.columns == odd_docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    groups = plain_components(awkward())
+    assert sorted(d for d, _ in got if d is not None) == sorted({c for _, _, c in groups if c is not None})
+    assert len(got) == len(set(got))
+
+
+# --- decontamination --------------------------------------------------------------
+
+
+def plain_words(text):
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
+
+
+def plain_hits(text, items):
+    words, hit, names = plain_words(text), set(), set()
+    for item, content in items:
+        have = plain_words(content)
+        for i in range(max(1, len(have) - 9)) if have else ():
+            window = have[i : i + 10]
+            for j in range(len(words) - len(window) + 1):
+                if words[j : j + len(window)] == window:
+                    hit.update(range(j, j + len(window)))
+                    names |= {str(item)} - {"None"}
+    return len(words), len(hit), sorted(names)
+
+
+ITEMS = [
+    (1, "lazy dog and runs away from the big bad wolf today indeed"),
+    (2, "Reserved. Licensed"),
+    (10, "the big bad wolf today"),
+    (10, "the big bad wolf today"),
+    (3, None),
+    (4, ""),
+    (5, " .,; "),
+    (None, "quick brown"),
+    (6, "naïve7 日本語"),
+    (7, "alpha beta gamma delta alpha beta gamma delta alpha beta gamma delta"),
+]
+
+
+@pytest.mark.parametrize("shard", [decontamination.SHARD_CHARS, 60])
+def test_awkward_documents_are_scanned_as_by_brute_force(spark, odd_docs, shard):
+    items = spark.createDataFrame([(*r, "x") for r in ITEMS], "item_id int, text string, items string")
+    got = decontamination.decontaminate(odd_docs, items, shard_chars=shard).collect()
+    want = [(d, *plain_hits(t, ITEMS)) for d, t in awkward()]
+    assert sorted([(r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got], key=key) == sorted(want, key=key)
+    assert any(n for _, _, n, _ in want)
+    for r in got:  # spans are those of the original text
+        texts = [t for d, t in awkward() if d == r.doc_id and len(plain_words(t)) == r.n_words]
+        words = [w for s in r.spans for w in plain_words(texts[0][s.start : s.stop])]
+        assert len(words) == r.n_hit
+
+
+def test_nothing_to_scan_or_to_scan_for(spark, odd_docs, no_docs):
+    none = spark.createDataFrame([], "item_id int, text string")
+    assert decontamination.decontaminate(odd_docs, none).where("n_hit > 0 or size(items) > 0").collect() == []
+    items = spark.createDataFrame([(1, "a b")], "item_id int, text string")
+    assert decontamination.decontaminate(no_docs, items).collect() == []
+
+
+@given(st.lists(st.sampled_from("a b c d".split()), max_size=30), st.lists(st.sampled_from("a b c d".split()), min_size=1, max_size=14))
+@settings(max_examples=200, deadline=None)
+def test_overlapping_windows(text, item):
+    rows = [(w, ["1"]) for w in decontamination.windows(" ".join(item).encode())]
+    automaton = decontamination._automaton(hashlib.sha256(str(item).encode()).hexdigest(), rows)
+    ranges, _ = decontamination._find(automaton, [w.encode() for w in text])
+    hit = sum(b - a for a, b in decontamination._marked(ranges))
+    assert hit == plain_hits(" ".join(text), [(1, " ".join(item))])[1]
