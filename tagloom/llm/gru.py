@@ -63,8 +63,7 @@ class Gru:
         u = h @ self.p["state"]
         gates = x[:, : 2 * n] + u[:, : 2 * n]
         np.negative(gates, out=gates)
-        np.clip(gates, -30, 30, out=gates)
-        np.exp(gates, out=gates)
+        np.exp(gates, out=gates)  # an overflow to infinity gives the right gate, 0
         gates += 1
         np.reciprocal(gates, out=gates)
         z, r = gates[:, :n], gates[:, n:]
@@ -163,11 +162,17 @@ class Gru:
         self.backward(inputs, saved, d_states.reshape(out.shape), grads)
         return -float((logs * weight.ravel()).sum()), vector, last
 
-    def train(self, segments: list[np.ndarray], first: int, lanes: int = 256, window: int = 16, rate: float = 0.004) -> int:
+    def train(self, segments: list[np.ndarray], first: int, lanes: int = 256, window: int = 16, rate: float = 0.02) -> int:
         """Adam over windows of `window` tokens, the state carried from one window to the next of the same segments.
 
-        `first` is the input before a segment. Returns the number of tokens learnt from.
+        `first` is the input before a segment. Few segments go in narrower groups, so that there are updates enough.
+        Returns the number of tokens learnt from.
         """
+        lanes = min(lanes, max(8, len(segments) // 16))
+        with np.errstate(over="ignore"):
+            return self._train(segments, first, lanes, window, rate)
+
+    def _train(self, segments, first, lanes, window, rate) -> int:
         mean, square = np.zeros_like(self.vector), np.zeros_like(self.vector)
         done = updates = 0
         for start in range(0, len(segments), lanes):
@@ -210,26 +215,27 @@ class Gru:
             loads[lane] += len(documents[i])
         # longest lanes first, so that the lanes still running are always the first ones
         running = np.argsort(-loads, kind="stable")
-        streams = [np.concatenate([documents[i] for i in queues[lane]]) for lane in running]
-        owners = [np.repeat(queues[lane], [len(documents[i]) for i in queues[lane]]) for lane in running]
         sizes = loads[running]
+        targets = np.zeros((lanes, int(sizes[0])), dtype=np.int32)
+        owner = np.full((lanes, int(sizes[0])), -1, dtype=np.int32)
+        for row, lane in enumerate(running):
+            own = queues[lane]
+            targets[row, : sizes[row]] = np.concatenate([documents[i] for i in own])
+            owner[row, : sizes[row]] = np.repeat(own, [len(documents[i]) for i in own])
+        fresh = np.ones(owner.shape, dtype=bool)
+        fresh[:, 1:] = owner[:, 1:] != owner[:, :-1]
+        inputs = np.full(targets.shape, first, dtype=np.int32)
+        inputs[:, 1:][~fresh[:, 1:]] = targets[:, :-1][~fresh[:, 1:]]
         h = np.zeros((lanes, self.size), dtype=np.float32)
-        before = np.full(lanes, -1)
-        for t in range(0, int(sizes[0]), window):
-            live = int(np.searchsorted(-sizes, -t, side="left"))
-            span = min(window, int(sizes[0]) - t)
-            targets, owner = np.zeros((span, live), dtype=np.int64), np.full((span, live), -1)
-            for lane in range(live):
-                part = streams[lane][t : t + span]
-                targets[: len(part), lane] = part
-                owner[: len(part), lane] = owners[lane][t : t + span]
-            previous = np.vstack([before[None, :live], owner[:-1]])
-            fresh = previous != owner
-            inputs = np.vstack([last_ids[None, :live] if t else np.full((1, live), first), targets[:-1]])
-            inputs[fresh] = first
-            states, _, h = self.states(inputs, h[:live], (~fresh).astype(np.float32))
-            before, last_ids = owner[-1], targets[-1]
-            valid = owner.ravel() >= 0
-            logs = self.log_probabilities(states.reshape(-1, self.size)[valid], targets.ravel()[valid])
-            out += np.bincount(owner.ravel()[valid], weights=logs, minlength=len(documents))
+        with np.errstate(over="ignore"):
+            for t in range(0, int(sizes[0]), window):
+                live = int(np.searchsorted(-sizes, -t, side="left"))
+                at = np.s_[:live, t : t + window]
+                keep = (~fresh[at].T).astype(np.float32)
+                states, _, h = self.states(inputs[at].T, h[:live], keep if keep.min() == 0 else None)
+                of, ids, flat = owner[at].T.ravel(), targets[at].T.ravel(), states.reshape(-1, self.size)
+                if sizes[live - 1] < t + window:
+                    valid = of >= 0
+                    of, ids, flat = of[valid], ids[valid], flat[valid]
+                out += np.bincount(of, weights=self.log_probabilities(flat, ids), minlength=len(documents))
         return out

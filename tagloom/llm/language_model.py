@@ -31,6 +31,8 @@ from tagloom.llm.gru import Gru
 from tagloom.operators.joins import spread_join
 
 VOCABULARY = 2048
+#: Units of the recurrent state, and of a word's embedding.
+STATE = 16
 #: Most frequent words whose counts are broadcast; the counts of all others are joined.
 HEAD = 200_000
 HEAD_WORD_BYTES = 64
@@ -44,7 +46,10 @@ HELD_TOKENS = 3 << 20
 #: Weight vectors that are averaged in one group.
 AVERAGED = 16
 
+_MARKS = b".,!?;:'\")|*#$%&"
 _ENDINGS = {b: k for k, letters in enumerate((b"e", b"s", b"n", b"ao", b"rl", b"td", b"iuy")) for b in letters}
+#: Kind of the last byte: full stop and the like, other punctuation, anything else.
+_KIND = [1 if b in b".!?;:" else 0 if b >= 128 or chr(b).isalnum() else 2 for b in range(256)]
 #: 8 endings of ASCII words and 7 groups of other words, by 3 kinds of punctuation.
 SHAPES = 45
 
@@ -55,13 +60,20 @@ def words_of(raw: bytes) -> list[bytes]:
 
 def shape(word: bytes) -> int:
     """The outside class of a word, by its letters and its last character."""
-    last = word[-1:]
-    kind = 1 if last in b".!?;:" and last else 2 if not last.isalnum() and last < b"\x80" else 0
+    if not word:
+        return 2 * 15 + 7
+    last = word[-1]
+    kind = 15 * _KIND[last]
     if word.isascii():
-        bare = word.rstrip(b".,!?;:'\")|*#$%&")
-        return kind * 15 + (_ENDINGS.get(bare[-1], 7) if bare else 7)
-    other = next(i for i, b in enumerate(word) if b >= 128)
-    return kind * 15 + 8 + sum(word[other : other + 2]) % 7
+        if kind:
+            bare = word.rstrip(_MARKS)
+            last = bare[-1] if bare else 0
+        return kind + _ENDINGS.get(last, 7)
+    other = len(word) - len(word.lstrip(_ASCII))
+    return kind + 8 + sum(word[other : other + 2]) % 7
+
+
+_ASCII = bytes(range(128))
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -71,15 +83,12 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
         tally: Counter = Counter()
 
         def rows():
-            kinds = [shape(w) for w in tally]
             words, counts = list(tally), list(tally.values())
             tally.clear()
             for at in range(0, len(words), 100_000):
                 s = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(words[s], pa.binary()), pa.array(kinds[s], pa.int32()), pa.array(counts[s], pa.int64())],
-                    names=["word", "shape", "n"],
-                )
+                made = [pa.array(words[s], pa.binary()), pa.array(counts[s], pa.int64())]
+                yield pa.RecordBatch.from_arrays(made, names=["word", "n"])
 
         for batch in batches:
             for value in batch.column(0).cast(pa.binary()):
@@ -89,8 +98,13 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
                     yield from rows()
         yield from rows()
 
-    parts = docs.select(text).mapInArrow(run, "word binary, shape int, n long")
-    return parts.groupBy("word", "shape").agg(F.sum("n").alias("n"))
+    def shaped(batches):
+        for batch in batches:
+            kinds = pa.array([shape(w) for w in batch.column(0).to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), kinds, batch.column(1)], names=["word", "shape", "n"])
+
+    parts = docs.select(text).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return parts.mapInArrow(shaped, "word binary, shape int, n long")
 
 
 class Vocabulary:
@@ -110,17 +124,18 @@ class Vocabulary:
         np.subtract.at(self.shape_tokens, shapes[inside], self.counts[inside])
         np.subtract.at(self.shape_words, shapes[inside], 1)
         self.shape_scale = -np.log10(self.shape_tokens + 0.1 * (self.shape_words + 1))
+        self._shape_scale = self.shape_scale.tolist()
         self.base_scale = -np.log10(self.total + 0.1 * (self.distinct + 1))
         self.count_term = np.log10(self.counts + 0.1)
         # the log10 probability of a head word inside its outside class; nothing for the vocabulary
         self.inside_term = np.where(inside, 0.0, self.count_term + self.shape_scale[shapes])
 
     def model(self) -> Gru:
-        return Gru(self.size, SHAPES).start(self.counts[: self.size], self.shape_tokens)
+        return Gru(self.size, SHAPES, STATE).start(self.counts[: self.size], self.shape_tokens)
 
     def encode(self, raw: bytes) -> tuple:
         """n_tokens, n_known, base, inside, ids and rare: the parts of a text's scores that need no model, its model
-        ids as 16-bit integers, and the words that are not in the head, with how often they occur."""
+        ids as 16-bit integers, and the words that are not in the head, repeats included."""
         words = words_of(raw)
         words.append(END)
         at = np.fromiter(map(self.index.get, words, repeat(-1)), dtype=np.int64, count=len(words))
@@ -129,15 +144,14 @@ class Vocabulary:
         inside = float(self.inside_term[known].sum()) if len(known) else 0.0
         ids = np.empty(len(words), dtype="<u2")
         ids[at >= 0] = self.ids[known] if len(known) else 0
-        rare: Counter = Counter()
-        missing = np.flatnonzero(at < 0)
-        for i in missing.tolist():
+        rare = []
+        for i in np.flatnonzero(at < 0).tolist():
             word = words[i]
             kind = shape(word)
             ids[i] = self.size + kind
-            inside += self.shape_scale[kind]
-            rare[word] += 1
-        return len(words), len(known), float(base), inside, ids.tobytes(), list(rare.items())
+            inside += self._shape_scale[kind]
+            rare.append(word)
+        return len(words), len(known), float(base), float(inside), ids.tobytes(), rare
 
 
 _HELD: dict[str, object] = {}
@@ -188,7 +202,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, key: str, text: st
 
         return one
 
-    fields = "row long, n_tokens long, n_head long, base double, inside double, ids binary, rare array<struct<word:binary,n:long>>"
+    fields = "row long, n_tokens long, n_head long, base double, inside double, ids binary, rare array<binary>"
     return stored(per_text(docs, factory, fields, (key, "held_out"), text), "encoded")
 
 
@@ -286,11 +300,10 @@ def model_scores(encoded: DataFrame, model: Gru, end: int) -> DataFrame:
 
 def rare_terms(encoded: DataFrame, counts: DataFrame) -> DataFrame:
     """row, rare_term (sum of log10(count + 0.1)) and rare_known of the words outside the head."""
-    rare = encoded.select("row", F.inline("rare"))
-    joined = spread_join(rare.withColumnRenamed("n", "times"), counts.select("word", "n"), ["word"], "left", spread_by=["row"])
-    term = F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)
-    known = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)
-    return joined.groupBy("row").agg(F.sum(term).alias("rare_term"), F.sum(known).alias("rare_known"))
+    rare = encoded.select("row", F.explode("rare").alias("word"))
+    joined = spread_join(rare, counts.select("word", "n"), ["word"], "left", spread_by=["row"])
+    term = F.log10(F.coalesce("n", F.lit(0)) + 0.1)
+    return joined.groupBy("row").agg(F.sum(term).alias("rare_term"), F.count("n").alias("rare_known"))
 
 
 def score_documents(

@@ -25,8 +25,9 @@ KINDS = ("assign", "access", "hex", "novel")
 AROUND = 256
 #: Characters before a candidate in which a sensitive word must stand.
 SENSITIVE_REACH = 48
-#: Marginal compressed bits per bit of the candidate's alphabet from which it counts as incompressible.
-NOVELTY = 0.72
+#: Marginal compressed bits per bit of the alphabet from which a candidate counts as incompressible: random strings of
+#: 16 or more characters give at least 1.18, names and paths mostly below 1.
+NOVELTY = 1.15
 MIN_LENGTH = 16
 
 #: The base patterns. `+` stands where failing matches must still use up their text.
@@ -47,6 +48,8 @@ _SENSITIVE_WORDS = (
     b"passw", b"passphrase", b"secret", b"token", b"key", b"credential", b"auth", b"bearer", b"signature", b"session",
     b"salt", b"signing", b"webhook", b"connection",
 )
+#: No plain word: a digit, or small and capital letters in turns.
+_MIXED = re.compile(r"[0-9]|[a-z][A-Z]+[^A-Z]+[A-Z]")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{%d,}" % MIN_LENGTH)
 
 #: Identifiers and code that the dictionary is primed with.
@@ -107,7 +110,7 @@ def novel_spans(text: str, lowered: bytes, marginal: Callable[[str, str], int])
         name, cut, value = found.rpartition("=") if not found.endswith("=") else ("", "", found)
         if cut and len(value) >= MIN_LENGTH:
             start, found = end - len(value), value
-        if not any(c.isdigit() for c in found) or not SENSITIVE.search(text, line, start):
+        if not (_MIXED.search(found) and SENSITIVE.search(text, line, start)):
             continue
         context = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
         if 8 * marginal(context, found) >= NOVELTY * len(found) * _alphabet_bits(found):

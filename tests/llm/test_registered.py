@@ -1,0 +1,154 @@
+"""The registered queries over whole tables, and the pipeline, against SQL or brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from helpers_llm import SCHEMA
+from pyspark.sql import functions as F
+from test_search import plain_components, plain_hits
+from test_text import plain_spans
+from tokenizers import Tokenizer
+
+import __spark_entry__ as registry
+import corpus_pipeline
+from checks.compare import compare
+from tagloom.llm import oracle, queries, quality, secrets
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in ("documents", "embeddings", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{FOLDER}/{name}.parquet')")
+    yield con
+    con.close()
+
+
+@pytest.fixture(scope="module")
+def documents(duck):
+    return duck.execute("SELECT doc_id, coalesce(text, '') FROM documents ORDER BY doc_id").fetchall()
+
+
+def test_ten_operators_and_the_pipeline_are_registered():
+    names = registry.queries()
+    assert set(queries.QUERIES) | {"pipeline"} <= set(names)
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", oracle.SQL)
+def test_equals_sql(spark, duck, name):
+    assert compare(queries.QUERIES[name](spark, FOLDER), duck, name) == ""
+
+
+def test_token_files(spark, documents):
+    import zlib
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want, at = [], 0
+    for d, t in documents:
+        ids = [*library.encode(t, add_special_tokens=False).ids, 0]
+        want.append((d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    got = queries.op2_token_files(spark, FOLDER)
+    assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_secret_scans(spark, documents):
+    got = {r.doc_id: r for r in queries.op3_secret_scans(spark, FOLDER).collect()}
+    assert len(got) == len(documents)
+    for d, t in documents:
+        spans = plain_spans(t)
+        text = ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
+        assert got[d].base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert [got[d][f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(s[2] == k for s in spans) for k in ("assign", "access", "hex")]
+        assert [s for s in got[d].spans.split(",") if s and not s.startswith("novel")] == [s for s in text.split(",") if s]
+
+
+def test_word_bpe(spark, documents):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = []
+    for d, t in documents:
+        ids = library.encode(t, add_special_tokens=False).ids
+        texts = np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False).encode()
+        want.append((d, len(ids), *[hashlib.sha256(x).hexdigest() for x in texts]))
+    assert sorted(map(tuple, queries.op5_word_bpe(spark, FOLDER).collect())) == want
+
+
+def test_simhash(spark, documents):
+    got = sorted(map(tuple, queries.op7_simhash(spark, FOLDER).collect()))
+    assert got == [(d, f"{fp:016x}", c) for d, fp, c in sorted(plain_components(documents))]
+
+
+def test_token_counts_cover_all_documents(spark, documents):
+    rows = queries.op4_token_counts(spark, FOLDER).collect()
+    assert sum(r.docs for r in rows) == len(documents)
+    assert sum(r.tokens for r in rows) == rows[0].total_tokens
+
+
+def test_language_model_beats_the_base_on_held_out_texts(spark):
+    rows = queries.op9_language_model(spark, FOLDER).where("held_out").collect()
+    assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def plain_pipeline(spark, docs, sf_dir):
+    """The rows after each stage, the classifier's decisions taken as they are."""
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), queries.fold("doc_id", 4) != 2)
+    good = {r.doc_id for r in quality.score(docs, model).where(F.col("score") >= 0.7).collect()}
+    rows = [(d, t) for d, t in rows if d in good]
+    yield rows
+    first = {c for _, _, c in plain_components(rows)}
+    rows = [(d, t) for d, t in rows if d in first]
+    yield rows
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    rows = [(d, t) for d, t in rows if plain_hits(t, items)[1] == 0]
+    yield rows
+    marginal = secrets.compressor()
+    spans = {d: secrets.scan_text((t or "").encode(), marginal) for d, t in rows}
+    for d, t in rows:
+        assert [s for s in spans[d] if s[2] != "novel"] == plain_spans(t or "")
+    rows = [(d, secrets.masked(t.encode(), spans[d]) if t else t) for d, t in rows]
+    yield rows
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    yield [(d, library.encode(t or "", add_special_tokens=False).ids) for d, t in rows]
+
+
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for k, want in enumerate(plain_pipeline(spark, docs, FOLDER)):
+        name, stage = corpus_pipeline.STAGES[k]
+        stage(spark, docs, FOLDER).write.parquet(f"{tmp_path}/{k}")
+        out = spark.read.parquet(f"{tmp_path}/{k}")
+        if k < 4:
+            assert out.columns == docs.columns, name
+            assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted(want), name
+            assert out.where(F.col("n_chars") != F.length("text")).count() == 0, name
+            docs = out
+        else:
+            got = sorted((r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), r.n_tokens) for r in out.collect())
+            assert got == sorted((d, ids, len(ids)) for d, ids in want), name
+
+
+def test_pipeline_runs_whole(spark):
+    out = corpus_pipeline.run(spark, FOLDER)
+    assert out.columns == ["doc_id", "n_tokens", "ids"]
+    assert 0 < out.count() < 200
+
+
+@pytest.mark.parametrize("kind", ["awkward", "empty"])
+def test_every_stage_takes_awkward_rows(spark, odd_docs, no_docs, kind):
+    docs = odd_docs if kind == "awkward" else no_docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns and len(SCHEMA.split(",")) == len(out.columns), name
+        assert out.count() <= docs.count()
+    assert corpus_pipeline.bpe_encoding(spark, docs, FOLDER).count() == docs.count()

@@ -1,0 +1,340 @@
+"""Secrets, licences, language model and quality classifier."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+import string
+from collections import Counter
+
+import numpy as np
+import pytest
+from helpers_llm import awkward, key
+from pyspark.sql import functions as F
+
+from tagloom.llm import language_model, licenses, quality, secrets
+from tagloom.llm.gru import Gru
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+# --- secrets ----------------------------------------------------------------------
+
+#: The base patterns as given: unbounded runs, failing matches dropped afterwards.
+PLAIN = (
+    ("assign", re.compile(r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd])|(?:[Pp][Aa][Ss][Ss][Ww][Dd])|(?:[Ss][Ee][Cc][Rr][Ee][Tt])|(?:[Tt][Oo][Kk][Ee][Nn])|(?:[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 8),
+    ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 16),
+    ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 32),
+)
+
+
+def plain_spans(text):
+    found = [(m.start(), k, name, m.end()) for k, (name, p, good) in enumerate(PLAIN) for m in p.finditer(text) if good(m)]
+    return [(a, b, name) for a, _, name, b in sorted(found)]
+
+
+def random_texts(n=400):
+    rng = random.Random(1)
+    parts = ["password", "PassWd", "secret", "ſecret", "toKen", "toKen", "api_key", "apikey", "=", ":", " ", "  ", "'", '"', "\n", "AKIA", "AKIA" + "A1" * 6, "a1b2c3d4", "0f" * 16, "é", "abcdefgh", "x", "-_./+="]
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(n)]
+
+
+def test_base_spans_are_those_of_the_plain_patterns():
+    for text in [*random_texts(), *[t or "" for _, t in awkward()]]:
+        raw = text.encode()
+        got = sorted(secrets.base_spans(text, raw.lower()), key=lambda s: (s[0], secrets.KINDS.index(s[2])))
+        assert got == plain_spans(text), text
+
+
+def test_scan_of_awkward_documents(odd_docs, no_docs):
+    got = secrets.scan_secrets(odd_docs).collect()
+    base = [(r.doc_id, [(s.start, s.stop, s.kind) for s in r.spans if s.kind != "novel"]) for r in got]
+    assert sorted(base, key=key) == sorted([(d, plain_spans(t or "")) for d, t in awkward()], key=key)
+    assert any(s.kind == "novel" for r in got for s in r.spans if r.doc_id == 10)
+    assert secrets.scan_secrets(no_docs).collect() == []
+
+
+def random_secret(rng, n=24):
+    return "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+
+
+def test_novel_strings_are_found_and_ordinary_ones_left_alone():
+    rng, marginal = random.Random(2), secrets.compressor()
+    ordinary = [
+        "auth_provider: com.example.application.default1",
+        "the secret is in /usr/local/bin/configuration2/secret",
+        "token " + "abcdefghijklmnop1" * 2,
+        "session production development environment v1.2.3 release",
+        "key = abcdefghijklmnopqrstuvwxyz0123456789",
+        "credential 1111111111111111111111111111",
+    ]
+    for line in ordinary:
+        assert secrets.novel_spans(line, line.encode().lower(), marginal) == [], line
+    found = 0
+    for _ in range(50):
+        value = random_secret(rng)
+        line = f"some words before\nclient credentials -> {value} and more"
+        start = line.index(value)
+        found += secrets.novel_spans(line, line.encode().lower(), marginal) == [(start, start + len(value), "novel")]
+        again = f"{value} is known here\nauth {value} credential"
+        spans = secrets.novel_spans(again, again.encode().lower(), marginal)
+        assert spans == []  # the surrounding text has the same string
+    assert found >= 48
+    no_context = f"nothing of note {random_secret(rng)}"
+    assert secrets.novel_spans(no_context, no_context.encode().lower(), marginal) == []
+
+
+def test_masking_leaves_everything_else(odd_docs):
+    masked = secrets.mask_secrets(odd_docs)
+    assert masked.columns == odd_docs.columns
+    before = Counter((r.doc_id, r.text) for r in odd_docs.collect())
+    after = masked.collect()
+    clean = {d for d, t in awkward() if not secrets.scan_text((t or "").encode(), secrets.compressor())}
+    assert all((r.doc_id, r.text) in before for r in after if r.doc_id in clean)
+    (nine,) = [r for r in after if r.doc_id == 9]
+    assert nine.text == '[SECRET]" [SECRET] token: short secret: token: abcdefgh1' and nine.n_chars == len(nine.text)
+    assert [r.text for r in after if r.doc_id == 4] == [None]
+
+
+# --- licences -----------------------------------------------------------------------
+
+
+def plain_license(pairs, templates, threshold):
+    """The best line's licence of each text, by weighing every line against every template."""
+    terms = lambda t: re.findall("[a-z0-9]+", t.lower())
+    bags = [(name, Counter(terms(text))) for name, text in templates]
+    known = {t for _, b in bags for t in b}
+    df = Counter(t for _, text in pairs for t in set(terms(text or "")) & known)
+    idf = lambda t: math.log((1 + len(pairs)) / (1 + (df[t] if t in known else 0))) + 1
+    norm = lambda b: math.sqrt(sum((n * idf(t)) ** 2 for t, n in b.items()))
+    out = []
+    for _, text in pairs:
+        best = []
+        for line in (text or "").split("\n"):
+            bag = Counter(terms(line))
+            for name, template in bags:
+                dot = sum(bag[t] * idf(t) * n * idf(t) for t, n in template.items())
+                if dot and dot / norm(bag) / norm(template) >= threshold:
+                    best.append((-round(dot / norm(bag) / norm(template), 9), name))
+        out.append(min(best)[1] if best else None)
+    return out
+
+
+def test_license_of_every_line_as_by_brute_force(make):
+    rng = random.Random(6)
+    lines = [t for _, t in licenses.TEMPLATES] + ["Just some words about a license here", "version 3 of the work", "all rights", "permission is not granted"]
+    pairs = list(awkward())
+    for i in range(100, 160):
+        line = rng.choice(lines).split(" ")
+        rng.shuffle(line) if rng.random() < 0.2 else None
+        kept = [w for w in line if rng.random() < 0.85]
+        pairs.append((i, "first line\n" + " ".join(kept).upper() + "\nlast line of text"))
+    docs = make(pairs).withColumn("path", F.concat(F.lit("d/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("n"))))
+    got = licenses.scan_licenses(docs).collect()
+    want = plain_license(pairs, licenses.TEMPLATES, licenses.THRESHOLD)
+    assert sorted([(r.doc_id, r.license) for r in got], key=key) == sorted([(d, w) for (d, _), w in zip(pairs, want)], key=key)
+    assert sum(w is not None for w in want) > 30
+
+
+def test_nearest_directory_wins(spark):
+    mit, gpl, text = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3.", "plain words"
+    rows = [
+        (1, "LICENSE", mit), (2, "a.txt", text), (3, "x/y/b.txt", text), (4, "x/COPYING", gpl), (5, "x/y/z/c.txt", text),
+        (6, "xy/d.txt", text), (7, "x/y/e.txt", mit), (8, None, text), (9, "x/LICENSE.md", mit), (10, "/x/abs.txt", text),
+        (11, "x/y/LICENSE", text), (2, "a.txt", text), (None, "x/f.txt", None), (12, "x/licenses.txt", text),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {(r.doc_id, r.path): (r.license, r.origin, r.levels) for r in licenses.scan_licenses(df).collect()}
+    assert got[1, "LICENSE"] == ("MIT", "header", None)
+    assert got[2, "a.txt"] == ("MIT", "inherited", 0)
+    assert got[3, "x/y/b.txt"] == ("GPL-3.0", "inherited", 1)  # of two files in x the name that sorts first
+    assert got[5, "x/y/z/c.txt"] == ("GPL-3.0", "inherited", 2)
+    assert got[6, "xy/d.txt"] == ("MIT", "inherited", 1)
+    assert got[7, "x/y/e.txt"] == ("MIT", "header", None)
+    assert got[8, None] == (None, None, None)
+    assert got[None, "x/f.txt"] == ("GPL-3.0", "inherited", 0)
+    assert got[11, "x/y/LICENSE"] == ("GPL-3.0", "inherited", 1)
+    assert len(licenses.scan_licenses(df).collect()) == len(rows)
+    assert licenses.scan_licenses(df.limit(0)).collect() == []
+
+
+def test_license_scan_has_no_python(spark, sf_dir):
+    from helpers import plan
+
+    from tagloom.llm.queries import op6_license_scans
+
+    text = plan(op6_license_scans(spark, sf_dir))
+    assert "Python" not in text and "Arrow" not in text
+
+
+# --- language model -------------------------------------------------------------------
+
+
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(0)
+    model = Gru(100, 5, size=6).start(rng.integers(1, 50, 100), rng.integers(1, 50, 5))
+    model.vector = model.vector.astype(np.float64)
+    model.p = model._views(model.vector)
+    for name in ("word", "class"):
+        model.p[name][:] = rng.normal(0, 0.3, model.p[name].shape)
+    inputs, targets = rng.integers(0, 105, (2, 5, 4))
+    weight, h = rng.random((5, 4)), rng.normal(0, 1, (4, 6))
+    _, grad, _ = model.window_gradient(inputs, targets, weight, h)
+    for i in rng.choice(len(grad), 80, replace=False):
+        at, sides = model.vector[i], []
+        for step in (1e-5, -1e-5):
+            model.vector[i] = at + step
+            sides.append(model.window_gradient(inputs, targets, weight, h)[0])
+        model.vector[i] = at
+        assert grad[i] == pytest.approx((sides[0] - sides[1]) / 2e-5, rel=1e-4, abs=1e-6)
+
+
+def test_scores_do_not_depend_on_lanes_or_windows():
+    rng = np.random.default_rng(1)
+    model = Gru(130, 7, size=8).start(rng.integers(1, 50, 130), rng.integers(1, 50, 7))
+    model.p["word"][:] = rng.normal(0, 0.5, model.p["word"].shape)
+    docs = [rng.integers(0, 137, n) for n in (0, 1, 2, 40, 300, 7, 7, 1)]
+    alone = [model.score([d], 3)[0] for d in docs]
+    for lanes, window in ((3, 5), (8, 16), (1, 1), (500, 400)):
+        assert model.score(docs, 3, lanes, window) == pytest.approx(alone, rel=1e-4)
+    assert model.score([], 3).tolist() == []
+
+
+def test_probabilities_of_all_tokens_add_to_one():
+    """Vocabulary, and every outside class with its counted words and the unseen one."""
+    texts = [b"a b c a the.", b"b d e zebra \xc3\xa9t\xc3\xa9"]
+    tally = Counter(w for t in texts for w in [*language_model.words_of(t), b""])
+    shapes: dict = {}
+    for w, n in tally.items():
+        a, b = shapes.get(language_model.shape(w), (0, 0))
+        shapes[language_model.shape(w)] = (a + n, b + 1)
+    head = [(w, language_model.shape(w), n) for w, n in sorted(tally.items(), key=lambda x: (-x[1], x[0]))[:5]]
+    known = language_model.Vocabulary(head, 2, sum(tally.values()), len(tally), shapes)
+    model = known.model()
+    ids = np.arange(known.size + language_model.SHAPES)
+    state = np.random.default_rng(0).normal(0, 1, (1, language_model.STATE)).astype(np.float32)
+    p = np.exp(model.log_probabilities(np.repeat(state, len(ids), 0), ids))
+    assert p.sum() == pytest.approx(1, abs=1e-5)
+    for s, (n, words) in shapes.items():
+        inside = [w for w in tally if language_model.shape(w) == s and w not in {h[0] for h in head[:2]}]
+        mass = sum((tally[w] + 0.1) * 10 ** known.shape_scale[s] for w in inside) + 0.1 * 10 ** known.shape_scale[s]
+        assert mass == pytest.approx(1)
+
+
+def plain_base(pairs, held_out):
+    tokens = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)), None]
+    tally = Counter(w for d, t in pairs if not held_out(d) for w in tokens(t))
+    n, v = sum(tally.values()), len(tally)
+    out = []
+    for d, t in pairs:
+        words = tokens(t)
+        score = sum(math.log10((tally[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words)
+        out.append((d, len(words), sum(tally[w] > 0 for w in words), n, score))
+    return out
+
+
+@pytest.mark.parametrize("head", [language_model.HEAD, 20])
+def test_base_scores_as_by_brute_force(odd_docs, head):
+    """With nearly all words in the head, and with most of them joined."""
+    held_out = F.coalesce(F.col("doc_id") % 3 == 0, F.lit(True))
+    got = language_model.score_documents(odd_docs, held_out, vocabulary=16, head=head).collect()
+    want = plain_base(awkward(), lambda d: d is None or math.fmod(d, 3) == 0)
+    got, want = sorted(got, key=lambda r: (key(r[:1]), r.base_score)), sorted(want, key=lambda r: (key(r[:1]), r[4]))
+    for r, (d, n, known, total, base) in zip(got, want, strict=True):
+        assert (r.doc_id, r.n_tokens, r.n_known, r.train_tokens) == (d, n, known, total)
+        assert r.base_score == pytest.approx(base, rel=1e-9)
+        assert r.score < 0
+    assert any(r.held_out for r in got) and not all(r.held_out for r in got)
+
+
+def test_nothing_to_learn_from(odd_docs, no_docs):
+    assert language_model.score_documents(no_docs, F.lit(False)).collect() == []
+    got = language_model.score_documents(odd_docs, F.lit(True)).collect()
+    assert {(r.n_known, r.train_tokens) for r in got} == {(0, 0)}
+    assert all(math.isfinite(r.score) for r in got)
+
+
+def test_order_is_learnt(make):
+    """On held-out texts whose words follow a rule, the model is far better than the unigram base."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(40)]
+    texts = []
+    for i in range(1500):
+        at, out = rng.randrange(40), []
+        for _ in range(60):
+            out.append(words[at])
+            at = (at * 7 + rng.choice((1, 2))) % 40
+        texts.append((i, " ".join(out)))
+    docs = make(texts).repartition(1)
+    got = language_model.score_documents(docs, F.col("doc_id") % 10 == 0, rounds=3).where("held_out")
+    row = got.agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert row.s > 0.75 * row.b  # log10 likelihoods, so less negative
+
+
+# --- quality --------------------------------------------------------------------------
+
+
+def test_statistics_of_awkward_texts(odd_docs):
+    rows = quality.text_statistics(odd_docs).collect()
+    assert len(rows) == len(awkward())
+    assert all(math.isfinite(v) for r in rows for v in r[1:])
+    assert all(v == 0 for r in rows if r.doc_id in (4, 5) for v in r[1:])
+
+
+def test_ensemble_finds_a_planted_rule():
+    rng = np.random.default_rng(2)
+    x = rng.random((4000, len(quality.STATISTICS)))
+    y = ((x[:, 3] > 0.5) & (x[:, 7] <= 0.4) | (x[:, 9] > 0.9)).astype(float)
+    model = quality.fit(x[:3000], y[:3000])
+    p = model.probabilities(x[3000:])
+    assert ((p >= 0.5) == y[3000:]).mean() > 0.97
+    assert 0 < len(model.rules) < 120
+    assert {k for r in model.rules for k, _, _ in r.terms} >= {3, 7, 9}
+
+
+def test_column_expression_is_the_ensemble(odd_docs):
+    rng = np.random.default_rng(3)
+    x = rng.random((500, len(quality.STATISTICS))) * 5
+    model = quality.fit(x, (x[:, 0] + x[:, 4] > 4).astype(float))
+    rows = quality.text_statistics(odd_docs).withColumn("p", model.score()).collect()
+    values = np.array([r[1:-1] for r in rows])
+    assert [r.p for r in rows] == pytest.approx(model.probabilities(values).tolist())
+
+
+def test_lasso_keeps_what_matters():
+    rng = np.random.default_rng(5)
+    a = (rng.random((2000, 30)) > 0.5).astype(float)
+    z = 3 * a[:, 4] - 3 * a[:, 11]
+    y = (rng.random(2000) < 1 / (1 + np.exp(-z))).astype(float)
+    _, w = quality.lasso_logistic(a, y, 0.02)
+    assert set(np.flatnonzero(np.abs(w) > 1e-6)) == {4, 11} and w[4] > 0 > w[11]
+
+
+@pytest.mark.parametrize("labels,score", [([], 0.5), ([(1, 1), (2, 1)], 0.999), ([(1, 0), (1, 1), (None, 1), (3, None)], 0.5)])
+def test_labels_that_teach_nothing(spark, odd_docs, no_docs, labels, score):
+    known = spark.createDataFrame([(*r, 9) for r in labels], "doc_id long, quality int, text int")
+    model = quality.train(odd_docs, known, F.lit(True))
+    assert {round(r.score, 6) for r in quality.score(odd_docs, model).collect()} == {score}
+    assert quality.score(no_docs, model).collect() == []
+
+
+def test_held_out_labels(spark):
+    """Rows of the held-out fold are classified right though their labels are never learnt from."""
+    from tagloom.llm.queries import op10_quality
+
+    folder = "/root/testdata/sf0.01"
+    rows = op10_quality(spark, folder).where("held_out").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
+    assert len(rows) > 50
+    assert sum(r.predicted == r.quality for r in rows) / len(rows) > 0.97
+
+
+def test_held_out_labels_are_not_read(spark):
+    from tagloom.llm.queries import fold
+
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    changed = labels.withColumn("quality", F.when(fold("doc_id", 4) == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
+    usable = fold("doc_id", 4) != 2
+    assert quality.train(docs, labels, usable) == quality.train(docs, changed, usable)
+
+
