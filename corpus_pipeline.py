@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import decontamination, quality, secrets, simhash, word_bpe
-from tagloom.llm.common import packed, stored, table, unpacked
+from tagloom.llm.common import PACKED, packed, stored, table, unpacked
 from tagloom.llm.queries import fold
 
 #: No SQL can express the classifier's fit; the stages are tested against brute force.
@@ -16,7 +16,7 @@ ORACLE_SQL = None
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts. Labels of one fold in four are never learnt from."""
     model = quality.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
-    scored = quality.score(packed(docs), model, ("_doc",), "_text")
+    scored = quality.score(packed(docs), model, PACKED, "_text")
     return unpacked(scored.where(F.col("score") >= quality.THRESHOLD), docs)
 
 
@@ -27,7 +27,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word inside an occurrence of a benchmark window."""
-    found = decontamination.decontaminate(packed(docs), table(spark, sf_dir, "benchmark"), keep=("_doc",), text="_text")
+    found = decontamination.decontaminate(packed(docs), table(spark, sf_dir, "benchmark"), keep=PACKED, text="_text")
     return unpacked(found.where(F.col("n_hit") == 0), docs)
 
 

@@ -120,7 +120,8 @@ def decontaminate(
     known = stored(benchmark_windows(benchmark, window, item), "windows")
     chars = known.agg(F.sum(F.length("window"))).first()[0] or 0
     shards = -(-chars // shard_chars) or 1
-    rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
+    source = text if text in keep else "_scanned"
+    rows = docs.select(*keep, *([] if text in keep else [F.col(text).alias(source)]))
     for shard in range(shards):
         part = known.where(F.pmod(F.xxhash64("window"), F.lit(shards)) == shard)
         sent = spark.sparkContext.broadcast([(bytes(r.window), list(r["items"])) for r in part.collect()])
@@ -138,7 +139,8 @@ def decontaminate(
 
         before = _FOUND if shard else []
         last = shard == shards - 1
-        rows = per_text(rows, factory, _FIELDS, keep if last else (*keep, "_text"), "_text", before)
+        held = keep if last or text in keep else (*keep, source)
+        rows = per_text(rows, factory, _FIELDS, held, source, before)
         rows = rows if last else stored(rows, "scanned")
     hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda n, r: n + r.stop - r.first)
     return rows.select(*keep, "n_words", hit.alias("n_hit"), "items", "spans")

@@ -16,7 +16,6 @@ import os
 import re
 import struct
 import uuid
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tagloom.llm.common import new_folder, stored
+from tagloom.llm.common import Generations, new_folder, stored
 
 MAGIC = b"EFIDS001"
 #: Ids after which a task starts another file: files, and what a reader holds, stay bounded however large the input.
@@ -148,48 +147,67 @@ class IdFile:
 
 # --- encoding -------------------------------------------------------------------
 
-#: Chunks whose ids a worker remembers.
-REMEMBERED = 250_000
-#: Texts handed to the library at once, by characters.
-_BATCH_CHARS = 1 << 18
 #: A space with white space on both sides, or before the end: no place to cut by spaces alone.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 
 
 class ChunkEncoder:
-    """The library's ids of whole texts, put together from its ids of chunks that start at a space.
+    """The library's ids of whole texts, put together from those of chunks that start at a space.
 
     The byte-level split pattern never joins a space to what precedes it, so a text cut before its spaces has the
-    tokens of its chunks, but for runs of white space; texts with those go to the library whole.
+    tokens of its chunks, but for runs of white space; texts with those go to the library whole, as do chunks with
+    special tokens. The new chunks of a text are encoded together: as every token stands for so many bytes, the
+    chunks' ids are found in the result by length.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self._kind = "H" if self.width == 2 else "I"
-        self._known: dict[str, bytes] = {}
-
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        made = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(self._kind, e.ids).tobytes() for e in made]
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.width = 2 if max(vocab.values(), default=0) < 1 << 16 else 4
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self._special = re.compile("|".join(map(re.escape, special)) or "(?!)")
+        self._sizes = np.zeros(max(vocab.values(), default=0) + 1, dtype=np.int64)
+        for token, i in vocab.items():
+            self._sizes[i] = len(token)  # a character stands for a byte
+        self._known: Generations = Generations()
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=f"<u{self.width}")
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Remember the ids of chunks, each with the space before it."""
+        known, old = self._known.young, self._known.old
+        joint = []
+        for chunk in chunks:
+            if chunk in old:
+                known[chunk] = old[chunk]
+            elif not chunk or chunk[0].isspace() or chunk[-1].isspace():
+                known[chunk] = self._ids(" " + chunk).tobytes()
+            else:
+                joint.append(chunk)
+        text = " " + " ".join(joint)
+        if not joint:
+            return
+        if self._special.search(text):
+            known.update((chunk, self._ids(" " + chunk).tobytes()) for chunk in joint)
+            return
+        ids = self._ids(text)
+        sizes = map(len, joint) if text.isascii() else (len(chunk.encode()) for chunk in joint)
+        ends = np.cumsum(np.fromiter(sizes, dtype=np.int64, count=len(joint)) + 1)
+        cuts = (self.width * (np.searchsorted(np.cumsum(self._sizes[ids]), ends) + 1)).tolist()
+        packed, start = ids.tobytes(), 0
+        for chunk, end in zip(joint, cuts):
+            known[chunk] = packed[start:end]
+            start = end
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
         if _UNSAFE.search(text):
-            return self._ask([text])[0]
+            return self._ids(text).tobytes()
         first, *rest = text.split(" ")
-        known = self._known
-        new = list(set(rest).difference(known))
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set(rest))
-        size = max(1, _BATCH_CHARS * len(new) // (len(text) + 1)) if new else 1
-        for start in range(0, len(new), size):
-            some = new[start : start + size]
-            known.update(zip(some, self._ask([" " + chunk for chunk in some])))
-        return b"".join([self._ask([first])[0], *map(known.__getitem__, rest)])
+        known = self._known.turned()
+        self._learn(set(rest).difference(known))
+        return b"".join([self._ids(first).tobytes() if first else b"", *map(known.__getitem__, rest)])
 
 
 @functools.lru_cache(maxsize=2)
@@ -289,8 +307,9 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    files = starts(manifest).select("path", "base")
-    files = files.repartition("path")
+    # one file is work enough for a task; a given number keeps Spark from merging these few rows
+    spread = max(manifest.sparkSession.sparkContext.defaultParallelism, manifest.count() // 4)
+    files = starts(manifest).select("path", "base").repartition(spread, "path")
     return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import packed, per_text
+from tagloom.llm.common import PACKED, packed, per_text
 
 KINDS = ("assign", "access", "hex", "novel")
 #: Characters on each side that count as surrounding code.
@@ -160,8 +160,8 @@ def mask_secrets(docs: DataFrame, text: str = "text", identifiers: str = IDENTIF
 
         return change
 
-    rows = per_text(packed(docs, text), factory, "_masked string", ("_doc",), "_text")
-    out = {c: F.col("_doc")[c] for c in docs.columns}
+    rows = per_text(packed(docs, text), factory, "_masked string", PACKED, "_text")
+    out = {c: F.col("_text") if c == text else F.col("_doc")[c] for c in docs.columns}
     out[text] = F.coalesce("_masked", out[text])
     if "n_chars" in out:
         kind = docs.schema["n_chars"].dataType

@@ -274,7 +274,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
 
     Rows without key stand behind all others; equal rows count as one.
     """
-    hashed = F.xxhash64(*[F.col("_doc")[c] for c in docs.columns])
+    hashed = F.xxhash64(*[F.col("_text") if c == text else F.col("_doc")[c] for c in docs.columns])
     row = F.struct(F.col("_doc")[key].isNull().alias("last"), F.col("_doc")[key].alias("key"), hashed.alias("hash"))
     keyed = packed(docs, text).withColumn("_row", row)
     found = simhash_components(keyed, "_row", "_text", size, distance)
@@ -286,4 +286,4 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     repeated = stay.where(F.col("count") > 1)
     if not repeated.isEmpty():
         out = out.unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates(["_row"]))
-    return unpacked(out, docs)
+    return unpacked(out, docs, text)

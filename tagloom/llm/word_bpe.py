@@ -24,11 +24,9 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from tagloom.llm.common import per_text
+from tagloom.llm.common import Generations, per_text
 
 LONG = 200
-#: Results that a worker remembers, for chunks between white space and for words.
-REMEMBERED = 200_000
 _NO_RANK = 1 << 60
 
 #: Fixed value: the tokenizer file's split pattern, with its white space spelled out.
@@ -61,7 +59,9 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         self._special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
-        self._words: dict[str, list[int]] = {}
+        if not all("<" in t for t in self.special):
+            raise ValueError("a special token without '<'")
+        self._words = Generations(100_000)
 
     def merge(self, parts: list[int]) -> list[int]:
         """The ids of a word given as symbol ids."""
@@ -103,17 +103,23 @@ class WordBpe:
         return [p for p in parts if p >= 0]
 
     def word(self, word: str) -> list[int]:
-        known = self._words.get(word)
+        """The ids of a word, remembered."""
+        known = self._words.young.get(word)
         if known is None:
-            raw = word.encode()
-            known = self.merge([self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]])
-            if len(self._words) >= REMEMBERED:
-                self._words.clear()
-            self._words[word] = known
+            known = self._words.old.get(word)
+            if known is None:
+                raw = word.encode()
+                inner = self.inner
+                parts = [inner[b] for b in raw]
+                parts[-1] = self.last[raw[-1]]
+                known = self.merge(parts)
+            self._words.turned()[word] = known
         return known
 
     def chunk(self, text: str) -> list[int]:
         """The ids of a text; correct for whole texts, and piece by piece for pieces cut at white space."""
+        if "<" not in text:  # as all special tokens have
+            return self._plain(text)
         ids: list[int] = []
         at = 0
         for m in self._special.finditer(text):
@@ -123,8 +129,12 @@ class WordBpe:
         return ids + self._plain(text[at:])
 
     def _plain(self, text: str) -> list[int]:
-        # each capital sigma alone, whatever follows it
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if not text.isascii():
+            # each capital sigma alone, whatever follows it
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = text.lower()
+        if text.isalpha() and text.isascii():
+            return self.word(text)
         return [i for word in _SPLIT.findall(text) for i in self.word(word)]
 
     def encode(self, text: str) -> list[int]:
@@ -134,20 +144,6 @@ class WordBpe:
         return " ".join(self.tokens[i] for i in ids)
 
 
-class _Chunks(dict):
-    """Chunk (UTF-8) to its ids as little-endian unsigned 32-bit integers and its decoded text."""
-
-    def __init__(self, bpe: WordBpe):
-        self.bpe = bpe
-
-    def __missing__(self, chunk: bytes) -> tuple[bytes, str]:
-        ids = self.bpe.chunk(chunk.decode("utf-8", "replace"))
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[chunk] = made = (_as_bytes(ids), self.bpe.decode(ids))
-        return made
-
-
 def _as_bytes(ids: list[int]) -> bytes:
     packed = array("I", ids)
     if packed.itemsize != 4:
@@ -163,8 +159,9 @@ def tokenizer(path: str) -> WordBpe:
 
 
 @functools.lru_cache(maxsize=2)
-def _chunks(path: str) -> _Chunks:
-    return _Chunks(tokenizer(path))
+def _chunks(path: str) -> Generations:
+    """Chunk (UTF-8) to its ids as little-endian unsigned 32-bit integers and its decoded text."""
+    return Generations()
 
 
 def encode_decode(
@@ -177,10 +174,18 @@ def encode_decode(
     path = path or public_tokenizers.path("word_bpe_49k.json")
 
     def factory():
-        known = _chunks(path).__getitem__
+        bpe, memory = tokenizer(path), _chunks(path)
 
         def both(raw: bytes) -> tuple:
-            found = [known(chunk) for chunk in raw.split()]
+            chunks = raw.split()
+            known = memory.turned()
+            for chunk in set(chunks).difference(known):
+                made = memory.old.get(chunk)
+                if made is None:
+                    ids = bpe.chunk(chunk.decode("utf-8", "replace"))
+                    made = _as_bytes(ids), bpe.decode(ids)
+                known[chunk] = made
+            found = [known[chunk] for chunk in chunks]
             ids = b"".join([f[0] for f in found])
             return ids, len(ids) // 4, " ".join([f[1] for f in found if f[1]])
 
