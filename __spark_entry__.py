@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from checks import oracle
 from tagloom.functions import fields, text
 from tagloom.operators import config, customer, details, dimensions, journeys, requests
-from tagloom.plans.audit import audit_flow, wide_details
+from tagloom.plans.audit import REQUEST_DAY, audit_flow, event_amounts, mapping_flow, request_tags, wide_details
+from tagloom.schemas import REQUEST_COLUMNS
 from tagloom.sources.sample_views import base_table, view
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -53,8 +54,8 @@ class _Inputs:
         return config.active_for_channel(self.event_config, self.channel)
 
     @property
-    def tags(self) -> DataFrame:
-        return config.journey_tags(self.event_config, self.channel)
+    def tag_rows(self) -> DataFrame:
+        return config.journey_tag_rows(self.event_config, self.channel)
 
     @property
     def clean(self) -> DataFrame:
@@ -62,7 +63,7 @@ class _Inputs:
 
     @property
     def stripped(self) -> DataFrame:
-        return details.dedup_details(fields.normalise_tagname(fields.tag_volume(self.clean)))
+        return details.dedup_details(fields.normalise_tagname(fields.tag_volume(self.clean)), greatest="vol")
 
     @property
     def wide(self) -> DataFrame:
@@ -70,7 +71,8 @@ class _Inputs:
 
     @property
     def members(self) -> DataFrame:
-        return requests.enrich_main(self.wide.select("uid", "mmb_num_t"), self.main.select("uid", "mmb_num"))
+        wide, main = self.wide.select(*REQUEST_DAY, "mmb_num_t"), self.main.select(*REQUEST_DAY, "mmb_num")
+        return requests.enrich_main(wide, main, by=REQUEST_DAY).drop("log_dte")
 
     @property
     def latest_link(self) -> DataFrame:
@@ -100,7 +102,8 @@ def rules_normalised(x: _Inputs) -> DataFrame:
 
 @_query
 def journey_tags(x: _Inputs) -> DataFrame:
-    return x.tags.select("evnt_cd", F.array_join("cmpx_jrny_tag_vec", ",").alias("tags"))
+    tags = config.journey_tags(x.event_config, x.channel)
+    return tags.select("evnt_cd", F.array_join("cmpx_jrny_tag_vec", ",").alias("tags"))
 
 
 # --- details -----------------------------------------------------------------
@@ -145,6 +148,19 @@ def tag_volume(x: _Inputs) -> DataFrame:
     return fields.tag_volume(x.clean).select("uid", "seq", "tagname", "tagvalue", "vol")
 
 
+@_query
+def tag_volume_marked(x: _Inputs) -> DataFrame:
+    """Another separator: the number behind an underscore."""
+    rows = x.clean.withColumn("tagname", F.concat(F.lit("vol_"), F.col("seq").cast("string"), F.lit("_x")))
+    return fields.tag_volume(rows, separator="_").select("uid", "seq", "tagvalue", "vol")
+
+
+@_query
+def details_dedup_by_category(x: _Inputs) -> DataFrame:
+    """The category as part of the key: a pair stays once under each category."""
+    return details.dedup_details(x.clean, (*details.DEDUP_KEY, "acn_cat_nme"), order_by=["seq"])
+
+
 @_query
 def details_dedup(x: _Inputs) -> DataFrame:
     return details.dedup_details(x.clean, order_by=["seq", "acn_cat_nme"])
@@ -168,8 +184,11 @@ def tags_transposed(x: _Inputs) -> DataFrame:
 
 @_query
 def tags_transposed_by_join(x: _Inputs) -> DataFrame:
-    """The way taken for long rule tables."""
-    return details.transpose_by_rules(x.stripped, x.active_rules, max_aggregate_rules=0)
+    """The two tests of each rule the other way round."""
+    first, second = ("filter_col1", "filter_condn1"), ("filter_col2", "filter_condn2")
+    swap = dict(zip((*first, *second), (*second, *first)))
+    swapped = x.active_rules.select(*[F.col(c).alias(swap.get(c, c)) for c in x.active_rules.columns])
+    return details.transpose_by_rules(x.stripped, swapped)
 
 
 @_query
@@ -180,25 +199,24 @@ def details_grouped(x: _Inputs) -> DataFrame:
 @_query
 def details_grouped_by_request(x: _Inputs) -> DataFrame:
     """The greatest volume of each combination of the request columns."""
-    request = ["uid", "mmb_num", "ses_idr", "log_tme", "acn_nme", "log_millisec", "acn_cat_nme", "msg_typ", "log_dte"]
-    return details.group_details(x.stripped.select(*request, "vol"), by=request)
+    return details.group_details(x.stripped.select(*REQUEST_COLUMNS, "vol"), by=REQUEST_COLUMNS)
 
 
 @_query
 def tag_names(x: _Inputs) -> DataFrame:
-    """Only the names of the vector."""
-    names = F.array_sort(F.array_distinct("tag_vec.tagname"))
-    return details.tag_vector(x.stripped, x.tags).select("uid", "part", F.array_join(names, ",").alias("tags"))
+    """Only the names of the pairs; no more for a request than there are configured tags."""
+    names = details.tag_names(x.stripped, x.tag_rows).groupBy("uid").agg(F.sort_array(F.collect_list("tagname")).alias("tags"))
+    return names.select("uid", F.array_join("tags", ",").alias("tags"))
 
 
 @_query
 def tag_pairs(x: _Inputs) -> DataFrame:
-    return details.tag_pairs(x.stripped, x.tags)
+    return details.tag_pairs(x.stripped, x.tag_rows)
 
 
 @_query
 def tag_vector(x: _Inputs) -> DataFrame:
-    vector = details.tag_vector(x.stripped, x.tags)
+    vector = details.tag_vector(x.stripped, x.tag_rows, parts=3)
     pair = F.transform("tag_vec", lambda p: F.concat_ws("=", p.tagname, p.tagvalue))
     return vector.select("uid", "part", F.array_join(pair, ",").alias("tags"))
 
@@ -207,7 +225,7 @@ def tag_vector(x: _Inputs) -> DataFrame:
 def tag_map(x: _Inputs) -> DataFrame:
     entries = F.sort_array(F.map_entries("tag_map"))
     pair = F.transform(entries, lambda e: F.concat_ws("=", e.key, e.value))
-    return details.tag_map(x.stripped, x.tags).select("uid", "part", F.array_join(pair, ",").alias("tags"))
+    return details.tag_map(x.stripped, x.tag_rows, parts=2).select("uid", "part", F.array_join(pair, ",").alias("tags"))
 
 
 # --- main rows ---------------------------------------------------------------
@@ -220,7 +238,7 @@ def main_normalised(x: _Inputs) -> DataFrame:
 
 @_query
 def main_enriched(x: _Inputs) -> DataFrame:
-    return requests.enrich_main(x.wide, requests.normalise_main(x.main))
+    return requests.enrich_main(x.wide, requests.normalise_main(x.main), by=REQUEST_DAY)
 
 
 @_query
@@ -388,6 +406,12 @@ def journeys_removed(x: _Inputs) -> DataFrame:
     return removed.withColumn("reasons", F.array_join("reasons", ","))
 
 
+@_query
+def journeys_labelled(x: _Inputs) -> DataFrame:
+    """All rows in one pass, kept ones without reasons."""
+    return journeys.label_journeys(x.journey).withColumn("reasons", F.array_join("reasons", ","))
+
+
 # --- the whole flow --------------------------------------------------------------
 
 
@@ -396,6 +420,23 @@ def audit_flow_query(x: _Inputs) -> DataFrame:
     return audit_flow(x.details, x.main, x.custlink, x.chnl_map, x.rules, x.event_map, x.err_map)
 
 
+@_query
+def event_amounts_query(x: _Inputs) -> DataFrame:
+    return event_amounts(x.details, x.active_events)
+
+
+@_query
+def mapping_flow_query(x: _Inputs) -> DataFrame:
+    return mapping_flow(x.main, x.custlink, x.event_codes, x.chnl_map, x.event_map, x.err_map)
+
+
+@_query
+def request_tags_query(x: _Inputs) -> DataFrame:
+    return request_tags(x.details, x.event_config, x.channel)
+
+
+for _name in ("event_amounts", "mapping_flow", "request_tags"):
+    _QUERIES[_name] = _QUERIES.pop(f"{_name}_query")
 _QUERIES["audit_flow"] = _QUERIES.pop("audit_flow_query")
 
 

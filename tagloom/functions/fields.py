@@ -47,14 +47,16 @@ def categorise_tag(df: DataFrame) -> DataFrame:
     )
 
 
-def tag_volume(df: DataFrame, category: str = GROUP_PAYMENT, out: str = "vol") -> DataFrame:
-    """Number behind the dot of the tag name in the group payment category, else 1.
+def tag_volume(
+    df: DataFrame, category: str = GROUP_PAYMENT, out: str = "vol", separator: str = "."
+) -> DataFrame:
+    """Number behind the first separator of the tag name in the group payment category, else 1.
 
     Has to run before `normalise_tagname`, which takes that number away.
     """
     name = F.trim("tagname")
-    second = F.substring_index(F.substring_index(name, ".", 2), ".", -1)
-    numbered = (norm("acn_cat_nme") == category.lower()) & name.contains(".")
+    second = F.substring_index(F.substring_index(name, separator, 2), separator, -1)
+    numbered = (norm("acn_cat_nme") == category.lower()) & name.contains(separator)
     return df.withColumn(out, F.coalesce(F.when(numbered, second.try_cast("int")), F.lit(1)))
 
 

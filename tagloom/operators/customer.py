@@ -14,13 +14,18 @@ from tagloom.operators.joins import spread_join
 HOT_MEMBERS = (NO_ID, PLACEHOLDER_MEMBER)
 
 
+def _by_member(cust_link: DataFrame) -> DataFrame:
+    """Links with their member as it is looked up: trimmed, so that one member is one key."""
+    return cust_link.withColumn("mmb_lnk_mmb_num", F.trim(F.col("mmb_lnk_mmb_num").cast("string")))
+
+
 def active_customer_link(cust_link: DataFrame) -> DataFrame:
     """The link of each member that counts: active status, not ended.
 
     Personal links (P) go before business links (B, file types 02 and 03), then the
     latest start, then the smallest customer id.
     """
-    links = cust_link.filter(
+    links = _by_member(cust_link).filter(
         (F.upper(F.trim("mmb_lnk_sts")) == "AC")
         & F.col("mmb_lnk_mmb_num").isNotNull()
         & is_blank("mmb_lnk_end_dte")
@@ -42,7 +47,7 @@ def latest_customer_link(cust_link: DataFrame) -> DataFrame:
 
     Exactly one row per member: latest start, then smallest customer id.
     """
-    links = cust_link.filter(
+    links = _by_member(cust_link).filter(
         (F.upper(F.trim("mmb_lnk_sts")) == "AC")
         & (F.trim(F.col("active").cast("string")) == "1")
         & F.col("mmb_lnk_mmb_num").isNotNull()
@@ -57,13 +62,13 @@ def customer_id(main: DataFrame, link: DataFrame) -> DataFrame:
 
     `cus_idr` is the trimmed id or -99, `cust_id` the same as a number, with -99 for
     an id that is none.  A `cus_idr` of the main row itself moves to `main_cus_idr`.
-    `link` holds one row per member.
+    `link` holds one row per trimmed member.
     """
     if "cus_idr" in main.columns:
         main = main.withColumnRenamed("cus_idr", "main_cus_idr")
     keyed = main.withColumn("_member", F.trim("mmb_num"))
     lookup = link.select(
-        F.col("mmb_lnk_mmb_num").cast("string").alias("_member"), F.trim("cus_idr").alias("cus_idr")
+        F.trim(F.col("mmb_lnk_mmb_num").cast("string")).alias("_member"), F.trim("cus_idr").alias("cus_idr")
     )
     joined = spread_join(keyed, lookup, ["_member"], "left", HOT_MEMBERS).drop("_member")
     return joined.withColumns(

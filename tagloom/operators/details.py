@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import is_blank, is_present, keep_chars, norm
@@ -13,13 +15,9 @@ from tagloom.operators.joins import spread_join
 
 DEDUP_KEY = ("uid", "log_dte", "tagname", "tagvalue")
 
-# Up to this many rules become conditional aggregates.  Each tag row is then shuffled as
-# a row as wide as the rule table; beyond it, tags are matched by a join and stay narrow.
-MAX_AGGREGATE_RULES = 100
-# A longer rule table is an error: each target is an output column and an aggregate.
-MAX_RULES = 1_000
-# Pairs in one part of a tag vector.
-TAG_PART_ROWS = 100_000
+# Of rows with equal keys the smallest by these columns stays, whatever else a flow needs
+# of them; columns beyond these decide last, by name.
+TIE_BREAK = ("acn_cat_nme", "mmb_num", "ses_idr", "log_tme", "acn_nme", "log_millisec", "msg_typ")
 
 
 def of_day(df: DataFrame, business_date: date | str | Column | None) -> DataFrame:
@@ -51,99 +49,103 @@ def dedup_details(
     order_by: Sequence[str] = (),
     greatest: str | None = None,
 ) -> DataFrame:
-    """One row per `key`: the smallest by `order_by`, then by the remaining columns.
+    """One row per `key`: the smallest by `order_by`, then by `TIE_BREAK`, then by all other columns.
 
     `greatest` names a column whose greatest value comes before all of that.
     """
-    lead = [c for c in order_by if c not in key]
-    rest = lead + [c for c in df.columns if c not in key and c not in lead]
+    first = [*order_by, *TIE_BREAK, *sorted(df.columns)]
+    rest = [c for c in dict.fromkeys(first) if c in df.columns and c not in key]
     if not rest:
         return df.dropDuplicates(list(key))
     head = [F.col(greatest).desc_nulls_last()] if greatest else []
     return first_row(df, key, head + [F.col(c).asc_nulls_first() for c in rest if c != greatest])
 
 
-def read_rules(rules: DataFrame) -> list[Row]:
-    """The normalised rules as rows, in a fixed order.
+class RuleNames(NamedTuple):
+    """What a rule table names: output columns, pairs of tested columns, value columns."""
 
-    Rules name output columns, so they have to be known while the plan is built.
-    This is one small read of configuration; a table beyond the bound is an error.
-    """
-    rows = rules.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} transposition rules")
-    return sorted((r for r in rows if r.new_col), key=lambda r: tuple(str(v) for v in r))
-
-
-def _column_names(df: DataFrame, rules: Sequence[Row]) -> dict[str, str]:
-    """Columns of `df` by lower-case name, after a check that the rules name no other."""
-    names = {c.lower(): c for c in df.columns}
-    for rule in rules:
-        for field in ("filter_col1", "filter_col2", "value_col"):
-            if (rule[field] or "").strip(" ").lower() not in names:
-                raise ValueError(f"rule for {rule.new_col}: {field} names no column: {rule[field]}")
-    return names
+    targets: list[str]
+    tests: list[tuple[str, str]]
+    values: list[str]
 
 
-def _tests(rule: Row) -> dict[str, str]:
-    return {rule.filter_col1: rule.filter_condn1, rule.filter_col2: rule.filter_condn2}
-
+def _named(rules: DataFrame) -> DataFrame:
+    """Rules with an output column, column names in lower case, the two tests in name order."""
+    first, second = (F.coalesce(F.lower(F.trim(f"filter_col{i}")), F.lit("")) for i in (1, 2))
+    swap = first > second
+    return rules.filter(F.coalesce("new_col", F.lit("")) != "").select(
+        F.when(swap, second).otherwise(first).alias("_col1"),
+        F.when(swap, first).otherwise(second).alias("_col2"),
+        F.when(swap, F.col("filter_condn2")).otherwise(F.col("filter_condn1")).alias("_test1"),
+        F.when(swap, F.col("filter_condn1")).otherwise(F.col("filter_condn2")).alias("_test2"),
+        F.coalesce(F.lower(F.trim("value_col")), F.lit("")).alias("_from"),
+        F.col("new_col").alias("_target"),
+    )
 
-def _can_match(rule: Row) -> bool:
-    """False for a null condition, and for two different conditions on one column."""
-    if rule.filter_condn1 is None or rule.filter_condn2 is None:
-        return False
-    return rule.filter_col1 != rule.filter_col2 or rule.filter_condn1 == rule.filter_condn2
 
+def rule_names(rules: DataFrame, df: DataFrame) -> RuleNames:
+    """The names in the rules, after a check that they are columns of `df`.
 
-def columns_for_rules(
-    df: DataFrame, rules: Sequence[Row], key: Sequence[str] = DEDUP_KEY, keep: Sequence[str] = ()
+    Output columns have to be known while the plan is built: this one small read gets
+    names only, as many as there are columns, however many rules there are.
+    """
+    row = _named(rules).agg(
+        F.sort_array(F.collect_set("_target")).alias("targets"),
+        F.sort_array(F.collect_set(F.struct("_col1", "_col2"))).alias("tests"),
+        F.sort_array(F.collect_set("_from")).alias("values"),
+    ).first()
+    found = RuleNames(row.targets, [tuple(t) for t in row.tests], row["values"])
+    have = {c.lower() for c in df.columns}
+    for name in [*found.values, *[c for test in found.tests for c in test]]:
+        if name not in have:
+            raise ValueError(f"a rule names no column: {name}")
+    return found
+
+
+def _live(rules: DataFrame) -> DataFrame:
+    """Rules that can match: no null condition, one condition for one column."""
+    possible = (F.col("_col1") != F.col("_col2")) | (F.col("_test1") == F.col("_test2"))
+    return _named(rules).filter(F.col("_test1").isNotNull() & F.col("_test2").isNotNull() & possible)
+
+
+def cut_for_rules(
+    df: DataFrame, rules: DataFrame, key: Sequence[str] = DEDUP_KEY, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Cut `df` down to what the rules can use, before it is shuffled.
+    """Empty the rows that no rule can use, before they are shuffled.
 
-    Only the key, the columns in rules and `keep` stay.  In a row that no rule can
-    match by its key columns, the tag, its value and the rule columns become null, so
-    the next deduplication merges such rows of a request into one, in each task before
-    the shuffle.  The transposed columns come out the same.
+    In a row that no rule can match by its key columns everything but the request, the
+    day and `keep` becomes null, so the next deduplication merges such rows of a request
+    into one, in each task before the shuffle.  The other rows stay whole: which of them
+    a deduplication keeps does not depend on the rules.
     """
-    names = _column_names(df, rules)
-    live = [r for r in rules if _can_match(r)]
-    used = {c for r in rules for c in (*_tests(r), r.value_col.strip(" ").lower())}
-    fixed = {"uid", "log_dte", *[c.lower() for c in keep]}
-    key_names = {c.lower() for c in key}
-
-    usable = F.lit(False)
-    tests = sorted({tuple(sorted((c, v) for c, v in _tests(r).items() if c in key_names)) for r in live})
-    if () in tests:  # a rule that looks at no key column may match any row
-        usable = F.lit(True)
-    else:
-        by_columns: dict[tuple[str, ...], list[tuple[str, ...]]] = {}
-        for test in tests:
-            by_columns.setdefault(tuple(c for c, _ in test), []).append(tuple(v for _, v in test))
-        for columns, values in by_columns.items():
-            if len(columns) == 1:
-                usable = usable | norm(names[columns[0]]).isin([v[0] for v in values])
-            else:
-                for value in values:
-                    usable = usable | ((norm(names[columns[0]]) == value[0]) & (norm(names[columns[1]]) == value[1]))
-    usable = F.coalesce(usable, F.lit(False))
-    return df.withColumn("_usable", usable).select(
-        *[
-            F.col(c) if c.lower() in fixed else F.when(F.col("_usable"), F.col(c)).alias(c)
-            for c in df.columns
-            if c.lower() in fixed | key_names | used
+    names, key_names = rule_names(rules, df), {c.lower() for c in key}
+    looked_at = {test: tuple(dict.fromkeys(c for c in test if c in key_names)) for test in names.tests}
+    if () in looked_at.values():  # a rule that looks at no key column may match any row
+        return df
+    live, rows, usable = _live(rules), df, F.lit(False)
+    for i, columns in enumerate(sorted(set(looked_at.values()))):
+        tables = [
+            live.filter((F.col("_col1") == a) & (F.col("_col2") == b)).select(
+                *[F.col("_test1" if c == a else "_test2").alias(f"_cut{n}") for n, c in enumerate(columns)]
+            )
+            for (a, b), used in looked_at.items()
+            if used == columns
         ]
-    )
+        known = reduce(DataFrame.union, tables).distinct().withColumn(f"_usable{i}", F.lit(True))
+        tests = {f"_cut{n}": norm(c) for n, c in enumerate(columns)}
+        rows = spread_join(rows.withColumns(tests), known, list(tests), spread_by=list(df.columns)).drop(*tests)
+        usable = usable | F.coalesce(f"_usable{i}", F.lit(False))
+    fixed = {"uid", "log_dte", *[c.lower() for c in keep]}
+    return rows.select(*[F.col(c) if c.lower() in fixed else F.when(usable, F.col(c)).alias(c) for c in df.columns])
 
 
 def transpose_by_rules(
     details: DataFrame,
-    rules: DataFrame | Sequence[Row],
+    rules: DataFrame,
     by: Sequence[str] = ("uid",),
     carry: Sequence[str] = (),
-    max_aggregate_rules: int = MAX_AGGREGATE_RULES,
 ) -> DataFrame:
-    """Turn tags into columns as a rule table says, one row per `by`.
+    """Turn tags into columns as a table of normalised rules says, one row per `by`.
 
     A rule reads: where `filter_col1` equals `filter_condn1` and `filter_col2`
     equals `filter_condn2`, column `value_col` goes into output column `new_col`.
@@ -151,86 +153,43 @@ def transpose_by_rules(
     condition never matches but still gives its column.  `carry` names columns whose
     greatest value is added.
 
-    `rules` are normalised rules, as a table or as the rows of `read_rules`.
+    The rules are joined to the rows, so their number is not bounded.  Matches are
+    merged to one short row per `by` and target; after that a group has no more rows
+    than there are targets, however hot it was, and becomes one row.
     """
-    rows = read_rules(rules) if isinstance(rules, DataFrame) else list(rules)
-    names = _column_names(details, rows)
-    targets = sorted({r.new_col for r in rows})
-    both = {c.lower() for c in (*by, *carry)} & set(targets)
+    names = rule_names(rules, details)
+    both = {c.lower() for c in (*by, *carry)} & set(names.targets)
     if both:
         raise ValueError(f"rule target is a grouping or carried column: {sorted(both)}")
-
-    # comparison form of every tested column, computed once per row
-    keyed = {c: f"_key_{c}" for c in sorted({c for r in rows for c in _tests(r)})}
-    prepared = details.withColumns({k: norm(names[c]) for c, k in keyed.items()}) if keyed else details
-    if len(rows) > max_aggregate_rules:
-        return _transpose_by_join(prepared, rows, targets, names, keyed, by, carry)
-
-    aggregates = []
-    for target in targets:
-        values = [
-            F.when(
-                (F.col(keyed[r.filter_col1]) == r.filter_condn1)
-                & (F.col(keyed[r.filter_col2]) == r.filter_condn2),
-                F.col(names[r.value_col.strip(" ").lower()]).cast("string"),
-            )
-            for r in rows
-            if r.new_col == target and _can_match(r)
-        ]
-        if len(values) > 1:
-            values = [F.greatest(*values)]
-        aggregates.append(F.max(values[0] if values else F.lit(None).cast("string")).alias(target))
-    aggregates += [F.max(c).alias(c) for c in carry]
-    if not aggregates:
-        return prepared.select(*by).distinct()
-    return prepared.groupBy(*by).agg(*aggregates)
-
-
-def _transpose_by_join(prepared, rows, targets, names, keyed, by, carry) -> DataFrame:
-    """The same result for long rule tables: match by join, then pivot.
-
-    The matches are first merged to one short row per `by` and target.  After that a
-    group has no more rows than the rule table has targets, however hot it was, and
-    can be brought together as it is and pivoted in one place.
-    """
-    shapes = sorted({(r.filter_col1, r.filter_col2, r.value_col.strip(" ").lower()) for r in rows})
-    # each detail row once per combination of columns that some rule looks at
+    if not names.targets:
+        totals = [F.max(c).alias(c) for c in carry]
+        return details.groupBy(*by).agg(*totals) if totals else details.select(*by).distinct()
+
+    shape = F.coalesce(*[F.when((F.col("_col1") == a) & (F.col("_col2") == b), F.lit(i)) for i, (a, b) in enumerate(names.tests)])
+    wanted = (
+        _live(rules)
+        .groupBy(shape.alias("_shape"), "_test1", "_test2")
+        .agg(F.collect_set(F.struct("_target", "_from")).alias("_hits"))
+    )
     looks = [
-        F.struct(
-            F.lit(i).alias("_shape"),
-            F.col(keyed[a]).alias("_test1"),
-            F.col(keyed[b]).alias("_test2"),
-            F.col(names[v]).cast("string").alias("_value"),
-        )
-        for i, (a, b, v) in enumerate(shapes)
+        F.struct(F.lit(i).alias("_shape"), norm(a).alias("_test1"), norm(b).alias("_test2"))
+        for i, (a, b) in enumerate(names.tests)
     ]
-    long = prepared.select(*by, *carry, F.explode(F.array(*looks)).alias("_look"))
-    # no more rows than rules, and their number is bounded
-    matches = prepared.sparkSession.createDataFrame(
-        sorted(
-            {
-                (
-                    shapes.index((r.filter_col1, r.filter_col2, r.value_col.strip(" ").lower())),
-                    r.filter_condn1,
-                    r.filter_condn2,
-                    r.new_col,
-                )
-                for r in rows
-                if _can_match(r)
-            }
-        ),
-        "_shape int, _test1 string, _test2 string, _target string",
+    values = [F.col(v).cast("string").alias(f"_from_{v}") for v in names.values]
+    long = details.select(*by, *carry, *values, F.inline(F.array(*looks)))
+    matched = spread_join(long, wanted, ["_shape", "_test1", "_test2"])
+    value = F.coalesce(*[F.when(F.col("_hit._from") == v, F.col(f"_from_{v}")) for v in names.values])
+    merged = (
+        matched.select(*by, *carry, *[f"_from_{v}" for v in names.values], F.explode_outer("_hits").alias("_hit"))
+        .groupBy(*by, F.col("_hit._target").alias("_target"))
+        .agg(F.max(value).alias("_value"), *[F.max(c).alias(c) for c in carry])
     )
-    matched = long.select(*by, *carry, "_look.*").join(
-        F.broadcast(matches), ["_shape", "_test1", "_test2"], "left"
+    pair = F.when(F.col("_target").isNotNull(), F.struct("_target", "_value"))
+    gathered = merged.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(pair)).alias("_found"), *[F.max(c).alias(c) for c in carry]
     )
-    value = F.when(F.col("_target").isNotNull(), F.col("_value"))
-    merged = matched.groupBy(*by, "_target").agg(
-        F.max(value).alias("_value"), *[F.max(c).alias(c) for c in carry]
-    )
-    gathered = merged.repartition(*by).groupBy(*by)
-    wide = [F.max(F.when(F.col("_target") == t, F.col("_value"))).alias(t) for t in targets]
-    return gathered.agg(*wide, *[F.max(c).alias(c) for c in carry])
+    wide = [F.try_element_at("_found", F.lit(t)).alias(t) for t in names.targets]
+    return gathered.select(*by, *wide, *carry)
 
 
 def group_details(df: DataFrame, by: Sequence[str] = ("uid",)) -> DataFrame:
@@ -239,11 +198,13 @@ def group_details(df: DataFrame, by: Sequence[str] = ("uid",)) -> DataFrame:
     return df.groupBy(*by).agg(*[F.max(c).alias(c) for c in rest])
 
 
-def tag_pairs(details: DataFrame, journey_tags: DataFrame) -> DataFrame:
-    """Distinct (uid, tagname, tagvalue) whose tag is in the list of the row's own event."""
-    wanted = journey_tags.select(
-        norm("evnt_cd").alias("_event"), F.explode("cmpx_jrny_tag_vec").alias("_tag")
-    )
+def tag_pairs(details: DataFrame, tag_rows: DataFrame) -> DataFrame:
+    """Distinct (uid, tagname, tagvalue) whose tag is configured for the row's own event.
+
+    `tag_rows` has a row per event code and tag (`evnt_cd`, `tag`).  This long relation
+    is the one to go on with: it has no group of its own, however much a request holds.
+    """
+    wanted = tag_rows.select(norm("evnt_cd").alias("_event"), norm("tag").alias("_tag"))
     return (
         details.select(
             "uid", "tagname", "tagvalue", norm("acn_cat_nme").alias("_event"), norm("tagname").alias("_tag")
@@ -254,47 +215,34 @@ def tag_pairs(details: DataFrame, journey_tags: DataFrame) -> DataFrame:
     )
 
 
-def _gather(pairs: DataFrame, part_rows: int) -> DataFrame:
-    """Distinct (uid, tagname, tagvalue) as sorted arrays, `part_rows` in one at most or so.
+def tag_names(details: DataFrame, tag_rows: DataFrame) -> DataFrame:
+    """Distinct (uid, tagname) of the tag pairs."""
+    return tag_pairs(details, tag_rows).select("uid", "tagname").distinct()
 
-    The uid is compared inside a struct, where two nulls are equal: rows without a
-    uid are a group like any other, and may be as large.  That also keeps the counted
-    and the gathered pairs the same plan up to their shuffle, which Spark then runs once.
-    """
-    keyed = pairs.withColumn("_group", F.struct("uid"))
-    long = (
-        keyed.groupBy("_group")
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > part_rows)
-        .select("_group", F.ceil(F.col("_n") / part_rows).alias("_parts"))
-    )
-    place = F.pmod(F.xxhash64("tagname", "tagvalue"), F.coalesce("_parts", F.lit(1))).cast("int")
-    return (
-        spread_join(keyed, long, ["_group"])
-        .groupBy("uid", place.alias("part"))
-        .agg(F.sort_array(F.collect_list(F.struct("tagname", "tagvalue"))).alias("tag_vec"))
-    )
 
+def _part(parts: int, *columns: str) -> Column:
+    """The part of a row, from 0: a function of its own values, the same for every request."""
+    text = F.concat_ws("=", *columns)
+    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % parts).cast("int").alias("part")
 
-def tag_vector(
-    details: DataFrame, journey_tags: DataFrame, part_rows: int = TAG_PART_ROWS
-) -> DataFrame:
-    """Per uid the sorted array of its (tagname, tagvalue) pairs.
 
-    A uid with more than `part_rows` pairs is given in several rows, numbered by
-    `part`, so that no array and no task holds an unbounded group.  All other uids
-    have the single part 0.  The parts of a uid hold all its pairs, each once.
+def tag_vector(details: DataFrame, tag_rows: DataFrame, parts: int) -> DataFrame:
+    """Per uid and part the sorted array of its (tagname, tagvalue) pairs.
+
+    Every request is dealt to the same `parts` parts by its pairs, whatever its size;
+    the caller gives as many as keep the arrays of the largest request short.
     """
-    return _gather(tag_pairs(details, journey_tags), part_rows)
+    pairs = tag_pairs(details, tag_rows)
+    return pairs.groupBy("uid", _part(parts, "tagname", "tagvalue")).agg(
+        F.sort_array(F.collect_list(F.struct("tagname", "tagvalue"))).alias("tag_vec")
+    )
 
 
-def tag_map(
-    details: DataFrame, journey_tags: DataFrame, part_rows: int = TAG_PART_ROWS
-) -> DataFrame:
-    """Per uid a map from tag to value, of several values the greatest; parts as above."""
-    pairs = tag_pairs(details, journey_tags).groupBy("uid", "tagname").agg(F.max("tagvalue").alias("tagvalue"))
-    return _gather(pairs, part_rows).select(
-        "uid", "part", F.map_from_entries("tag_vec").alias("tag_map")
+def tag_map(details: DataFrame, tag_rows: DataFrame, parts: int) -> DataFrame:
+    """Per uid and part, here by tag alone, a map from tag to value, of several values the greatest."""
+    pairs = tag_pairs(details, tag_rows).groupBy("uid", "tagname").agg(F.max("tagvalue").alias("tagvalue"))
+    return pairs.groupBy("uid", _part(parts, "tagname")).agg(
+        F.map_from_entries(F.collect_list(F.struct("tagname", "tagvalue"))).alias("tag_map")
     )
 
 
@@ -345,21 +293,29 @@ def match_event_config(dedup: DataFrame, event_attr_config: DataFrame) -> DataFr
 
     `tran_amt` is the tag value where the configuration maps this tag to it.  A row
     with an amount goes before one without; ties go by tag, value and configured tag.
+
+    Of the configuration rows of an event only two can win for a detail row: the first
+    amount row of its tag, else the first row of all.  So each detail row meets one row
+    per event code in each of two lookups, never all rows of its event.
     """
-    config = event_attr_config.select(
-        "evnt_cd",
-        "trgt_col_nm",
-        "tag_nm",
-        norm("evnt_cd").alias("_event"),
-        norm("tag_nm").alias("_tag"),
-        (norm("trgt_col_nm") == "tran_amt").alias("_is_amount"),
-    )
-    is_amount = F.col("_is_amount") & (F.col("_tag") == norm("tagname"))
-    joined = (
-        dedup.select("uid", "log_dte", "tagname", "tagvalue", norm("acn_cat_nme").alias("_event"))
-        .join(config, "_event", "left")
-        .withColumn("tran_amt", F.when(is_amount, F.col("tagvalue")))
+    event = norm("evnt_cd").alias("_event")
+    row = F.struct("tag_nm", "trgt_col_nm")
+    # nulls sort first in a struct, as in the order of the result
+    any_row = event_attr_config.groupBy("evnt_cd").agg(F.min(row).alias("_any"))
+    amount_row = (
+        event_attr_config.filter(norm("trgt_col_nm") == "tran_amt")
+        .groupBy("evnt_cd", norm("tag_nm").alias("_tag"))
+        .agg(F.min(row).alias("_amount"))
     )
+    rows = dedup.select("uid", "log_dte", "tagname", "tagvalue", norm("acn_cat_nme").alias("_event"))
+    joined = spread_join(rows, any_row.select(event, "evnt_cd", "_any"), ["_event"])
+    joined = spread_join(joined.withColumn("_tag", norm("tagname")), amount_row, ["evnt_cd", "_tag"], spread_by=["uid", "tagname", "tagvalue"])
+    found = F.when(F.col("tagvalue").isNotNull(), F.col("_amount"))
+    joined = joined.select(
+        "uid", "log_dte", "tagname", "tagvalue", "evnt_cd",
+        F.coalesce(found, F.col("_any")).alias("_row"),
+        F.when(found.isNotNull(), F.col("tagvalue")).alias("tran_amt"),
+    ).select("*", "_row.trgt_col_nm", "_row.tag_nm").drop("_row")
     ties = ("tagname", "tagvalue", "tag_nm", "log_dte", "trgt_col_nm")
     order = [F.col("tran_amt").isNull(), *[F.col(c).asc_nulls_first() for c in ties]]
     return first_row(joined, ["uid", "evnt_cd"], order).select(

@@ -3,6 +3,7 @@
 The dimensions carry no broadcast hint: Spark broadcasts a table whose size is
 under `spark.sql.autoBroadcastJoinThreshold` and shuffles a larger one, where both
 sides are then plain shuffles that adaptive execution can split on a hot code.
+Each dimension is first brought to one key for each code.
 """
 
 from __future__ import annotations
@@ -10,10 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.joins import spread_join
 
-def _active(df: DataFrame, *columns: str) -> DataFrame:
+
+def _keys(df: DataFrame, code: str, key: str, out: str | None = None) -> DataFrame:
+    """One key for each code of the active rows; two different keys of a code end the query."""
     rows = df.filter(F.col("active") == 1) if "active" in df.columns else df
-    return rows.select(*columns)
+    low, high = F.min(key), F.max(key)
+    several = F.raise_error(F.concat(F.lit(f"several values of {key} for {code} "), F.col(code)))
+    return rows.groupBy(code).agg(F.when(low != high, several).otherwise(low).alias(key)).withColumnRenamed(code, out or code)
 
 
 def dimension_keys_left(
@@ -21,14 +27,18 @@ def dimension_keys_left(
     chnl_map: DataFrame | None,
     event_map: DataFrame | None,
     err_map: DataFrame | None = None,
+    event_code: str = "event_cd",
 ) -> DataFrame:
-    """Add the key of each dimension given; rows without a match keep a null key."""
+    """Add the key of each dimension given; rows without a match keep a null key.
+
+    `event_code` is the column of `df` with the event code.  No row is multiplied.
+    """
     if chnl_map is not None:
-        df = df.join(_active(chnl_map, "chnl_cd", "chnl_key"), "chnl_cd", "left")
+        df = spread_join(df, _keys(chnl_map, "chnl_cd", "chnl_key"), ["chnl_cd"])
     if event_map is not None:
-        df = df.join(_active(event_map, "event_cd", "event_key"), "event_cd", "left")
+        df = spread_join(df, _keys(event_map, "event_cd", "event_key", event_code), [event_code])
     if err_map is not None:
-        df = df.join(_active(err_map, "err_cd", "err_key"), "err_cd", "left")
+        df = spread_join(df, _keys(err_map, "err_cd", "err_key"), ["err_cd"])
     return df
 
 
@@ -36,10 +46,7 @@ def dimension_keys_inner(
     event_detail: DataFrame, chnl_map: DataFrame, event_map: DataFrame, err_map: DataFrame
 ) -> DataFrame:
     """The three keys of each event row that has all of them."""
-    events = _active(event_map, F.col("event_cd").alias("evnt_cd"), "event_key")
-    return (
-        event_detail.join(_active(chnl_map, "chnl_cd", "chnl_key"), "chnl_cd")
-        .join(events, "evnt_cd")
-        .join(_active(err_map, "err_cd", "err_key"), "err_cd")
-        .select("chnl_key", "event_key", "err_key")
-    )
+    rows = spread_join(event_detail, _keys(chnl_map, "chnl_cd", "chnl_key"), ["chnl_cd"], "inner")
+    rows = spread_join(rows, _keys(event_map, "event_cd", "event_key", "evnt_cd"), ["evnt_cd"], "inner")
+    rows = spread_join(rows, _keys(err_map, "err_cd", "err_key"), ["err_cd"], "inner")
+    return rows.select("chnl_key", "event_key", "err_key")

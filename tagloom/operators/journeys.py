@@ -58,12 +58,22 @@ def broken_journeys(df: DataFrame, other_attributes: bool = True) -> DataFrame:
     )
 
 
+def label_journeys(df: DataFrame, other_attributes: bool = True) -> DataFrame:
+    """Every row with `reasons`, the rules its journey breaks; empty for a row that is kept.
+
+    One join labels all rows, so that one write can split them.  A row without journey
+    id belongs to no journey and is kept.
+    """
+    broken = broken_journeys(df, other_attributes)
+    none = F.array().cast("array<string>")
+    return spread_join(df, broken, ["journey_id"]).select(*df.columns, F.coalesce("reasons", none).alias("reasons"))
+
+
 def validate_journeys(df: DataFrame, other_attributes: bool = True) -> tuple[DataFrame, DataFrame]:
     """Kept and removed rows; together they are the input, the removed ones with `reasons`.
 
-    A row without journey id belongs to no journey and is kept.
+    Both are filters of `label_journeys`; write that frame once where both are wanted.
     """
-    broken = broken_journeys(df, other_attributes)
-    kept = spread_join(df, broken.select("journey_id"), ["journey_id"], "left_anti")
-    removed = spread_join(df, broken, ["journey_id"], "inner").select(*df.columns, "reasons")
-    return kept.select(*df.columns), removed
+    labelled = label_journeys(df, other_attributes)
+    kept = labelled.filter(F.size("reasons") == 0).select(*df.columns)
+    return kept, labelled.filter(F.size("reasons") > 0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -25,19 +26,22 @@ def normalise_main(main: DataFrame, business_date: date | str | None = None) ->
     )
 
 
-def enrich_main(details_wide: DataFrame, main: DataFrame, suffix: str = "_t") -> DataFrame:
+def enrich_main(
+    details_wide: DataFrame, main: DataFrame, suffix: str = "_t", by: Sequence[str] = ("uid",)
+) -> DataFrame:
     """Every main row with the columns of its grouped details, null where it has none.
 
-    A detail column that is also a main column gets `suffix`.
+    `by` is what the details were grouped by.  A detail column that is also a main
+    column gets `suffix`.
     """
     taken = {c.lower() for c in main.columns}
     renamed = {
-        c: f"{c}{suffix}" for c in details_wide.columns if c != "uid" and c.lower() in taken
+        c: f"{c}{suffix}" for c in details_wide.columns if c not in by and c.lower() in taken
     }
     clash = [n for n in renamed.values() if n.lower() in taken | {c.lower() for c in details_wide.columns}]
     if clash:
         raise ValueError(f"detail columns already there: {', '.join(clash)}")
-    return spread_join(main, details_wide.withColumnsRenamed(renamed), ["uid"], "left")
+    return spread_join(main, details_wide.withColumnsRenamed(renamed), list(by), "left")
 
 
 def latest_partition(df: DataFrame, main: DataFrame | None = None) -> DataFrame:

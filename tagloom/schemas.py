@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,11 +42,16 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
-def conform(df: DataFrame, entity: str) -> DataFrame:
+# What grouping and filtering go by: a value of these that does not fit never becomes null.
+STRICT = ("uid", "log_dte", "chnl_key", "event_key", "err_key", "journey_id")
+
+
+def conform(df: DataFrame, entity: str, null_bad: bool = False) -> DataFrame:
     """Check that `df` holds the columns of `entity` and give them their declared types.
 
-    A missing column raises.  Further columns are kept as they are.  A value that
-    does not fit its declared type becomes null rather than ending the job.
+    A missing column raises.  Further columns are kept as they are.  A value that does
+    not fit its declared type ends the query with its column and text; with `null_bad`
+    it becomes null instead, but never in a key or a date column (`STRICT`).
     """
     schema = SCHEMAS[entity]
     have = {name.lower(): name for name in df.columns}
@@ -54,12 +59,22 @@ def conform(df: DataFrame, entity: str) -> DataFrame:
     if missing:
         raise ValueError(f"{entity}: missing columns {', '.join(missing)}")
     declared = {f.name.lower() for f in schema}
-    typed = [
-        (
-            F.col(have[f.name.lower()])
-            if df.schema[have[f.name.lower()]].dataType == f.dataType
-            else F.col(have[f.name.lower()]).try_cast(f.dataType)
-        ).alias(f.name)
-        for f in schema
-    ]
-    return df.select(*typed, *[c for c in df.columns if c.lower() not in declared])
+
+    def typed(field: T.StructField) -> Column:
+        value = F.col(have[field.name.lower()])
+        if df.schema[have[field.name.lower()]].dataType == field.dataType:
+            return value
+        cast = value.try_cast(field.dataType)
+        if null_bad and field.name not in STRICT:
+            return cast
+        what = F.concat(F.lit(f"{entity}.{field.name}: not a {field.dataType.simpleString()}: "), value.cast("string"))
+        return F.when(value.isNotNull() & cast.isNull(), F.raise_error(what)).otherwise(cast)
+
+    columns = [typed(f).alias(f.name) for f in schema]
+    return df.select(*columns, *[c for c in df.columns if c.lower() not in declared])
+
+
+# The columns that name a request where details are grouped by it rather than by its id alone.
+REQUEST_COLUMNS = (
+    "uid", "mmb_num", "ses_idr", "log_tme", "acn_nme", "log_millisec", "acn_cat_nme", "msg_typ", "log_dte",
+)

@@ -124,6 +124,9 @@ SELECT CASE s_suppkey WHEN 0 THEN 'E42' WHEN 1 THEN 'SF1' ELSE 'E' || CAST(1000
 FROM {supplier}""",
     "fx_event_detail": """
 SELECT chnl_cd, acn_cat_nme AS evnt_cd, TRIM(err_msg_txt) AS err_cd FROM {fx_main}""",
+    # the same codes with the request they belong to
+    "fx_event_codes": """
+SELECT uid, chnl_cd, acn_cat_nme AS evnt_cd, TRIM(err_msg_txt) AS err_cd FROM {fx_main}""",
     "fx_text": """
 SELECT event_id, props AS text FROM {events}""",
     # the same texts with their quotes written in each of the escaped styles

@@ -6,26 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.schemas import conform
 
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
-def read_table(spark: SparkSession, name: str, entity: str | None = None) -> DataFrame:
+
+def read_table(spark: SparkSession, name: str, entity: str | None = None, null_bad: bool = False) -> DataFrame:
     """A catalog table, checked against the schema of `entity` if given."""
     df = spark.table(name)
-    return conform(df, entity) if entity else df
+    return conform(df, entity, null_bad) if entity else df
 
 
-def read_parquet(spark: SparkSession, path: str, entity: str | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, entity: str | None = None, null_bad: bool = False) -> DataFrame:
     """Parquet files, checked against the schema of `entity` if given."""
     df = spark.read.parquet(path)
-    return conform(df, entity) if entity else df
+    return conform(df, entity, null_bad) if entity else df
 
 
-def read_csv(spark: SparkSession, path: str, entity: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, entity: str | None = None, null_bad: bool = False) -> DataFrame:
     """CSV files with a header line; every column is text until `entity` types it.
 
     Columns are found by their header, whatever their order in the file.
     """
     df = spark.read.option("header", True).csv(path)
-    return conform(df, entity) if entity else df
+    return conform(df, entity, null_bad) if entity else df
 
 
 def write_table(
@@ -34,15 +36,34 @@ def write_table(
     partition_by: str | None = "log_dte",
     path: str | None = None,
     rebalance: bool = True,
+    replace_all: bool = False,
 ) -> None:
-    """Overwrite the table `name`, as Parquet, split by `partition_by`.
+    """Write the table `name`, as Parquet, split by `partition_by`.
+
+    Where the table is there already, the partitions that `df` has rows for are
+    replaced and all others stay, so a run over one day, and its repetition, touch that
+    day only.  Columns go by name; `df` has to have those of the table.  `replace_all`,
+    or no `partition_by`, replaces the whole table.
 
     With `rebalance` the rows are gathered by partition value first, so that each task
     opens few files; adaptive execution splits a value that is too large for one task.
     Without it the rows are written where they are, which saves a shuffle where they
     belong to few partitions anyway, such as one business date.
     """
+    spark = df.sparkSession
     rows = df.hint("rebalance", partition_by) if partition_by and rebalance else df
+    if partition_by and not replace_all and spark.catalog.tableExists(name):
+        columns = spark.table(name).columns
+        if {c.lower() for c in columns} != {c.lower() for c in df.columns}:
+            raise ValueError(f"{name}: columns differ: {sorted(columns)} and {sorted(df.columns)}")
+        # an insert by table name takes this from the session alone
+        before = spark.conf.get(_OVERWRITE)
+        spark.conf.set(_OVERWRITE, "dynamic")
+        try:
+            rows.select(*columns).write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(_OVERWRITE, before)
+        return
     writer = rows.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from helpers import bag, column
+from helpers import bag, column, final_plan
 from pyspark.sql import functions as F
 
 from tagloom.functions import fields
@@ -83,10 +83,9 @@ def test_transpose(spark):
         "u2": (None, None, "m", None, None, "1"),
         "u3": (None, None, None, None, "z", None),
     }
-    for limit in (99, 0):
-        out = details.transpose_by_rules(df, rules, max_aggregate_rules=limit)
-        assert out.columns == ["uid", "amt", "contradiction", "mmb", "never", "same", "seen"]
-        assert {r.uid: tuple(r)[1:] for r in out.collect()} == want
+    out = details.transpose_by_rules(df, rules)
+    assert out.columns == ["uid", "amt", "contradiction", "mmb", "never", "same", "seen"]
+    assert {r.uid: tuple(r)[1:] for r in out.collect()} == want
 
 
 def test_two_rules_with_one_target_combine(spark):
@@ -94,21 +93,16 @@ def test_two_rules_with_one_target_combine(spark):
     rules = rules_of(
         spark, ("acn_cat_nme", "a", "tagname", "t1", "tagvalue", "o"), ("acn_cat_nme", "a", "tagname", "t2", "tagvalue", "o")
     )
-    for limit in (99, 0):
-        out = details.transpose_by_rules(df, rules, max_aggregate_rules=limit)
-        assert {r.uid: r.o for r in out.collect()} == {"u": "2", "v": "9"}
+    out = details.transpose_by_rules(df, rules)
+    assert {r.uid: r.o for r in out.collect()} == {"u": "2", "v": "9"}
 
 
-def test_transpose_refuses_bad_rules(spark, monkeypatch):
+def test_transpose_refuses_bad_rules(spark):
     df = rows_of(spark, ("u", 1, "a", "t", "1"))
     with pytest.raises(ValueError, match="names no column: nope"):
         details.transpose_by_rules(df, rules_of(spark, ("nope", "a", "tagname", "t", "tagvalue", "o")))
     with pytest.raises(ValueError, match="grouping or carried column"):
         details.transpose_by_rules(df, rules_of(spark, ("tagname", "a", "tagname", "t", "tagvalue", "uid")))
-    monkeypatch.setattr(details, "MAX_RULES", 1)
-    two = rules_of(spark, *[("acn_cat_nme", "a", "tagname", f"t{i}", "tagvalue", "o") for i in range(2)])
-    with pytest.raises(ValueError, match="more than 1"):
-        details.transpose_by_rules(df, two)
 
 
 def test_transpose_without_rules(spark):
@@ -116,15 +110,63 @@ def test_transpose_without_rules(spark):
     assert column(details.transpose_by_rules(df, rules_of(spark)), "uid") == ["u"]
 
 
-def test_many_rules_take_the_join(spark):
-    """300 rules: the join gives what the aggregates would."""
-    n = 300
-    df = rows_of(spark, *[(f"u{i % 7}", i, "a", f"T{i}", str(i)) for i in range(0, 2 * n, 3)])
-    rules = rules_of(spark, *[("acn_cat_nme", "a", "tagname", f"t{i}", "tagvalue", f"o{i % 20}") for i in range(n)])
-    carry = ["seq"]
-    joined = details.transpose_by_rules(df, rules, carry=carry)
-    wide = details.transpose_by_rules(df, rules, carry=carry, max_aggregate_rules=n)
-    assert bag(joined) == bag(wide)
+def read_plainly(rows, rules, columns):
+    """uid to target to greatest value, by trying every rule on every row."""
+    out = {}
+    for row in rows:
+        have = dict(zip(columns, row))
+        found = out.setdefault(have["uid"], {})
+        for c1, v1, c2, v2, value, target in rules:
+            if str(have[c1]).strip().lower() == v1 and str(have[c2]).strip().lower() == v2:
+                found[target] = max(found.get(target, ""), str(have[value]))
+    return out
+
+
+@pytest.mark.parametrize("tests", [("tagname", "tagvalue"), ("acn_cat_nme", "tagname")])
+@pytest.mark.parametrize("n", [50, 400, 1500, 5000])
+def test_any_number_of_rules(spark, tests, n):
+    """Through the early cut, the deduplication and the transposition, as a plain reading."""
+    values = {"tagname": lambda i: f"T{i}", "tagvalue": lambda i: f"V{i}", "acn_cat_nme": lambda i: f" Cat{i % 3}"}
+    rows = [(f"u{i % 9}", i, values["acn_cat_nme"](i), values["tagname"](i), values["tagvalue"](i)) for i in range(0, 2 * n, 7)]
+    norm = lambda v: v.strip().lower()
+    rules = [(tests[0], norm(values[tests[0]](i)), tests[1], norm(values[tests[1]](i)), ("tagvalue", "seq")[i % 2], f"o{i % 300}") for i in range(n)]
+    df, table = rows_of(spark, *rows), rules_of(spark, *rules)
+    cut = details.dedup_details(details.cut_for_rules(df, table))
+    out = details.transpose_by_rules(cut, table)
+    want = read_plainly(rows, rules, ["uid", "seq", "acn_cat_nme", "tagname", "tagvalue"])
+    got = {r.uid: {k: v for k, v in r.asDict().items() if k != "uid" and v is not None} for r in out.collect()}
+    assert got == want
+    assert sorted(out.columns[1:]) == sorted({r[5] for r in rules})
+
+
+def test_an_unrelated_rule_changes_nothing_else(spark):
+    """Which of two equal rows counts does not depend on the columns that rules read."""
+    df = spark.createDataFrame(
+        [("u", DAY, "paym", "mmb", "1", "1", "Z"), ("u", DAY, "paym", "mmb", "1", "2", "A"), ("u", DAY, "paym", "x", "9", "3", "B")],
+        "uid string, log_dte date, acn_cat_nme string, tagname string, tagvalue string, mmb_num string, ses_idr string",
+    )
+    one = ("acn_cat_nme", "paym", "tagname", "mmb", "ses_idr", "prd_key")
+    alone = wide_details(df, rules_of(spark, one)).collect()
+    for other in (
+        ("acn_cat_nme", "paym", "tagname", "no_such", "mmb_num", "other"),
+        ("acn_cat_nme", "paym", "msg", "f", "mmb_num", "other"),
+        ("tagname", "mmb", "tagvalue", "2", "mmb_num", "other"),
+    ):
+        rows = wide_details(df.withColumn("msg", F.lit("g")), rules_of(spark, one, other)).collect()
+        assert [(r.prd_key, r.vol, r.other) for r in rows] == [(alone[0].prd_key, alone[0].vol, None)]
+    assert alone[0].prd_key == "Z"  # by member before session
+
+
+def test_days_of_a_request_stay_apart(spark):
+    rules = rules_of(spark, ("acn_cat_nme", "paym", "tagname", "amt", "tagvalue", "tran_amt"))
+    df = spark.createDataFrame(
+        [("u", date(2024, 1, d), "paym", "amt", v) for d, v in ((1, "1"), (2, "9"))],
+        "uid string, log_dte date, acn_cat_nme string, tagname string, tagvalue string",
+    )
+    whole = wide_details(df, rules)
+    single = [wide_details(df, rules, date(2024, 1, d)) for d in (1, 2)]
+    assert bag(whole) == bag(single[0].union(single[1]))
+    assert sorted((r.log_dte.day, r.tran_amt) for r in whole.collect()) == [(1, "1"), (2, "9")]
 
 
 @pytest.mark.parametrize(
@@ -145,10 +187,8 @@ def test_early_cut_changes_nothing(spark, sf_dir, rules):
     table = rules_of(spark, *rules)
     cut = wide_details(x.details, table)
     rows = fields.normalise_tagname(fields.tag_volume(x.clean))
-    lean = [*details.DEDUP_KEY, "vol", *sorted({c for r in rules for c in (r[0], r[2], r[4])} - set(details.DEDUP_KEY))]
-    ordered = [c for c in rows.columns if c in lean]
     whole = details.transpose_by_rules(
-        details.dedup_details(rows.select(*ordered), greatest="vol"), table, carry=["vol"]
+        details.dedup_details(rows, greatest="vol"), table, by=("uid", "log_dte"), carry=["vol"]
     )
     assert bag(cut) == bag(whole)
     # the volume is the greatest of all clean rows, merged or not
@@ -162,7 +202,7 @@ def test_group_details(spark):
 
 
 def tags_of(spark):
-    return spark.createDataFrame([("PAYM", ["mmb", "tran"]), ("LOGIN", ["y"])], "evnt_cd string, cmpx_jrny_tag_vec array<string>")
+    return spark.createDataFrame([("PAYM", "mmb"), ("PAYM", "tran"), ("LOGIN", "y")], "evnt_cd string, tag string")
 
 
 def test_tag_vector_matches_per_event(spark):
@@ -171,25 +211,26 @@ def test_tag_vector_matches_per_event(spark):
         ("u", 1, " paym", "Tran", "1"), ("u", 2, "paym", "mmb", "2"), ("u", 3, "paym", "mmb", "2"), ("u", 4, "paym", "y", "3"),
         ("u", 5, "login", "y", "4"), ("v", 1, "login", "mmb", "5"),
     )
-    out = details.tag_vector(df, tags_of(spark)).collect()
+    out = details.tag_vector(df, tags_of(spark), parts=1).collect()
     assert [(r.uid, r.part, [tuple(p) for p in r.tag_vec]) for r in out] == [("u", 0, [("Tran", "1"), ("mmb", "2"), ("y", "4")])]
     more = df.union(rows_of(spark, ("u", 6, "paym", "mmb", "11")))
-    mapped = details.tag_map(more, tags_of(spark)).collect()
+    mapped = details.tag_map(more, tags_of(spark), parts=1).collect()
     assert [tuple(r) for r in mapped] == [("u", 0, {"Tran": "1", "mmb": "2", "y": "4"})]
+    assert bag(details.tag_names(more, tags_of(spark))) == {("Tran", "u"): 1, ("mmb", "u"): 1, ("y", "u"): 1}
 
 
 @pytest.mark.parametrize("uid", ["hot", None])
-def test_tag_vector_splits_long_groups(spark, uid):
-    n = 1000
-    long = [("hot", i, "paym", "mmb", f"v{i % 700}") for i in range(n)]
-    df = rows_of(spark, *[(uid, *r) for _, *r in long], ("u", 1, "paym", "mmb", "v1"))
-    out = details.tag_vector(df, tags_of(spark), part_rows=50).collect()
-    hot = [r for r in out if r.uid == uid]
-    assert len({r.part for r in hot}) == len(hot) == 14
-    values = [p.tagvalue for r in hot for p in r.tag_vec]
+def test_every_request_is_dealt_to_the_same_parts(spark, uid):
+    """The part is a function of the pair alone: size and neighbours of a request do not matter."""
+    df = rows_of(spark, *[(uid, i, "paym", "mmb", f"v{i % 700}") for i in range(1000)], ("u", 1, "paym", "mmb", "v1"))
+    out = details.tag_vector(df, tags_of(spark), parts=14).collect()
+    hot = {r.part: [p.tagvalue for p in r.tag_vec] for r in out if r.uid == uid}
+    assert set(hot) == set(range(14))
+    values = [v for part in hot.values() for v in part]
     assert len(values) == 700 and set(values) == {f"v{i}" for i in range(700)}
-    assert max(len(r.tag_vec) for r in hot) < 150
-    assert [(r.part, len(r.tag_vec)) for r in out if r.uid == "u"] == [(0, 1)]
+    assert max(map(len, hot.values())) < 100
+    ((part, vec),) = [(r.part, [p.tagvalue for p in r.tag_vec]) for r in out if r.uid == "u"]
+    assert vec == ["v1"] and "v1" in hot[part]
 
 
 def config_of(spark, *rows):
@@ -231,6 +272,24 @@ def test_match_event_config(spark):
     assert len(out) == 3
 
 
+def test_event_rows_do_not_multiply(spark):
+    """Many configuration rows of one event; the plain way joins them all."""
+    df = rows_of(spark, *[(f"u{i % 50}", i, "paym", f"T{i % 40}", str(i)) for i in range(400)], ("x", 1, "paym", "T1", None))
+    config = config_of(spark, *[("PAYM", ("tran_amt", "mmb")[i % 2], f"t{i}") for i in range(60)], ("PAYM", "Tran_Amt", "T4"), ("paym ", "mmb", None))
+    got = details.match_event_config(df, config)
+    joined = df.join(
+        config, F.lower(F.trim("acn_cat_nme")) == F.lower(F.trim("evnt_cd")), "left"
+    ).withColumn("tran_amt", F.expr("CASE WHEN lower(trim(trgt_col_nm)) = 'tran_amt' AND lower(trim(tag_nm)) = lower(trim(tagname)) THEN tagvalue END"))
+    ties = ("tagname", "tagvalue", "tag_nm", "log_dte", "trgt_col_nm")
+    order = [F.col("tran_amt").isNull(), *[F.col(c).asc_nulls_first() for c in ties]]
+    assert bag(got) == bag(details.first_row(joined, ["uid", "evnt_cd"], order).select(*got.columns))
+    # one row per event code ('PAYM' and 'paym ') is all that a detail row meets
+    one_code = config.filter("evnt_cd = 'PAYM'")
+    text = final_plan(details.match_event_config(df, one_code))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert one_code.groupBy("evnt_cd").count().count() == 1
+
+
 def test_first_transaction_by_log_time(spark):
     df = spark.createDataFrame(
         [("u", DAY, "p", "t", v, "10:01", ms) for v, ms in (("1", "10"), ("2", "9"), ("3", "100"))]

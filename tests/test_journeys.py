@@ -42,6 +42,7 @@ def check(spark, rows):
     assert bag(kept) + bag(removed.select(*df.columns)) == bag(df)
     assert {r.journey_id: r.reasons for r in removed.collect()} == want
     assert not {r.journey_id for r in kept.collect()} & set(want)
+    assert journeys.label_journeys(df).count() == df.count()
 
 
 def test_each_rule(spark):

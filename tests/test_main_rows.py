@@ -93,6 +93,18 @@ def test_customer_id(spark):
     }
 
 
+def test_members_are_trimmed_on_both_sides(spark):
+    main = spark.createDataFrame([("u1", " 1 "), ("u2", "1")], "uid string, mmb_num string")
+    rows = [(" 1 ", "55", "2020-01-01"), ("1", "66", "2021-01-01"), ("1 ", "77", "2019-01-01")]
+    links = spark.createDataFrame(
+        [(m, c, "AC", "01", None, start, "1") for m, c, start in rows],
+        "mmb_lnk_mmb_num string, cus_idr string, mmb_lnk_sts string, mmb_lnk_fls_type string, mmb_lnk_end_dte string, eff_start_date string, active string",
+    )
+    for link in (customer.active_customer_link(links), customer.latest_customer_link(links)):
+        assert [(r.mmb_lnk_mmb_num, r.cus_idr) for r in link.collect()] == [("1", "66")]
+        assert {r.uid: r.cust_id for r in customer.customer_id(main, link).collect()} == {"u1": 66, "u2": 66}
+
+
 def test_row_count_is_kept_and_links_are_unique(spark, sf_dir):
     import __spark_entry__ as registry
 
@@ -126,6 +138,72 @@ def test_dimension_keys(spark):
     assert bag(inner) == {(1, 5, 10): 1}
 
 
+def test_two_keys_of_one_code_are_an_error(spark):
+    event = spark.createDataFrame([(1, "paym", 10), (1, "paym", 11), (1, "login", 5), (1, "login", 5)], "active int, event_cd string, event_key int")
+    df = spark.createDataFrame([("login",), ("login",), ("x",)], "event_cd string")
+    one = event.filter("event_cd = 'login'")
+    assert bag(dimensions.dimension_keys_left(df, None, one)) == {("login", 5): 2, ("x", None): 1}
+    with pytest.raises(Exception, match="several values of event_key for event_cd paym"):
+        dimensions.dimension_keys_left(df, None, event).collect()
+
+
+def flow_tables(spark, rules, details, main):
+    from tagloom.schemas import SCHEMAS
+
+    def table(entity, *rows):
+        return spark.createDataFrame(list(rows), SCHEMAS[entity])
+
+    return (
+        table("audit_details", *[(u, d, c, t, v, None, None, None, None, None, None) for u, d, c, t, v in details]),
+        table("audit_main", *main), table("cust_link"), table("chnl_map", (1, "OLB", 5)),
+        table("rule_config", *[(1, 5, "acn_cat_nme", "paym", "tagname", t, "tagvalue", c) for t, c in rules.items()]),
+        table("event_map", (1, "paym", 10)), table("err_map", ("E7", 70), ("E42", 42)),
+    )
+
+
+def test_error_text_is_chosen_per_row(spark):
+    """The detail's text where there is one, else the main row's; code and flag read the same text."""
+    from tagloom.plans.audit import audit_flow
+
+    day = date(2024, 1, 1)
+    main = [(u, day, None, None, e, "paym") for u, e in (("u1", "E42"), ("u2", "none"), ("u3", "none"), ("u4", "E42"))]
+    details = [("u2", day, "paym", "error", " E7 "), ("u3", day, "paym", "x", "y"), ("u4", day, "paym", "error", "none")]
+    want = {"u1": ("E42", 42, "Failure"), "u2": ("E7", 70, "Failure"), "u3": (None, None, "Success"), "u4": (None, None, "Success")}
+    out = audit_flow(*flow_tables(spark, {"error": "err_msg_txt"}, details, main)).collect()
+    assert {r.uid: (r.err_cd, r.err_key, r.result_flag) for r in out} == want
+    # without the rule every row has the text of its main row
+    out = audit_flow(*flow_tables(spark, {"x": "val"}, details, main)).collect()
+    assert {r.uid: r.err_cd for r in out} == {"u1": "E42", "u2": None, "u3": None, "u4": "E42"}
+
+
+def test_all_days_together_are_the_single_days(spark):
+    from tagloom.plans.audit import audit_flow
+
+    days = [date(2024, 1, d) for d in (1, 2)]
+    details = [("u", days[0], "paym", "amt", "1"), ("u", days[1], "paym", "amt", "9"), ("v", days[1], "paym", "amt", "5")]
+    main = [(u, d, "7", None, None, "paym") for u in ("u", "v") for d in days]
+    tables = flow_tables(spark, {"amt": "tran_amt"}, details, main)
+    whole = audit_flow(*tables)
+    single = [audit_flow(*tables, business_date=d) for d in days]
+    assert bag(whole) == bag(single[0]) + bag(single[1])
+    assert {(r.uid, r.log_dte.day): r.tran_amt for r in whole.collect()} == {("u", 1): "1", ("u", 2): "9", ("v", 1): None, ("v", 2): "5"}
+
+
+def test_mapping_flow_keeps_every_main_row(spark):
+    from tagloom.plans.audit import mapping_flow
+    from tagloom.schemas import SCHEMAS
+
+    _, main, _, chnl, _, events, errors = flow_tables(spark, {}, [], [("u1", date(2024, 1, 1), " 1", None, "none", "x"), ("u2", date(2024, 1, 1), "2", None, None, "x")])
+    link = spark.createDataFrame([("1 ", "77", "AC", "01", None, "2020-01-01", "1")], SCHEMAS["cust_link"])
+    codes = spark.createDataFrame(
+        [("u1", "OLB", "paym", "E7"), ("u1", "OLB", "zz", "E42"), ("u9", "OLB", "paym", "E7")], "uid string, chnl_cd string, evnt_cd string, err_cd string"
+    )
+    out = {r.uid: r for r in mapping_flow(main, link, codes, chnl, events, errors).collect()}
+    assert {u: (r.cust_id, r.chnl_key, r.event_key, r.err_key, r.err_msg_txt) for u, r in out.items()} == {
+        "u1": (77, 5, 10, 70, "Success"), "u2": (-99, None, None, None, "Failure"),
+    }
+
+
 def test_flow_on_a_few_rows(spark):
     """All steps on rows made by hand, with sort codes and error text among the tags."""
     from tagloom.plans.audit import audit_flow
@@ -177,8 +255,8 @@ def test_flow_on_a_few_rows(spark):
     two = out["u2"]
     assert (two.v_to_acct_id_t, two.cust_id, two.err_cd, two.err_key, two.event_key) == ("987654|2109876", 99, "E7", 70, None)
     assert two.result_flag == "Failure"
-    # the word null is no tag value, so the stop-flow value is the code; member 8 does not replace a real one
+    # the word null is no tag value, so the main row's text is the code; member 8 does not replace a real one
     three = out["u3"]
-    assert (three.err_cd, three.err_key, three.mmb_num, three.cust_id) == ("S9", 90, "9", 99)
+    assert (three.err_cd, three.err_key, three.mmb_num, three.cust_id) == ("main error", None, "9", 99)
     four = out["u4"]
     assert (four.mmb_num, four.cust_id, four.vol, four.err_cd, four.result_flag) == ("-99", -99, None, None, "Success")

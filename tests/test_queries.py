@@ -69,6 +69,7 @@ def test_date_and_null_filters_reach_the_scan(spark, sf_dir, tmp_path):
 
 
 def test_journeys_are_grouped_once(spark, sf_dir):
-    text = plan(QUERIES["journeys_kept"](spark, sf_dir))
-    assert text.count("LeftAnti") == 1
-    assert text.count("FileScan") == 2  # once for the flags, once for the rows
+    for name in ("journeys_kept", "journeys_removed", "journeys_labelled"):
+        text = plan(QUERIES[name](spark, sf_dir))
+        assert text.count("LeftOuter") + text.count("Inner") == 1, name
+        assert text.count("FileScan") == 2, name  # once for the flags, once for the rows

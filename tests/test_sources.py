@@ -12,12 +12,28 @@ from tagloom.sources import tables
 
 def test_csv_by_header(spark, tmp_path):
     path = tmp_path / "chnl_map.csv"
-    path.write_text("chnl_key,active,chnl_cd,note\n101,1,OLB,x\nbad,0,MOB,\n")
+    path.write_text("chnl_key,active,chnl_cd,note\n101,1,OLB,x\n102,bad,MOB,\n")
     raw = tables.read_csv(spark, str(path))
     assert raw.dtypes == [("chnl_key", "string"), ("active", "string"), ("chnl_cd", "string"), ("note", "string")]
-    typed = tables.read_csv(spark, str(path), "chnl_map")
+    typed = tables.read_csv(spark, str(path), "chnl_map", null_bad=True)
     assert typed.dtypes == [("active", "int"), ("chnl_cd", "string"), ("chnl_key", "int"), ("note", "string")]
-    assert [tuple(r) for r in typed.collect()] == [(1, "OLB", 101, "x"), (0, "MOB", None, None)]
+    assert [tuple(r) for r in typed.collect()] == [(1, "OLB", 101, "x"), (None, "MOB", 102, None)]
+
+
+def test_values_that_do_not_fit_end_the_query(spark):
+    main = spark.createDataFrame(
+        [("u", "05/01/2024", None, None, None, None)],
+        "uid string, log_dte string, mmb_num string, cus_idr string, err_msg_txt string, acn_cat_nme string",
+    )
+    for null_bad in (False, True):  # a date is never made null
+        with pytest.raises(Exception, match="audit_main.log_dte: not a date: 05/01/2024"):
+            conform(main, "audit_main", null_bad).collect()
+    channel = spark.createDataFrame([("x", "OLB", "1")], "active string, chnl_cd string, chnl_key string")
+    with pytest.raises(Exception, match="chnl_map.active: not a int: x"):
+        conform(channel, "chnl_map").collect()
+    assert [tuple(r) for r in conform(channel, "chnl_map", null_bad=True).collect()] == [(None, "OLB", 1)]
+    good = main.withColumn("log_dte", F.lit("2024-01-05"))
+    assert conform(good, "audit_main").first().log_dte == date(2024, 1, 5)
 
 
 def test_missing_columns_are_named(spark):
@@ -40,12 +56,29 @@ def test_write_table_and_read_back(spark):
     assert [r.partition for r in spark.sql("SHOW PARTITIONS written").collect()] == [
         f"log_dte=2024-01-0{d}" for d in (1, 2, 3)
     ]
-    # a second write replaces the first
-    tables.write_table(df.limit(10), "written")
-    assert spark.table("written").count() == 10
     spark.sql("DROP TABLE written")
 
 
+@pytest.mark.parametrize("rebalance", [True, False])
+def test_a_day_replaces_only_itself(spark, rebalance):
+    def day(d, *values):
+        return spark.createDataFrame([(f"u{v}", v, date(2024, 1, d)) for v in values], "uid string, n int, log_dte date")
+
+    write = lambda df, **more: tables.write_table(df, "daily", rebalance=rebalance, **more)
+    write(day(1, 1, 2))
+    write(day(2, 3))
+    assert bag(spark.table("daily")) == bag(day(1, 1, 2).union(day(2, 3)))
+    write(day(1, 7))  # the first day again
+    assert bag(spark.table("daily")) == bag(day(1, 7).union(day(2, 3)))
+    write(day(3, 9).select("log_dte", "n", "uid"))  # columns go by name
+    assert bag(spark.table("daily")) == bag(day(1, 7).union(day(2, 3)).union(day(3, 9)))
+    with pytest.raises(ValueError, match="columns differ"):
+        write(day(3, 9).drop("n"))
+    write(day(4, 5), replace_all=True)
+    assert bag(spark.table("daily")) == bag(day(4, 5))
+    spark.sql("DROP TABLE daily")
+
+
 def test_write_table_to_a_path(spark, tmp_path):
     df = spark.range(5).toDF("n")
     path = str(tmp_path / "out")
