@@ -147,6 +147,8 @@ class IdFile:
 
 # --- encoding -------------------------------------------------------------------
 
+#: Chunks in one generation of what a worker remembers.
+REMEMBERED = 120_000
 #: A space with white space on both sides, or before the end: no place to cut by spaces alone.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 
@@ -170,13 +172,13 @@ class ChunkEncoder:
         self._sizes = np.zeros(max(vocab.values(), default=0) + 1, dtype=np.int64)
         for token, i in vocab.items():
             self._sizes[i] = len(token)  # a character stands for a byte
-        self._known: Generations = Generations()
+        self._known = Generations(REMEMBERED)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=f"<u{self.width}")
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Remember the ids of chunks, each with the space before it."""
+    def _learn(self, chunks: dict[str, None], first: str) -> bytes:
+        """Remember the ids of chunks, each with the space before it; the ids of the text's first chunk."""
         known, old = self._known.young, self._known.old
         joint = []
         for chunk in chunks:
@@ -186,28 +188,29 @@ class ChunkEncoder:
                 known[chunk] = self._ids(" " + chunk).tobytes()
             else:
                 joint.append(chunk)
-        text = " " + " ".join(joint)
-        if not joint:
-            return
-        if self._special.search(text):
+        text = " ".join([first, *joint])
+        if self._special.search(text) or first[-1:].isspace():
             known.update((chunk, self._ids(" " + chunk).tobytes()) for chunk in joint)
-            return
+            return self._ids(first).tobytes()
         ids = self._ids(text)
-        sizes = map(len, joint) if text.isascii() else (len(chunk.encode()) for chunk in joint)
-        ends = np.cumsum(np.fromiter(sizes, dtype=np.int64, count=len(joint)) + 1)
-        cuts = (self.width * (np.searchsorted(np.cumsum(self._sizes[ids]), ends) + 1)).tolist()
-        packed, start = ids.tobytes(), 0
-        for chunk, end in zip(joint, cuts):
+        sizes = map(len, (first, *joint)) if text.isascii() else (len(c.encode()) for c in (first, *joint))
+        # where each chunk ends in bytes, the spaces before all but the first counted
+        ends = np.cumsum(np.fromiter(sizes, dtype=np.int64, count=len(joint) + 1) + 1) - 1
+        cuts = (self.width * np.searchsorted(np.cumsum(self._sizes[ids]), ends, side="right")).tolist()
+        packed, start = ids.tobytes(), cuts[0]
+        for chunk, end in zip(joint, cuts[1:]):
             known[chunk] = packed[start:end]
             start = end
+        return packed[: cuts[0]]
 
     def encode(self, text: str) -> bytes:
         if _UNSAFE.search(text):
             return self._ids(text).tobytes()
         first, *rest = text.split(" ")
         known = self._known.turned()
-        self._learn(set(rest).difference(known))
-        return b"".join([self._ids(first).tobytes() if first else b"", *map(known.__getitem__, rest)])
+        parts = list(map(known.get, rest))
+        head = self._learn(dict.fromkeys([c for c, part in zip(rest, parts) if part is None]), first)
+        return b"".join([head, *map(known.__getitem__, rest)])
 
 
 @functools.lru_cache(maxsize=2)
