@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import re
 
-import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -17,7 +16,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
 import corpus_pipeline
-from checks.compare import compare
+from checks.compare import compare, connect
 from tagloom.llm import oracle, queries, quality, secrets
 
 FOLDER = "/root/testdata/sf0.001"
@@ -25,9 +24,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def duck():
-    con = duckdb.connect()
-    for name in ("documents", "embeddings", "benchmark"):
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{FOLDER}/{name}.parquet')")
+    con = connect(FOLDER)
     yield con
     con.close()
 
