@@ -49,8 +49,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a local one only where none is set and Spark runs locally."""
+    """The folder of spark.checkpoint.dir, else the context's; a local one only where neither is set and Spark runs
+    locally."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and spark.sparkContext.getCheckpointDir():
+        folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")

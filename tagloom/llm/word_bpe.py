@@ -20,6 +20,7 @@ import sys
 import unicodedata
 from array import array
 
+import numpy as np
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
@@ -27,6 +28,8 @@ from pyspark.sql import DataFrame
 from tagloom.llm.common import Generations, per_text
 
 LONG = 200
+#: Chunks in one generation of what a worker remembers.
+REMEMBERED = 200_000
 _NO_RANK = 1 << 60
 
 #: Fixed value: the tokenizer file's split pattern, with its white space spelled out.
@@ -141,7 +144,7 @@ class WordBpe:
         return self.chunk(text)
 
     def decode(self, ids) -> str:
-        return " ".join(self.tokens[i] for i in ids)
+        return " ".join(map(self.tokens.__getitem__, ids))
 
 
 def _as_bytes(ids: list[int]) -> bytes:
@@ -160,8 +163,8 @@ def tokenizer(path: str) -> WordBpe:
 
 @functools.lru_cache(maxsize=2)
 def _chunks(path: str) -> Generations:
-    """Chunk (UTF-8) to its ids as little-endian unsigned 32-bit integers and its decoded text."""
-    return Generations()
+    """Chunk (UTF-8) to its ids as little-endian unsigned 32-bit integers."""
+    return Generations(REMEMBERED)
 
 
 def encode_decode(
@@ -180,14 +183,10 @@ def encode_decode(
             chunks = raw.split()
             known = memory.turned()
             for chunk in set(chunks).difference(known):
-                made = memory.old.get(chunk)
-                if made is None:
-                    ids = bpe.chunk(chunk.decode("utf-8", "replace"))
-                    made = _as_bytes(ids), bpe.decode(ids)
-                known[chunk] = made
-            found = [known[chunk] for chunk in chunks]
-            ids = b"".join([f[0] for f in found])
-            return ids, len(ids) // 4, " ".join([f[1] for f in found if f[1]])
+                ids = memory.old.get(chunk)
+                known[chunk] = _as_bytes(bpe.chunk(chunk.decode("utf-8", "replace"))) if ids is None else ids
+            ids = b"".join(map(known.__getitem__, chunks))
+            return ids, len(ids) // 4, bpe.decode(np.frombuffer(ids, "<u4").tolist())
 
         return both
 
