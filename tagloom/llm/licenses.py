@@ -15,8 +15,8 @@ Everything runs on DataFrame functions; what the driver sees are the templates a
 from __future__ import annotations
 
 import math
-from collections import Counter
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,7 +120,9 @@ def license_lines(
     bags = bags.groupBy("_row", "_line", "term").agg(F.count("*").alias("tf"))
     bags = bags.join(F.broadcast(by_term), "term", "left")
     bags = bags.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    norms = bags.groupBy("_row", "_line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "w"))).alias("known"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
+    shared = F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "w"))).alias("known")
+    norms = bags.groupBy("_row", "_line").agg(norm, shared)
     dots = norms.select("_row", "_line", "norm", F.inline("known")).join(F.broadcast(by_template), "term")
     dots = dots.groupBy("_row", "_line", "norm", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     close = dots.withColumn("similarity", F.col("dot") / F.col("norm")).where(F.col("similarity") >= threshold)

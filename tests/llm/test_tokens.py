@@ -15,7 +15,6 @@ import tiktoken
 from helpers_llm import awkward, key
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tagloom.llm import id_files, token_counts, word_bpe
