@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import per_text
+from tagloom.llm.common import per_text, stored
 
 #: Lengths that share one bin of the two-level suffix sums.
 BIN = 1024
@@ -62,9 +62,13 @@ def token_lengths(
 
 
 def length_histogram(lengths: DataFrame, length: str = "n_tokens") -> DataFrame:
-    """One row for each distinct length: n_tokens, docs, tokens. A null length is left out."""
+    """One row for each distinct length: n_tokens, docs, tokens. A null length is left out.
+
+    The rows are written to the shared folder, as the suffix sums read them twice: texts are encoded once.
+    """
     rows = lengths.where(F.col(length).isNotNull()).groupBy(F.col(length).cast("long").alias("n_tokens"))
-    return rows.agg(F.count("*").alias("docs")).withColumn("tokens", F.col("n_tokens") * F.col("docs"))
+    counted = rows.agg(F.count("*").alias("docs")).withColumn("tokens", F.col("n_tokens") * F.col("docs"))
+    return stored(counted, "histogram")
 
 
 def suffix_sums(histogram: DataFrame, width: int = BIN) -> DataFrame:

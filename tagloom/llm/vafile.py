@@ -39,7 +39,7 @@ def integer_vectors(df: DataFrame, key: str, vector: str, scale: int = SCALE) ->
     rows = df.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & finite)
     # beyond 2^52 a double's floor is no longer told apart; such components cannot give scores that fit
     whole = F.transform(vector, lambda x: F.floor(_exact(x.cast("double") * scale)))
-    return rows.select(F.col(key).cast("long").alias("id"), whole.alias("v")).groupBy("id", "v").agg(F.lit(1)).select("id", "v")
+    return rows.select(F.col(key).cast("long").alias("id"), whole.alias("v")).distinct()
 
 
 def _exact(x: Column) -> Column:
