@@ -148,7 +148,7 @@ class IdFile:
 # --- encoding -------------------------------------------------------------------
 
 #: Chunks in one generation of what a worker remembers.
-REMEMBERED = 120_000
+REMEMBERED = 170_000
 #: A space with white space on both sides, or before the end: no place to cut by spaces alone.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 
