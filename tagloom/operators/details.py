@@ -109,7 +109,11 @@ def _live(rules: DataFrame) -> DataFrame:
 
 
 def cut_for_rules(
-    df: DataFrame, rules: DataFrame, key: Sequence[str] = DEDUP_KEY, keep: Sequence[str] = ()
+    df: DataFrame,
+    rules: DataFrame,
+    key: Sequence[str] = DEDUP_KEY,
+    keep: Sequence[str] = (),
+    names: RuleNames | None = None,
 ) -> DataFrame:
     """Empty the rows that no rule can use, before they are shuffled.
 
@@ -118,7 +122,7 @@ def cut_for_rules(
     into one, in each task before the shuffle.  The other rows stay whole: which of them
     a deduplication keeps does not depend on the rules.
     """
-    names, key_names = rule_names(rules, df), {c.lower() for c in key}
+    names, key_names = names or rule_names(rules, df), {c.lower() for c in key}
     looked_at = {test: tuple(dict.fromkeys(c for c in test if c in key_names)) for test in names.tests}
     if () in looked_at.values():  # a rule that looks at no key column may match any row
         return df
@@ -144,6 +148,7 @@ def transpose_by_rules(
     rules: DataFrame,
     by: Sequence[str] = ("uid",),
     carry: Sequence[str] = (),
+    names: RuleNames | None = None,
 ) -> DataFrame:
     """Turn tags into columns as a table of normalised rules says, one row per `by`.
 
@@ -151,13 +156,13 @@ def transpose_by_rules(
     equals `filter_condn2`, column `value_col` goes into output column `new_col`.
     Several rules may share a target; the greatest value wins.  A rule with a null
     condition never matches but still gives its column.  `carry` names columns whose
-    greatest value is added.
+    greatest value is added.  `names` are those of `rule_names`, if read already.
 
     The rules are joined to the rows, so their number is not bounded.  Matches are
     merged to one short row per `by` and target; after that a group has no more rows
     than there are targets, however hot it was, and becomes one row.
     """
-    names = rule_names(rules, details)
+    names = names or rule_names(rules, details)
     both = {c.lower() for c in (*by, *carry)} & set(names.targets)
     if both:
         raise ValueError(f"rule target is a grouping or carried column: {sorted(both)}")

@@ -36,9 +36,10 @@ def wide_details(
     rows = fields.normalise_tagname(fields.tag_volume(rows))
     # of equal rows the one with the greatest volume stays: so the greatest volume of a
     # request does not depend on which rows are merged, and unused tags can go first
-    rows = details.cut_for_rules(rows, rules, keep=["vol"])
+    names = details.rule_names(rules, rows)
+    rows = details.cut_for_rules(rows, rules, keep=["vol"], names=names)
     rows = details.dedup_details(rows, greatest="vol")
-    return details.transpose_by_rules(rows, rules, by=REQUEST_DAY, carry=["vol"])
+    return details.transpose_by_rules(rows, rules, by=REQUEST_DAY, carry=["vol"], names=names)
 
 
 def audit_flow(
