@@ -11,7 +11,7 @@ import pytest
 from helpers_llm import SCHEMA
 from pyspark.sql import functions as F
 from test_search import plain_components, plain_hits
-from test_text import plain_spans
+from test_text_operators import plain_spans
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
