@@ -149,8 +149,9 @@ def plan_parts(nodes: DataFrame, distance: int = DISTANCE) -> list[tuple[list[in
     The cost of a threshold is its probes, one for each value within it of each fingerprint, and its candidates:
     exact pair counts of equal values, scaled by the number of values probed. Only this plan reaches the driver.
     """
-    total, both = bit_agreement(nodes)
-    plans = []
+    counted, both = bit_agreement(nodes)
+    # probes have a price also where there is nothing to probe with
+    total, plans = max(1, counted), []
     for m in range(2, distance + 2):
         parts = correlated_parts(total, both, m)
         equal = _equal_pairs(nodes, parts)
