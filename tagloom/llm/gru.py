@@ -8,10 +8,14 @@ factor is left to the caller.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 
 PER_CLASS = 64
+#: Tokens that a training lane takes at once.
+BLOCK = 1024
 
 
 class Gru:
@@ -126,8 +130,8 @@ class Gru:
                 d_states[rows] += inner @ p["word"][c]
         return (out, d_states) if grads is not None else out
 
-    def backward(self, inputs: np.ndarray, saved: list, d_out: np.ndarray, grads: dict) -> None:
-        """Add the gradient through the window's states; nothing flows to earlier windows."""
+    def backward(self, inputs: np.ndarray, saved: list, d_out: np.ndarray, grads: dict, keep=None) -> None:
+        """Add the gradient through the window's states; nothing flows to earlier windows or other documents."""
         p, n = self.p, self.size
         d_x = np.empty((*inputs.shape, 3 * n), dtype=d_out.dtype)
         d_h = np.zeros(d_out.shape[1:], dtype=d_out.dtype)
@@ -144,6 +148,8 @@ class Gru:
             grads["state"] += h.T @ d_u
             grads["reset_bias"] += d_u[:, 2 * n :].sum(0)
             d_h = d_h * z + d_u @ p["state"].T
+            if keep is not None:
+                d_h *= keep[t][:, None]
         flat = d_x.reshape(-1, 3 * n)
         grads["gate_bias"] += flat.sum(0)
         grads["input"] += p["embed"][inputs.ravel()].T @ flat
@@ -152,50 +158,58 @@ class Gru:
         ids, first = np.unique(inputs.ravel()[order], return_index=True)
         grads["embed"][ids] += np.add.reduceat(d_embed[order], first, axis=0)
 
-    def window_gradient(self, inputs, targets, weight, h):
-        """Negative log-likelihood of a window (time x lanes), its gradient as a vector, and the last state."""
+    def window_gradient(self, inputs, targets, weight, h, keep=None):
+        """Negative log-likelihood of a window (time x lanes), its gradient as a vector, and the last state. keep: 0
+        where a lane begins a document."""
         vector = np.zeros_like(self.vector)
         grads = self._views(vector)
-        out, saved, last = self.states(inputs, h)
+        out, saved, last = self.states(inputs, h, keep)
         flat = out.reshape(-1, self.size)
         logs, d_states = self.log_probabilities(flat, targets.ravel(), grads, weight.ravel())
-        self.backward(inputs, saved, d_states.reshape(out.shape), grads)
+        self.backward(inputs, saved, d_states.reshape(out.shape), grads, keep)
         return -float((logs * weight.ravel()).sum()), vector, last
 
-    def train(self, segments: list[np.ndarray], first: int, lanes: int = 256, window: int = 16, rate: float = 0.02) -> int:
-        """Adam over windows of `window` tokens, the state carried from one window to the next of the same segments.
+    def train(self, documents: Iterable[np.ndarray], first: int, lanes: int = 256, window: int = 16, rate: float = 0.02) -> int:
+        """Adam over windows of `window` tokens that cover every token of every document. Lanes take documents one
+        after the other; a document's state is carried across all its windows and starts at zero.
 
-        `first` is the input before a segment. Few segments go in narrower groups, so that there are updates enough.
+        `first` is the input before a document. Few tokens go in fewer lanes, so that there are updates enough.
         Returns the number of tokens learnt from.
         """
-        lanes = min(lanes, max(8, len(segments) // 16))
+        documents = (ids for ids in documents if len(ids))
+        ahead, held = [], 0
+        for ids in documents:
+            ahead.append(ids)
+            held += len(ids)
+            if held >= lanes * BLOCK and len(ahead) >= lanes:
+                break
+        lanes = min(lanes, max(8, held // BLOCK), len(ahead))
+        if not lanes:
+            return 0
         with np.errstate(over="ignore"):
-            return self._train(segments, first, lanes, window, rate)
+            return self._train(_blocks(chain(ahead, documents), lanes, first), lanes, window, rate)
 
-    def _train(self, segments, first, lanes, window, rate) -> int:
+    def _train(self, blocks, lanes, window, rate) -> int:
         mean, square = np.zeros_like(self.vector), np.zeros_like(self.vector)
+        h = np.zeros((lanes, self.size), dtype=np.float32)
         done = updates = 0
-        for start in range(0, len(segments), lanes):
-            group = segments[start : start + lanes]
-            length = max(map(len, group))
-            targets = np.zeros((length, len(group)), dtype=np.int64)
-            mask = np.zeros((length, len(group)), dtype=np.float32)
-            for lane, ids in enumerate(group):
-                targets[: len(ids), lane], mask[: len(ids), lane] = ids, 1
-            inputs = np.vstack([np.full((1, len(group)), first), targets[:-1]])
-            h = np.zeros((len(group), self.size), dtype=np.float32)
-            for t in range(0, length, window):
-                part = slice(t, t + window)
-                n = mask[part].sum()
-                if not n:
+        for inputs, targets, mask, keep in blocks:
+            for t in range(0, BLOCK, window):
+                live = np.flatnonzero(mask[:, t])
+                if not len(live):
                     break
-                _, grad, h = self.window_gradient(inputs[part], targets[part], mask[part] / n, h)
+                at = np.s_[live, t : t + window]
+                weight, kept = mask[at].T, keep[at].T
+                n = weight.sum()
+                kept = kept if kept.min() == 0 else None
+                _, grad, h[live] = self.window_gradient(inputs[at].T, targets[at].T, weight / n, h[live], kept)
                 updates += 1
                 norm = np.sqrt(float(grad @ grad))
                 grad *= min(1.0, 1 / max(norm, 1e-9))
                 mean += 0.1 * (grad - mean)
                 square += 0.01 * (grad * grad - square)
-                scale = rate * math.sqrt(1 - 0.99**updates) / (1 - 0.9**updates)
+                # a window that the last documents leave partly empty moves the weights by its share
+                scale = rate * math.sqrt(1 - 0.99**updates) / (1 - 0.9**updates) * float(n) / (lanes * window)
                 self.vector -= scale * mean / (np.sqrt(square) + 1e-6)
                 done += int(n)
         return done
@@ -239,3 +253,32 @@ class Gru:
                     of, ids, flat = of[valid], ids[valid], flat[valid]
                 out += np.bincount(of, weights=self.log_probabilities(flat, ids), minlength=len(documents))
         return out
+
+
+def _blocks(documents: Iterator[np.ndarray], lanes: int, first: int):
+    """Inputs, targets, mask and keep (lanes x BLOCK) until the documents are used up; a document goes on in the same
+    lane of the next block."""
+    left, last = [np.empty(0, dtype=np.int64)] * lanes, [first] * lanes
+    while True:
+        inputs, targets = (np.full((lanes, BLOCK), first, dtype=np.int32) for _ in range(2))
+        mask, keep = np.zeros((lanes, BLOCK), dtype=np.float32), np.ones((lanes, BLOCK), dtype=np.float32)
+        for lane in range(lanes):
+            at = 0
+            while at < BLOCK:
+                ids = left[lane]
+                if len(ids):
+                    inputs[lane, at] = last[lane]
+                else:
+                    ids = next(documents, None)
+                    if ids is None:
+                        break
+                    keep[lane, at] = 0
+                now = ids[: BLOCK - at]
+                to = at + len(now)
+                targets[lane, at:to], mask[lane, at:to] = now, 1
+                inputs[lane, at + 1 : to] = now[:-1]
+                left[lane], last[lane] = ids[len(now) :], now[-1]
+                at = to
+        if not mask.any():
+            return
+        yield inputs, targets, mask, keep

@@ -5,10 +5,10 @@ counted. The most frequent words form the model's vocabulary; every other word b
 shape, inside which words share out the class's probability by their smoothed counts, with room for one unseen word,
 so that every text has a probability.
 
-Training: each task learns by truncated backpropagation from segments of every training document (the first SEGMENT
-tokens of each STRIDE), starting from the shared weights; the weights of all tasks are averaged, weighted by tokens,
-in groups of bounded size; rounds follow on disjoint shares of the documents. Scoring carries the state through each
-whole document.
+Training: each task learns by truncated backpropagation from every token of its training documents, the state carried
+through each whole document, starting from the shared weights; the weights of all tasks are averaged, weighted by
+tokens, in groups of bounded size; rounds follow on disjoint shares of the documents. Scoring carries the state through
+each whole document too.
 
 Null and empty texts consist of the end alone. A null id counts as an empty one, and so is held out. Repeated rows
 each count and each get a row. Without training documents all counts are zero and scores come from the start weights.
@@ -37,7 +37,6 @@ STATE = 16
 HEAD = 200_000
 HEAD_WORD_BYTES = 64
 END = b""
-SEGMENT, STRIDE = 64, 512
 ROUNDS = 2
 #: Distinct words a counting task holds before it passes its counts on.
 HELD_WORDS = 400_000
@@ -206,10 +205,6 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, key: str, text: st
     return stored(per_text(docs, factory, fields, (key, "held_out"), text), "encoded")
 
 
-def _segments(ids: np.ndarray) -> list[np.ndarray]:
-    return [ids[at : at + SEGMENT] for at in range(0, len(ids), STRIDE)]
-
-
 def _average(parts: DataFrame) -> np.ndarray | None:
     """The weighted mean of the weight vectors, summed in groups of AVERAGED until one row is left."""
 
@@ -242,17 +237,8 @@ def train(encoded: DataFrame, model: Gru, end: int, rounds: int = ROUNDS) -> Gru
         def run(batches, sent=sent):
             words, outside, size, vector = sent.value
             own = Gru(words, outside, size, vector.copy())
-            # segments of similar length together, as lanes of one group
-            waiting: list[np.ndarray] = []
-            tokens = 0
-            for batch in batches:
-                for value in batch.column(0):
-                    waiting += _segments(np.frombuffer(value.as_py(), "<u2").astype(np.int64))
-                    if len(waiting) >= 4096:
-                        tokens += own.train(sorted(waiting, key=len), end)
-                        waiting = []
-            if waiting:
-                tokens += own.train(sorted(waiting, key=len), end)
+            values = (value.as_py() for batch in batches for value in batch.column(0))
+            tokens = own.train((np.frombuffer(value, "<u2").astype(np.int32) for value in values), end)
             if tokens:
                 sums = (own.vector.astype("<f8") * tokens).tobytes()
                 made = [[TaskContext.get().partitionId()], [tokens], [sums]]

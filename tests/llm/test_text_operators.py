@@ -189,6 +189,63 @@ def test_gradient_is_that_of_the_loss():
         assert grad[i] == pytest.approx((sides[0] - sides[1]) / 2e-5, rel=1e-4, abs=1e-6)
 
 
+def test_gradient_stops_where_a_document_begins():
+    rng = np.random.default_rng(8)
+    model = Gru(100, 5, size=6).start(rng.integers(1, 50, 100), rng.integers(1, 50, 5))
+    model.vector = model.vector.astype(np.float64)
+    model.p = model._views(model.vector)
+    for name in ("word", "class"):
+        model.p[name][:] = rng.normal(0, 0.3, model.p[name].shape)
+    inputs, targets = rng.integers(0, 105, (2, 6, 4))
+    weight, h, keep = rng.random((6, 4)), rng.normal(0, 1, (4, 6)), np.ones((6, 4))
+    keep[0, 1] = keep[3, 2] = keep[4, 0] = 0
+    _, grad, _ = model.window_gradient(inputs, targets, weight, h, keep)
+    for i in rng.choice(len(grad), 80, replace=False):
+        at, sides = model.vector[i], []
+        for step in (1e-5, -1e-5):
+            model.vector[i] = at + step
+            sides.append(model.window_gradient(inputs, targets, weight, h, keep)[0])
+        model.vector[i] = at
+        assert grad[i] == pytest.approx((sides[0] - sides[1]) / 2e-5, rel=1e-4, abs=1e-6)
+
+
+def test_training_takes_every_token_with_its_state(monkeypatch):
+    """Every (token before, token) of every document once, and the state that scoring would have there."""
+    rng = np.random.default_rng(9)
+    docs = [rng.integers(0, 137, n) for n in (1, 700, 64, 65, 5000, 233, 2, 1024, 1030, 0, 90)]
+    model = Gru(130, 7, size=8).start(rng.integers(1, 50, 130), rng.integers(1, 50, 7))
+    seen, logs = [], []
+
+    def window_gradient(inputs, targets, weight, h, keep=None):
+        out, _, last = model.states(inputs, h, keep)
+        logs.append(model.log_probabilities(out.reshape(-1, 8), targets.ravel())[weight.ravel() > 0].sum())
+        seen.extend(zip(inputs[weight > 0].tolist(), targets[weight > 0].tolist()))
+        return 0.0, np.zeros_like(model.vector), last
+
+    monkeypatch.setattr(model, "window_gradient", window_gradient)
+    assert model.train(iter(docs), 3) == sum(map(len, docs))
+    assert sorted(seen) == sorted((a, b) for d in docs for a, b in zip([3, *d.tolist()], d.tolist()))
+    assert sum(logs) == pytest.approx(model.score(docs, 3).sum(), rel=1e-4)
+    assert model.train([], 3) == 0
+
+
+def test_every_token_of_the_documents_reaches_training(make):
+    """A word rule that holds only from the 70th word on is learnt."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(30)]
+    texts = []
+    for i in range(600):
+        out, at = [rng.choice(words) for _ in range(70)], 0
+        for _ in range(130):
+            at = (at * 7 + 1) % 30
+            out.append("v" + words[at])
+        texts.append((i, " ".join(out)))
+    docs = make(texts).repartition(1)
+    got = language_model.score_documents(docs, F.col("doc_id") % 10 == 0).where("held_out")
+    row = got.agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert row.s > 0.65 * row.b
+
+
 def test_scores_do_not_depend_on_lanes_or_windows():
     rng = np.random.default_rng(1)
     model = Gru(130, 7, size=8).start(rng.integers(1, 50, 130), rng.integers(1, 50, 7))
