@@ -25,8 +25,11 @@ KINDS = ("assign", "access", "hex", "novel")
 AROUND = 256
 #: Characters before a candidate in which a sensitive word must stand.
 SENSITIVE_REACH = 48
-#: Marginal compressed bits per bit of the alphabet from which a candidate counts as incompressible: random strings of
-#: 16 or more characters give at least 1.18, names and paths mostly below 1.
+#: Most characters that are compressed at once: from about 64 on the literals are entropy-coded, and long random strings
+#: would come near 1 bit a bit of their alphabet.
+PIECE = 48
+#: Marginal compressed bits per bit of the alphabet from which a candidate counts as incompressible after the ordinary
+#: text around it: names and paths are mostly below.
 NOVELTY = 1.15
 MIN_LENGTH = 16
 
@@ -112,8 +115,12 @@ def novel_spans(text: str, lowered: bytes, marginal: Callable[[str, str], int])
             start, found = end - len(value), value
         if not (_MIXED.search(found) and SENSITIVE.search(text, line, start)):
             continue
-        context = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
-        if 8 * marginal(context, found) >= NOVELTY * len(found) * _alphabet_bits(found):
+        before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+        n = -(-len(found) // PIECE)
+        pieces = [found[len(found) * i // n : len(found) * (i + 1) // n] for i in range(n)]
+        # one order of the context may happen to take the string up well
+        added = sum(max(marginal(c, piece) for c in (before + after, after + before)) for piece in pieces)
+        if 8 * added >= NOVELTY * len(found) * _alphabet_bits(found):
             spans.append((start, end, "novel"))
     return spans
 

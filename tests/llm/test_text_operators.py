@@ -84,6 +84,31 @@ def test_novel_strings_are_found_and_ordinary_ones_left_alone():
     assert secrets.novel_spans(no_context, no_context.encode().lower(), marginal) == []
 
 
+ALPHABETS = [
+    string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_letters,
+    string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits, "0123456789abcdef", "0123456789ABCDEF",
+    string.digits,
+]
+
+
+def novel(text, marginal):
+    return [text[a:b] for a, b, _ in secrets.novel_spans(text, text.encode().lower(), marginal)]
+
+
+def test_random_strings_of_every_length_are_novel():
+    rng, marginal = random.Random(7), secrets.compressor()
+    words = "the client server value config order number list return data input main table update state user time".split()
+    some = lambda: " ".join(rng.choice(words) for _ in range(50))
+    for alphabet in ALPHABETS:
+        for n, least in ((16, 10), (24, 10), (40, 15), (64, 15), (200, 15), (400, 15), (800, 15), (1600, 15), (4000, 15)):
+            found = 0
+            for _ in range(20):
+                value = "".join(rng.choice(alphabet) for _ in range(n))
+                value = value if secrets._MIXED.search(value) else "7" + value[1:]
+                found += novel(f"{some()}\nauth: {value} {some()}", marginal) == [value]
+            assert found >= least, (alphabet, n, found)
+
+
 def test_masking_leaves_everything_else(odd_docs):
     masked = secrets.mask_secrets(odd_docs)
     assert masked.columns == odd_docs.columns
