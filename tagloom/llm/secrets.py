@@ -1,9 +1,11 @@
 """Secret scans: fixed patterns, and strings that zstandard cannot compress against code it has just seen.
 
-Base kinds are patterns. The method adds `novel` spans: a candidate is a long unbroken string that a sensitive word
-precedes on its line. A dictionary primed with common identifiers and the text around the candidate compresses it;
-the marginal bytes are what the candidate adds to the compressed context. Ordinary names, paths and repeated strings
-add little; random strings add almost their entropy and are reported.
+Base kinds are patterns. The method adds `novel` spans: a candidate is a long unbroken string with a sensitive word in
+the text before it, on whatever line, or in its own name; a value goes on over strings with no word between them, as in
+a block of base64 lines. A dictionary primed with common identifiers and the text around the candidate compresses it,
+long ones in pieces; the marginal bytes are what the candidate adds to the compressed context. Ordinary names, paths and
+strings that the text shows outside a sensitive context add little; random strings add almost their entropy and are
+reported.
 
 Null and empty texts have no spans. Repeated rows give a row each. Offsets are code points, ends exclusive.
 """
@@ -12,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache
 from math import log2
 
 import zstandard
@@ -23,14 +26,15 @@ from tagloom.llm.common import PACKED, packed, per_text
 KINDS = ("assign", "access", "hex", "novel")
 #: Characters on each side that count as surrounding code.
 AROUND = 256
-#: Characters before a candidate in which a sensitive word must stand.
-SENSITIVE_REACH = 48
 #: Most characters that are compressed at once: from about 64 on the literals are entropy-coded, and long random strings
 #: would come near 1 bit a bit of their alphabet.
 PIECE = 48
 #: Marginal compressed bits per bit of the alphabet from which a candidate counts as incompressible after the ordinary
 #: text around it: names and paths are mostly below.
 NOVELTY = 1.15
+#: The same after the other candidates around it too. Beside other random strings a random one gives about 0.85 to 1,
+#: since they pay for the code of its literals; a name beside its like gives far less.
+NOVELTY_AMONG = 0.8
 MIN_LENGTH = 16
 
 #: The base patterns. `+` stands where failing matches must still use up their text.
@@ -53,6 +57,10 @@ _SENSITIVE_WORDS = (
 )
 #: No plain word: a digit, or small and capital letters in turns.
 _MIXED = re.compile(r"[0-9]|[a-z][A-Z]+[^A-Z]+[A-Z]")
+#: Words at the start of a candidate that name the rest of it.
+_NAME = re.compile(r"(?:[A-Za-z]+[+/_.~-])+")
+#: A word: what stands between two strings of one value has none.
+_WORD = re.compile("[A-Za-z0-9]{2}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{%d,}" % MIN_LENGTH)
 
 #: Identifiers and code that the dictionary is primed with.
@@ -87,9 +95,13 @@ def compressor(identifiers: str = IDENTIFIERS) -> Callable[[str, str], int]:
         level=9, dict_data=primed, write_checksum=False, write_content_size=False, write_dict_id=False
     )
 
+    @lru_cache(maxsize=16)
+    def alone(before: bytes) -> int:
+        return len(made.compress(before))
+
     def marginal(context: str, candidate: str) -> int:
         before = context.encode()
-        return len(made.compress(before + candidate.encode())) - len(made.compress(before))
+        return len(made.compress(before + candidate.encode())) - alone(before)
 
     return marginal
 
@@ -101,28 +113,70 @@ def _alphabet_bits(text: str) -> float:
     return log2(max(2, 16 if re.fullmatch("[0-9a-f]+|[0-9A-F]+", text) else size))
 
 
+def _value_start(text: str, start: int, end: int) -> int:
+    """Where the value begins in a run: after the last '=' that is no padding, if that leaves a long string."""
+    cut = text.rfind("=", start, start + len(text[start:end].rstrip("="))) + 1
+    return cut if cut and end - cut >= MIN_LENGTH else start
+
+
+def _sensitive_values(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The values that a sensitive word, or a string of the same value, precedes."""
+    out = []
+    for run, end in runs:
+        start = _value_start(text, run, end)
+        name = _NAME.match(text, start, end)
+        if (
+            SENSITIVE.search(text, max(0, min(run, start - AROUND)), name.end() if name else start)
+            or out and not _WORD.search(text, out[-1][1], start)
+        ):
+            out.append((start, end))
+    return out
+
+
+def _without(text: str, start: int, end: int, spans: list[tuple[int, int]]) -> str:
+    """text[start:end] without the characters of the spans, which are in order."""
+    out = []
+    for a, b in spans:
+        if b > start and a < end:
+            out.append(text[start:a] if a > start else "")
+            start = max(start, b)
+    return "".join([*out, text[start:end]])
+
+
+def _is_novel(text: str, k: int, values: list[tuple[int, int]], marginal: Callable[[str, str], int]) -> bool:
+    """Whether the k-th value is incompressible, after the text around it and after the other values there."""
+    (start, end), first, last = values[k], k, k + 1
+    low, high = max(0, start - AROUND), end + AROUND
+    while first and values[first - 1][1] > low:
+        first -= 1
+    while last < len(values) and values[last][0] < high:
+        last += 1
+    found, near = text[start:end], values[first:last]
+    n = -(-len(found) // PIECE)
+    pieces = [found[len(found) * i // n : len(found) * (i + 1) // n] for i in range(n)]
+    bits = len(found) * _alphabet_bits(found) / 8
+    before, after = _without(text, low, start, near), _without(text, end, high, near)
+    # one context may happen to take the string up well
+    contexts = {before + after, before, after}
+    if sum(max(marginal(c, piece) for c in contexts) for piece in pieces) < NOVELTY * bits:
+        return False
+    before = text[low:start]
+    after = text[end:high]
+    contexts = {before + after, after + before}
+    return sum(max(marginal(c, piece) for c in contexts) for piece in pieces) >= NOVELTY_AMONG * bits
+
+
 def novel_spans(text: str, lowered: bytes, marginal: Callable[[str, str], int]) -> list[tuple[int, int, str]]:
     """Candidates in a sensitive context whose marginal bytes show them to be incompressible."""
     if not any(word in lowered for word in _SENSITIVE_WORDS):
         return []
-    spans = []
-    for m in _CANDIDATE.finditer(text):
-        found, (start, end) = m[0], m.span()
-        line = max(text.rfind("\n", 0, start) + 1, start - SENSITIVE_REACH)
-        # the value after the last '=' stands for the whole of name=value
-        name, cut, value = found.rpartition("=") if not found.endswith("=") else ("", "", found)
-        if cut and len(value) >= MIN_LENGTH:
-            start, found = end - len(value), value
-        if not (_MIXED.search(found) and SENSITIVE.search(text, line, start)):
-            continue
-        before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
-        n = -(-len(found) // PIECE)
-        pieces = [found[len(found) * i // n : len(found) * (i + 1) // n] for i in range(n)]
-        # one order of the context may happen to take the string up well
-        added = sum(max(marginal(c, piece) for c in (before + after, after + before)) for piece in pieces)
-        if 8 * added >= NOVELTY * len(found) * _alphabet_bits(found):
-            spans.append((start, end, "novel"))
-    return spans
+    runs = [m.span() for m in _CANDIDATE.finditer(text)]
+    values = _sensitive_values(text, runs)
+    return [
+        (start, end, "novel")
+        for k, (start, end) in enumerate(values)
+        if _MIXED.search(text, start, end) and _is_novel(text, k, values, marginal)
+    ]
 
 
 def scan_text(raw: bytes, marginal: Callable[[str, str], int]) -> list[tuple[int, int, str]]:
