@@ -5,7 +5,7 @@ the text before it, on whatever line, or in its own name; a value goes on over s
 a block of base64 lines. A dictionary primed with common identifiers and the text around the candidate compresses it,
 long ones in pieces; the marginal bytes are what the candidate adds to the compressed context. Ordinary names, paths and
 strings that the text shows outside a sensitive context add little; random strings add almost their entropy and are
-reported.
+reported, with all their copies in the text.
 
 Null and empty texts have no spans. Repeated rows give a row each. Offsets are code points, ends exclusive.
 """
@@ -143,6 +143,16 @@ def _without(text: str, start: int, end: int, spans: list[tuple[int, int]]) -> s
     return "".join([*out, text[start:end]])
 
 
+def _sensitive_copies(text: str, found: str, start: int, end: int) -> list[tuple[int, int]]:
+    """The copies of `found` in text[start:end] that a sensitive word precedes."""
+    out, at = [], text.find(found, start, end)
+    while at >= 0:
+        if SENSITIVE.search(text, max(0, at - AROUND), at):
+            out.append((at, at + len(found)))
+        at = text.find(found, at + len(found), end)
+    return out
+
+
 def _is_novel(text: str, k: int, values: list[tuple[int, int]], marginal: Callable[[str, str], int]) -> bool:
     """Whether the k-th value is incompressible, after the text around it and after the other values there."""
     (start, end), first, last = values[k], k, k + 1
@@ -160,23 +170,40 @@ def _is_novel(text: str, k: int, values: list[tuple[int, int]], marginal: Callab
     contexts = {before + after, before, after}
     if sum(max(marginal(c, piece) for c in contexts) for piece in pieces) < NOVELTY * bits:
         return False
-    before = text[low:start]
-    after = text[end:high]
+    before = _without(text, low, start, _sensitive_copies(text, found, low, start))
+    after = _without(text, end, high, _sensitive_copies(text, found, end, high))
     contexts = {before + after, after + before}
     return sum(max(marginal(c, piece) for c in contexts) for piece in pieces) >= NOVELTY_AMONG * bits
 
 
+def _copies(text: str, runs: list[tuple[int, int]], found: set[str]) -> list[tuple[int, int]]:
+    """Where the strings `found` stand in the runs, the longest at each place."""
+    by_start: dict[str, list[str]] = {}
+    for value in sorted(found, key=lambda v: -len(v)):
+        by_start.setdefault(value[:MIN_LENGTH], []).append(value)
+    out = []
+    for at, end in runs:
+        while at + MIN_LENGTH <= end:
+            known = by_start.get(text[at : at + MIN_LENGTH], ())
+            size = next((len(v) for v in known if at + len(v) <= end and text.startswith(v, at)), 0)
+            if size:
+                out.append((at, at + size))
+            at += size or 1
+    return out
+
+
 def novel_spans(text: str, lowered: bytes, marginal: Callable[[str, str], int]) -> list[tuple[int, int, str]]:
-    """Candidates in a sensitive context whose marginal bytes show them to be incompressible."""
+    """Candidates in a sensitive context whose marginal bytes show them to be incompressible, and their copies."""
     if not any(word in lowered for word in _SENSITIVE_WORDS):
         return []
     runs = [m.span() for m in _CANDIDATE.finditer(text)]
     values = _sensitive_values(text, runs)
-    return [
-        (start, end, "novel")
+    found = {
+        text[start:end]
         for k, (start, end) in enumerate(values)
         if _MIXED.search(text, start, end) and _is_novel(text, k, values, marginal)
-    ]
+    }
+    return [(start, end, "novel") for start, end in _copies(text, runs, found)] if found else []
 
 
 def scan_text(raw: bytes, marginal: Callable[[str, str], int]) -> list[tuple[int, int, str]]:

@@ -127,6 +127,16 @@ def test_every_line_of_a_private_key_block_is_found():
     assert novel(text, marginal) == body
 
 
+def test_copies_of_a_secret_do_not_hide_each_other():
+    rng, marginal = random.Random(10), secrets.compressor()
+    for _ in range(20):
+        value = random_secret(rng, 32)
+        assert novel(f"auth: {value}\ncredential: {value}\n", marginal) == [value] * 2
+        far = f"{value} first\n" + "plain words of the text " * 20 + f"\nauth: {value}\n"
+        assert novel(far, marginal) == [value] * 2
+        assert novel(f"auth: {value}\ncredential /a/{value}\n", marginal) != []
+
+
 def test_masking_leaves_everything_else(odd_docs):
     masked = secrets.mask_secrets(odd_docs)
     assert masked.columns == odd_docs.columns
