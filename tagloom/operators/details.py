@@ -225,7 +225,11 @@ def tag_names(details: DataFrame, tag_rows: DataFrame) -> DataFrame:
     return tag_pairs(details, tag_rows).select("uid", "tagname").distinct()
 
 
-def _part(parts: int, *columns: str) -> Column:
+#: Pairs of the largest request from which it gets more parts.
+PART_PAIRS = 100_000
+
+
+def _part(parts: int | Column, *columns: str) -> Column:
     """The part of a row, from 0: a function of its own values, the same for every request."""
     text = F.concat_ws("=", *columns)
     return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % parts).cast("int").alias("part")
@@ -234,13 +238,14 @@ def _part(parts: int, *columns: str) -> Column:
 def tag_vector(details: DataFrame, tag_rows: DataFrame, parts: int) -> DataFrame:
     """Per uid and part the sorted array of its (tagname, tagvalue) pairs.
 
-    Every request is dealt to the same `parts` parts by its pairs, whatever its size;
-    the caller gives as many as keep the arrays of the largest request short.
+    Every request is dealt to the same number of parts by its pairs, whatever its size: to `parts`, or to as many as
+    leave the largest request about PART_PAIRS pairs in each.
     """
     pairs = tag_pairs(details, tag_rows)
-    return pairs.groupBy("uid", _part(parts, "tagname", "tagvalue")).agg(
-        F.sort_array(F.collect_list(F.struct("tagname", "tagvalue"))).alias("tag_vec")
-    )
+    most = pairs.groupBy("uid").agg(F.count("*").alias("n")).agg(F.max("n").alias("n"))
+    wanted = F.greatest(F.lit(parts).cast("long"), F.ceil(most.scalar() / PART_PAIRS))
+    dealt = pairs.select("uid", "tagname", "tagvalue", _part(wanted, "tagname", "tagvalue"))
+    return dealt.groupBy("uid", "part").agg(F.sort_array(F.collect_list(F.struct("tagname", "tagvalue"))).alias("tag_vec"))
 
 
 def tag_map(details: DataFrame, tag_rows: DataFrame, parts: int) -> DataFrame:

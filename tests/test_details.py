@@ -233,6 +233,19 @@ def test_every_request_is_dealt_to_the_same_parts(spark, uid):
     assert vec == ["v1"] and "v1" in hot[part]
 
 
+def test_parts_follow_the_largest_request(spark, monkeypatch):
+    """Three parts of a request that needs more would hold over 200 pairs each."""
+    monkeypatch.setattr(details, "PART_PAIRS", 50, raising=False)
+    df = rows_of(spark, *[("hot", i, "paym", "mmb", f"v{i % 700}") for i in range(1000)], ("u", 1, "paym", "mmb", "v1"))
+    out = details.tag_vector(df, tags_of(spark), parts=3).collect()
+    hot = {r.part: [p.tagvalue for p in r.tag_vec] for r in out if r.uid == "hot"}
+    assert set(hot) == set(range(14)) and max(map(len, hot.values())) < 100
+    assert sorted(v for part in hot.values() for v in part) == sorted(f"v{i}" for i in range(700))
+    ((part, vec),) = [(r.part, [p.tagvalue for p in r.tag_vec]) for r in out if r.uid == "u"]
+    assert vec == ["v1"] and "v1" in hot[part]
+    assert details.tag_vector(df.limit(0), tags_of(spark), parts=3).collect() == []
+
+
 def config_of(spark, *rows):
     return spark.createDataFrame(list(rows), "evnt_cd string, trgt_col_nm string, tag_nm string")
 
