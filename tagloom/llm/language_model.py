@@ -32,7 +32,7 @@ from tagloom.operators.joins import spread_join
 
 VOCABULARY = 2048
 #: Units of the recurrent state, and of a word's embedding.
-STATE = 16
+STATE = 24
 #: Most frequent words whose counts are broadcast; the counts of all others are joined.
 HEAD = 200_000
 HEAD_WORD_BYTES = 64

@@ -331,6 +331,11 @@ def test_probabilities_of_all_tokens_add_to_one():
         assert mass == pytest.approx(1)
 
 
+def test_the_state_has_24_units():
+    known = language_model.Vocabulary([(b"", language_model.shape(b""), 3)], 1, 3, 1, {})
+    assert known.model().size == Gru(1, 1).size == 24
+
+
 def plain_base(pairs, held_out):
     tokens = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)), None]
     tally = Counter(w for d, t in pairs if not held_out(d) for w in tokens(t))
