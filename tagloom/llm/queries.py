@@ -12,11 +12,14 @@ from tagloom.llm import (
     id_files,
     language_model,
     licenses,
+    merge_replay,
+    merkle,
     quality,
     secrets,
     simhash,
     token_counts,
     vafile,
+    whitening,
     word_bpe,
 )
 from tagloom.llm.common import table
@@ -116,6 +119,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = merge_replay.encode_decode(table(spark, sf_dir, "documents"))
+    decimals = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return done.select(
+        "doc_id", "n_tokens", F.sha2(decimals, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaves = merkle.document_leaves(table(spark, sf_dir, "documents"))
+    return merkle.manifest(leaves, "lang", "doc_id").drop("lang")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -129,5 +149,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_language_model,
         op10_quality,
+        op11_merge_replay,
+        op12_merkle_manifest,
+        op13_embedding_whitening,
     )
 }
