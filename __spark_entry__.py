@@ -5,7 +5,6 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from functools import cached_property, partial
-from importlib.util import find_spec
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -445,14 +444,15 @@ def _run(fn: Callable[[_Inputs], DataFrame], spark: SparkSession, sf_dir: str) -
 
 
 def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
-    """Queries and SQL of the training-data operators and their pipeline; nothing where those files are absent."""
-    found = {name: find_spec(name) for name in ("tagloom.llm", "corpus_pipeline")}
-    if not all(spec and spec.origin for spec in found.values()):
+    """Queries and SQL of the training-data operators and their pipeline; nothing where those files, or libraries that
+    they need, are absent."""
+    try:
+        import corpus_pipeline
+        from tagloom.llm.oracle import SQL
+        from tagloom.llm.queries import QUERIES
+    except ImportError as missing:
+        print(f"training-data queries left out: {missing}", file=sys.stderr)
         return {}, {}
-    import corpus_pipeline
-    from tagloom.llm.oracle import SQL
-    from tagloom.llm.queries import QUERIES
-
     made, sql = QUERIES | {"pipeline": corpus_pipeline.run}, dict(SQL)
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,0 +1,97 @@
+"""CSV files read by their own headers; lines that are no rows come back with their place."""
+
+from __future__ import annotations
+
+import pytest
+from helpers import bag
+
+from tagloom.sources import tables
+from tagloom.sources.csv_files import read_csv_files
+
+
+def write(folder, **files):
+    folder.mkdir(exist_ok=True)
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8", newline="")
+    return str(folder)
+
+
+def name_of(row):
+    return row.file.rsplit("/", 1)[1]
+
+
+def places(found):
+    return sorted((name_of(r), r.line, r.text, r.reason) for r in found.bad.collect())
+
+
+def counts(found):
+    return {name_of(r): (r.lines, r.rows, r.bad, r.blank) for r in found.counts.collect()}
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    path = write(tmp_path / "e", a="err_cd,err_key\nE1,1\nE2,2\n", b="err_key,err_cd\n7,E7\n", c="﻿ERR_CD , err_key\r\nE3,3\r\n")
+    rows = tables.read_csv(spark, path)
+    assert rows.columns == ["err_cd", "err_key"]
+    assert {tuple(r) for r in rows.collect()} == {("E1", "1"), ("E2", "2"), ("E3", "3"), ("E7", "7")}
+    typed = tables.read_csv(spark, path, "err_map")
+    assert {tuple(r) for r in typed.collect()} == {("E1", 1), ("E2", 2), ("E3", 3), ("E7", 7)}
+
+
+def test_lines_that_are_no_rows_come_back(spark, tmp_path):
+    path = write(
+        tmp_path / "q",
+        a='k,v,w\n1,"a,b",x\n2,short\n\n3,"open,y\n4,d,e,too long\n5,"he said ""no""",z\nk,v,w\n6,,\n',
+        b='w,k,v\nx,7,"\n"",8,\n',
+    )
+    found = read_csv_files(spark, path)
+    assert {tuple(r) for r in found.rows.collect()} == {
+        ("1", "a,b", "x"), ("5", 'he said "no"', "z"), ("6", None, None), ("8", None, None),
+    }
+    assert places(found) == [
+        ("a.csv", 3, "2,short", "columns"),
+        ("a.csv", 5, '3,"open,y', "unclosed"),
+        ("a.csv", 6, "4,d,e,too long", "columns"),
+        ("a.csv", 8, "k,v,w", "header again"),
+        ("b.csv", 2, 'x,7,"', "unclosed"),
+    ]
+    assert counts(found) == {"a.csv": (9, 3, 4, 1), "b.csv": (3, 1, 1, 0)}
+    with pytest.raises(Exception, match="not a row"):
+        tables.read_csv(spark, path).collect()
+
+
+def test_line_numbers_go_through_files_cut_into_parts(spark, conf, tmp_path):
+    """A file in many parts, bad lines all over it."""
+    body = "".join(f"{i},v{i}\n" if i % 97 else f"{i}\n" for i in range(5000))
+    path = write(tmp_path / "p", a="k,v\n" + body, b="v,k\n" + "x,1\n" * 3000)
+    conf(files__maxPartitionBytes="4096", files__openCostInBytes="1")
+    found = read_csv_files(spark, path)
+    assert found.rows.rdd.getNumPartitions() > 8
+    assert places(found) == sorted(("a.csv", i + 2, str(i), "columns") for i in range(0, 5000, 97))
+    assert found.rows.count() == 5000 - len(range(0, 5000, 97)) + 3000
+    assert found.rows.where("k = '1' AND v = 'x'").count() == 3000
+
+
+def test_headers_that_differ_end_the_call(spark, tmp_path):
+    path = write(tmp_path / "d", a="k,v\n1,2\n", b="k,z\n1,2\n")
+    with pytest.raises(ValueError, match="b.csv: columns v missing, z added"):
+        read_csv_files(spark, path)
+    twice = write(tmp_path / "t", a="k,K\n1,2\n")
+    with pytest.raises(ValueError, match="two of one name"):
+        read_csv_files(spark, twice)
+
+
+def test_files_without_lines(spark, tmp_path):
+    path = write(tmp_path / "n", a="", b="\n\n")
+    found = read_csv_files(spark, path, ["k", "v"])
+    assert found.rows.columns == ["k", "v"] and found.rows.count() == found.bad.count() == 0
+    some = read_csv_files(spark, write(tmp_path / "n", c="v,k\n2,1\n"), ["k", "v"])
+    assert bag(some.rows) == bag(spark.createDataFrame([("1", "2")], "k string, v string"))
+    assert tables.read_csv(spark, write(tmp_path / "o", a="k\n1\n")).columns == ["k"]
+
+
+def test_only_the_files_of_a_header_are_scanned_for_it(spark, tmp_path):
+    """One scan a header, no shuffle for the rows."""
+    path = write(tmp_path / "s", a="k,v\n1,2\n", b="k,v\n3,4\n", c="v,k\n6,5\n")
+    rows = read_csv_files(spark, path).rows
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 2 and "Exchange" not in text and "Python" not in text
