@@ -9,14 +9,15 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracle
-from tagloom.functions import fields, text
+from tagloom.functions import fields, sql, text
 from tagloom.operators import config, customer, details, dimensions, journeys, requests
 from tagloom.plans.audit import REQUEST_DAY, audit_flow, event_amounts, mapping_flow, request_tags, wide_details
 from tagloom.schemas import REQUEST_COLUMNS
+from tagloom.sources import csv_files, tables
 from tagloom.sources.sample_views import base_table, view
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -26,7 +27,7 @@ class _Inputs:
     """The views of one data directory, by name."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = spark, sf_dir
+        self._spark, self._dir, self.spark = spark, sf_dir, spark
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -170,6 +171,18 @@ def first_transaction(x: _Inputs) -> DataFrame:
     return details.first_transaction(x.details, x.active_events, x.main, order_by=["log_dte", "seq"])
 
 
+@_query
+def first_transaction_sql(x: _Inputs) -> DataFrame:
+    """The same as a statement of SQL."""
+    views = {"audit_details": x.details, "event_attr_config": x.active_events, "audit_main": x.main}
+    return sql.run_statement(x.spark, sql.FIRST_TRANSACTION, **views)
+
+
+@_query
+def event_amounts_sql(x: _Inputs) -> DataFrame:
+    return sql.run_statement(x.spark, sql.EVENT_AMOUNTS, audit_details=x.details, event_attr_config=x.active_events)
+
+
 @_query
 def event_config_match(x: _Inputs) -> DataFrame:
     dedup = details.dedup_details(x.clean, order_by=["seq", "acn_cat_nme"])
@@ -213,6 +226,12 @@ def tag_pairs(x: _Inputs) -> DataFrame:
     return details.tag_pairs(x.stripped, x.tag_rows)
 
 
+@_query
+def tag_pairs_filtered(x: _Inputs) -> DataFrame:
+    """Rows without a configured tag go before the shuffle."""
+    return details.tag_pairs(x.stripped, x.tag_rows, expected_tags=x.tag_rows.count())
+
+
 @_query
 def tag_vector(x: _Inputs) -> DataFrame:
     vector = details.tag_vector(x.stripped, x.tag_rows, parts=3)
@@ -308,6 +327,13 @@ def customer_id(x: _Inputs) -> DataFrame:
     return customer.customer_id(x.main, x.latest_link)
 
 
+@_query
+def customer_id_hot(x: _Inputs) -> DataFrame:
+    """A third of the requests with one member, which nobody has declared."""
+    member = F.when(F.col("uid").cast("long") % 3 == 0, F.lit("7")).otherwise(F.col("mmb_num"))
+    return customer.customer_id(x.main.withColumn("mmb_num", member), x.latest_link, find_hot=True)
+
+
 @_query
 def latest_day_customers(x: _Inputs) -> DataFrame:
     newest = requests.latest_partition(x.main)
@@ -411,6 +437,91 @@ def journeys_labelled(x: _Inputs) -> DataFrame:
     return journeys.label_journeys(x.journey).withColumn("reasons", F.array_join("reasons", ","))
 
 
+@_query
+def journeys_removed_filtered(x: _Inputs) -> DataFrame:
+    """Rows of journeys that break no rule go before the shuffle."""
+    expected = journeys.broken_journeys(x.journey).count()
+    return journeys.removed_journeys(x.journey, expected).withColumn("reasons", F.array_join("reasons", ","))
+
+
+@_query
+def journey_counts(x: _Inputs) -> DataFrame:
+    """Kept, removed and broken rules, counted while the labelled rows are written."""
+    counts = Observation("journeys")
+    labelled = journeys.observe_journeys(journeys.label_journeys(x.journey), counts)
+    labelled.write.parquet(tables.scratch_folder(x.spark, "journeys"))
+    return x.spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in counts.get.items()])
+
+
+# --- tables and files --------------------------------------------------------------
+
+
+def _code_lines(x: _Inputs, columns: tuple[str, ...], third: int) -> DataFrame:
+    """A third of the event codes as CSV lines; some are short, some have an open quote."""
+    uid = F.col("uid").cast("long")
+    whole = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in columns])
+    line = F.when(uid % 97 == 0, F.col("uid")).when(uid % 101 == 0, F.concat(F.lit('"'), whole)).otherwise(whole)
+    return x.event_codes.where(uid % 3 == third).select(line.alias(",".join(columns)))
+
+
+def _code_files(x: _Inputs):
+    """The event codes as CSV files of three column orders."""
+    folder = tables.scratch_folder(x.spark, "codes")
+    orders = ("uid,chnl_cd,evnt_cd,err_cd", "err_cd,evnt_cd,uid,chnl_cd", "EVNT_CD,chnl_cd,err_cd,UID")
+    for third, order in enumerate(orders):
+        lines = _code_lines(x, tuple(order.split(",")), third)
+        # each line is one value that no quote or separator of this write occurs in
+        lines.write.options(header=True, sep="\x01", quote="\x02", ignoreTrailingWhiteSpace=False).mode("append").csv(folder)
+    return csv_files.read_csv_files(x.spark, folder, orders[0].split(","))
+
+
+@_query
+def csv_by_header(x: _Inputs) -> DataFrame:
+    return _code_files(x).rows
+
+
+@_query
+def csv_no_rows(x: _Inputs) -> DataFrame:
+    """The lines that are no rows."""
+    return _code_files(x).bad.select("text", "reason")
+
+
+def _new_table(x: _Inputs, name: str, df: DataFrame, **how) -> str:
+    x.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    tables.write_table(df, name, path=tables.scratch_folder(x.spark, name), **how)
+    return name
+
+
+@_query
+def table_days(x: _Inputs) -> DataFrame:
+    """Main rows as a table; one day is written again without rows, one with its log-ins only."""
+    name = _new_table(x, "tagloom_days", x.main)
+    again = x.main.where("log_dte = DATE '2024-01-06' AND acn_cat_nme = 'LOGIN'")
+    tables.write_table(again, name, days=["2024-01-05", "2024-01-06"])
+    return tables.read_table(x.spark, name)
+
+
+@_query
+def latest_day_by_catalog(x: _Inputs) -> DataFrame:
+    """The newest day of a table, from the catalog; the day after it is empty."""
+    name = _new_table(x, "tagloom_latest", x.main)
+    after = x.main.withColumn("log_dte", F.lit("2024-01-31").cast("date"))
+    tables.write_table(after, name, days=["2024-01-31"])
+    tables.write_table(after.where("uid IS NULL"), name, days=["2024-01-31"])
+    return tables.read_newest(x.spark, name)
+
+
+@_query
+def main_enriched_bucketed(x: _Inputs) -> DataFrame:
+    """Details and main rows in equal buckets of the request: the join moves no row."""
+    main, rows = x.main, x.details
+    names = [_new_table(x, f"tagloom_{n}", df, partition_by=None, buckets=(16, "uid")) for n, df in (("main", main), ("details", rows))]
+    by = tables.shared_buckets(x.spark, *names)
+    main, rows = (tables.read_table(x.spark, n) for n in names)
+    wide = wide_details(rows, x.active_rules)
+    return requests.enrich_main(wide, requests.normalise_main(main), by=REQUEST_DAY, colocated_by=by)
+
+
 # --- the whole flow --------------------------------------------------------------
 
 
@@ -453,10 +564,10 @@ def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]
     except ImportError as missing:
         print(f"training-data queries left out: {missing}", file=sys.stderr)
         return {}, {}
-    made, sql = QUERIES | {"pipeline": corpus_pipeline.run}, dict(SQL)
+    made, texts = QUERIES | {"pipeline": corpus_pipeline.run}, dict(SQL)
     if corpus_pipeline.ORACLE_SQL:
-        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
-    return made, sql
+        texts["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return made, texts
 
 
 def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -351,6 +351,31 @@ SELECT j.*, concat_ws(',', CASE WHEN J1 THEN 'J1' END, CASE WHEN J2 THEN 'J2' EN
   CASE WHEN J3 THEN 'J3' END, CASE WHEN J4 THEN 'J4' END) AS reasons
 FROM fx_journey j LEFT JOIN broken b USING (journey_id)"""
 
+    # other ways to the same results
+    q["first_transaction_sql"], q["event_amounts_sql"] = q["first_transaction"], q["event_amounts"]
+    q["tag_pairs_filtered"], q["journeys_removed_filtered"] = q["tag_pairs"], q["journeys_removed"]
+    q["latest_day_by_catalog"], q["main_enriched_bucketed"] = q["latest_day"], q["main_enriched"]
+    q["customer_id_hot"] = _with(("fx_main", "fx_custlink"), LATEST_LINK) + """
+SELECT m.* EXCLUDE (cus_idr), m.cus_idr AS main_cus_idr, coalesce(trim(l.cus_idr), '-99') AS cus_idr,
+  coalesce(TRY_CAST(trim(l.cus_idr) AS BIGINT), -99) AS cust_id
+FROM (SELECT * REPLACE (CASE WHEN CAST(uid AS BIGINT) % 3 = 0 THEN '7' ELSE mmb_num END AS mmb_num) FROM fx_main) m
+LEFT JOIN latest l ON trim(m.mmb_num) = l.mmb_lnk_mmb_num"""
+    q["table_days"] = _with(("fx_main",)) + """
+SELECT * FROM fx_main WHERE log_dte <> DATE '2024-01-05' AND (log_dte <> DATE '2024-01-06' OR acn_cat_nme = 'LOGIN')"""
+    q["csv_by_header"] = _with(("fx_event_codes",)) + """
+SELECT * FROM fx_event_codes WHERE CAST(uid AS BIGINT) % 97 <> 0 AND CAST(uid AS BIGINT) % 101 <> 0"""
+    q["csv_no_rows"] = _with(("fx_event_codes",)) + """
+SELECT CASE WHEN CAST(uid AS BIGINT) % 97 = 0 THEN uid ELSE '"' || CASE CAST(uid AS BIGINT) % 3
+    WHEN 0 THEN concat_ws(',', uid, chnl_cd, evnt_cd, coalesce(err_cd, ''))
+    WHEN 1 THEN concat_ws(',', coalesce(err_cd, ''), evnt_cd, uid, chnl_cd)
+    ELSE concat_ws(',', evnt_cd, chnl_cd, coalesce(err_cd, ''), uid) END END AS text,
+  CASE WHEN CAST(uid AS BIGINT) % 97 = 0 THEN 'columns' ELSE 'unclosed' END AS reason
+FROM fx_event_codes WHERE CAST(uid AS BIGINT) % 97 = 0 OR CAST(uid AS BIGINT) % 101 = 0"""
+    q["journey_counts"] = _with(("fx_journey",), JOURNEY) + f"""
+SELECT count(*) AS rows, count(*) FILTER (NOT {any_rule}) AS kept, count(*) FILTER ({any_rule}) AS removed,
+  {", ".join(f"count(*) FILTER ({r}) AS {r}" for r in ("J1", "J2", "J2b", "J3", "J4"))}
+FROM fx_journey JOIN broken USING (journey_id)"""
+
     q["audit_flow"] = _with(
         ("fx_details", "fx_main", "fx_custlink", "fx_chnl_map", "fx_event_map", "fx_err_map"),
         STRIPPED, wide, MAIN, LINK, CHANNEL,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.fields import NO_ID, PLACEHOLDER_MEMBER
 from tagloom.functions.text import is_blank
 from tagloom.operators.details import first_row
-from tagloom.operators.joins import spread_join
+from tagloom.operators.joins import find_hot_keys, spread_join
 
 # Members that stand for "unknown" and so are on a large share of the rows.
 HOT_MEMBERS = (NO_ID, PLACEHOLDER_MEMBER)
@@ -57,12 +57,13 @@ def latest_customer_link(cust_link: DataFrame) -> DataFrame:
     return first_row(links, ["mmb_lnk_mmb_num"], order).select("mmb_lnk_mmb_num", "cus_idr")
 
 
-def customer_id(main: DataFrame, link: DataFrame) -> DataFrame:
+def customer_id(main: DataFrame, link: DataFrame, find_hot: bool = False) -> DataFrame:
     """Every main row with the customer of its member.
 
     `cus_idr` is the trimmed id or -99, `cust_id` the same as a number, with -99 for
     an id that is none.  A `cus_idr` of the main row itself moves to `main_cus_idr`.
-    `link` holds one row per trimmed member.
+    `link` holds one row per trimmed member.  The placeholders are always spread;
+    `find_hot` reads the members once, before, and spreads all that are on many rows.
     """
     if "cus_idr" in main.columns:
         main = main.withColumnRenamed("cus_idr", "main_cus_idr")
@@ -70,7 +71,10 @@ def customer_id(main: DataFrame, link: DataFrame) -> DataFrame:
     lookup = link.select(
         F.trim(F.col("mmb_lnk_mmb_num").cast("string")).alias("_member"), F.trim("cus_idr").alias("cus_idr")
     )
-    joined = spread_join(keyed, lookup, ["_member"], "left", HOT_MEMBERS).drop("_member")
+    hot = list(HOT_MEMBERS)
+    if find_hot:
+        hot = list(dict.fromkeys([*hot, *find_hot_keys(keyed, "_member")]))
+    joined = spread_join(keyed, lookup, ["_member"], "left", hot).drop("_member")
     return joined.withColumns(
         {
             "cus_idr": F.coalesce("cus_idr", F.lit(NO_ID)),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.text import is_blank, is_present, keep_chars, norm
 from tagloom.operators.joins import spread_join
+from tagloom.operators.key_filter import filtered
 
 DEDUP_KEY = ("uid", "log_dte", "tagname", "tagvalue")
 
@@ -203,18 +204,22 @@ def group_details(df: DataFrame, by: Sequence[str] = ("uid",)) -> DataFrame:
     return df.groupBy(*by).agg(*[F.max(c).alias(c) for c in rest])
 
 
-def tag_pairs(details: DataFrame, tag_rows: DataFrame) -> DataFrame:
+def tag_pairs(details: DataFrame, tag_rows: DataFrame, expected_tags: int | None = None) -> DataFrame:
     """Distinct (uid, tagname, tagvalue) whose tag is configured for the row's own event.
 
     `tag_rows` has a row per event code and tag (`evnt_cd`, `tag`).  This long relation
     is the one to go on with: it has no group of its own, however much a request holds.
+    `expected_tags`, about the number of those rows, puts a filter of them before the
+    shuffle: for more of them than Spark broadcasts.
     """
     wanted = tag_rows.select(norm("evnt_cd").alias("_event"), norm("tag").alias("_tag"))
+    rows = details.select(
+        "uid", "tagname", "tagvalue", norm("acn_cat_nme").alias("_event"), norm("tagname").alias("_tag")
+    )
+    if expected_tags is not None:
+        rows = filtered(rows, wanted, ["_event", "_tag"], expected_tags)
     return (
-        details.select(
-            "uid", "tagname", "tagvalue", norm("acn_cat_nme").alias("_event"), norm("tagname").alias("_tag")
-        )
-        .join(wanted, ["_event", "_tag"], "left_semi")
+        rows.join(wanted, ["_event", "_tag"], "left_semi")
         .select("uid", "tagname", "tagvalue")
         .distinct()
     )
@@ -261,12 +266,14 @@ def first_transaction(
     event_attr_config: DataFrame,
     main: DataFrame,
     order_by: Sequence[Column | str] | None = None,
+    expected_tags: int | None = None,
 ) -> DataFrame:
     """Digits of the first configured amount of each (uid, category), on the main rows.
 
     First by `order_by`, else by log date, time and millisecond; then by value.  The
     first row is taken before blank amounts are dropped: a blank first amount means
-    that the request has none, not that a later one counts.
+    that the request has none, not that a later one counts.  `expected_tags` as in
+    `tag_pairs`, for the amount tags of the configuration.
     """
     if order_by is None:
         order_by = ["log_dte", "log_tme", F.col("log_millisec").try_cast("int")]
@@ -274,13 +281,16 @@ def first_transaction(
     wanted = event_attr_config.filter(norm("trgt_col_nm") == "tran_amt").select(
         norm("evnt_cd").alias("_category"), norm("tag_nm").alias("_tag")
     )
-    amounts = details.select(
+    rows = details.select(
         "uid",
         norm("acn_cat_nme").alias("_category"),
         norm("tagname").alias("_tag"),
         F.col("tagvalue").alias("tran_amt"),
         *[c.alias(f"_by_{i}") for i, c in enumerate(order_by)],
-    ).join(wanted, ["_category", "_tag"], "left_semi")
+    )
+    if expected_tags is not None:
+        rows = filtered(rows, wanted, ["_category", "_tag"], expected_tags)
+    amounts = rows.join(wanted, ["_category", "_tag"], "left_semi")
     order = [F.col(f"_by_{i}").asc_nulls_first() for i in range(len(order_by))]
     order.append(F.col("tran_amt").asc_nulls_first())
     first = (

@@ -8,12 +8,18 @@ Each dimension is first brought to one key for each code.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tagloom.operators.joins import spread_join
 
 
+#: The code that each key is looked up by.
+CODES = {"chnl_key": "chnl_cd", "event_key": "event_cd", "err_key": "err_cd"}
+
+
 def _keys(df: DataFrame, code: str, key: str, out: str | None = None) -> DataFrame:
     """One key for each code of the active rows; two different keys of a code end the query."""
     rows = df.filter(F.col("active") == 1) if "active" in df.columns else df
@@ -50,3 +56,15 @@ def dimension_keys_inner(
     rows = spread_join(rows, _keys(event_map, "event_cd", "event_key", "evnt_cd"), ["evnt_cd"], "inner")
     rows = spread_join(rows, _keys(err_map, "err_cd", "err_key"), ["err_cd"], "inner")
     return rows.select("chnl_key", "event_key", "err_key")
+
+
+def observe_unmatched(df: DataFrame, counts: Observation, codes: Mapping[str, str] = CODES) -> DataFrame:
+    """Rows with dimension keys, counted on their way by the action that writes them: rows, and for each key of `codes`
+    that `df` has `<key>_unmatched`, the rows with a code and no key, in `counts.get` afterwards."""
+    have = {c.lower() for c in df.columns}
+    unmatched = [
+        F.count_if(F.col(code).isNotNull() & F.col(key).isNull()).alias(f"{key}_unmatched")
+        for key, code in codes.items()
+        if key in have and code in have
+    ]
+    return df.observe(counts, F.count(F.lit(1)).alias("rows"), *unmatched)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tagloom.operators.joins import spread_join
+from tagloom.operators.key_filter import filtered
 
 # Operators a journey may use, and attributes that link its steps.
 VALID_OPERATORS = ("EQ", "NE", "GT", "LT", "GTEQ", "LTEQ", "LK", "NIK", "B!")
@@ -77,3 +78,22 @@ def validate_journeys(df: DataFrame, other_attributes: bool = True) -> tuple[Dat
     labelled = label_journeys(df, other_attributes)
     kept = labelled.filter(F.size("reasons") == 0).select(*df.columns)
     return kept, labelled.filter(F.size("reasons") > 0)
+
+
+def removed_journeys(df: DataFrame, expected: int, other_attributes: bool = True) -> DataFrame:
+    """The removed rows alone, with their `reasons`: rows of journeys that break no rule go before the shuffle.
+
+    `expected` is about the number of broken journeys; see `key_filter`.
+    """
+    broken = broken_journeys(df, other_attributes)
+    rows = filtered(df, broken, ["journey_id"], expected)
+    return spread_join(rows, broken, ["journey_id"], "inner").select(*df.columns, "reasons")
+
+
+def observe_journeys(labelled: DataFrame, counts: Observation) -> DataFrame:
+    """`label_journeys` rows, counted on their way by the action that writes them: rows, kept, removed, and the rows
+    whose journey breaks each rule, in `counts.get` afterwards."""
+    kept = F.size("reasons") == 0
+    rules = [F.count_if(F.array_contains("reasons", rule)).alias(rule) for rule in RULES]
+    totals = F.count(F.lit(1)).alias("rows"), F.count_if(kept).alias("kept"), F.count_if(~kept).alias("removed")
+    return labelled.observe(counts, *totals, *rules)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions import fields, text
 from tagloom.operators import config, customer, details, dimensions, requests
 from tagloom.operators.joins import spread_join
+from tagloom.schemas import typed
+from tagloom.sources import tables
+from tagloom.sources.tables import read_table
 
 # Detail columns the later steps read; null where no rule fills them.
 RULE_COLUMNS = (
@@ -52,19 +56,25 @@ def audit_flow(
     err_map: DataFrame | None = None,
     business_date: date | str | None = None,
     channel: str = fields.CHANNEL,
+    colocated_by: str | None = None,
 ) -> DataFrame:
     """Every main row with its transposed details, customer, keys, masked ids and result.
 
     Runs over one business date, or over all of them if none is given; all days together
     give the rows of the single days.  Nothing but the names in the rule table is read
-    while the plan is built.
+    while the plan is built.  Declared columns get their declared types first.
+    `colocated_by` is the column that details and main rows lie in equal buckets of.
     """
+    audit_details, audit_main = typed(audit_details, "audit_details"), typed(audit_main, "audit_main")
+    cust_link, chnl_map = typed(cust_link, "cust_link"), typed(chnl_map, "chnl_map")
+    rule_config, event_map = typed(rule_config, "rule_config"), typed(event_map, "event_map")
+    err_map = err_map and typed(err_map, "err_map")
     chnl = config.active_channel_key(chnl_map, channel)
     rules = config.normalise_rules(rule_config, chnl)
     wide = wide_details(audit_details, rules, business_date)
     main = requests.normalise_main(audit_main, business_date)
 
-    rows = requests.enrich_main(wide, main, by=REQUEST_DAY)
+    rows = requests.enrich_main(wide, main, by=REQUEST_DAY, colocated_by=colocated_by)
     have = {c.lower() for c in rows.columns}
     absent = [c for c in RULE_COLUMNS if c not in have]
     rows = rows.withColumns({c: F.lit(None).cast("string") for c in absent})
@@ -92,6 +102,22 @@ def audit_flow(
     )
 
 
+def flow_over_tables(
+    spark: SparkSession,
+    names: Mapping[str, str],
+    business_date: date | str | None = None,
+    channel: str = fields.CHANNEL,
+) -> DataFrame:
+    """`audit_flow` over catalog tables; `names` has the table of each of its inputs.
+
+    Tables are checked against their schemas. Details and main rows that the sink has dealt to equal buckets of the
+    request are joined where they lie.
+    """
+    inputs = {entity: read_table(spark, name, entity) for entity, name in names.items()}
+    by = tables.shared_buckets(spark, names["audit_details"], names["audit_main"])
+    return audit_flow(**inputs, business_date=business_date, channel=channel, colocated_by="uid" if by == "uid" else None)
+
+
 def event_amounts(
     audit_details: DataFrame, event_attr_config: DataFrame, business_date: date | str | None = None
 ) -> DataFrame:

@@ -54,26 +54,36 @@ def conform(df: DataFrame, entity: str, null_bad: bool = False) -> DataFrame:
     it becomes null instead, but never in a key or a date column (`STRICT`).
     """
     schema = SCHEMAS[entity]
-    have = {name.lower(): name for name in df.columns}
+    have = {name.lower() for name in df.columns}
     missing = [f.name for f in schema if f.name.lower() not in have]
     if missing:
         raise ValueError(f"{entity}: missing columns {', '.join(missing)}")
     declared = {f.name.lower() for f in schema}
-
-    def typed(field: T.StructField) -> Column:
-        value = F.col(have[field.name.lower()])
-        if df.schema[have[field.name.lower()]].dataType == field.dataType:
-            return value
-        cast = value.try_cast(field.dataType)
-        if null_bad and field.name not in STRICT:
-            return cast
-        what = F.concat(F.lit(f"{entity}.{field.name}: not a {field.dataType.simpleString()}: "), value.cast("string"))
-        return F.when(value.isNotNull() & cast.isNull(), F.raise_error(what)).otherwise(cast)
-
-    columns = [typed(f).alias(f.name) for f in schema]
+    given = {f.name.lower(): f for f in df.schema}
+    columns = [_typed_column(entity, f, given[f.name.lower()], null_bad) for f in schema]
     return df.select(*columns, *[c for c in df.columns if c.lower() not in declared])
 
 
+def _typed_column(entity: str, field: T.StructField | None, given: T.StructField, null_bad: bool) -> Column:
+    value = F.col(given.name)
+    if field is None or given.dataType == field.dataType:
+        return value.alias(field.name if field else given.name)
+    cast = value.try_cast(field.dataType)
+    if null_bad and field.name not in STRICT:
+        return cast.alias(field.name)
+    what = F.concat(F.lit(f"{entity}.{field.name}: not a {field.dataType.simpleString()}: "), value.cast("string"))
+    return F.when(value.isNotNull() & cast.isNull(), F.raise_error(what)).otherwise(cast).alias(field.name)
+
+
+def typed(df: DataFrame, entity: str) -> DataFrame:
+    """`df` with the declared types in those declared columns that it has; nothing happens where they fit already."""
+    have = {f.name.lower(): f for f in df.schema}
+    there = [f for f in SCHEMAS[entity] if f.name.lower() in have]
+    if all(have[f.name.lower()].dataType == f.dataType for f in there):
+        return df
+    return df.select(*[_typed_column(entity, next((f for f in there if f.name.lower() == n), None), have[n], False) for n in have])
+
+
 # The columns that name a request where details are grouped by it rather than by its id alone.
 REQUEST_COLUMNS = (
     "uid", "mmb_num", "ses_idr", "log_tme", "acn_nme", "log_millisec", "acn_cat_nme", "msg_typ", "log_dte",

@@ -128,7 +128,7 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str], columns: Seq
     Every file has a header line, the first that is not blank, and its own order of columns; names compare without case
     and outer spaces, and the names of the first file, or `columns`, are those of the result. A file with other columns
     than these ends the call. Short and long lines (`columns`), lines with an open quote (`unclosed`) and further copies
-    of the header line (`header again`) are no rows. An empty file has none; neither has a folder without lines.
+    of the header line (`header again`) are no rows. An empty file has none; neither has a folder without lines. Empty values, quoted or not, are null.
     """
     found = headers(spark, paths)
     if not found:

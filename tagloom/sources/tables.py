@@ -126,6 +126,13 @@ def _buckets_of(spark: SparkSession, name: str) -> tuple[int, str] | None:
     return (int(_described(spark, name)["Num Buckets"]), column) if column else None
 
 
+def shared_buckets(spark: SparkSession, *names: str) -> str | None:
+    """The column that all these tables are dealt to the same number of buckets by, if they are."""
+    found = {_buckets_of(spark, name) for name in names}
+    one = found.pop()
+    return one[1] if one and not found else None
+
+
 def _replace_found(rows: DataFrame, name: str, partition_by: str) -> None:
     """Replace the partitions that `rows` has; the mode belongs to this one write."""
     spark = rows.sparkSession
@@ -151,9 +158,8 @@ def _replace_days(
             stray = F.raise_error(F.concat(F.lit(f"{name}: a row of another {by} than those declared: "), F.coalesce(F.col(by).cast("string"), F.lit("null"))))
             rows = df.where(F.when(known, F.col(by) == value).otherwise(stray.cast("boolean")))
         rows = _gathered(rows, by, rebalance, buckets).select(*columns)
-        # a typed literal: the value is compared and named as the column's type writes it
-        text = str(day).replace("'", "''")
-        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({by} = CAST('{text}' AS {kind.simpleString()})) SELECT * FROM {{rows}}", rows=rows)
+        text = str(day).replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({by} = '{text}') SELECT * FROM {{rows}}", rows=rows)
 
 
 def newest_partition(spark: SparkSession, name: str, by: str = "log_dte") -> str | None:
