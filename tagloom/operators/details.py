@@ -7,7 +7,7 @@ from datetime import date
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import is_blank, is_present, keep_chars, norm
@@ -62,12 +62,17 @@ def dedup_details(
     return first_row(df, key, head + [F.col(c).asc_nulls_first() for c in rest if c != greatest])
 
 
+#: Up to so many rules become expressions of the query; a longer table is joined.
+COMPILED_RULES = 100
+
+
 class RuleNames(NamedTuple):
-    """What a rule table names: output columns, pairs of tested columns, value columns."""
+    """What a rule table names: output columns, pairs of tested columns, value columns; the rules where they are few."""
 
     targets: list[str]
     tests: list[tuple[str, str]]
     values: list[str]
+    few: list[Row] | None = None
 
 
 def _named(rules: DataFrame) -> DataFrame:
@@ -87,15 +92,21 @@ def _named(rules: DataFrame) -> DataFrame:
 def rule_names(rules: DataFrame, df: DataFrame) -> RuleNames:
     """The names in the rules, after a check that they are columns of `df`.
 
-    Output columns have to be known while the plan is built: this one small read gets
-    names only, as many as there are columns, however many rules there are.
+    Output columns have to be known while the plan is built.  A short rule table, up to
+    `COMPILED_RULES`, is read whole for that; of a longer one, only the names are, as
+    many as there are columns.
     """
-    row = _named(rules).agg(
-        F.sort_array(F.collect_set("_target")).alias("targets"),
-        F.sort_array(F.collect_set(F.struct("_col1", "_col2"))).alias("tests"),
-        F.sort_array(F.collect_set("_from")).alias("values"),
-    ).first()
-    found = RuleNames(row.targets, [tuple(t) for t in row.tests], row["values"])
+    few = _named(rules).limit(COMPILED_RULES + 1).collect()
+    if len(few) <= COMPILED_RULES:
+        tests = sorted({(r._col1, r._col2) for r in few})
+        found = RuleNames(sorted({r._target for r in few}), tests, sorted({r._from for r in few}), few)
+    else:
+        row = _named(rules).agg(
+            F.sort_array(F.collect_set("_target")).alias("targets"),
+            F.sort_array(F.collect_set(F.struct("_col1", "_col2"))).alias("tests"),
+            F.sort_array(F.collect_set("_from")).alias("values"),
+        ).first()
+        found = RuleNames(row.targets, [tuple(t) for t in row.tests], row["values"])
     have = {c.lower() for c in df.columns}
     for name in [*found.values, *[c for test in found.tests for c in test]]:
         if name not in have:
@@ -109,6 +120,29 @@ def _live(rules: DataFrame) -> DataFrame:
     return _named(rules).filter(F.col("_test1").isNotNull() & F.col("_test2").isNotNull() & possible)
 
 
+def _can_match(rule: Row) -> bool:
+    """As `_live`, of a rule that has been read."""
+    if rule._test1 is None or rule._test2 is None:
+        return False
+    return rule._col1 != rule._col2 or rule._test1 == rule._test2
+
+
+def _usable_by_rules(rules: Sequence[Row], key_names: set[str]) -> Column:
+    """Whether some rule may match a row, as far as its key columns tell."""
+    tests: dict[tuple[str, ...], set[tuple[str, ...]]] = {}
+    for r in filter(_can_match, rules):
+        looked_at = {c: v for c, v in ((r._col1, r._test1), (r._col2, r._test2)) if c in key_names}
+        tests.setdefault(tuple(looked_at), set()).add(tuple(looked_at.values()))
+    usable = F.lit(False)
+    for columns, values in tests.items():
+        if len(columns) == 1:
+            usable = usable | norm(columns[0]).isin([v[0] for v in sorted(values)])
+        else:
+            for value in sorted(values):
+                usable = usable | reduce(Column.__and__, [norm(c) == v for c, v in zip(columns, value)])
+    return F.coalesce(usable, F.lit(False))
+
+
 def cut_for_rules(
     df: DataFrame,
     rules: DataFrame,
@@ -127,6 +161,8 @@ def cut_for_rules(
     looked_at = {test: tuple(dict.fromkeys(c for c in test if c in key_names)) for test in names.tests}
     if () in looked_at.values():  # a rule that looks at no key column may match any row
         return df
+    if names.few is not None:
+        return _emptied(df, _usable_by_rules(names.few, key_names), keep)
     live, rows, usable = _live(rules), df, F.lit(False)
     for i, columns in enumerate(sorted(set(looked_at.values()))):
         tables = [
@@ -140,8 +176,14 @@ def cut_for_rules(
         tests = {f"_cut{n}": norm(c) for n, c in enumerate(columns)}
         rows = spread_join(rows.withColumns(tests), known, list(tests), spread_by=list(df.columns)).drop(*tests)
         usable = usable | F.coalesce(f"_usable{i}", F.lit(False))
+    return _emptied(rows, usable, keep).select(*df.columns)
+
+
+def _emptied(rows: DataFrame, usable: Column, keep: Sequence[str]) -> DataFrame:
+    """Rows that are not usable keep the request, the day and `keep` alone."""
     fixed = {"uid", "log_dte", *[c.lower() for c in keep]}
-    return rows.select(*[F.col(c) if c.lower() in fixed else F.when(usable, F.col(c)).alias(c) for c in df.columns])
+    columns = [F.col(c) if c.lower() in fixed else F.when(F.col("_usable"), F.col(c)).alias(c) for c in rows.columns]
+    return rows.withColumn("_usable", usable).select(*columns)
 
 
 def transpose_by_rules(
@@ -159,7 +201,8 @@ def transpose_by_rules(
     condition never matches but still gives its column.  `carry` names columns whose
     greatest value is added.  `names` are those of `rule_names`, if read already.
 
-    The rules are joined to the rows, so their number is not bounded.  Matches are
+    Up to `COMPILED_RULES` rules are conditional maxima of one aggregate.  More are
+    joined to the rows, so their number is not bounded.  Matches are then
     merged to one short row per `by` and target; after that a group has no more rows
     than there are targets, however hot it was, and becomes one row.
     """
@@ -171,6 +214,8 @@ def transpose_by_rules(
         totals = [F.max(c).alias(c) for c in carry]
         return details.groupBy(*by).agg(*totals) if totals else details.select(*by).distinct()
 
+    if names.few is not None:
+        return _compiled(details, names, by, carry)
     shape = F.coalesce(*[F.when((F.col("_col1") == a) & (F.col("_col2") == b), F.lit(i)) for i, (a, b) in enumerate(names.tests)])
     wanted = (
         _live(rules)
@@ -182,7 +227,9 @@ def transpose_by_rules(
         for i, (a, b) in enumerate(names.tests)
     ]
     values = [F.col(v).cast("string").alias(f"_from_{v}") for v in names.values]
-    long = details.select(*by, *carry, *values, F.inline(F.array(*looks)))
+    # a row that no rule can match, such as one that was emptied, is there once and meets no rule
+    possible = F.filter(F.array(*looks), lambda t: t["_test1"].isNotNull() & t["_test2"].isNotNull())
+    long = details.select(*by, *carry, *values, F.inline_outer(possible))
     matched = spread_join(long, wanted, ["_shape", "_test1", "_test2"])
     value = F.coalesce(*[F.when(F.col("_hit._from") == v, F.col(f"_from_{v}")) for v in names.values])
     merged = (
@@ -198,6 +245,22 @@ def transpose_by_rules(
     return gathered.select(*by, *wide, *carry)
 
 
+def _compiled(details: DataFrame, names: RuleNames, by: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """One aggregate with the rules as expressions; the comparison form of a tested column is made once a row."""
+    tested = {c: f"_norm_{c}" for c in sorted({c for test in names.tests for c in test})}
+    wide = []
+    for target in names.targets:
+        values = [
+            F.when((F.col(tested[r._col1]) == r._test1) & (F.col(tested[r._col2]) == r._test2), F.col(r._from).cast("string"))
+            for r in names.few
+            if r._target == target and _can_match(r)
+        ]
+        value = F.greatest(*values) if len(values) > 1 else (values or [F.lit(None).cast("string")])[0]
+        wide.append(F.max(value).alias(target))
+    rows = details.withColumns({name: norm(c) for c, name in tested.items()})
+    return rows.groupBy(*by).agg(*wide, *[F.max(c).alias(c) for c in carry])
+
+
 def group_details(df: DataFrame, by: Sequence[str] = ("uid",)) -> DataFrame:
     """One row per `by` with the greatest value of every other column."""
     rest = [c for c in df.columns if c not in by]
@@ -230,11 +293,18 @@ def tag_names(details: DataFrame, tag_rows: DataFrame) -> DataFrame:
     return tag_pairs(details, tag_rows).select("uid", "tagname").distinct()
 
 
-#: Pairs of the largest request from which it gets more parts.
+#: Pairs that one array of `tag_vector` should hold at most.
 PART_PAIRS = 100_000
 
 
-def _part(parts: int | Column, *columns: str) -> Column:
+def parts_for(pairs: DataFrame, most: int = PART_PAIRS) -> int:
+    """A number of parts for `tag_vector` and `tag_map` that leaves the largest request of `tag_pairs` about `most`
+    pairs in each.  One job; the choice is the caller's, so that the shape of a result does not change by itself."""
+    largest = pairs.groupBy("uid").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first().n
+    return max(1, -(-(largest or 0) // most))
+
+
+def _part(parts: int, *columns: str) -> Column:
     """The part of a row, from 0: a function of its own values, the same for every request."""
     text = F.concat_ws("=", *columns)
     return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % parts).cast("int").alias("part")
@@ -243,13 +313,11 @@ def _part(parts: int | Column, *columns: str) -> Column:
 def tag_vector(details: DataFrame, tag_rows: DataFrame, parts: int) -> DataFrame:
     """Per uid and part the sorted array of its (tagname, tagvalue) pairs.
 
-    Every request is dealt to the same number of parts by its pairs, whatever its size: to `parts`, or to as many as
-    leave the largest request about PART_PAIRS pairs in each.
+    Every request is dealt to the same number of parts by its pairs, whatever its size: the part of a pair depends on
+    `parts` and the pair alone.  An array holds about one of `parts` shares of a request, so a request that may be
+    large wants many (see `parts_for`), or the long relation of `tag_pairs`, which has no arrays.
     """
-    pairs = tag_pairs(details, tag_rows)
-    most = pairs.groupBy("uid").agg(F.count("*").alias("n")).agg(F.max("n").alias("n"))
-    wanted = F.greatest(F.lit(parts).cast("long"), F.ceil(most.scalar() / PART_PAIRS))
-    dealt = pairs.select("uid", "tagname", "tagvalue", _part(wanted, "tagname", "tagvalue"))
+    dealt = tag_pairs(details, tag_rows).select("uid", "tagname", "tagvalue", _part(parts, "tagname", "tagvalue"))
     return dealt.groupBy("uid", "part").agg(F.sort_array(F.collect_list(F.struct("tagname", "tagvalue"))).alias("tag_vec"))
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from helpers import bag, column, final_plan
+from helpers import bag, column, final_plan, plan
 from pyspark.sql import functions as F
 
 from tagloom.functions import fields
@@ -233,19 +233,60 @@ def test_every_request_is_dealt_to_the_same_parts(spark, uid):
     assert vec == ["v1"] and "v1" in hot[part]
 
 
-def test_parts_follow_the_largest_request(spark, monkeypatch):
-    """Three parts of a request that needs more would hold over 200 pairs each."""
-    monkeypatch.setattr(details, "PART_PAIRS", 50, raising=False)
-    df = rows_of(spark, *[("hot", i, "paym", "mmb", f"v{i % 700}") for i in range(1000)], ("u", 1, "paym", "mmb", "v1"))
-    out = details.tag_vector(df, tags_of(spark), parts=3).collect()
-    hot = {r.part: [p.tagvalue for p in r.tag_vec] for r in out if r.uid == "hot"}
-    assert set(hot) == set(range(14)) and max(map(len, hot.values())) < 100
-    assert sorted(v for part in hot.values() for v in part) == sorted(f"v{i}" for i in range(700))
-    ((part, vec),) = [(r.part, [p.tagvalue for p in r.tag_vec]) for r in out if r.uid == "u"]
-    assert vec == ["v1"] and "v1" in hot[part]
+def test_parts_are_the_callers_choice(spark):
+    """The shape of a result stays as large requests come; the parts they need can be asked for."""
+    small = rows_of(spark, ("u", 1, "paym", "mmb", "v1"))
+    df = small.union(rows_of(spark, *[("hot", i, "paym", "mmb", f"v{i % 700}") for i in range(1000)]))
+    assert details.parts_for(details.tag_pairs(df, tags_of(spark)), most=50) == 14
+    assert details.parts_for(details.tag_pairs(df, tags_of(spark))) == 1
+    assert details.parts_for(details.tag_pairs(df.limit(0), tags_of(spark))) == 1
+    for parts in (3, 14):
+        out = details.tag_vector(df, tags_of(spark), parts=parts).collect()
+        hot = {r.part: [p.tagvalue for p in r.tag_vec] for r in out if r.uid == "hot"}
+        assert set(hot) == set(range(parts)) and max(map(len, hot.values())) < 1400 / parts
+        assert sorted(v for part in hot.values() for v in part) == sorted(f"v{i}" for i in range(700))
+        alone = details.tag_vector(small, tags_of(spark), parts=parts)
+        assert bag(alone) == {k: 1 for k in [next(iter(bag(alone)))]}
+        assert [r for r in out if r.uid == "u"] == alone.collect()
     assert details.tag_vector(df.limit(0), tags_of(spark), parts=3).collect() == []
 
 
+def test_tag_vector_reads_its_input_once(spark, sf_dir):
+    import __spark_entry__ as registry
+
+    x = registry._Inputs(spark, sf_dir)
+    once = plan(details.tag_pairs(x.stripped, x.tag_rows)).count("FileScan")
+    assert plan(details.tag_vector(x.stripped, x.tag_rows, parts=3)).count("FileScan") == once
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_compiled_and_joined_rules_agree(spark, monkeypatch, seed):
+    """Rules on one, two and other columns, null and clashing conditions, shared targets."""
+    import random
+
+    rng = random.Random(seed)
+    names, values = ["tagname", "acn_cat_nme", "mmb_num", "tagvalue"], ["a", "b", " C", "d ", None]
+    rules = [
+        (rng.choice(names), rng.choice(["a", "b", "c", "d", None]), rng.choice(names), rng.choice(["a", "b", "c", "d", None]), rng.choice(["tagvalue", "MMB_NUM "]), f"o{rng.randrange(9)}")
+        for _ in range(40)
+    ]
+    kinds = "filter_col1 string, filter_condn1 string, filter_col2 string, filter_condn2 string, value_col string, new_col string"
+    table = spark.createDataFrame(rules, kinds)
+    rows = [(f"u{rng.randrange(40)}", rng.randrange(5), *[rng.choice(values) for _ in range(4)]) for _ in range(600)]
+    df = spark.createDataFrame(rows, "uid string, vol int, tagname string, acn_cat_nme string, mmb_num string, tagvalue string")
+    df = df.withColumn("log_dte", F.lit("2024-01-05").cast("date"))
+
+    def result():
+        cut = details.cut_for_rules(df, table, keep=["vol"])
+        return bag(details.transpose_by_rules(details.dedup_details(cut, greatest="vol"), table, carry=["vol"]))
+
+    compiled = result()
+    assert "Join" not in plan(details.transpose_by_rules(df, table))
+    monkeypatch.setattr(details, "COMPILED_RULES", 3)
+    assert "Join" in plan(details.transpose_by_rules(df, table))
+    assert result() == compiled and any(v is not None for row in compiled for v in row[1:4])
+
+
 def config_of(spark, *rows):
     return spark.createDataFrame(list(rows), "evnt_cd string, trgt_col_nm string, tag_nm string")
 
