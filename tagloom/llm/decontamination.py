@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import LOWER, per_text, stored
 
 WINDOW = 10
-#: Characters of windows in one automaton. A larger benchmark is scanned for in several passes.
-SHARD_CHARS = 16 << 20
+#: Characters of windows, and of the item ids that go with them, in one automaton, which takes some 45 bytes for each.
+#: A larger benchmark is scanned for in several passes.
+SHARD_CHARS = 2 << 20
 
 _SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 _NORMAL = bytes(LOWER[b] if b not in _SEPARATORS else 32 for b in range(256))
@@ -113,12 +114,13 @@ def decontaminate(
 ) -> DataFrame:
     """`keep` with n_words, n_hit, items (sorted ids, as strings) and spans (start, end in the original text).
 
-    The windows are broadcast in shards of at most `shard_chars` characters (measured, not assumed): one shard, one
-    scan. With more, each pass scans for one shard and its findings are written before the next.
+    The windows and their item ids are broadcast in shards of about `shard_chars` characters (measured, not assumed):
+    one shard, one scan. With more, each pass scans for one shard and its findings are written before the next.
     """
     spark = docs.sparkSession
     known = stored(benchmark_windows(benchmark, window, item), "windows")
-    chars = known.agg(F.sum(F.length("window"))).first()[0] or 0
+    of_items = F.aggregate("items", F.lit(0).cast("long"), lambda n, name: n + F.octet_length(name) + 8)
+    chars = known.agg(F.sum(F.length("window") + of_items)).first()[0] or 0
     shards = -(-chars // shard_chars) or 1
     source = text if text in keep else "_scanned"
     rows = docs.select(*keep, *([] if text in keep else [F.col(text).alias(source)]))
