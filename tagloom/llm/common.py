@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 from pathlib import Path
 
 import pyarrow as pa
@@ -22,18 +23,30 @@ _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Keys longer than this are not remembered, so that a number of entries bounds the bytes.
+LONG_KEY = 256
+
+
 class Generations:
     """A bounded memory of a worker: what is used stays, what has not been used for a generation goes."""
 
     def __init__(self, size: int = 250_000):
         self.size, self.young, self.old = size, {}, {}
+        self._seen = 0
 
     def turned(self) -> dict:
         """The young generation, after it has become the old one if it was full."""
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}
+            self._seen = 0
         return self.young
 
+    def forget_long(self) -> None:
+        """Drop the long keys among those that have come since the last call: those of one text, no more."""
+        for key in [k for k in islice(reversed(self.young), len(self.young) - self._seen) if len(k) > LONG_KEY]:
+            del self.young[key]
+        self._seen = len(self.young)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A Parquet table of a data directory; workers can import this package afterwards.

@@ -90,8 +90,26 @@ class EliasFano:
         low = int.from_bytes(self._low[first:last].tobytes(), "little") >> (start & 7)
         return (self._select(i) - i) << self.low_bits | low & ((1 << self.low_bits) - 1)
 
+    def values(self) -> Iterator[int]:
+        """The numbers one after the other, as `self[i]` gives them: selected at every sample, then the next one bit."""
+        high, low, bits, mask = self._high, self._low, self.low_bits, (1 << self.low_bits) - 1
+        for start in range(0, self.n, SAMPLE):
+            stop = min(start + SAMPLE, self.n)
+            position = int(self._samples[start // SAMPLE])
+            first = start * bits >> 3
+            lows = int.from_bytes(low[first : (stop * bits + 7) >> 3].tobytes(), "little") >> (start * bits & 7)
+            end = int(self._samples[start // SAMPLE + 1]) if stop < self.n else 8 * len(high) - 1
+            ones = int.from_bytes(high[position >> 3 : (end >> 3) + 1].tobytes(), "little") >> (position & 7)
+            for i in range(start, stop):
+                skip = (ones & -ones).bit_length() - 1
+                position += skip
+                yield (position - i) << bits | lows & mask
+                ones >>= skip + 1
+                lows >>= bits
+                position += 1
+
     def all(self) -> np.ndarray:
-        """The whole sequence."""
+        """The whole sequence, unpacked at once."""
         ones = np.flatnonzero(np.unpackbits(self._high, bitorder="little"))[: self.n]
         values = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
         bits = np.unpackbits(self._low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
@@ -138,11 +156,10 @@ class IdFile:
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """doc_id, first position and ids of every document."""
-        ends = self._ends.all().tolist()
-        named = self._ids.all().astype(np.uint64).tolist()
-        for i, end in enumerate(ends):
-            start = ends[i - 1] if i else 0
-            yield (None if i < self.unnamed else self.first + named[i - self.unnamed]), start, self._data[start:end]
+        start, named = 0, self._ids.values()
+        for i, end in enumerate(self._ends.values()):
+            yield (None if i < self.unnamed else self.first + next(named)), start, self._data[start:end]
+            start = end
 
 
 # --- encoding -------------------------------------------------------------------
@@ -210,7 +227,9 @@ class ChunkEncoder:
         known = self._known.turned()
         parts = list(map(known.get, rest))
         head = self._learn(dict.fromkeys([c for c, part in zip(rest, parts) if part is None]), first)
-        return b"".join([head, *map(known.__getitem__, rest)])
+        ids = b"".join([head, *map(known.__getitem__, rest)])
+        self._known.forget_long()
+        return ids
 
 
 @functools.lru_cache(maxsize=2)

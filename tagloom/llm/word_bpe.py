@@ -25,7 +25,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from tagloom.llm.common import Generations, per_text
+from tagloom.llm.common import LONG_KEY, Generations, per_text
 
 LONG = 200
 #: Chunks in one generation of what a worker remembers.
@@ -116,7 +116,8 @@ class WordBpe:
                 parts = [inner[b] for b in raw]
                 parts[-1] = self.last[raw[-1]]
                 known = self.merge(parts)
-            self._words.turned()[word] = known
+            if len(word) <= LONG_KEY:
+                self._words.turned()[word] = known
         return known
 
     def chunk(self, text: str) -> list[int]:
@@ -167,25 +168,55 @@ def _chunks(path: str) -> Generations:
     return Generations(REMEMBERED)
 
 
+def _encoder(path: str):
+    """A function of a text in UTF-8: its ids as little-endian unsigned 32-bit integers."""
+    bpe, memory = tokenizer(path), _chunks(path)
+
+    def encode(raw: bytes) -> bytes:
+        chunks = raw.split()
+        known = memory.turned()
+        for chunk in set(chunks).difference(known):
+            ids = memory.old.get(chunk)
+            known[chunk] = _as_bytes(bpe.chunk(chunk.decode("utf-8", "replace"))) if ids is None else ids
+        ids = b"".join(map(known.__getitem__, chunks))
+        memory.forget_long()
+        return ids
+
+    return encode
+
+
+def encode(
+    docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("doc_id",), text: str = "text"
+) -> DataFrame:
+    """`keep` with ids (binary, little-endian unsigned 32-bit integers) and n_tokens of each whole text."""
+    path = path or public_tokenizers.path("word_bpe_49k.json")
+
+    def factory():
+        made = _encoder(path)
+
+        def ids_of(raw: bytes) -> tuple:
+            ids = made(raw)
+            return ids, len(ids) // 4
+
+        return ids_of
+
+    return per_text(docs, factory, "ids binary, n_tokens long", keep, text)
+
+
 def encode_decode(
     docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("doc_id",), text: str = "text"
 ) -> DataFrame:
-    """`keep` with ids (binary, little-endian unsigned 32-bit integers), n_tokens and decoded, of each whole text.
+    """The result of `encode` and decoded.
 
     ASCII white space separates chunks no word can cross, so a worker remembers what frequent chunks give.
     """
     path = path or public_tokenizers.path("word_bpe_49k.json")
 
     def factory():
-        bpe, memory = tokenizer(path), _chunks(path)
+        made, bpe = _encoder(path), tokenizer(path)
 
         def both(raw: bytes) -> tuple:
-            chunks = raw.split()
-            known = memory.turned()
-            for chunk in set(chunks).difference(known):
-                ids = memory.old.get(chunk)
-                known[chunk] = _as_bytes(bpe.chunk(chunk.decode("utf-8", "replace"))) if ids is None else ids
-            ids = b"".join(map(known.__getitem__, chunks))
+            ids = made(raw)
             return ids, len(ids) // 4, bpe.decode(np.frombuffer(ids, "<u4").tolist())
 
         return both

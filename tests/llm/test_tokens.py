@@ -124,6 +124,38 @@ def test_elias_fano_gives_back_every_number(values):
     assert [read[i] for i in range(len(values))] == values
 
 
+@given(st.lists(st.integers(0, 2**62), max_size=600), st.integers(0, 40))
+@settings(max_examples=80, deadline=None)
+def test_elias_fano_is_read_in_order_through_select(values, shift):
+    numbers = sorted(v >> shift for v in values)
+    made = id_files.EliasFano(memoryview(id_files.elias_fano(np.array(numbers, dtype=np.uint64))))
+    assert list(made.values()) == numbers
+
+
+def test_files_are_read_without_unpacking_whole_sequences(monkeypatch):
+    chunks = [np.arange(i % 7, dtype="<u2").tobytes() for i in range(2000)]
+    data = id_files.file_bytes([None, None, *range(5, 3 * 1998 + 5, 3)], chunks, 2)
+    monkeypatch.setattr(id_files.EliasFano, "all", lambda self: 1 / 0)
+    got = list(id_files.IdFile(data).documents())
+    assert [d for d, _, _ in got] == [None, None, *range(5, 3 * 1998 + 5, 3)]
+    assert [start for _, start, _ in got] == [sum(j % 7 for j in range(i)) for i in range(2000)]
+    assert all(ids.tobytes() == chunk for (_, _, ids), chunk in zip(got, chunks))
+
+
+def test_long_words_are_not_remembered():
+    """Encoders of megabyte words stay small, and right."""
+    rng = random.Random(4)
+    texts = [" ".join(["short", "".join(rng.choice("abcdef0") for _ in range(20_000)), f"w{i % 3}"]) for i in range(60)]
+    words = word_bpe._encoder(public_tokenizers.path("word_bpe_49k.json"))
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    made = id_files.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in texts:
+        assert words(text.encode()) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        made.encode(text)
+    for memory in (made._known, word_bpe._chunks(public_tokenizers.path("word_bpe_49k.json"))):
+        assert max(map(len, memory.young)) <= 256 and len(memory.young) >= 3
+
+
 def test_elias_fano_is_near_the_bound():
     values = np.sort(np.random.default_rng(1).integers(0, 1 << 30, 100_000))
     bits = 8 * len(id_files.elias_fano(values)) / len(values)
