@@ -5,7 +5,8 @@ the text before it, on whatever line, or in its own name; a value goes on over s
 a block of base64 lines. A dictionary primed with common identifiers and the text around the candidate compresses it,
 long ones in pieces; the marginal bytes are what the candidate adds to the compressed context. Ordinary names, paths and
 strings that the text shows outside a sensitive context add little; random strings add almost their entropy and are
-reported, with all their copies in the text.
+reported, with all their copies in the text. Strings of words and numbers, such as paths, file names and dates, and UUIDs
+are not candidates.
 
 Null and empty texts have no spans. Repeated rows give a row each. Offsets are code points, ends exclusive.
 """
@@ -45,18 +46,30 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-#: Words that make a line sensitive.
+#: Words that make what follows them sensitive, whole or as a part of a name: `auth` in auth_code and userAuth, not in
+#: author. Fixed values.
+_NAMES = (
+    "pass(?:w(?:or)?ds?|wd|phrases?|code)|secrets?|tokens?|api.?keys?|access.?keys?|private.?keys?|secret.?keys?|credentials?|"
+    "auth(?:orization|entication|enticat(?:e|or)|z|n)?|bearer|signatures?|session(?:.?(?:id|key|token))?|salt|signing|webhooks?|"
+    "connection.?strings?|pwd"
+)
 SENSITIVE = re.compile(
-    r"passw|passphrase|secret|token|api.?key|access.?key|private.?key|credential|auth|bearer|signature|session|salt|"
-    r"signing|webhook|connection.?string",
-    re.ASCII | re.IGNORECASE,
+    rf"(?<![A-Za-z])(?i:{_NAMES})(?![a-z])|(?<=[a-z])(?=[A-Z])(?i:{_NAMES})(?![a-z])", re.ASCII
 )
 _SENSITIVE_WORDS = (
-    b"passw", b"passphrase", b"secret", b"token", b"key", b"credential", b"auth", b"bearer", b"signature", b"session",
+    b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"auth", b"bearer", b"signature", b"session",
     b"salt", b"signing", b"webhook", b"connection",
 )
 #: No plain word: a digit, or small and capital letters in turns.
 _MIXED = re.compile(r"[0-9]|[a-z][A-Z]+[^A-Z]+[A-Z]")
+#: Names made of words and numbers, such as file names, versions, paths and hosts, and ids of a common form: dates and
+#: times, and the five groups of a UUID.
+_PART = (
+    r"(?>(?:[A-Za-z]?[a-z]{0,30}[0-9]{0,4}|[A-Z]{1,30}[0-9]{0,4}|[0-9]{1,3}[A-Za-z]{0,3}|[0-9]{1,14}|[0-9]{4,8}T[0-9]{4,6}Z?)"
+    r"(?![A-Za-z0-9]))"
+)
+_ORDINARY = re.compile(rf"{_PART}(?:[+/_=.~-]++{_PART})*+")
+_UUID = re.compile("[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 #: Words at the start of a candidate that name the rest of it.
 _NAME = re.compile(r"(?:[A-Za-z]+[+/_.~-])+")
 #: A word: what stands between two strings of one value has none.
@@ -143,16 +156,24 @@ def _without(text: str, start: int, end: int, spans: list[tuple[int, int]]) -> s
     return "".join([*out, text[start:end]])
 
 
-def _sensitive_copies(text: str, found: str, start: int, end: int) -> list[tuple[int, int]]:
-    """The copies of `found` in text[start:end] that a sensitive word precedes."""
+def _is_ordinary(value: str) -> bool:
+    """Whether a value is put together from words and numbers, or is a UUID, however often one has such a form."""
+    return bool(_ORDINARY.fullmatch(value) or _UUID.search(value) and _ORDINARY.fullmatch(_UUID.sub("0", value)))
+
+
+def _own_copies(text: str, found: str, start: int, end: int) -> list[tuple[int, int]]:
+    """The copies of `found` in text[start:end]: a secret is one, wherever else it stands."""
     out, at = [], text.find(found, start, end)
     while at >= 0:
-        if SENSITIVE.search(text, max(0, at - AROUND), at):
-            out.append((at, at + len(found)))
+        out.append((at, at + len(found)))
         at = text.find(found, at + len(found), end)
     return out
 
 
+def _merged(*spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    return sorted(span for some in spans for span in some)
+
+
 def _is_novel(text: str, k: int, values: list[tuple[int, int]], marginal: Callable[[str, str], int]) -> bool:
     """Whether the k-th value is incompressible, after the text around it and after the other values there."""
     (start, end), first, last = values[k], k, k + 1
@@ -165,13 +186,16 @@ def _is_novel(text: str, k: int, values: list[tuple[int, int]], marginal: Callab
     n = -(-len(found) // PIECE)
     pieces = [found[len(found) * i // n : len(found) * (i + 1) // n] for i in range(n)]
     bits = len(found) * _alphabet_bits(found) / 8
-    before, after = _without(text, low, start, near), _without(text, end, high, near)
+    # also those that the edge of the context cuts
+    copies_before = _own_copies(text, found, max(0, low - len(found)), start)
+    copies_after = _own_copies(text, found, end, high + len(found))
+    before = _without(text, low, start, _merged(near, copies_before))
+    after = _without(text, end, high, _merged(near, copies_after))
     # one context may happen to take the string up well
     contexts = {before + after, before, after}
     if sum(max(marginal(c, piece) for c in contexts) for piece in pieces) < NOVELTY * bits:
         return False
-    before = _without(text, low, start, _sensitive_copies(text, found, low, start))
-    after = _without(text, end, high, _sensitive_copies(text, found, end, high))
+    before, after = _without(text, low, start, copies_before), _without(text, end, high, copies_after)
     contexts = {before + after, after + before}
     return sum(max(marginal(c, piece) for c in contexts) for piece in pieces) >= NOVELTY_AMONG * bits
 
@@ -201,7 +225,7 @@ def novel_spans(text: str, lowered: bytes, marginal: Callable[[str, str], int])
     found = {
         text[start:end]
         for k, (start, end) in enumerate(values)
-        if _MIXED.search(text, start, end) and _is_novel(text, k, values, marginal)
+        if _MIXED.search(text, start, end) and not _is_ordinary(text[start:end]) and _is_novel(text, k, values, marginal)
     }
     return [(start, end, "novel") for start, end in _copies(text, runs, found)] if found else []
 
