@@ -38,7 +38,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers) of every document."""
-    return word_bpe.encode_decode(docs).select("doc_id", "n_tokens", "ids")
+    return word_bpe.encode(docs).select("doc_id", "n_tokens", "ids")
 
 
 STAGES = [
