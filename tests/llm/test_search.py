@@ -70,14 +70,51 @@ def test_queries_in_several_blocks(spark, monkeypatch):
     assert found(spark, rows, 3, 5) == top([(i, np.float32(v)) for i, v in rows], 3, lambda q: q % 5 == 0)
 
 
+def survivors(spark, vectors, queries=20, k=10):
+    """The share of pairs whose exact vectors may have to be read."""
+    rows = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    exact = vafile.distinct_vectors(vafile.integer_vectors(rows, "vec_id", "embedding"), k).cache()
+    cells = vafile.grid(exact, len(vectors[0]))
+    asked = [(r.rep, r.v) for r in exact.where(F.col("rep") < queries).collect()]
+    return vafile.scan(vafile.approximate(exact, cells), cells, asked, k).count() / (len(asked) * exact.count())
+
+
 def test_cells_rule_out_most_vectors(spark):
     """Exact vectors are read for few pairs."""
     rng = np.random.default_rng(11)
-    rows = spark.createDataFrame([(i, rng.normal(0, 1, 16).tolist()) for i in range(2000)], "vec_id long, embedding array<double>")
-    exact = vafile.distinct_vectors(vafile.integer_vectors(rows, "vec_id", "embedding"), 10).cache()
-    low, width = vafile.grid(exact, 16)
-    queries = [(r.rep, r.v) for r in exact.where("rep % 100 = 0").collect()]
-    assert vafile.scan(vafile.approximate(exact, low, width), low, width, queries, 10).count() < 20 * 2000 / 4
+    assert survivors(spark, rng.normal(0, 1, (2000, 16))) < 0.1
+
+
+@pytest.mark.parametrize("outliers", [[1e3], [1e3, -1e6, 1e9, 1e12]])
+def test_outliers_do_not_widen_the_cells(spark, outliers):
+    rng = np.random.default_rng(12)
+    vectors = [*rng.normal(0, 0.2, (2000, 32)), *([x] * 32 for x in outliers)]
+    assert survivors(spark, vectors) < 0.1
+
+
+def test_near_equal_vectors_are_told_apart(spark):
+    """All values crowd at two places, a few are scattered."""
+    rng = np.random.default_rng(13)
+    crowded = rng.choice([-5.0, 5.0], (2000, 16)) + rng.normal(0, 0.05, (2000, 16))
+    assert survivors(spark, [*crowded, *rng.uniform(-50, 50, (20, 16))]) < 0.1
+
+
+def test_outlying_vectors_as_by_brute_force(spark):
+    rng = np.random.default_rng(14)
+    rows = [(i, rng.normal(0, 0.2, 6).astype(np.float32).tolist()) for i in range(200)]
+    rows += [(300, [1000.0] * 6), (310, [-1e6] * 6), (311, [0.0, 1e9, 0.0, 0.0, 0.0, 0.0])]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    assert found(spark, rows) == top(rows, 10, lambda q: q % 10 == 0)
+
+
+def test_scores_beyond_64_bits_are_no_results(spark):
+    big = float(2**51)  # 2^61 as an integer
+    rows = [(0, [big, 1.0]), (1, [big, 0.0]), (2, [0.0, 3.0]), (3, [0.0009765625 * 3, 0.0]), (4, [-0.0009765625 * 4, 0.0]), (5, [0.0009765625 * 4, 0.0])]
+    rows += [(6, [1e30, 0.0]), (10, [0.0, 0.0])]
+    want = {(0, 3): 3 * 2**61, (0, 4): -(2**63), (0, 2): 1024 * 3072, (0, 10): 0}
+    got = [r for r in found(spark, rows) if r[0] == 0]
+    assert {(q, i): s for q, _, i, s in got} == want  # neither 1 (2^122) nor 5 (2^63), and 6 takes no part
+    assert [i for _, _, i, _ in got] == [3, 2, 10, 4]
 
 
 # --- components -------------------------------------------------------------------
