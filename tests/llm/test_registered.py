@@ -96,6 +96,17 @@ def test_language_model_beats_the_base_on_held_out_texts(spark):
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_rows_without_id_are_held_out(spark, odd_docs, tmp_path):
+    """In both queries that hold rows out."""
+    odd_docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{FOLDER}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    texts = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    texts.write.mode("append").parquet(f"{tmp_path}/documents.parquet")
+    for name in ("op9_language_model", "op10_quality"):
+        held = queries.QUERIES[name](spark, str(tmp_path)).where("doc_id IS NULL").select("held_out").collect()
+        assert [r.held_out for r in held] == [True, True], name
+
+
 def plain_pipeline(spark, docs, sf_dir):
     """The rows after each stage, the classifier's decisions taken as they are."""
     rows = [(r.doc_id, r.text) for r in docs.collect()]
