@@ -61,32 +61,43 @@ class Gru:
         self.p["word_bias"][:] = np.where(grid > 0, np.log(np.maximum(grid, 1)), -1e9)
         return self
 
-    def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """The next state, and what its gradient needs. x is the input already multiplied by its weights."""
-        n = self.size
-        u = h @ self.p["state"]
-        gates = x[:, : 2 * n] + u[:, : 2 * n]
-        np.negative(gates, out=gates)
-        np.exp(gates, out=gates)  # an overflow to infinity gives the right gate, 0
-        gates += 1
-        np.reciprocal(gates, out=gates)
-        z, r = gates[:, :n], gates[:, n:]
-        inner = u[:, 2 * n :] + self.p["reset_bias"]
-        new = np.tanh(x[:, 2 * n :] + r * inner)
-        return new + z * (h - new), (z, r, inner, new, h)
-
-    def states(self, inputs: np.ndarray, h: np.ndarray, keep: np.ndarray | None = None):
-        """States of a window (time x lanes), the saved steps and the last state. keep: 0 where a lane begins anew."""
-        x = self.p["embed"][inputs.ravel()] @ self.p["input"] + self.p["gate_bias"]
-        x = x.reshape(*inputs.shape, -1)
-        out, saved = np.empty((*inputs.shape, self.size), dtype=h.dtype), []
+    def states(self, inputs: np.ndarray, h: np.ndarray, keep: np.ndarray | None = None, embedded: np.ndarray | None = None):
+        """States of a window (time x lanes), what their gradient needs and the last state. keep: 0 where a lane begins
+        anew. embedded: the result of `embedded`, for one who has it."""
+        p, n = self.p, self.size
+        if embedded is None:
+            x = p["embed"][inputs.ravel()] @ p["input"]
+            x += p["gate_bias"]
+        else:
+            x = embedded[inputs.ravel()]
+        x = x.reshape(*inputs.shape, 3 * n)
+        gates = np.empty((*inputs.shape, 2 * n), dtype=h.dtype)
+        before, inner, new, out = (np.empty((*inputs.shape, n), dtype=h.dtype) for _ in range(4))
         for t in range(len(inputs)):
-            if keep is not None:
-                h = h * keep[t][:, None]
-            h, parts = self.step(x[t], h)
-            out[t] = h
-            saved.append(parts)
-        return out, saved, h
+            if keep is None:
+                before[t] = h
+            else:
+                np.multiply(h, keep[t][:, None], out=before[t])
+            h, g = before[t], gates[t]
+            u = h @ p["state"]
+            np.add(x[t, :, : 2 * n], u[:, : 2 * n], out=g)
+            np.negative(g, out=g)
+            np.exp(g, out=g)  # an overflow to infinity gives the right gate, 0
+            g += 1
+            np.reciprocal(g, out=g)
+            np.add(u[:, 2 * n :], p["reset_bias"], out=inner[t])
+            np.multiply(g[:, n:], inner[t], out=new[t])
+            new[t] += x[t, :, 2 * n :]
+            np.tanh(new[t], out=new[t])
+            np.subtract(h, new[t], out=out[t])
+            out[t] *= g[:, :n]
+            out[t] += new[t]
+            h = out[t]
+        return out, (gates, inner, new, before), h
+
+    def embedded(self) -> np.ndarray:
+        """What each token adds to the gates, for weights that stay as they are."""
+        return self.p["embed"] @ self.p["input"] + self.p["gate_bias"]
 
     def class_of(self, targets: np.ndarray) -> np.ndarray:
         return np.where(targets < self.words, targets // PER_CLASS, targets - self.words + self.word_classes)
@@ -95,68 +106,86 @@ class Gru:
         """Natural log-probability of each target, outside ones by class alone. With `grads`, the gradient of the
         weighted negative sum is added to it and that of the states returned too."""
         p, classes = self.p, self.class_of(targets)
-        logits = states @ p["class"] + p["class_bias"]
-        logits -= logits.max(1, keepdims=True)
+        # one sort by class: the rows of a class are a slice from here on
+        order = np.argsort(classes.astype(np.int16), kind="stable")
+        classes, targets, n = classes[order], targets[order], self.size
+        weight = None if grads is None else weight[order]
+        # a last component of one takes the biases into the products
+        lifted = np.ones((len(order), n + 1), dtype=states.dtype)
+        lifted[:, :n] = states[order]
+        reach = float(np.abs(states).max(initial=0))
+        of_class, flat = _lifted(p["class"], p["class_bias"], reach)
+        of_word, flat_words = _lifted(p["word"].transpose(0, 2, 1), p["word_bias"], reach)
         at = np.arange(len(targets))
-        chosen = logits[at, classes]
-        np.exp(logits, out=logits)
-        total = logits.sum(1)
+        logits = lifted @ of_class
+        chosen, total = _exponentials(logits, at, classes, flat)
         out = chosen - np.log(total)
         if grads is not None:
             logits *= (weight / total)[:, None]
             logits[at, classes] -= weight
-            grads["class"] += states.T @ logits
-            grads["class_bias"] += logits.sum(0)
+            d_class = lifted.T @ logits
+            grads["class"] += d_class[:n]
+            grads["class_bias"] += d_class[n]
             d_states = logits @ p["class"].T
-        order = np.argsort(classes.astype(np.int16), kind="stable")
-        ends = np.searchsorted(classes[order], np.arange(self.word_classes + 1))
+        ends = np.searchsorted(classes, np.arange(self.word_classes + 1))
+        places = targets - classes * PER_CLASS
         for c in range(self.word_classes):
-            rows = order[ends[c] : ends[c + 1]]
-            if not len(rows):
+            rows = slice(ends[c], ends[c + 1])
+            h = lifted[rows]
+            if not len(h):
                 continue
-            h, place, k = states[rows], targets[rows] - c * PER_CLASS, np.arange(len(rows))
-            inner = h @ p["word"][c].T + p["word_bias"][c]
-            inner -= inner.max(1, keepdims=True)
-            chosen = inner[k, place]
-            np.exp(inner, out=inner)
-            total = inner.sum(1)
+            place, k = places[rows], at[: len(h)]
+            inner = h @ of_word[c]
+            chosen, total = _exponentials(inner, k, place, flat_words)
             out[rows] += chosen - np.log(total)
             if grads is not None:
                 w = weight[rows]
                 inner *= (w / total)[:, None]
                 inner[k, place] -= w
-                grads["word"][c] += inner.T @ h
-                grads["word_bias"][c] += inner.sum(0)
+                d_word = inner.T @ h
+                grads["word"][c] += d_word[:, :n]
+                grads["word_bias"][c] += d_word[:, n]
                 d_states[rows] += inner @ p["word"][c]
-        return (out, d_states) if grads is not None else out
+        back = np.empty_like(order)
+        back[order] = at
+        return (out[back], d_states[back]) if grads is not None else out[back]
 
-    def backward(self, inputs: np.ndarray, saved: list, d_out: np.ndarray, grads: dict, keep=None) -> None:
+    def backward(self, inputs: np.ndarray, saved: tuple, d_out: np.ndarray, grads: dict, keep=None) -> None:
         """Add the gradient through the window's states; nothing flows to earlier windows or other documents."""
         p, n = self.p, self.size
-        d_x = np.empty((*inputs.shape, 3 * n), dtype=d_out.dtype)
+        gates, inner, new, before = saved
+        z, r = gates[..., :n], gates[..., n:]
+        # what the gradient of a state is multiplied by, for all times at once
+        to_new = (1 - z) * (1 - new * new)
+        to_z = (before - new) * z * (1 - z)
+        to_r = inner * r * (1 - r)
+        d_new = np.empty_like(d_out)
+        d_u = np.empty((*inputs.shape, 3 * n), dtype=d_out.dtype)
         d_h = np.zeros(d_out.shape[1:], dtype=d_out.dtype)
+        state = np.ascontiguousarray(p["state"].T)
         for t in range(len(inputs) - 1, -1, -1):
-            z, r, inner, new, h = saved[t]
-            d_h = d_h + d_out[t]
-            d_new = d_h * (1 - z) * (1 - new * new)
-            d_gate = d_x[t]
-            d_gate[:, :n] = d_h * (h - new) * z * (1 - z)
-            d_gate[:, n : 2 * n] = d_new * inner * r * (1 - r)
-            d_gate[:, 2 * n :] = d_new
-            d_u = d_gate.copy()
-            d_u[:, 2 * n :] *= r
-            grads["state"] += h.T @ d_u
-            grads["reset_bias"] += d_u[:, 2 * n :].sum(0)
-            d_h = d_h * z + d_u @ p["state"].T
+            d_h += d_out[t]
+            g = d_u[t]
+            np.multiply(d_h, to_z[t], out=g[:, :n])
+            np.multiply(d_h, to_new[t], out=d_new[t])
+            np.multiply(d_new[t], to_r[t], out=g[:, n : 2 * n])
+            np.multiply(d_new[t], r[t], out=g[:, 2 * n :])
+            d_h *= z[t]
+            d_h += g @ state
             if keep is not None:
                 d_h *= keep[t][:, None]
-        flat = d_x.reshape(-1, 3 * n)
+        flat = d_u.reshape(-1, 3 * n)
+        grads["state"] += before.reshape(-1, n).T @ flat
+        grads["reset_bias"] += flat[:, 2 * n :].sum(0)
+        flat[:, 2 * n :] = d_new.reshape(-1, n)
         grads["gate_bias"] += flat.sum(0)
-        grads["input"] += p["embed"][inputs.ravel()].T @ flat
+        ids = inputs.ravel()
+        grads["input"] += p["embed"][ids].T @ flat
         d_embed = flat @ p["input"].T
-        order = np.argsort(inputs.ravel(), kind="stable")
-        ids, first = np.unique(inputs.ravel()[order], return_index=True)
-        grads["embed"][ids] += np.add.reduceat(d_embed[order], first, axis=0)
+        order = np.argsort(ids.astype(np.uint16), kind="stable")
+        ids = ids[order]
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        grads["embed"][ids[first]] += np.add.reduceat(d_embed[order], first, axis=0)
 
     def window_gradient(self, inputs, targets, weight, h, keep=None):
         """Negative log-likelihood of a window (time x lanes), its gradient as a vector, and the last state. keep: 0
@@ -190,7 +219,7 @@ class Gru:
             return self._train(_blocks(chain(ahead, documents), lanes, first), lanes, window, rate)
 
     def _train(self, blocks, lanes, window, rate) -> int:
-        mean, square = np.zeros_like(self.vector), np.zeros_like(self.vector)
+        mean, square, work = (np.zeros_like(self.vector) for _ in range(3))
         h = np.zeros((lanes, self.size), dtype=np.float32)
         done = updates = 0
         for inputs, targets, mask, keep in blocks:
@@ -205,15 +234,28 @@ class Gru:
                 _, grad, h[live] = self.window_gradient(inputs[at].T, targets[at].T, weight / n, h[live], kept)
                 updates += 1
                 norm = np.sqrt(float(grad @ grad))
-                grad *= min(1.0, 1 / max(norm, 1e-9))
-                mean += 0.1 * (grad - mean)
-                square += 0.01 * (grad * grad - square)
                 # a window that the last documents leave partly empty moves the weights by its share
                 scale = rate * math.sqrt(1 - 0.99**updates) / (1 - 0.9**updates) * float(n) / (lanes * window)
-                self.vector -= scale * mean / (np.sqrt(square) + 1e-6)
+                self._adam(grad, min(1.0, 1 / max(norm, 1e-9)), scale, mean, square, work)
                 done += int(n)
         return done
 
+    def _adam(self, grad, shrink: float, scale: float, mean, square, work) -> None:
+        """One update in place; `work` is a buffer, and `grad` is used up."""
+        grad *= shrink
+        np.multiply(grad, grad, out=work)
+        work *= 0.01
+        square *= 0.99
+        square += work
+        grad *= 0.1
+        mean *= 0.9
+        mean += grad
+        np.sqrt(square, out=work)
+        work += 1e-6
+        np.divide(mean, work, out=work)
+        work *= scale
+        self.vector -= work
+
     def score(self, documents: list[np.ndarray], first: int, lanes: int = 256, window: int = 16) -> np.ndarray:
         """Natural log-probability of each document. Lanes take documents one after the other; a document's state is
         carried across all its windows and starts at zero."""
@@ -241,12 +283,13 @@ class Gru:
         inputs = np.full(targets.shape, first, dtype=np.int32)
         inputs[:, 1:][~fresh[:, 1:]] = targets[:, :-1][~fresh[:, 1:]]
         h = np.zeros((lanes, self.size), dtype=np.float32)
+        embedded = self.embedded()
         with np.errstate(over="ignore"):
             for t in range(0, int(sizes[0]), window):
                 live = int(np.searchsorted(-sizes, -t, side="left"))
                 at = np.s_[:live, t : t + window]
                 keep = (~fresh[at].T).astype(np.float32)
-                states, _, h = self.states(inputs[at].T, h[:live], keep if keep.min() == 0 else None)
+                states, _, h = self.states(inputs[at].T, h[:live], keep if keep.min() == 0 else None, embedded)
                 of, ids, flat = owner[at].T.ravel(), targets[at].T.ravel(), states.reshape(-1, self.size)
                 if sizes[live - 1] < t + window:
                     valid = of >= 0
@@ -255,6 +298,28 @@ class Gru:
         return out
 
 
+#: Logits that a state can move by no more than this need no greatest value taken off before they are raised.
+FLAT = 40.0
+
+
+def _lifted(weights: np.ndarray, bias: np.ndarray, reach: float) -> tuple[np.ndarray, bool]:
+    """Weights (... x units x outputs) with the biases, less the greatest of them, as one more unit; and whether states
+    of components up to `reach` keep all sums of the raised logits between exp(-FLAT) and exp(FLAT) an output."""
+    out = np.empty((*weights.shape[:-2], weights.shape[-2] + 1, weights.shape[-1]), dtype=weights.dtype)
+    out[..., :-1, :] = weights
+    out[..., -1, :] = bias - bias.max(-1, keepdims=True)
+    return out, reach * float(np.abs(weights).sum(-2).max(initial=0)) <= FLAT
+
+
+def _exponentials(logits: np.ndarray, at: np.ndarray, chosen: np.ndarray, flat: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Raises the rows in place; the chosen values before that, and the sums of the rows."""
+    if not flat:
+        logits -= logits.max(1, keepdims=True)
+    picked = logits[at, chosen]
+    np.exp(logits, out=logits)
+    return picked, logits @ np.ones(logits.shape[1], dtype=logits.dtype)
+
+
 def _blocks(documents: Iterator[np.ndarray], lanes: int, first: int):
     """Inputs, targets, mask and keep (lanes x BLOCK) until the documents are used up; a document goes on in the same
     lane of the next block."""

@@ -16,9 +16,11 @@ each count and each get a row. Without training documents all counts are zero an
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections import Counter
-from itertools import repeat
+from collections.abc import Iterable, Iterator
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,12 @@ HEAD = 200_000
 HEAD_WORD_BYTES = 64
 END = b""
 ROUNDS = 2
-#: Distinct words a counting task holds before it passes its counts on.
-HELD_WORDS = 400_000
+#: Bytes of distinct words, with their share of the table, that a counting task holds before it passes its counts on.
+HELD_BYTES = 32 << 20
+#: What a distinct word takes beside its own bytes: object, entry of the table, count.
+WORD_COST = 160
+#: Bytes of a text that are cut into words at once; a word longer than this is one piece.
+PIECE_BYTES = 1 << 20
 #: Tokens that a scoring task handles at once.
 HELD_TOKENS = 3 << 20
 #: Weight vectors that are averaged in one group.
@@ -57,6 +63,21 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(LOWER).split()
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def pieces(raw: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
+    """The text in runs of about `size` bytes that end at white space, so that no word is cut."""
+    at = 0
+    while len(raw) - at > size:
+        space = _SPACE.search(raw, at + size)
+        if space is None:
+            break
+        yield raw[at : space.end()]
+        at = space.end()
+    yield raw[at:] if at else raw
+
+
 def shape(word: bytes) -> int:
     """The outside class of a word, by its letters and its last character."""
     if not word:
@@ -75,27 +96,37 @@ def shape(word: bytes) -> int:
 _ASCII = bytes(range(128))
 
 
+def tally_words(texts: Iterable[bytes], held: int = HELD_BYTES) -> Iterator[tuple[list[bytes], list[int]]]:
+    """Distinct tokens and their counts, passed on whenever about `held` bytes of them have come together; a token may
+    come again."""
+    tally: Counter = Counter()
+    taken = 0
+    for raw in texts:
+        for piece in pieces(raw):
+            before = len(tally)
+            tally.update(words_of(piece))
+            grown = len(tally) - before
+            taken += grown * WORD_COST + sum(map(len, islice(reversed(tally), grown)))
+            if taken > held:
+                yield list(tally), list(tally.values())
+                tally.clear()
+                taken = 0
+        tally[END] += 1
+    if tally:
+        yield list(tally), list(tally.values())
+
+
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """word (binary; empty: end), shape and count of every distinct token, merged in each task first."""
 
     def run(batches):
-        tally: Counter = Counter()
-
-        def rows():
-            words, counts = list(tally), list(tally.values())
-            tally.clear()
-            for at in range(0, len(words), 100_000):
-                s = slice(at, at + 100_000)
-                made = [pa.array(words[s], pa.binary()), pa.array(counts[s], pa.int64())]
-                yield pa.RecordBatch.from_arrays(made, names=["word", "n"])
-
-        for batch in batches:
-            for value in batch.column(0).cast(pa.binary()):
-                tally.update(words_of(value.as_py() or b""))
-                tally[END] += 1
-                if len(tally) > HELD_WORDS:
-                    yield from rows()
-        yield from rows()
+        texts = (value.as_py() or b"" for batch in batches for value in batch.column(0).cast(pa.binary()))
+        for words, counts in tally_words(texts):
+            made = [pa.array(words, pa.binary()), pa.array(counts, pa.int64())]
+            del words, counts
+            whole = pa.RecordBatch.from_arrays(made, names=["word", "n"])
+            for at in range(0, whole.num_rows, 20_000):
+                yield whole.slice(at, 20_000)
 
     def shaped(batches):
         for batch in batches:
@@ -135,22 +166,29 @@ class Vocabulary:
     def encode(self, raw: bytes) -> tuple:
         """n_tokens, n_known, base, inside, ids and rare: the parts of a text's scores that need no model, its model
         ids as 16-bit integers, and the words that are not in the head, repeats included."""
-        words = words_of(raw)
+        sums, ids, rare, words = (0, 0, 0.0, 0.0), [], [], []
+        for piece in pieces(raw):
+            if words:
+                sums = self._add(words, *sums, ids, rare)
+            words = words_of(piece)
         words.append(END)
+        n, known, base, inside = self._add(words, *sums, ids, rare)
+        return n, known, base, inside, b"".join(ids), rare
+
+    def _add(self, words: list, n: int, known: int, base: float, inside: float, ids: list, rare: list) -> tuple:
         at = np.fromiter(map(self.index.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        known = at[at >= 0]
-        base = len(words) * self.base_scale + self.count_term[known].sum() if len(known) else len(words) * self.base_scale
-        inside = float(self.inside_term[known].sum()) if len(known) else 0.0
-        ids = np.empty(len(words), dtype="<u2")
-        ids[at >= 0] = self.ids[known] if len(known) else 0
-        rare = []
+        found = at[at >= 0]
+        here = np.empty(len(words), dtype="<u2")
+        here[at >= 0] = self.ids[found]
+        base += len(words) * self.base_scale + float(self.count_term[found].sum())
+        inside += float(self.inside_term[found].sum())
         for i in np.flatnonzero(at < 0).tolist():
-            word = words[i]
-            kind = shape(word)
-            ids[i] = self.size + kind
+            kind = shape(words[i])
+            here[i] = self.size + kind
             inside += self._shape_scale[kind]
-            rare.append(word)
-        return len(words), len(known), float(base), float(inside), ids.tobytes(), rare
+            rare.append(words[i])
+        ids.append(here.tobytes())
+        return n + len(words), known + len(found), base, inside
 
 
 _HELD: dict[str, object] = {}

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import string
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -379,6 +380,111 @@ def test_probabilities_of_all_tokens_add_to_one():
         assert mass == pytest.approx(1)
 
 
+def plain_scores(texts, learnt, size, model):
+    """log10 of the probability of each text, token by token in plain Python, from the counts of the learnt texts and
+    the model's weights."""
+    tokens = lambda t: [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", t.translate(LOWER))] + [b""]
+    tally = Counter(w for t in learnt for w in tokens(t))
+    order = sorted(tally, key=lambda w: (-tally[w], w))
+    vocabulary = {w: i for i, w in enumerate(order[:size])}
+    outside = [w for w in order[size:]]
+    p = {k: v.astype(float).tolist() for k, v in model.p.items()}
+    units, per = range(model.size), 64
+    sigmoid = lambda a: 1 / (1 + math.exp(-a))
+    number = lambda w: vocabulary.get(w, len(vocabulary) + language_model.shape(w))
+
+    def share(logits, i):
+        return logits[i] - math.log(sum(math.exp(v) for v in logits))
+
+    out = []
+    for t in texts:
+        h, before, total = [0.0] * model.size, number(b""), 0.0
+        for w in tokens(t):
+            x = [sum(p["embed"][before][i] * p["input"][i][j] for i in units) + p["gate_bias"][j] for j in range(3 * model.size)]
+            u = [sum(h[i] * p["state"][i][j] for i in units) for j in range(3 * model.size)]
+            z = [sigmoid(x[j] + u[j]) for j in units]
+            r = [sigmoid(x[j] + u[j]) for j in range(model.size, 2 * model.size)]
+            new = [math.tanh(x[2 * model.size + j] + r[j] * (u[2 * model.size + j] + p["reset_bias"][j])) for j in units]
+            h = [z[j] * h[j] + (1 - z[j]) * new[j] for j in units]
+            before = number(w)
+            known = w in vocabulary
+            c = before // per if known else before - len(vocabulary) + model.word_classes
+            logits = [sum(h[i] * p["class"][i][k] for i in units) + p["class_bias"][k] for k in range(len(p["class_bias"]))]
+            total += share(logits, c)
+            if known:
+                total += share([sum(h[i] * row[i] for i in units) + b for row, b in zip(p["word"][c], p["word_bias"][c])], before % per)
+            else:
+                same = [o for o in outside if language_model.shape(o) == language_model.shape(w)]
+                total += math.log((tally[w] + 0.1) / (sum(tally[o] for o in same) + 0.1 * (len(same) + 1)))
+        out.append(total / math.log(10))
+    return out
+
+
+@pytest.mark.parametrize("head", [language_model.HEAD, 90])
+@pytest.mark.parametrize("spread", [0.3, 4.0])
+def test_scores_as_by_brute_force(make, monkeypatch, head, spread):
+    """Weights that let all logits be raised as they are, and weights that do not."""
+    rng, held = np.random.default_rng(3), []
+
+    def train(encoded, model, end, rounds):
+        for name in ("embed", "input", "state", "gate_bias", "reset_bias", "class", "word"):
+            model.p[name][:] = rng.normal(0, spread if name in ("class", "word") else 0.5, model.p[name].shape)
+        held.append(model)
+        return model
+
+    monkeypatch.setattr(language_model, "train", train)
+    words = [f"w{i}" for i in range(90)] + ["the", "cat.", "runs,", "\u00e9t\u00e9", "\u6f22\u5b57!", "A-B", "..", "x" * 80]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 40))) for _ in range(40)] + ["", "never seen before, 1st", "The\tCAT.\n w1"]
+    docs = make(list(enumerate(texts)))
+    got = language_model.score_documents(docs, F.col("doc_id") >= 40, vocabulary=70, head=head).collect()
+    want = plain_scores(texts, texts[:40], 70, held[0])
+    assert [r.score for r in sorted(got, key=lambda r: r.doc_id)] == pytest.approx(want, rel=1e-4)
+
+
+def test_words_are_held_by_bytes():
+    """Megabyte words, and many words in one text: what is held stays near the bound, and every count arrives."""
+    rng = random.Random(4)
+    long = [bytes([97 + i]) * (1 << 20) for i in range(24)]
+    many = b" ".join(b"%x" % rng.getrandbits(64) for _ in range(200_000))
+    tracemalloc.start()
+    total, peak_words = Counter(), 0
+    for words, counts in language_model.tally_words([b" ".join(long[:12]), many, *long, b"a b a"], held=4 << 20):
+        peak_words = max(peak_words, sum(map(len, words)))
+        for w, n in zip(words, counts):
+            total[w if len(w) < 100 else (w[:1], len(w))] += n
+    tracemalloc.stop()
+    assert peak_words < 7 << 20
+    want = Counter(w if len(w) < 100 else (w[:1], len(w)) for t in [b" ".join(long[:12]), many, *long, b"a b a"] for w in t.split())
+    want[b""] = 27
+    assert total == want
+    rows = [1] * 27
+    tracemalloc.start()
+    for _ in language_model.tally_words((many for _ in rows), held=4 << 20):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+
+
+@pytest.mark.parametrize("size", [1, 5, 1 << 20])
+def test_pieces_cut_no_word(size):
+    for raw in (b"", b" ", b"abc", b"ab  cd\nefghijkl m\x0bn ", b"x" * 50, b"\t" * 9 + b"yy zz"):
+        parts = list(language_model.pieces(raw, size))
+        assert b"".join(parts) == raw
+        assert [w for p in parts for w in p.split()] == raw.split()
+
+
+def test_a_text_in_pieces_is_encoded_as_in_one(monkeypatch):
+    text = b"the cat runs, the DOG ran.  zebra q" * 9
+    tally = Counter(language_model.words_of(text))
+    known = language_model.Vocabulary([(w, language_model.shape(w), n) for w, n in tally.most_common(6)], 3, 80, 8, {s: (90, 9) for s in range(language_model.SHAPES)})
+    want = known.encode(text)
+    monkeypatch.setattr(language_model.pieces, "__defaults__", (11,))
+    got = known.encode(text)
+    assert got[:2] == want[:2] and got[4:] == want[4:]
+    assert got[2:4] == pytest.approx(want[2:4])
+
+
 def test_the_state_has_24_units():
     known = language_model.Vocabulary([(b"", language_model.shape(b""), 3)], 1, 3, 1, {})
     assert known.model().size == Gru(1, 1).size == 24
