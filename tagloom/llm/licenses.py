@@ -1,11 +1,14 @@
-"""License scans: sparse TF-IDF cosine of lines to licence templates, then inheritance down the directories.
+"""License scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance down the directories.
 
-Every line of every whole text is a header candidate. A line and a template are bags of terms (runs of a-z and 0-9
-after lower-casing), weighted by term frequency and inverse document frequency over all documents; a term that no
-template has weighs as one that no document has. A line that shares none of a template's heaviest terms (its prefix)
-cannot reach the threshold, so only lines with a prefix term are weighed: no match is lost.
+Three parts of every whole text are weighed. Each line, against every statement. Each window of as many terms as a
+statement has, over line ends, that stands where two of the statement's heaviest terms (its prefix) fall on their places
+in it and that lies in the text, against that statement: so a statement among other words or wrapped over lines is found. And the whole text of a
+licence file, against whole licences. All are bags of terms (runs of a-z and 0-9 after lower-casing), weighted by term
+frequency and inverse document frequency over all documents; a term that no template has weighs as one that no document
+has. A part that shares no prefix term with a template cannot reach the threshold, so only parts with one are weighed: no
+match is lost.
 
-A document's licence is that of its best line. A document without one takes the licence of the licence file in the
+A document's licence is that of its best part. A document without one takes the licence of the licence file in the
 nearest directory above it. Null texts, paths and ids: no header, no inheritance, the row stays. Ties go to the
 licence name that sorts first; repeated rows give a row each.
 
@@ -28,6 +31,7 @@ THRESHOLD = 0.6
 #: Licence statements by licence.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
     ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
@@ -36,8 +40,16 @@ TEMPLATES = (
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("GPL-3.0", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -46,6 +58,44 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
     ("proprietary", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."),
 )
+_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
+    "THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+#: Whole licences by licence. A caller may give others, long ones too.
+WHOLE = (
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and "
+        "this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "
+        "\"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS "
+        "BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+        "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "
+        "\"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+        "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
+        "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("BSD-2-Clause", _BSD_2 + _AS_IS),
+    ("BSD-3-Clause", _BSD_2 + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+        "or promote products derived from this software without specific prior written permission. " + _AS_IS),
+)
+#: Places of prefix terms that must agree on where a window stands; a statement with one place needs only that.
+AGREEING = 2
 #: A template list beyond this is refused: its terms are literals of the plan.
 MAX_TEMPLATE_CHARS = 1 << 20
 
@@ -91,12 +141,50 @@ def prefix_terms(templates: list[tuple[str, Counter]], idf: dict[str, float], th
     return sorted(out)
 
 
-def license_lines(
-    docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",), text: str = "text"
+def prefix_places(templates: list[tuple[str, str]], prefix: list[list[str]]) -> dict[str, list[tuple[int, int]]]:
+    """For each prefix term, the template and the place in it, from 0, of every occurrence. Of a template with fewer than
+    AGREEING such places, each counts AGREEING times."""
+    out: dict[str, list] = {}
+    for k, (_, text) in enumerate(templates):
+        found = [(t, i) for i, t in enumerate(_TERM.findall(text.lower())) if t in prefix[k]]
+        for t, i in found * (AGREEING if len(found) < AGREEING else 1):
+            out.setdefault(t, []).append((k, i))
+    return out
+
+
+def aligned_windows(texts: DataFrame, places: dict[str, list[tuple[int, int]]], sizes: list[int]) -> DataFrame:
+    """_row, own (a template), start and terms of every window on which prefix terms agree and that lies in the text;
+    `texts` has _row and _terms."""
+    needed = sorted(places)
+    pairs = lambda t: F.array(*[F.struct(F.lit(k).alias("own"), F.lit(i).alias("place")) for k, i in places[t]])
+    known = F.create_map(*[c for t in needed for c in (F.lit(t), pairs(t))])
+    seen = F.filter(F.transform("_terms", lambda t, i: F.struct(t.alias("term"), i.alias("at"))), lambda x: x["term"].isin(needed))
+    start = lambda x: lambda o: F.struct(o["own"].alias("own"), (x["at"] - o["place"]).alias("start"))
+    starts = F.flatten(F.transform(seen, lambda x: F.transform(F.try_element_at(known, x["term"]), start(x))))
+    rows = texts.select("_row", "_terms", F.sort_array(starts).alias("_starts"))
+    # in the sorted array a start is kept at its AGREEING-th place
+    behind, last = lambda i: F.get("_starts", i - AGREEING), F.lit(AGREEING - 1)
+    end = lambda s: s["start"] + F.get(F.array(*map(F.lit, sizes)), s["own"])
+    inside = lambda s: (s["start"] >= 0) & (end(s) <= F.size("_terms"))
+    agreed = lambda s, i: (i >= last) & (F.get("_starts", i - last) == s) & F.coalesce(behind(i) != s, F.lit(True))
+    kept = F.filter("_starts", lambda s, i: agreed(s, i) & inside(s))
+    cut = lambda s: F.transform(F.sequence(s["start"], end(s) - 1), lambda j: F.get("_terms", j))
+    return rows.select("_row", F.inline(F.transform(kept, lambda s: F.struct(s["own"], s["start"], cut(s).alias("terms")))))
+
+
+def license_parts(
+    docs: DataFrame,
+    templates=TEMPLATES,
+    threshold: float = THRESHOLD,
+    text: str = "text",
+    whole=WHOLE,
+    is_file: Column | None = None,
 ) -> DataFrame:
-    """_row, license and similarity of the best line of each document that has one; _row is a column of `docs`."""
+    """_row, license and similarity of the best line, window or whole licence file of each document that has one; _row is
+    a column of `docs`."""
     spark = docs.sparkSession
-    known = template_terms(templates)
+    statements, licences = [template_terms(t) for t in (templates, whole)]
+    known = statements + licences
     vocabulary = sorted({t for _, tf in known for t in tf})
     if not vocabulary:
         return spark.createDataFrame([], docs.select("_row").schema.add("license", "string").add("similarity", "double"))
@@ -106,25 +194,42 @@ def license_lines(
     weights = []
     for k, (name, tf) in enumerate(known):
         norm = math.sqrt(sum((c * idf[t]) ** 2 for t, c in tf.items()))
-        weights += [(k, name, t, c * idf[t] / norm) for t, c in sorted(tf.items())]
-    by_template = spark.createDataFrame(weights, "template int, license string, term string, weight double")
+        weights += [(k, k >= len(statements), name, t, c * idf[t] / norm) for t, c in sorted(tf.items())]
+    by_template = spark.createDataFrame(weights, "template int, whole boolean, license string, term string, weight double")
     by_term = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
 
-    needed = "|".join(prefix_terms(known, idf, threshold))
-    # the texts without any prefix term end here, before they are cut to lines
-    has_prefix = rf"(?<![a-z0-9])(?:{needed})(?![a-z0-9])"
-    texts = docs.select("_row", F.lower(F.col(text)).alias("_text")).where(F.col("_text").rlike(has_prefix))
-    lines = texts.select("_row", F.posexplode(F.split("_text", "\n")).alias("_line", "_text"))
-    lines = lines.where(F.col("_text").rlike(has_prefix))
-    bags = lines.select("_row", "_line", F.explode(terms(F.col("_text"))).alias("term"))
-    bags = bags.groupBy("_row", "_line", "term").agg(F.count("*").alias("tf"))
+    def holds(terms_needed: list[str]) -> Column:
+        return F.col("_text").rlike(rf"(?<![a-z0-9])(?:{'|'.join(terms_needed)})(?![a-z0-9])") if terms_needed else F.lit(False)
+
+    prefix = [prefix_terms([t], idf, threshold) for t in statements]
+    in_statements, in_licences = sorted({t for p in prefix for t in p}), prefix_terms(licences, idf, threshold)
+    wanted = is_file if is_file is not None else F.lit(False)
+    lower = docs.select("_row", F.lower(F.col(text)).alias("_text"), F.coalesce(wanted, F.lit(False)).alias("_file"))
+    # the texts without any prefix term end here, before they are cut
+    texts = lower.where(holds(in_statements))
+    unit = lambda kind, number, own: F.struct(F.lit(kind).alias("kind"), number.alias("number"), own.alias("own"))
+    nothing = F.lit(None).cast("int")
+    lines = texts.select("_row", F.posexplode(F.split("_text", "\n")).alias("_line", "_text")).where(holds(in_statements))
+    parts = lines.select("_row", unit("line", F.col("_line"), nothing).alias("_unit"), terms(F.col("_text")).alias("terms"))
+    if in_statements:
+        sizes = [sum(tf.values()) for _, tf in statements]
+        cut = texts.select("_row", terms(F.col("_text")).alias("_terms"))
+        windows = aligned_windows(cut, prefix_places(templates, prefix), sizes)
+        parts = parts.union(windows.select("_row", unit("window", F.col("start"), F.col("own")).alias("_unit"), "terms"))
+    files = lower.where("_file").where(holds(in_licences))
+    whole_unit = unit("whole", F.lit(0), nothing).alias("_unit")
+    parts = parts.union(files.select("_row", whole_unit, terms(F.col("_text")).alias("terms")))
+    bags = parts.select("_row", "_unit", F.explode("terms").alias("term"))
+    bags = bags.groupBy("_row", "_unit", "term").agg(F.count("*").alias("tf"))
     bags = bags.join(F.broadcast(by_term), "term", "left")
     bags = bags.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
     shared = F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "w"))).alias("known")
-    norms = bags.groupBy("_row", "_line").agg(norm, shared)
-    dots = norms.select("_row", "_line", "norm", F.inline("known")).join(F.broadcast(by_template), "term")
-    dots = dots.groupBy("_row", "_line", "norm", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    norms = bags.groupBy("_row", "_unit").agg(norm, shared)
+    dots = norms.select("_row", "_unit", "norm", F.inline("known")).join(F.broadcast(by_template), "term")
+    own = F.col("_unit.own")
+    dots = dots.where(((F.col("_unit.kind") == "whole") == F.col("whole")) & (own.isNull() | (own == F.col("template"))))
+    dots = dots.groupBy("_row", "_unit", "norm", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     close = dots.withColumn("similarity", F.col("dot") / F.col("norm")).where(F.col("similarity") >= threshold)
     best = close.groupBy("_row").agg(F.min(F.struct((-F.round("similarity", 9)).alias("s"), "license")).alias("b"))
     return best.select("_row", F.col("b.license").alias("license"), (-F.col("b.s")).alias("similarity"))
@@ -159,6 +264,7 @@ def scan_licenses(
     threshold: float = THRESHOLD,
     key: str = "doc_id",
     text: str = "text",
+    whole=WHOLE,
 ) -> DataFrame:
     """key, path, license, origin ('header', 'inherited' or null), similarity (of the own header) and levels (up to
     the directory inherited from) of every row. Licence files are those named LICENSE or COPYING unless the caller
@@ -168,7 +274,7 @@ def scan_licenses(
     row = F.struct(F.col(key).alias("key"), F.col(path).alias("path"), F.xxhash64(text).alias("hash"))
     rows = docs.select(row.alias("_row"), F.col(path).alias("_path"), F.col(text).cast("string").alias("_text"))
     rows = rows.withColumn("_row", F.to_json("_row"))
-    own = license_lines(rows, templates, threshold, ("_row",), "_text")
+    own = license_parts(rows, templates, threshold, "_text", whole, named)
     slim = docs.select(F.col(key).alias("_key"), F.col(path).alias("_path"), F.to_json(row).alias("_row"))
     marked = spread_join(slim, own, ["_row"], "left", spread_by=["_row"]).withColumn("dir", parent(F.col("_path")))
     licensed = marked.where(named & F.col("license").isNotNull()).select("dir", "license")

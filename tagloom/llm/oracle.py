@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tagloom.llm.licenses import TEMPLATES, THRESHOLD
+from tagloom.llm.licenses import AGREEING, TEMPLATES, THRESHOLD, WHOLE
 
 #: A window is 10 consecutive words of an item, or all of a shorter one's.
 _DECONTAMINATION = r"""
@@ -55,10 +55,11 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 
 def _licenses() -> str:
     rows = ", ".join(
-        f"({k}, '{name}', '{text.lower().replace(chr(39), chr(39) * 2)}')" for k, (name, text) in enumerate(TEMPLATES)
+        f"({k}, {k >= len(TEMPLATES)}, '{name}', '{text.lower().replace(chr(39), chr(39) * 2)}')"
+        for k, (name, text) in enumerate(TEMPLATES + WHOLE)
     )
     return f"""
-WITH template(k, license, text) AS (VALUES {rows}),
+WITH template(k, whole, license, text) AS (VALUES {rows}),
 doc AS (
     SELECT row_number() OVER () AS r, doc_id, lower(text) AS text,
         CASE WHEN doc_id % 1000 = 0 THEN concat_ws('/', CAST(doc_id // 1000 AS VARCHAR), 'LICENSE')
@@ -67,8 +68,8 @@ doc AS (
                 coalesce(lang, 'unknown'), coalesce(source, 'unknown'), CAST(doc_id AS VARCHAR) || '.txt') END AS path
     FROM documents
 ), template_tf AS (
-    SELECT k, license, term, count(*) AS tf
-    FROM (SELECT k, license, unnest(regexp_extract_all(text, '[a-z0-9]+')) AS term FROM template) GROUP BY ALL
+    SELECT k, whole, license, term, count(*) AS tf
+    FROM (SELECT k, whole, license, unnest(regexp_extract_all(text, '[a-z0-9]+')) AS term FROM template) GROUP BY ALL
 ), frequency AS (
     SELECT term, count(*) AS df
     FROM (SELECT DISTINCT r, unnest(regexp_extract_all(text, '[a-z0-9]+')) AS term FROM doc)
@@ -78,21 +79,42 @@ idf AS (
     SELECT DISTINCT t.term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf
     FROM template_tf t CROSS JOIN size LEFT JOIN frequency f ON f.term = t.term
 ), template_weight AS (
-    SELECT k, license, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY k)) AS weight
+    SELECT k, whole, license, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY k)) AS weight
     FROM template_tf JOIN idf USING (term)
+), prefix AS (
+    SELECT k, term FROM (
+        SELECT k, term, 1 - coalesce(sum(weight ** 2) OVER (PARTITION BY k ORDER BY weight DESC, term DESC
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM template_weight WHERE NOT whole)
+    WHERE rest >= {THRESHOLD} ** 2
+), place AS (
+    SELECT k, term, q, count(*) OVER (PARTITION BY k) AS places, size
+    FROM (SELECT k, unnest(t) AS term, generate_subscripts(t, 1) - 1 AS q, len(t) AS size
+        FROM (SELECT k, regexp_extract_all(text, '[a-z0-9]+') AS t FROM template WHERE NOT whole)) JOIN prefix USING (k, term)
+), word AS (
+    SELECT r, unnest(t) AS term, generate_subscripts(t, 1) - 1 AS p, len(t) AS n_words
+    FROM (SELECT r, regexp_extract_all(text, '[a-z0-9]+') AS t FROM doc)
+), start AS (
+    SELECT r, k, p - q AS start, any_value(size) AS size FROM word JOIN place USING (term)
+    WHERE p >= q AND p - q + size <= n_words GROUP BY r, k, p - q HAVING count(*) >= least({AGREEING}, any_value(places))
 ), line AS (
     SELECT r, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM doc
 ), bag AS (
-    SELECT r, line_no, term, count(*) AS tf
+    SELECT r, 'line' AS kind, line_no AS number, -1 AS own, term, count(*) AS tf
     FROM (SELECT r, line_no, unnest(regexp_extract_all(text, '[a-z0-9]+')) AS term FROM line) GROUP BY ALL
+    UNION ALL
+    SELECT s.r, 'window', start, k, term, count(*) FROM start s JOIN word w ON w.r = s.r AND p >= start AND p < start + size
+    GROUP BY ALL
+    UNION ALL
+    SELECT r, 'whole', 0, -1, term, count(*) FROM word JOIN doc USING (r) WHERE regexp_matches(path, '(^|/)LICENSE$') GROUP BY ALL
 ), weighed AS (
-    SELECT r, line_no, term, tf * coalesce(idf, ln((1 + n) / 1) + 1) AS w
+    SELECT r, kind, number, own, term, tf * coalesce(idf, ln((1 + n) / 1) + 1) AS w
     FROM bag CROSS JOIN size LEFT JOIN idf USING (term)
-), norm AS (SELECT r, line_no, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
+), norm AS (SELECT r, kind, number, own, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
 close AS (
     SELECT r, license, round(sum(w * weight) / any_value(norm), 9) AS similarity
-    FROM weighed JOIN template_weight USING (term) JOIN norm USING (r, line_no)
-    GROUP BY r, line_no, k, license HAVING sum(w * weight) / any_value(norm) >= {THRESHOLD}
+    FROM weighed JOIN template_weight t USING (term) JOIN norm USING (r, kind, number, own)
+    WHERE whole = (kind = 'whole') AND (own = -1 OR own = k)
+    GROUP BY r, kind, number, own, k, license HAVING sum(w * weight) / any_value(norm) >= {THRESHOLD}
 ), own AS (
     SELECT r, license FROM close QUALIFY row_number() OVER (PARTITION BY r ORDER BY similarity DESC, license) = 1
 ), marked AS (

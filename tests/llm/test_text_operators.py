@@ -8,6 +8,7 @@ import re
 import string
 import tracemalloc
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -201,23 +202,45 @@ def test_masking_leaves_everything_else(odd_docs):
 # --- licences -----------------------------------------------------------------------
 
 
-def plain_license(pairs, templates, threshold):
-    """The best line's licence of each text, by weighing every line against every template."""
+def plain_license(pairs, templates, threshold, whole=(), is_file=lambda d: False):
+    """The licence of each text's best part, by weighing every line against every statement, every window of a statement's
+    size at which its prefix terms agree against that statement, and licence files against whole licences."""
     terms = lambda t: re.findall("[a-z0-9]+", t.lower())
-    bags = [(name, Counter(terms(text))) for name, text in templates]
-    known = {t for _, b in bags for t in b}
+    bags, licences = [[(name, terms(text)) for name, text in part] for part in (templates, whole)]
+    known = {t for _, b in bags + licences for t in b}
     df = Counter(t for _, text in pairs for t in set(terms(text or "")) & known)
     idf = lambda t: math.log((1 + len(pairs)) / (1 + (df[t] if t in known else 0))) + 1
     norm = lambda b: math.sqrt(sum((n * idf(t)) ** 2 for t, n in b.items()))
-    out = []
-    for _, text in pairs:
-        best = []
+
+    def weigh(bag, name, template):
+        template = Counter(template)
+        dot = sum(bag[t] * idf(t) * n * idf(t) for t, n in template.items())
+        if dot and dot / norm(bag) / norm(template) >= threshold:
+            best.append((-round(dot / norm(bag) / norm(template), 9), name))
+
+    def prefix(template):
+        tf, out = Counter(template), set()
+        for t in sorted(tf, key=lambda t: (tf[t] * idf(t), t), reverse=True):
+            if norm({u: n for u, n in tf.items() if u not in out}) < threshold * norm(tf):
+                break
+            out.add(t)
+        return out
+
+    prefixes, out = [prefix(t) for _, t in bags], []
+    for d, text in pairs:
+        best, words = [], terms(text or "")
         for line in (text or "").split("\n"):
             bag = Counter(terms(line))
             for name, template in bags:
-                dot = sum(bag[t] * idf(t) * n * idf(t) for t, n in template.items())
-                if dot and dot / norm(bag) / norm(template) >= threshold:
-                    best.append((-round(dot / norm(bag) / norm(template), 9), name))
+                weigh(bag, name, template)
+        for (name, template), heavy in zip(bags, prefixes):
+            places = [i for i, t in enumerate(template) if t in heavy]
+            for start in range(len(words) - len(template) + 1):
+                if sum(words[start + i] == template[i] for i in places) >= min(2, len(places)):
+                    weigh(Counter(words[start : start + len(template)]), name, template)
+        if is_file(d):
+            for name, template in licences:
+                weigh(Counter(words), name, template)
         out.append(min(best)[1] if best else None)
     return out
 
@@ -230,14 +253,77 @@ def test_license_of_every_line_as_by_brute_force(make):
         line = rng.choice(lines).split(" ")
         rng.shuffle(line) if rng.random() < 0.2 else None
         kept = [w for w in line if rng.random() < 0.85]
-        pairs.append((i, "first line\n" + " ".join(kept).upper() + "\nlast line of text"))
-    docs = make(pairs).withColumn("path", F.concat(F.lit("d/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("n"))))
+        cut = rng.randrange(len(kept) + 1)
+        at = "\n" if rng.random() < 0.5 else " "
+        pairs.append((i, f"first line{at}" + " ".join(kept[:cut]).upper() + "\n * " + " ".join(kept[cut:]) + f"{at}last line of text"))
+    for i in range(160, 190):
+        words = rng.choice(licenses.WHOLE)[1].split(" ")
+        pairs.append((i, "Copyright 1999 A. Person\n" + "\n".join(w for w in words if rng.random() < 0.9)))
+    # every document in a directory of its own, those from 170 on are licence files
+    file = F.when(F.col("doc_id") >= 170, F.lit("/LICENSE")).otherwise(F.lit("/x"))
+    docs = make(pairs).withColumn("path", F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("n")), file))
     got = licenses.scan_licenses(docs).collect()
-    want = plain_license(pairs, licenses.TEMPLATES, licenses.THRESHOLD)
+    want = plain_license(pairs, licenses.TEMPLATES, licenses.THRESHOLD, licenses.WHOLE, lambda d: d is not None and d >= 170)
     assert sorted([(r.doc_id, r.license) for r in got], key=key) == sorted([(d, w) for (d, _), w in zip(pairs, want)], key=key)
     assert sum(w is not None for w in want) > 30
 
 
+def license_of(spark, rows, **more):
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string")
+    return [r.license for r in sorted(licenses.scan_licenses(df, **more).collect(), key=lambda r: r.doc_id)]
+
+
+GPL = (
+    "is free software{} you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+    "published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+)
+
+
+def test_statements_among_other_words_and_over_lines(spark):
+    apache = "Copyright 2020 The Authors. Licensed under the Apache License, Version 2.0. See docs for what else holds here."
+    wrap = lambda t, n: "\n".join("# " + " ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    texts = [apache, *(wrap(apache, n) for n in (1, 3, 4, 7))]
+    heads = [
+        "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.\n",
+        "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n",
+        "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n Copyright",
+    ]
+    two, three = "This program " + GPL.format(";", ";", 2), "This program " + GPL.format(":", ",", 3)
+    versions = [two, wrap(two, 6), "/* foo.c by me\n" + wrap(two, 9), three, wrap(three, 5), "x = 1 // " + three]
+    plain = ["The licence of a driver was renewed by the office in June.", "version 2 of the general plan", "All of them had rights to the water."]
+    rows = [(f"{i}/a", t) for i, t in enumerate([*texts, *heads, *versions, *plain])]
+    want = ["Apache-2.0"] * 5 + ["GPL-2.0", "GPL-3.0", "LGPL-3.0"] + ["GPL-2.0"] * 3 + ["GPL-3.0"] * 3 + [None] * 3
+    assert license_of(spark, rows) == want
+
+
+def test_whole_licence_files(spark):
+    """Whole licences in a file of that name, with a line changed and names filled in; elsewhere only statements count."""
+    rows = []
+    for i, (_, text) in enumerate(licenses.WHOLE):
+        words = text.replace("copyright holder", "Example Corporation").split()
+        rows.append((f"{i}/LICENSE", "Copyright (c) 2021 Example\n\n" + "\n".join(" ".join(words[j : j + 9]) for j in range(0, len(words), 9))))
+    rows += [("8/LICENSE", "Notes on the sorting of leaves\n" * 40), ("9/LICENSE", None), ("10/COPYING", "")]
+    assert license_of(spark, rows, templates=()) == ["MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", None, None, None]
+    assert license_of(spark, rows, templates=(), whole=()) == [None] * 7
+    others = [(p.replace("LICENSE", "notes.txt"), t) for p, t in rows]
+    assert license_of(spark, others, templates=()) == [None] * 7
+
+
+def test_long_licence_files_of_the_caller(spark):
+    """Long licences are told apart by whole files given as templates, without their headings too."""
+    folder = Path("/usr/share/common-licenses")
+    names = [n for n in ("GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "Apache-2.0", "MPL-2.0") if (folder / n).is_file()]
+    if not names:
+        pytest.skip("no licence files here")
+    texts = [(folder / n).read_text(errors="replace") for n in names]
+    whole = tuple(zip(names, texts))
+    rows = [(f"{i}/LICENSE", "\n".join(t.split("\n")[12:])) for i, t in enumerate(texts)]
+    assert license_of(spark, rows, templates=(), whole=whole) == names
+    by_title = license_of(spark, [(f"{i}/a.txt", t) for i, t in enumerate(texts)])
+    ours = {"GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-3": "LGPL-3.0"}
+    assert by_title == [ours.get(n, n) for n in names]
+
+
 def test_nearest_directory_wins(spark):
     mit, gpl, text = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3.", "plain words"
     rows = [
