@@ -152,24 +152,38 @@ def prefix_places(templates: list[tuple[str, str]], prefix: list[list[str]]) ->
     return out
 
 
-def aligned_windows(texts: DataFrame, places: dict[str, list[tuple[int, int]]], sizes: list[int]) -> DataFrame:
-    """_row, own (a template), start and terms of every window on which prefix terms agree and that lies in the text;
-    `texts` has _row and _terms."""
+def _unit(kind: str, number: Column, own: Column, found: Column) -> Column:
+    unit = F.struct(F.lit(kind).alias("kind"), number.alias("number"), own.cast("int").alias("own"))
+    return F.struct(unit.alias("_unit"), found.alias("terms"))
+
+
+def _starts(words: Column, places: dict[str, list[tuple[int, int]]]) -> Column:
+    """The template and start of a window for every place of a prefix term, sorted."""
     needed = sorted(places)
     pairs = lambda t: F.array(*[F.struct(F.lit(k).alias("own"), F.lit(i).alias("place")) for k, i in places[t]])
     known = F.create_map(*[c for t in needed for c in (F.lit(t), pairs(t))])
-    seen = F.filter(F.transform("_terms", lambda t, i: F.struct(t.alias("term"), i.alias("at"))), lambda x: x["term"].isin(needed))
+    seen = F.filter(F.transform(words, lambda t, i: F.struct(t.alias("term"), i.alias("at"))), lambda x: x["term"].isin(needed))
     start = lambda x: lambda o: F.struct(o["own"].alias("own"), (x["at"] - o["place"]).alias("start"))
-    starts = F.flatten(F.transform(seen, lambda x: F.transform(F.try_element_at(known, x["term"]), start(x))))
-    rows = texts.select("_row", "_terms", F.sort_array(starts).alias("_starts"))
-    # in the sorted array a start is kept at its AGREEING-th place
-    behind, last = lambda i: F.get("_starts", i - AGREEING), F.lit(AGREEING - 1)
+    return F.sort_array(F.flatten(F.transform(seen, lambda x: F.transform(F.try_element_at(known, x["term"]), start(x)))))
+
+
+def _windows(words: str, starts: str, sizes: list[int]) -> Column:
+    """The windows that lie in the text and on which prefix terms agree, from columns of its terms and sorted starts."""
+    behind, last = lambda i: F.get(starts, i - AGREEING), F.lit(AGREEING - 1)
     end = lambda s: s["start"] + F.get(F.array(*map(F.lit, sizes)), s["own"])
-    inside = lambda s: (s["start"] >= 0) & (end(s) <= F.size("_terms"))
-    agreed = lambda s, i: (i >= last) & (F.get("_starts", i - last) == s) & F.coalesce(behind(i) != s, F.lit(True))
-    kept = F.filter("_starts", lambda s, i: agreed(s, i) & inside(s))
-    cut = lambda s: F.transform(F.sequence(s["start"], end(s) - 1), lambda j: F.get("_terms", j))
-    return rows.select("_row", F.inline(F.transform(kept, lambda s: F.struct(s["own"], s["start"], cut(s).alias("terms")))))
+    inside = lambda s: (s["start"] >= 0) & (end(s) <= F.size(words))
+    # in the sorted array a start is kept at its AGREEING-th place
+    agreed = lambda s, i: (i >= last) & (F.get(starts, i - last) == s) & F.coalesce(behind(i) != s, F.lit(True))
+    cut = lambda s: F.transform(F.sequence(s["start"], end(s) - 1), lambda j: F.get(words, j))
+    return F.transform(F.filter(starts, lambda s, i: agreed(s, i) & inside(s)), lambda s: _unit("window", s["start"], s["own"], cut(s)))
+
+
+def _lines(text: str, needed: list[str]) -> Column:
+    """The lines with a needed term."""
+    holds = rf"(?<![a-z0-9])(?:{'|'.join(needed)})(?![a-z0-9])"
+    numbered = F.transform(F.split(text, "\n"), lambda line, i: F.struct(line.alias("line"), i.alias("number")))
+    kept = F.filter(numbered, lambda x: x["line"].rlike(holds))
+    return F.transform(kept, lambda x: _unit("line", x["number"], F.lit(None), terms(x["line"])))
 
 
 def license_parts(
@@ -198,27 +212,21 @@ def license_parts(
     by_template = spark.createDataFrame(weights, "template int, whole boolean, license string, term string, weight double")
     by_term = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
 
-    def holds(terms_needed: list[str]) -> Column:
-        return F.col("_text").rlike(rf"(?<![a-z0-9])(?:{'|'.join(terms_needed)})(?![a-z0-9])") if terms_needed else F.lit(False)
-
     prefix = [prefix_terms([t], idf, threshold) for t in statements]
     in_statements, in_licences = sorted({t for p in prefix for t in p}), prefix_terms(licences, idf, threshold)
-    wanted = is_file if is_file is not None else F.lit(False)
-    lower = docs.select("_row", F.lower(F.col(text)).alias("_text"), F.coalesce(wanted, F.lit(False)).alias("_file"))
+    holds = lambda needed: F.arrays_overlap("_terms", F.array(*map(F.lit, needed))) if needed else F.lit(False)
+    wanted = F.coalesce(is_file, F.lit(False)) if is_file is not None else F.lit(False)
+    lower = docs.select("_row", F.lower(F.col(text)).alias("_text"), wanted.alias("_file"))
+    texts = lower.withColumn("_terms", terms(F.col("_text")))
     # the texts without any prefix term end here, before they are cut
-    texts = lower.where(holds(in_statements))
-    unit = lambda kind, number, own: F.struct(F.lit(kind).alias("kind"), number.alias("number"), own.alias("own"))
-    nothing = F.lit(None).cast("int")
-    lines = texts.select("_row", F.posexplode(F.split("_text", "\n")).alias("_line", "_text")).where(holds(in_statements))
-    parts = lines.select("_row", unit("line", F.col("_line"), nothing).alias("_unit"), terms(F.col("_text")).alias("terms"))
+    texts = texts.where(holds(in_statements) | (F.col("_file") & holds(in_licences)))
+    whole_text = F.array(_unit("whole", F.lit(0), F.lit(None), F.col("_terms")))
+    cuts = [F.when(F.col("_file"), whole_text).otherwise(F.slice(whole_text, 1, 0))]
     if in_statements:
-        sizes = [sum(tf.values()) for _, tf in statements]
-        cut = texts.select("_row", terms(F.col("_text")).alias("_terms"))
-        windows = aligned_windows(cut, prefix_places(templates, prefix), sizes)
-        parts = parts.union(windows.select("_row", unit("window", F.col("start"), F.col("own")).alias("_unit"), "terms"))
-    files = lower.where("_file").where(holds(in_licences))
-    whole_unit = unit("whole", F.lit(0), nothing).alias("_unit")
-    parts = parts.union(files.select("_row", whole_unit, terms(F.col("_text")).alias("terms")))
+        places = prefix_places(templates, prefix)
+        texts = texts.withColumn("_starts", _starts(F.col("_terms"), places))
+        cuts += [_lines("_text", in_statements), _windows("_terms", "_starts", [sum(tf.values()) for _, tf in statements])]
+    parts = texts.select("_row", F.inline(F.concat(*cuts)))
     bags = parts.select("_row", "_unit", F.explode("terms").alias("term"))
     bags = bags.groupBy("_row", "_unit", "term").agg(F.count("*").alias("tf"))
     bags = bags.join(F.broadcast(by_term), "term", "left")
