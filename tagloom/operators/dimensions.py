@@ -34,27 +34,35 @@ def dimension_keys_left(
     event_map: DataFrame | None,
     err_map: DataFrame | None = None,
     event_code: str = "event_cd",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the key of each dimension given; rows without a match keep a null key.
 
     `event_code` is the column of `df` with the event code.  No row is multiplied.
+    `counted` is a frame with the code columns, as frequent as in `df` and cheap to read, in
+    which frequent codes are found; their rows are spread.  A code that it lacks is not counted.
     """
+    have = set() if counted is None else set(counted.columns)
+
+    def attach(rows: DataFrame, keys: DataFrame, code: str) -> DataFrame:
+        return spread_join(rows, keys, [code], counted=counted if code in have else None)
+
     if chnl_map is not None:
-        df = spread_join(df, _keys(chnl_map, "chnl_cd", "chnl_key"), ["chnl_cd"])
+        df = attach(df, _keys(chnl_map, "chnl_cd", "chnl_key"), "chnl_cd")
     if event_map is not None:
-        df = spread_join(df, _keys(event_map, "event_cd", "event_key", event_code), [event_code])
+        df = attach(df, _keys(event_map, "event_cd", "event_key", event_code), event_code)
     if err_map is not None:
-        df = spread_join(df, _keys(err_map, "err_cd", "err_key"), ["err_cd"])
+        df = attach(df, _keys(err_map, "err_cd", "err_key"), "err_cd")
     return df
 
 
 def dimension_keys_inner(
-    event_detail: DataFrame, chnl_map: DataFrame, event_map: DataFrame, err_map: DataFrame
+    event_detail: DataFrame, chnl_map: DataFrame, event_map: DataFrame, err_map: DataFrame, counted: DataFrame | None = None
 ) -> DataFrame:
-    """The three keys of each event row that has all of them."""
-    rows = spread_join(event_detail, _keys(chnl_map, "chnl_cd", "chnl_key"), ["chnl_cd"], "inner")
-    rows = spread_join(rows, _keys(event_map, "event_cd", "event_key", "evnt_cd"), ["evnt_cd"], "inner")
-    rows = spread_join(rows, _keys(err_map, "err_cd", "err_key"), ["err_cd"], "inner")
+    """The three keys of each event row that has all of them; `counted` as in `dimension_keys_left`."""
+    rows = spread_join(event_detail, _keys(chnl_map, "chnl_cd", "chnl_key"), ["chnl_cd"], "inner", counted=counted)
+    rows = spread_join(rows, _keys(event_map, "event_cd", "event_key", "evnt_cd"), ["evnt_cd"], "inner", counted=counted)
+    rows = spread_join(rows, _keys(err_map, "err_cd", "err_key"), ["err_cd"], "inner", counted=counted)
     return rows.select("chnl_key", "event_key", "err_key")
 
 

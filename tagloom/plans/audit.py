@@ -91,7 +91,11 @@ def audit_flow(
     rows = fields.error_code(rows.withColumn("_error", own), "_error")
     # the channel is one constant, so its key is a scalar, not a join on that constant
     rows = rows.withColumn("chnl_key", chnl.scalar())
-    rows = dimensions.dimension_keys_left(rows, None, event_map, err_map)
+    # frequent codes are found in the main rows; an error code only where these alone make it
+    codes = fields.event_constants(main, channel=channel)
+    if "err_msg_txt_t" not in rows.columns and "stopflow_t" in main.columns:
+        codes = fields.error_code(codes)
+    rows = dimensions.dimension_keys_left(rows, None, event_map, err_map, counted=codes)
     return fields.result_flag(rows, "_error").drop("_error").withColumns(
         {
             "v_to_acct_id_t": text.mask_account("v_to_acct_id_t"),

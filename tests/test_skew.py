@@ -194,3 +194,61 @@ def test_salt_does_not_depend_on_the_run(spark, small_limits):
     facts, lookup = facts_of(spark, None), lookup_of(spark)
     again = facts.repartition(13, "payload").sortWithinPartitions(F.desc("n"))
     assert bag(spread_join(facts, lookup, ["k"])) == bag(spread_join(again, lookup, ["k"]))
+
+
+def largest_task(df) -> float:
+    """Share of the rows in the largest task, whatever their columns."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+@pytest.fixture
+def no_help(conf):
+    """Neither broadcasts nor adaptive execution."""
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false", shuffle__partitions="16")
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+def test_hot_keys_that_the_query_finds_are_salted(spark, no_help, how):
+    facts, lookup = facts_of(spark, "17"), lookup_of(spark)
+    got = spread_join(facts, lookup, ["k"], how, counted=facts)
+    assert bag(got) == bag(facts.join(lookup, ["k"], how))
+    if how != "left_semi":
+        assert largest_share(got) < 0.15
+
+
+def test_counted_keys_of_another_type_are_joined_plainly(spark, no_help):
+    facts = facts_of(spark, "17").withColumn("k", F.col("k").cast("int"))
+    lookup = lookup_of(spark).where("k <> 'none'").withColumn("k", F.col("k").cast("long"))
+    assert bag(spread_join(facts, lookup, ["k"], counted=facts)) == bag(facts.join(lookup, ["k"], "left"))
+
+
+def test_no_rows_have_no_hot_key(spark):
+    facts, lookup = facts_of(spark, "17"), lookup_of(spark)
+    assert spread_join(facts.where("n < 0"), lookup, ["k"], counted=facts.where("n < 0")).count() == 0
+
+
+@pytest.fixture
+def two_events(spark):
+    """Details and main rows of many requests with two categories, one of them on nearly all rows."""
+    n = F.col("id")
+    rows = spark.range(0, 20_000, 1, 8).select(
+        (n % 3_000).cast("string").alias("uid"),
+        F.lit("2024-01-01").cast("date").alias("log_dte"),
+        (n % 7).cast("int").alias("seq"),
+        F.when(n % 50 == 0, F.lit("login")).when(n % 51 == 0, F.lit(None)).otherwise(F.lit(" Paym ")).alias("acn_cat_nme"),
+        F.when(n % 3 == 0, F.lit("mmb#1")).when(n % 40 == 1, F.lit(None)).otherwise(F.lit("Amt ")).alias("tagname"),
+        F.when(n % 11 == 0, F.lit(" ")).otherwise(n.cast("string")).alias("tagvalue"),
+    )
+    config = spark.createDataFrame(
+        [("PAYM", "tran_amt", "amt"), ("PAYM  ", "mmb", "mmb#1"), (" login", "tran_amt", "mmb#1"), (None, "tran_amt", "amt")]
+        + [(f"e{i}", "tran_amt", "amt") for i in range(200)],
+        "evnt_cd string, trgt_col_nm string, tag_nm string",
+    )
+    main = spark.range(3_000).select(
+        F.col("id").cast("string").alias("uid"), F.lit("2024-01-01").cast("date").alias("log_dte"),
+        F.when(F.col("id") % 9 == 0, F.lit("LOGIN")).otherwise(F.lit("paym")).alias("acn_cat_nme"),
+    )
+    return rows, config, main
+
+
