@@ -174,8 +174,7 @@ def first_transaction(x: _Inputs) -> DataFrame:
 @_query
 def first_transaction_sql(x: _Inputs) -> DataFrame:
     """The same as a statement of SQL."""
-    views = {"audit_details": x.details, "event_attr_config": x.active_events, "audit_main": x.main}
-    return sql.run_statement(x.spark, sql.FIRST_TRANSACTION, **views)
+    return sql.first_transaction_statement(x.details, x.active_events, x.main)
 
 
 @_query

@@ -6,9 +6,12 @@ makes them in a session, nothing is left behind in a catalog.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.functions import fields
+from tagloom.functions.text import norm
+from tagloom.operators.joins import SLOTS, hot_hashes
 
 _STRIPPED = ", ".join(f"'{c}'" for c in fields.STRIPPED_CATEGORIES)
 
@@ -128,3 +131,34 @@ def run_statement(spark: SparkSession, text: str, **views: DataFrame) -> DataFra
     """A statement over frames by the names that it has in braces, with the functions above at hand."""
     register(spark)
     return spark.sql(text, **views)
+
+
+# The statements join by category and tag, and a few of these hold most rows. The views below put a slot behind such a
+# name on both sides, so that the same text joins it in many tasks: equal names and slots are equal texts, as a slot is a
+# number behind the last `#`. Every name gets one, 0 where it is not frequent; null stays null.
+
+
+def _with_slot(name: Column, slot: Column) -> Column:
+    """The name with its slot, before the blanks at its end, which the statements trim."""
+    bare = F.rtrim(name)
+    return F.concat(bare, F.lit("#"), slot.cast("string"), F.substring(name, F.length(bare) + 1, F.length(name)))
+
+
+def _slots_of(often: Column, hashed: Column) -> tuple[Column, Column]:
+    """The slot of a row that is hashed to it, and all slots of a configuration row."""
+    row = F.when(often, F.pmod(hashed, F.lit(SLOTS)).cast("int")).otherwise(0)
+    return row, F.explode(F.when(often, F.sequence(F.lit(0), F.lit(SLOTS - 1))).otherwise(F.array(F.lit(0))))
+
+
+def first_transaction_statement(details: DataFrame, event_attr_config: DataFrame, main: DataFrame) -> DataFrame:
+    """FIRST_TRANSACTION with frequent pairs of category and tag spread over tasks; the tag is no column of the result."""
+    here, there = (norm("acn_cat_nme"), norm("tagname")), (norm("evnt_cd"), norm("tag_nm"))
+    hot = hot_hashes(details, here)
+    slot, _ = _slots_of(F.array_contains(hot, F.xxhash64(*here)), F.xxhash64("uid", "seq", "tagvalue"))
+    _, slots = _slots_of(F.array_contains(hot, F.xxhash64(*there)), F.lit(0))
+    rows = details.withColumn("tagname", _with_slot(F.col("tagname"), slot))
+    rules = event_attr_config.withColumn("_slot", slots).withColumn("tag_nm", _with_slot(F.col("tag_nm"), F.col("_slot")))
+    views = {"audit_details": rows, "event_attr_config": rules.drop("_slot"), "audit_main": main}
+    return run_statement(details.sparkSession, FIRST_TRANSACTION, **views)
+
+

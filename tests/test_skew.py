@@ -6,6 +6,7 @@ import pytest
 from helpers import bag, final_plan
 from pyspark.sql import functions as F
 
+from tagloom.functions import sql
 from tagloom.operators import customer, details, dimensions, journeys, requests
 from tagloom.operators.joins import spread_join
 
@@ -252,3 +253,9 @@ def two_events(spark):
     return rows, config, main
 
 
+def spreads_hot_rows(df) -> bool:
+    """Whether the plan looks for frequent keys and gives their rows slots."""
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    return "approx_top_k" in text and "4096" in text
+
+
