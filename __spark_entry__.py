@@ -61,9 +61,13 @@ class _Inputs:
     def clean(self) -> DataFrame:
         return details.clean_details(self.details)
 
+    @property
+    def numbered(self) -> DataFrame:
+        return fields.normalise_tagname(fields.tag_volume(self.clean))
+
     @property
     def stripped(self) -> DataFrame:
-        return details.dedup_details(fields.normalise_tagname(fields.tag_volume(self.clean)), greatest="vol")
+        return details.dedup_details(self.numbered, greatest="vol")
 
     @property
     def wide(self) -> DataFrame:
@@ -216,24 +220,24 @@ def details_grouped_by_request(x: _Inputs) -> DataFrame:
 @_query
 def tag_names(x: _Inputs) -> DataFrame:
     """Only the names of the pairs; no more for a request than there are configured tags."""
-    names = details.tag_names(x.stripped, x.tag_rows).groupBy("uid").agg(F.sort_array(F.collect_list("tagname")).alias("tags"))
+    names = details.tag_names(x.stripped, x.tag_rows, counted=x.numbered).groupBy("uid").agg(F.sort_array(F.collect_list("tagname")).alias("tags"))
     return names.select("uid", F.array_join("tags", ",").alias("tags"))
 
 
 @_query
 def tag_pairs(x: _Inputs) -> DataFrame:
-    return details.tag_pairs(x.stripped, x.tag_rows)
+    return details.tag_pairs(x.stripped, x.tag_rows, counted=x.numbered)
 
 
 @_query
 def tag_pairs_filtered(x: _Inputs) -> DataFrame:
     """Rows without a configured tag go before the shuffle."""
-    return details.tag_pairs(x.stripped, x.tag_rows, expected_tags=x.tag_rows.count())
+    return details.tag_pairs(x.stripped, x.tag_rows, expected_tags=x.tag_rows.count(), counted=x.numbered)
 
 
 @_query
 def tag_vector(x: _Inputs) -> DataFrame:
-    vector = details.tag_vector(x.stripped, x.tag_rows, parts=3)
+    vector = details.tag_vector(x.stripped, x.tag_rows, parts=3, counted=x.numbered)
     pair = F.transform("tag_vec", lambda p: F.concat_ws("=", p.tagname, p.tagvalue))
     return vector.select("uid", "part", F.array_join(pair, ",").alias("tags"))
 
@@ -242,7 +246,8 @@ def tag_vector(x: _Inputs) -> DataFrame:
 def tag_map(x: _Inputs) -> DataFrame:
     entries = F.sort_array(F.map_entries("tag_map"))
     pair = F.transform(entries, lambda e: F.concat_ws("=", e.key, e.value))
-    return details.tag_map(x.stripped, x.tag_rows, parts=2).select("uid", "part", F.array_join(pair, ",").alias("tags"))
+    found = details.tag_map(x.stripped, x.tag_rows, parts=2, counted=x.numbered)
+    return found.select("uid", "part", F.array_join(pair, ",").alias("tags"))
 
 
 # --- main rows ---------------------------------------------------------------

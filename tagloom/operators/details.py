@@ -267,13 +267,17 @@ def group_details(df: DataFrame, by: Sequence[str] = ("uid",)) -> DataFrame:
     return df.groupBy(*by).agg(*[F.max(c).alias(c) for c in rest])
 
 
-def tag_pairs(details: DataFrame, tag_rows: DataFrame, expected_tags: int | None = None) -> DataFrame:
+def tag_pairs(
+    details: DataFrame, tag_rows: DataFrame, expected_tags: int | None = None, counted: DataFrame | None = None
+) -> DataFrame:
     """Distinct (uid, tagname, tagvalue) whose tag is configured for the row's own event.
 
     `tag_rows` has a row per event code and tag (`evnt_cd`, `tag`).  This long relation
     is the one to go on with: it has no group of its own, however much a request holds.
     `expected_tags`, about the number of those rows, puts a filter of them before the
-    shuffle: for more of them than Spark broadcasts.
+    shuffle: for more of them than Spark broadcasts.  `counted`, detail rows before an
+    expensive step such as a deduplication, is read for tags of an event that are on many
+    rows; these are spread.
     """
     wanted = tag_rows.select(norm("evnt_cd").alias("_event"), norm("tag").alias("_tag"))
     rows = details.select(
@@ -281,16 +285,17 @@ def tag_pairs(details: DataFrame, tag_rows: DataFrame, expected_tags: int | None
     )
     if expected_tags is not None:
         rows = filtered(rows, wanted, ["_event", "_tag"], expected_tags)
-    return (
-        rows.join(wanted, ["_event", "_tag"], "left_semi")
-        .select("uid", "tagname", "tagvalue")
-        .distinct()
-    )
+    if counted is None:
+        matched = rows.join(wanted, ["_event", "_tag"], "left_semi")
+    else:
+        counted = counted.select(norm("acn_cat_nme").alias("_event"), norm("tagname").alias("_tag"))
+        matched = spread_join(rows, wanted.distinct(), ["_event", "_tag"], "left_semi", counted=counted)
+    return matched.select("uid", "tagname", "tagvalue").distinct()
 
 
-def tag_names(details: DataFrame, tag_rows: DataFrame) -> DataFrame:
+def tag_names(details: DataFrame, tag_rows: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Distinct (uid, tagname) of the tag pairs."""
-    return tag_pairs(details, tag_rows).select("uid", "tagname").distinct()
+    return tag_pairs(details, tag_rows, counted=counted).select("uid", "tagname").distinct()
 
 
 #: Pairs that one array of `tag_vector` should hold at most.
@@ -310,20 +315,21 @@ def _part(parts: int, *columns: str) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % parts).cast("int").alias("part")
 
 
-def tag_vector(details: DataFrame, tag_rows: DataFrame, parts: int) -> DataFrame:
+def tag_vector(details: DataFrame, tag_rows: DataFrame, parts: int, counted: DataFrame | None = None) -> DataFrame:
     """Per uid and part the sorted array of its (tagname, tagvalue) pairs.
 
     Every request is dealt to the same number of parts by its pairs, whatever its size: the part of a pair depends on
     `parts` and the pair alone.  An array holds about one of `parts` shares of a request, so a request that may be
     large wants many (see `parts_for`), or the long relation of `tag_pairs`, which has no arrays.
     """
-    dealt = tag_pairs(details, tag_rows).select("uid", "tagname", "tagvalue", _part(parts, "tagname", "tagvalue"))
+    pairs = tag_pairs(details, tag_rows, counted=counted)
+    dealt = pairs.select("uid", "tagname", "tagvalue", _part(parts, "tagname", "tagvalue"))
     return dealt.groupBy("uid", "part").agg(F.sort_array(F.collect_list(F.struct("tagname", "tagvalue"))).alias("tag_vec"))
 
 
-def tag_map(details: DataFrame, tag_rows: DataFrame, parts: int) -> DataFrame:
+def tag_map(details: DataFrame, tag_rows: DataFrame, parts: int, counted: DataFrame | None = None) -> DataFrame:
     """Per uid and part, here by tag alone, a map from tag to value, of several values the greatest."""
-    pairs = tag_pairs(details, tag_rows).groupBy("uid", "tagname").agg(F.max("tagvalue").alias("tagvalue"))
+    pairs = tag_pairs(details, tag_rows, counted=counted).groupBy("uid", "tagname").agg(F.max("tagvalue").alias("tagvalue"))
     return pairs.groupBy("uid", _part(parts, "tagname")).agg(
         F.map_from_entries(F.collect_list(F.struct("tagname", "tagvalue"))).alias("tag_map")
     )
@@ -341,7 +347,8 @@ def first_transaction(
     First by `order_by`, else by log date, time and millisecond; then by value.  The
     first row is taken before blank amounts are dropped: a blank first amount means
     that the request has none, not that a later one counts.  `expected_tags` as in
-    `tag_pairs`, for the amount tags of the configuration.
+    `tag_pairs`, for the amount tags of the configuration.  Few pairs of category and tag
+    hold most rows: such pairs are found in the same query and their rows spread.
     """
     if order_by is None:
         order_by = ["log_dte", "log_tme", F.col("log_millisec").try_cast("int")]
@@ -358,7 +365,8 @@ def first_transaction(
     )
     if expected_tags is not None:
         rows = filtered(rows, wanted, ["_category", "_tag"], expected_tags)
-    amounts = rows.join(wanted, ["_category", "_tag"], "left_semi")
+    counted = rows.select("_category", "_tag")
+    amounts = spread_join(rows, wanted.distinct(), ["_category", "_tag"], "left_semi", counted=counted)
     order = [F.col(f"_by_{i}").asc_nulls_first() for i in range(len(order_by))]
     order.append(F.col("tran_amt").asc_nulls_first())
     first = (

@@ -163,5 +163,5 @@ def request_tags(
 ) -> DataFrame:
     """The journey tags of each request, as distinct (uid, tagname, tagvalue) rows."""
     rows = fields.normalise_tagname(fields.tag_volume(details.clean_details(audit_details, business_date)))
-    rows = details.dedup_details(rows, greatest="vol")
-    return details.tag_pairs(rows, config.journey_tag_rows(journey_config, chnl))
+    dedup = details.dedup_details(rows, greatest="vol")
+    return details.tag_pairs(dedup, config.journey_tag_rows(journey_config, chnl), counted=rows)

@@ -259,3 +259,19 @@ def spreads_hot_rows(df) -> bool:
     return "approx_top_k" in text and "4096" in text
 
 
+def test_first_transaction_spreads_frequent_tags(spark, no_help, two_events):
+    rows, config, main = two_events
+    got = details.first_transaction(rows, config, main, order_by=["log_dte", "seq"])
+    plain = sql.run_statement(spark, sql.FIRST_TRANSACTION, audit_details=rows, event_attr_config=config, audit_main=main)
+    statement = sql.first_transaction_statement(rows, config, main)
+    assert bag(got) == bag(plain) == bag(statement) and got.count() > 1_000
+    assert spreads_hot_rows(got) and spreads_hot_rows(statement)
+
+
+def test_tag_pairs_spread_frequent_tags(spark, no_help, two_events):
+    rows, config, _ = two_events
+    tags = config.select("evnt_cd", F.col("tag_nm").alias("tag"))
+    got = details.tag_pairs(rows, tags, counted=rows)
+    assert bag(got) == bag(details.tag_pairs(rows, tags)) and spreads_hot_rows(got)
+
+
