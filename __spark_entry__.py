@@ -349,12 +349,12 @@ def dimension_keys_left(x: _Inputs) -> DataFrame:
     rows = fields.error_code(x.main).select(
         "uid", "chnl_cd", F.trim("acn_cat_nme").alias("event_cd"), "err_cd"
     )
-    return dimensions.dimension_keys_left(rows, x.chnl_map, x.event_map, x.err_map)
+    return dimensions.dimension_keys_left(rows, x.chnl_map, x.event_map, x.err_map, counted=rows)
 
 
 @_query
 def dimension_keys_inner(x: _Inputs) -> DataFrame:
-    return dimensions.dimension_keys_inner(x.event_detail, x.chnl_map, x.event_map, x.err_map)
+    return dimensions.dimension_keys_inner(x.event_detail, x.chnl_map, x.event_map, x.err_map, counted=x.event_detail)
 
 
 # --- text --------------------------------------------------------------------

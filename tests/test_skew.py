@@ -229,6 +229,19 @@ def test_no_rows_have_no_hot_key(spark):
     assert spread_join(facts.where("n < 0"), lookup, ["k"], counted=facts.where("n < 0")).count() == 0
 
 
+def dimension(spark, code, key, codes=400):
+    return spark.range(codes).select(F.col("id").cast("string").alias(code), F.col("id").cast("int").alias(key))
+
+
+def test_hot_codes_of_all_dimensions_are_salted(spark, no_help):
+    rows = facts_of(spark, "17").select(F.col("k").alias("chnl_cd"), F.col("k").alias("event_cd"), F.col("k").alias("err_cd"), "n")
+    maps = [dimension(spark, c, k) for k, c in dimensions.CODES.items()]
+    plain, spread = (dimensions.dimension_keys_left(rows, *maps, counted=c) for c in (None, rows))
+    assert bag(spread) == bag(plain)
+    assert largest_share(plain.withColumnRenamed("err_key", "v")) > 0.33
+    assert largest_share(spread.withColumnRenamed("err_key", "v")) < 0.15
+
+
 @pytest.fixture
 def two_events(spark):
     """Details and main rows of many requests with two categories, one of them on nearly all rows."""
