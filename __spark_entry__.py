@@ -183,13 +183,13 @@ def first_transaction_sql(x: _Inputs) -> DataFrame:
 
 @_query
 def event_amounts_sql(x: _Inputs) -> DataFrame:
-    return sql.run_statement(x.spark, sql.EVENT_AMOUNTS, audit_details=x.details, event_attr_config=x.active_events)
+    return sql.event_amounts_statement(x.details, x.active_events)
 
 
 @_query
 def event_config_match(x: _Inputs) -> DataFrame:
     dedup = details.dedup_details(x.clean, order_by=["seq", "acn_cat_nme"])
-    return details.match_event_config(dedup, x.active_events)
+    return details.match_event_config(dedup, x.active_events, counted=x.clean)
 
 
 @_query

@@ -162,3 +162,13 @@ def first_transaction_statement(details: DataFrame, event_attr_config: DataFrame
     return run_statement(details.sparkSession, FIRST_TRANSACTION, **views)
 
 
+def event_amounts_statement(details: DataFrame, event_attr_config: DataFrame) -> DataFrame:
+    """EVENT_AMOUNTS with frequent categories spread over tasks. The slot is one of the request, so the rows of a request
+    and event stay together; it is taken out of the event code again."""
+    hot = hot_hashes(details, [norm("acn_cat_nme")])
+    slot, _ = _slots_of(F.array_contains(hot, F.xxhash64(norm("acn_cat_nme"))), F.xxhash64("uid"))
+    _, slots = _slots_of(F.array_contains(hot, F.xxhash64(norm("evnt_cd"))), F.lit(0))
+    rows = details.withColumn("acn_cat_nme", _with_slot(F.col("acn_cat_nme"), slot))
+    rules = event_attr_config.withColumn("_slot", slots).withColumn("evnt_cd", _with_slot(F.col("evnt_cd"), F.col("_slot")))
+    found = run_statement(details.sparkSession, EVENT_AMOUNTS, audit_details=rows, event_attr_config=rules.drop("_slot"))
+    return found.withColumn("evnt_cd", F.regexp_replace("evnt_cd", "#[0-9]+( *)$", "$1"))

@@ -384,7 +384,7 @@ def first_transaction(
     )
 
 
-def match_event_config(dedup: DataFrame, event_attr_config: DataFrame) -> DataFrame:
+def match_event_config(dedup: DataFrame, event_attr_config: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """One row per (uid, event) of the tags joined to their event configuration.
 
     `tran_amt` is the tag value where the configuration maps this tag to it.  A row
@@ -392,7 +392,9 @@ def match_event_config(dedup: DataFrame, event_attr_config: DataFrame) -> DataFr
 
     Of the configuration rows of an event only two can win for a detail row: the first
     amount row of its tag, else the first row of all.  So each detail row meets one row
-    per event code in each of two lookups, never all rows of its event.
+    per event code in each of two lookups, never all rows of its event.  `counted`, the
+    detail rows before their deduplication, is read for events and tags that are on many
+    rows; these are spread.
     """
     event = norm("evnt_cd").alias("_event")
     row = F.struct("tag_nm", "trgt_col_nm")
@@ -404,8 +406,13 @@ def match_event_config(dedup: DataFrame, event_attr_config: DataFrame) -> DataFr
         .agg(F.min(row).alias("_amount"))
     )
     rows = dedup.select("uid", "log_dte", "tagname", "tagvalue", norm("acn_cat_nme").alias("_event"))
-    joined = spread_join(rows, any_row.select(event, "evnt_cd", "_any"), ["_event"])
-    joined = spread_join(joined.withColumn("_tag", norm("tagname")), amount_row, ["evnt_cd", "_tag"], spread_by=["uid", "tagname", "tagvalue"])
+    if counted is not None:
+        counted = counted.select(norm("acn_cat_nme").alias("_event"), norm("tagname").alias("_tag"))
+    joined = spread_join(rows, any_row.select(event, "evnt_cd", "_any"), ["_event"], counted=counted)
+    joined = spread_join(
+        joined.withColumn("_tag", norm("tagname")), amount_row.select(event, "*"), ["_event", "evnt_cd", "_tag"],
+        spread_by=["uid", "tagname", "tagvalue"], counted=counted, counted_by=["_event", "_tag"],
+    )
     found = F.when(F.col("tagvalue").isNotNull(), F.col("_amount"))
     joined = joined.select(
         "uid", "log_dte", "tagname", "tagvalue", "evnt_cd",

@@ -132,7 +132,7 @@ def event_amounts(
     """
     rows = fields.categorise_tag(details.clean_details(audit_details, business_date))
     key = (*details.DEDUP_KEY, "acn_cat_nme")
-    return details.match_event_config(details.dedup_details(rows.select(*key), key), event_attr_config)
+    return details.match_event_config(details.dedup_details(rows.select(*key), key), event_attr_config, counted=rows)
 
 
 def mapping_flow(

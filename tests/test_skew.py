@@ -281,6 +281,18 @@ def test_first_transaction_spreads_frequent_tags(spark, no_help, two_events):
     assert spreads_hot_rows(got) and spreads_hot_rows(statement)
 
 
+def test_event_amounts_spread_frequent_events(spark, no_help, two_events):
+    rows, config, _ = two_events
+    clean = rows.where(F.trim("tagvalue") != "")
+    dedup = details.dedup_details(clean.select(*details.DEDUP_KEY, "acn_cat_nme"), (*details.DEDUP_KEY, "acn_cat_nme"))
+    assert bag(details.match_event_config(dedup, config, counted=clean)) == bag(details.match_event_config(dedup, config))
+    plain = sql.run_statement(spark, sql.EVENT_AMOUNTS, audit_details=rows, event_attr_config=config)
+    statement = sql.event_amounts_statement(rows, config)
+    assert statement.columns == plain.columns and bag(statement) == bag(plain)
+    assert {r.evnt_cd for r in statement.select("evnt_cd").distinct().collect()} == {"PAYM", "PAYM  ", " login", None}
+    assert spreads_hot_rows(statement)
+
+
 def test_tag_pairs_spread_frequent_tags(spark, no_help, two_events):
     rows, config, _ = two_events
     tags = config.select("evnt_cd", F.col("tag_nm").alias("tag"))
