@@ -154,7 +154,7 @@ def mapping_flow(
     main = audit_main.drop(*codes)
     rows = customer.customer_id(main, customer.latest_customer_link(cust_link))
     rows = spread_join(rows, events, [on], spread_by=main.columns)
-    rows = dimensions.dimension_keys_left(rows, chnl_map, event_map, err_map, event_code="evnt_cd")
+    rows = dimensions.dimension_keys_left(rows, chnl_map, event_map, err_map, event_code="evnt_cd", counted=event_detail)
     return fields.result_flag(rows, out="err_msg_txt")
 
 

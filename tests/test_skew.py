@@ -300,3 +300,8 @@ def test_tag_pairs_spread_frequent_tags(spark, no_help, two_events):
     assert bag(got) == bag(details.tag_pairs(rows, tags)) and spreads_hot_rows(got)
 
 
+def test_flows_spread_frequent_codes(spark, sf_dir):
+    import __spark_entry__ as registry
+
+    for name in ("audit_flow", "mapping_flow", "dimension_keys_left", "dimension_keys_inner", "event_amounts", "request_tags"):
+        assert spreads_hot_rows(registry.core_queries()[name](spark, sf_dir)), name
