@@ -16,7 +16,8 @@ import os
 import re
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -166,10 +167,60 @@ class IdFile:
 
 #: Chunks in one generation of what a worker remembers.
 REMEMBERED = 170_000
+#: Bytes of texts that are cut and encoded together.
+BLOCK_BYTES = 8 << 20
+#: Pieces in one generation of what a worker remembers; those of one block may come on top.
+PIECES = 300_000
+#: Pieces that go to the library in one call.
+CALL_PIECES = 4096
 #: A space with white space on both sides, or before the end: no place to cut by spaces alone.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 
 
+#: White space outside ASCII, which the byte kinds do not know.
+_WIDE_SPACE = re.compile(r"[^\S\x00-\x7f]")
+_UNKNOWN, _LETTER, _VISIBLE, _BREAK, _BLANK = range(5)
+
+
+def _kinds() -> np.ndarray:
+    """The kind of each byte; control characters and all parts of longer characters are unknown."""
+    out = np.full(256, _UNKNOWN, dtype=np.uint8)
+    out[0x21:0x7F] = _VISIBLE
+    for first in b"Aa":
+        out[first : first + 26] = _LETTER
+    out[0x09:0x0E], out[0x20] = _BREAK, _BLANK
+    return out
+
+
+def _cuts() -> np.ndarray:
+    """Whether a text is cut between the second and the third of three bytes, by their kinds.
+
+    No match of the byte-level split pattern goes on from a letter to anything else, nor from a visible character to
+    white space; and one break between two visible characters is a match of its own.
+    """
+    out = np.zeros((5, 5, 5), dtype=bool)
+    out[:, _LETTER, _VISIBLE:] = True
+    out[:, _VISIBLE, _BREAK:] = True
+    out[_LETTER : _VISIBLE + 1, _BREAK, _LETTER : _VISIBLE + 1] = True
+    return out.ravel()
+
+
+_KINDS, _CUTS = _kinds(), _cuts()
+
+
+def piece_bounds(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts begin, and the end of the last one. data: the bytes of the texts one after the other;
+    starts: the first byte of each, and the end of the last. The pieces' tokens one after the other are those of the texts."""
+    kinds = _KINDS[data]
+    flags = np.zeros(len(data) + 1, dtype=bool)
+    if len(data) > 2:
+        flags[2:-1] = _CUTS[kinds[:-2] * np.uint8(25) + kinds[1:-1] * np.uint8(5) + kinds[2:]]
+    if len(data) > 1:  # the second byte has but one before it
+        flags[1] = _CUTS[kinds[0] * 5 + kinds[1]]
+    flags[starts] = True
+    return np.flatnonzero(flags).astype(np.int32)
+
+
 class ChunkEncoder:
     """The library's ids of whole texts, put together from those of chunks that start at a space.
 
@@ -186,10 +237,12 @@ class ChunkEncoder:
         self.width = 2 if max(vocab.values(), default=0) < 1 << 16 else 4
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self._special = re.compile("|".join(map(re.escape, special)) or "(?!)")
+        self._special_bytes = [s.encode() for s in special]
         self._sizes = np.zeros(max(vocab.values(), default=0) + 1, dtype=np.int64)
         for token, i in vocab.items():
             self._sizes[i] = len(token)  # a character stands for a byte
         self._known = Generations(REMEMBERED)
+        self._pieces = Generations(PIECES)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=f"<u{self.width}")
@@ -231,6 +284,66 @@ class ChunkEncoder:
         self._known.forget_long()
         return ids
 
+    def _cuttable(self, raw: bytes) -> bytes | None:
+        """The text as UTF-8 that may be cut to pieces; none if it has special tokens or white space outside ASCII."""
+        if not raw.isascii():
+            text = raw.decode("utf-8", "replace")
+            if _WIDE_SPACE.search(text):
+                return None
+            raw = text.encode()
+        return None if any(s in raw for s in self._special_bytes) else raw
+
+    def encode_all(self, raws: list[bytes]) -> list[bytes]:
+        """The ids of several texts, as `encode` gives them: every distinct piece of theirs is looked up once."""
+        texts = [self._cuttable(raw) for raw in raws]
+        joined = b"".join([t for t in texts if t])
+        starts = np.cumsum(np.array([0, *(len(t or b"") for t in texts)], dtype=np.int64))
+        bounds = piece_bounds(np.frombuffer(joined, np.uint8), starts)
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(joined)]
+        coded = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, buffers).dictionary_encode()
+        _, places, letters = coded.dictionary.buffers()
+        letters, ends = letters.to_pybytes(), np.frombuffer(places, np.int32, len(coded.dictionary) + 1).tolist()
+        pieces = [letters[a:b] for a, b in zip(ends, ends[1:])]
+        known = self._pieces.turned()
+        parts = list(map(known.get, pieces))
+        if None in parts:
+            self._learn_pieces([piece for piece, part in zip(pieces, parts) if part is None])
+            parts = list(map(known.__getitem__, pieces))
+        self._pieces.forget_long()
+        which, cuts = coded.indices.to_numpy(), np.searchsorted(bounds, starts).tolist()
+        return [
+            self.encode(raw.decode("utf-8", "replace")) if text is None else b"".join(map(parts.__getitem__, which[a:b].tolist()))
+            for raw, text, a, b in zip(raws, texts, cuts, cuts[1:])
+        ]
+
+    def _learn_pieces(self, pieces: list[bytes]) -> None:
+        """Remember the ids of pieces. Those of a space and a word, ASCII at both ends, are encoded one after the other
+        in one text, as the split pattern parts them before each space."""
+        known, old = self._pieces.young, self._pieces.old
+        alone, joint = [], []
+        for piece in pieces:
+            if piece in old:
+                known[piece] = old[piece]
+            elif piece[0] == 32 and len(piece) > 1 and 32 < piece[1] < 127 and 32 < piece[-1] < 127:
+                joint.append(piece)
+            else:
+                alone.append(piece)
+        for at in range(0, len(joint), CALL_PIECES):
+            some = joint[at : at + CALL_PIECES]
+            text = b"".join(some)
+            if any(s in text for s in self._special_bytes):
+                alone += some
+                continue
+            ids = self._ids(text.decode())
+            ends = np.cumsum(np.fromiter(map(len, some), dtype=np.int64, count=len(some)))
+            cuts = (self.width * np.searchsorted(np.cumsum(self._sizes[ids]), ends, side="right")).tolist()
+            packed = ids.tobytes()
+            known.update((piece, packed[a:b]) for piece, a, b in zip(some, [0, *cuts], cuts))
+        for at in range(0, len(alone), CALL_PIECES):
+            some = alone[at : at + CALL_PIECES]
+            found = self.library.encode_batch_fast([piece.decode() for piece in some], add_special_tokens=False)
+            known.update((piece, np.array(e.ids, dtype=f"<u{self.width}").tobytes()) for piece, e in zip(some, found))
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
@@ -239,6 +352,24 @@ def encoder(path: str) -> ChunkEncoder:
 
 # --- Spark ----------------------------------------------------------------------
 
+
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[bytes]]]:
+    """Keys and texts in their order, as many at once as hold BLOCK_BYTES; null texts are empty."""
+    ids: list[int | None] = []
+    texts: list[bytes] = []
+    held = 0
+    for batch in batches:
+        for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids.append(key)
+            texts.append(value.as_py() or b"")
+            held += len(texts[-1])
+            if held >= BLOCK_BYTES:
+                yield ids, texts
+                ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 _MANIFEST = "partition int, number int, path string, n_docs long, n_ids long"
 
 
@@ -282,13 +413,11 @@ def write_ids(
                 names=["partition", "number", "path", "n_docs", "n_ids"],
             )
 
-        for batch in batches:
-            ids, texts = batch.columns
-            for i in range(batch.num_rows):
-                chunk = made.encode((texts[i].as_py() or b"").decode("utf-8", "replace")) + end
-                doc_ids.append(ids[i].as_py())
-                chunks.append(chunk)
-                held += len(chunk) // made.width
+        for ids, texts in _blocks(batches):
+            for doc_id, chunk in zip(ids, made.encode_all(texts)):
+                doc_ids.append(doc_id)
+                chunks.append(chunk + end)
+                held += len(chunks[-1]) // made.width
                 if held >= file_ids:
                     yield flush()
         if doc_ids:

@@ -177,6 +177,53 @@ def test_chunks_encode_as_the_library(text):
     assert np.frombuffer(made.encode(text), "<u2").tolist() == BYTE.encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.text(alphabet="abZ1 .,'(\n\t\r éÉ日²\u0301\u00a0\u2003\x85\x1c\x00", max_size=30), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_texts_of_a_block_encode_as_the_library(texts):
+    made = id_files.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    got = made.encode_all([t.encode() for t in texts])
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [BYTE.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_special_tokens_and_bad_bytes_in_a_block():
+    made = id_files.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [b"a <|endoftext|> b", b"", b"x\xff y", b"<|endof", b"text|> 'll don't", "a\u3000 b".encode()]
+    want = [BYTE.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(g, "<u2").tolist() for g in made.encode_all(texts)] == want
+    assert made.encode_all([]) == []
+
+
+def test_a_word_is_encoded_once_whatever_stands_beside_it():
+    """The library gets each word of many texts once, not once for each mark or line end after it."""
+    made = id_files.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(8)
+    words = ["".join(rng.choice("aeiourstn") for _ in range(9)) for _ in range(100)]
+    texts = [" ".join(rng.choice(words) + rng.choice(["", ".", ",", ";\n" + rng.choice(words)]) for _ in range(200)) for _ in range(60)]
+
+    class Counting:
+        library, letters = made.library, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.letters += sum(map(len, texts))
+            return self.library.encode_batch_fast(texts, **options)
+
+    made.library = counting = Counting()
+    for at in range(0, 60, 20):
+        made.encode_all([t.encode() for t in texts[at : at + 20]])
+    assert counting.letters < 2 * 100 * 10 + 20  # after a space, and at the start of a line
+
+
+def test_pieces_are_remembered_within_bounds(monkeypatch):
+    monkeypatch.setattr(id_files, "PIECES", 50)
+    made = id_files.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for i in range(30):
+        text = " ".join(f"w{j}x" for j in range(20 * i, 20 * i + 40)) + " " + "y" * 300
+        assert np.frombuffer(made.encode_all([text.encode()])[0], "<u2").tolist() == BYTE.encode(text, add_special_tokens=False).ids
+        assert len(made._pieces.young) + len(made._pieces.old) < 4 * 50 + 100
+        assert max(map(len, made._pieces.young)) <= 256
+
+
 def test_round_trip_in_ascending_order(odd_docs, spark, tmp_path):
     folder = f"file://{tmp_path}/ids"
     manifest = id_files.write_ids(odd_docs, folder, file_ids=50)
