@@ -27,8 +27,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tagloom.llm.common import LOWER, per_text, stored
+from tagloom.llm.common import LOWER, stored
 from tagloom.llm.gru import Gru
 from tagloom.operators.joins import spread_join
 
@@ -46,6 +48,8 @@ HELD_BYTES = 32 << 20
 WORD_COST = 160
 #: Bytes of a text that are cut into words at once; a word longer than this is one piece.
 PIECE_BYTES = 1 << 20
+#: Bytes of texts whose words are cut and looked up together.
+BLOCK_BYTES = 4 << 20
 #: Tokens that a scoring task handles at once.
 HELD_TOKENS = 3 << 20
 #: Weight vectors that are averaged in one group.
@@ -64,6 +68,47 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_LOWER = np.frombuffer(LOWER, np.uint8)
+
+
+class Words:
+    """The words of several texts: `which[starts[i]:starts[i + 1]]` are the numbers of those of text i in `distinct`."""
+
+    def __init__(self, raws: list[bytes]):
+        # a space after each text, so that no word goes on into the next
+        data = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
+        inside = ~_IS_SPACE[data]
+        before = np.empty_like(inside)
+        before[:1], before[1:] = False, inside[:-1]
+        heads = np.flatnonzero(inside & ~before)
+        tails = np.flatnonzero(before & ~inside)
+        bounds = np.zeros(len(heads) + 1, dtype=np.int32)
+        np.cumsum(tails - heads, out=bounds[1:])
+        letters = _LOWER[data[inside]]
+        coded = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
+        coded = coded.dictionary_encode()
+        _, places, chars = coded.dictionary.buffers()
+        self.which = coded.indices.to_numpy()
+        ends = np.frombuffer(places, np.int32, len(coded.dictionary) + 1).tolist() if len(coded.dictionary) else [0]
+        chars = chars.to_pybytes() if len(coded.dictionary) else b""
+        self.distinct = [chars[a:b] for a, b in zip(ends, ends[1:])]
+        at = np.cumsum([0, *(len(raw) + 1 for raw in raws)])
+        self.starts = np.searchsorted(heads, at).tolist()
+
+
+def blocks_of(texts: Iterable[bytes], size: int) -> Iterator[list[bytes]]:
+    """Texts in their order, as many at once as hold `size` bytes."""
+    block: list[bytes] = []
+    held = 0
+    for raw in texts:
+        block.append(raw)
+        held += len(raw)
+        if held >= size:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
 
 
 def pieces(raw: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
@@ -175,20 +220,46 @@ class Vocabulary:
         n, known, base, inside = self._add(words, *sums, ids, rare)
         return n, known, base, inside, b"".join(ids), rare
 
+    def encode_all(self, raws: list[bytes]) -> list[tuple]:
+        """What `encode` gives for each text; every distinct word of theirs is looked up once."""
+        short = [raw if len(raw) <= PIECE_BYTES else b"" for raw in raws]
+        words = Words(short)
+        places = np.fromiter(map(self.index.get, words.distinct, repeat(-1)), dtype=np.int64, count=len(words.distinct))
+        shapes = {i: shape(words.distinct[i]) for i in np.flatnonzero(places < 0).tolist()}
+        # the end stands for itself, after the distinct words
+        end = len(places)
+        places = np.append(places, self.index.get(END, -1))
+        shapes[end] = shape(END)
+        words.distinct.append(END)
+        out = []
+        for raw, a, b in zip(raws, words.starts, words.starts[1:]):
+            if len(raw) > PIECE_BYTES:
+                out.append(self.encode(raw))
+                continue
+            ids, rare, which = [], [], np.append(words.which[a:b], end)
+            sums = self._sums(places[which], which, words.distinct, shapes.__getitem__, (0, 0, 0.0, 0.0), ids, rare)
+            out.append((*sums, b"".join(ids), rare))
+        return out
+
     def _add(self, words: list, n: int, known: int, base: float, inside: float, ids: list, rare: list) -> tuple:
         at = np.fromiter(map(self.index.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        return self._sums(at, range(len(words)), words, lambda i: shape(words[i]), (n, known, base, inside), ids, rare)
+
+    def _sums(self, at: np.ndarray, which, words: list, shape_of, sums: tuple, ids: list, rare: list) -> tuple:
+        """`sums` with those of tokens added, given as their places in the head and numbers in `words`."""
+        n, known, base, inside = sums
         found = at[at >= 0]
-        here = np.empty(len(words), dtype="<u2")
+        here = np.empty(len(at), dtype="<u2")
         here[at >= 0] = self.ids[found]
-        base += len(words) * self.base_scale + float(self.count_term[found].sum())
+        base += len(at) * self.base_scale + float(self.count_term[found].sum())
         inside += float(self.inside_term[found].sum())
         for i in np.flatnonzero(at < 0).tolist():
-            kind = shape(words[i])
+            kind = shape_of(which[i])
             here[i] = self.size + kind
             inside += self._shape_scale[kind]
-            rare.append(words[i])
+            rare.append(words[which[i]])
         ids.append(here.tobytes())
-        return n + len(words), known + len(found), base, inside
+        return n + len(at), known + len(found), base, inside
 
 
 _HELD: dict[str, object] = {}
@@ -228,19 +299,26 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, key: str, text: st
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
     name = uuid.uuid4().hex
 
-    def factory():
-        known: Vocabulary = _once(name, lambda: sent.value)
-        task, number = TaskContext.get().partitionId() << 36, 0
-
-        def one(raw: bytes) -> tuple:
-            nonlocal number
-            number += 1
-            return (task | number, *known.encode(raw))
-
-        return one
+    added = T.StructType.fromDDL(
+        "row long, n_tokens long, n_head long, base double, inside double, ids binary, rare array<binary>"
+    )
+    schema = T.StructType([docs.schema[key], docs.schema["held_out"], *added.fields])
 
-    fields = "row long, n_tokens long, n_head long, base double, inside double, ids binary, rare array<binary>"
-    return stored(per_text(docs, factory, fields, (key, "held_out"), text), "encoded")
+    def run(batches):
+        known: Vocabulary = _once(name, lambda: sent.value)
+        arrow, row = to_arrow_schema(schema), TaskContext.get().partitionId() << 36
+        for batch in batches:
+            at = 0
+            values = (value.as_py() or b"" for value in batch.column(2).cast(pa.binary()))
+            for block in blocks_of(values, BLOCK_BYTES):
+                columns = [*zip(*known.encode_all(block))]
+                rows = range(row + 1, row + 1 + len(block))
+                arrays = [pa.array(v, type=arrow.field(2 + k).type) for k, v in enumerate([rows, *columns])]
+                kept = [batch.column(k).slice(at, len(block)) for k in range(2)]
+                yield pa.RecordBatch.from_arrays([*kept, *arrays], schema=arrow)
+                at, row = at + len(block), row + len(block)
+
+    return stored(docs.select(key, "held_out", text).mapInArrow(run, schema), "encoded")
 
 
 def _average(parts: DataFrame) -> np.ndarray | None:

@@ -571,6 +571,28 @@ def test_a_text_in_pieces_is_encoded_as_in_one(monkeypatch):
     assert got[2:4] == pytest.approx(want[2:4])
 
 
+def test_texts_of_a_block_are_encoded_as_alone():
+    """Every distinct word is looked up once; the values are the same to the last bit."""
+    raws = [(t or "").encode() for _, t in awkward()] + [b"the Cat\x0bruns \xc2\xa0 the", b"b " * (600 << 10), b" ", b""]
+    tally = Counter(w for raw in raws for w in [*language_model.words_of(raw), b""])
+    head = [(w, language_model.shape(w), n) for w, n in sorted(tally.items(), key=lambda x: (-x[1], x[0]))[:300]]
+    by_shape = {s: (10**7, 10**4) for s in range(language_model.SHAPES)}
+    known = language_model.Vocabulary(head, 60, sum(tally.values()), len(tally), by_shape)
+    assert known.encode_all(raws) == [known.encode(raw) for raw in raws]
+    assert known.encode_all([b"", b""]) == [known.encode(b"")] * 2
+
+    class Counting(dict):
+        calls = 0
+
+        def get(self, *a):
+            Counting.calls += 1
+            return super().get(*a)
+
+    known.index = Counting(known.index)
+    known.encode_all([b"a b a b", b"B A\tb"] * 50)
+    assert Counting.calls == 3  # a, b and the end
+
+
 def test_the_state_has_24_units():
     known = language_model.Vocabulary([(b"", language_model.shape(b""), 3)], 1, 3, 1, {})
     assert known.model().size == Gru(1, 1).size == 24
