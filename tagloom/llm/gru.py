@@ -39,6 +39,7 @@ class Gru:
         total = sum(math.prod(s) for s in shapes.values())
         self.vector = np.zeros(total, dtype=np.float32) if vector is None else vector.astype(np.float32)
         self._shapes = shapes
+        self._classes = self.class_of(np.arange(words + outside)).astype(np.int16)
         self.p = self._views(self.vector)
 
     def _views(self, vector: np.ndarray) -> dict[str, np.ndarray]:
@@ -63,37 +64,44 @@ class Gru:
 
     def states(self, inputs: np.ndarray, h: np.ndarray, keep: np.ndarray | None = None, embedded: np.ndarray | None = None):
         """States of a window (time x lanes), what their gradient needs and the last state. keep: 0 where a lane begins
-        anew. embedded: the result of `embedded`, for one who has it."""
-        p, n = self.p, self.size
-        if embedded is None:
-            x = p["embed"][inputs.ravel()] @ p["input"]
+        anew. embedded: the result of `embedded`, for one who has it.
+
+        Inside, lanes are the last axis, so that what is done to all lanes of a unit runs over adjacent numbers."""
+        p, n, (times, lanes) = self.p, self.size, inputs.shape
+        if embedded is None and inputs.size < len(p["embed"]):
+            x = np.take(p["embed"], inputs.ravel(), axis=0) @ p["input"]
             x += p["gate_bias"]
         else:
-            x = embedded[inputs.ravel()]
-        x = x.reshape(*inputs.shape, 3 * n)
-        gates = np.empty((*inputs.shape, 2 * n), dtype=h.dtype)
-        before, inner, new, out = (np.empty((*inputs.shape, n), dtype=h.dtype) for _ in range(4))
-        for t in range(len(inputs)):
+            x = np.take(self.embedded() if embedded is None else embedded, inputs.ravel(), axis=0)
+        x = np.ascontiguousarray(x.reshape(times, lanes, 3 * n).transpose(0, 2, 1))
+        gates = np.empty((times, 2 * n, lanes), dtype=h.dtype)
+        before, inner, new, out = (np.empty((times, n, lanes), dtype=h.dtype) for _ in range(4))
+        u, state, reset_bias = np.empty(x.shape[1:], dtype=h.dtype), np.ascontiguousarray(p["state"].T), p["reset_bias"][:, None]
+        h = h.T
+        for t in range(times):
             if keep is None:
                 before[t] = h
             else:
-                np.multiply(h, keep[t][:, None], out=before[t])
-            h, g = before[t], gates[t]
-            u = h @ p["state"]
-            np.add(x[t, :, : 2 * n], u[:, : 2 * n], out=g)
+                np.multiply(h, keep[t], out=before[t])
+            h, g, made, following = before[t], gates[t], new[t], out[t]
+            if lanes > 1:
+                np.matmul(state, h, out=u)
+            else:
+                u[:, 0] = h[:, 0] @ p["state"]
+            np.add(x[t, : 2 * n], u[: 2 * n], out=g)
             np.negative(g, out=g)
             np.exp(g, out=g)  # an overflow to infinity gives the right gate, 0
             g += 1
             np.reciprocal(g, out=g)
-            np.add(u[:, 2 * n :], p["reset_bias"], out=inner[t])
-            np.multiply(g[:, n:], inner[t], out=new[t])
-            new[t] += x[t, :, 2 * n :]
-            np.tanh(new[t], out=new[t])
-            np.subtract(h, new[t], out=out[t])
-            out[t] *= g[:, :n]
-            out[t] += new[t]
-            h = out[t]
-        return out, (gates, inner, new, before), h
+            np.add(u[2 * n :], reset_bias, out=inner[t])
+            np.multiply(g[n:], inner[t], out=made)
+            made += x[t, 2 * n :]
+            np.tanh(made, out=made)
+            np.subtract(h, made, out=following)
+            following *= g[:n]
+            following += made
+            h = following
+        return out.transpose(0, 2, 1), (gates, inner, new, before), h.T
 
     def embedded(self) -> np.ndarray:
         """What each token adds to the gates, for weights that stay as they are."""
@@ -105,87 +113,117 @@ class Gru:
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None, weight=None):
         """Natural log-probability of each target, outside ones by class alone. With `grads`, the gradient of the
         weighted negative sum is added to it and that of the states returned too."""
-        p, classes = self.p, self.class_of(targets)
+        p, n, many = self.p, self.size, len(targets)
+        classes = np.take(self._classes, targets)
         # one sort by class: the rows of a class are a slice from here on
-        order = np.argsort(classes.astype(np.int16), kind="stable")
-        classes, targets, n = classes[order], targets[order], self.size
-        weight = None if grads is None else weight[order]
+        order = np.argsort(classes, kind="stable")
+        classes, targets = np.take(classes, order), np.take(targets, order)
         # a last component of one takes the biases into the products
-        lifted = np.ones((len(order), n + 1), dtype=states.dtype)
-        lifted[:, :n] = states[order]
-        reach = float(np.abs(states).max(initial=0))
-        of_class, flat = _lifted(p["class"], p["class_bias"], reach)
+        lifted = np.ones((many, n + 1), dtype=states.dtype)
+        lifted[:, :n] = np.take(states, order, axis=0)
+        reach = max(float(states.max(initial=0)), -float(states.min(initial=0)))
+        of_class, flat = _lifted(p["class"], p["class_bias"], reach, WIDTH)
         of_word, flat_words = _lifted(p["word"].transpose(0, 2, 1), p["word_bias"], reach)
-        at = np.arange(len(targets))
-        logits = lifted @ of_class
-        chosen, total = _exponentials(logits, at, classes, flat)
+        slices = np.searchsorted(classes, np.arange(self.word_classes + 1)).tolist()
+        slices = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(slices, slices[1:])) if a < b]
+        known = slices[-1][1].stop if slices else 0
+        # the logits of the classes, and those of the words inside each token's class, in one array
+        width = of_class.shape[1]
+        logits = np.empty(many * width + known * PER_CLASS, dtype=states.dtype)
+        outer, inner = logits[: many * width].reshape(many, width), logits[many * width :].reshape(known, PER_CLASS)
+        np.matmul(lifted, of_class, out=outer)
+        for c, rows in slices:
+            np.matmul(lifted[rows], of_word[c], out=inner[rows])
+        many_classes = len(p["class_bias"])
+        if not flat:
+            outer -= outer[:, :many_classes].max(1, keepdims=True)
+            outer[:, many_classes:] = 0
+        if not flat_words:
+            inner -= inner.max(1, keepdims=True)
+        at = np.arange(many)
+        place = at * width + classes
+        places = many * width + at[:known] * PER_CLASS + (targets[:known] - classes[:known].astype(np.int64) * PER_CLASS)
+        chosen, chosen_words = np.take(logits, place), np.take(logits, places)
+        np.exp(logits, out=logits)
+        total = outer[:, :many_classes] @ np.ones(many_classes, dtype=logits.dtype)
+        total_words, ones = np.empty(known, dtype=logits.dtype), np.ones(PER_CLASS, dtype=logits.dtype)
+        for _, rows in slices:
+            np.matmul(inner[rows], ones, out=total_words[rows])
         out = chosen - np.log(total)
-        if grads is not None:
-            logits *= (weight / total)[:, None]
-            logits[at, classes] -= weight
-            d_class = lifted.T @ logits
-            grads["class"] += d_class[:n]
-            grads["class_bias"] += d_class[n]
-            d_states = logits @ p["class"].T
-        ends = np.searchsorted(classes, np.arange(self.word_classes + 1))
-        places = targets - classes * PER_CLASS
-        for c in range(self.word_classes):
-            rows = slice(ends[c], ends[c + 1])
-            h = lifted[rows]
-            if not len(h):
-                continue
-            place, k = places[rows], at[: len(h)]
-            inner = h @ of_word[c]
-            chosen, total = _exponentials(inner, k, place, flat_words)
-            out[rows] += chosen - np.log(total)
-            if grads is not None:
-                w = weight[rows]
-                inner *= (w / total)[:, None]
-                inner[k, place] -= w
-                d_word = inner.T @ h
-                grads["word"][c] += d_word[:, :n]
-                grads["word_bias"][c] += d_word[:, n]
-                d_states[rows] += inner @ p["word"][c]
-        back = np.empty_like(order)
-        back[order] = at
-        return (out[back], d_states[back]) if grads is not None else out[back]
+        out[:known] += chosen_words - np.log(total_words)
+        logs = np.empty_like(out)
+        logs[order] = out
+        if grads is None:
+            return logs
+        weight = weight[order]
+        outer *= (weight / total)[:, None]
+        inner *= (weight[:known] / total_words)[:, None]
+        logits[place] -= weight
+        logits[places] -= weight[:known]
+        d_class = (lifted.T @ outer)[:, :many_classes]
+        grads["class"] += d_class[:n]
+        grads["class_bias"] += d_class[n]
+        back = np.zeros((width, n), dtype=states.dtype)
+        back[:many_classes] = p["class"].T
+        d_states = outer @ back
+        d_inner = np.empty((known, n), dtype=states.dtype)
+        d_word = np.zeros((self.word_classes, PER_CLASS, n + 1), dtype=states.dtype)
+        for c, rows in slices:
+            np.matmul(inner[rows].T, lifted[rows], out=d_word[c])
+            np.matmul(inner[rows], p["word"][c], out=d_inner[rows])
+        grads["word"] += d_word[..., :n]
+        grads["word_bias"] += d_word[..., n]
+        d_states[:known] += d_inner
+        places = np.empty_like(order)
+        places[order] = at
+        return logs, np.take(d_states, places, axis=0)
 
     def backward(self, inputs: np.ndarray, saved: tuple, d_out: np.ndarray, grads: dict, keep=None) -> None:
         """Add the gradient through the window's states; nothing flows to earlier windows or other documents."""
         p, n = self.p, self.size
         gates, inner, new, before = saved
-        z, r = gates[..., :n], gates[..., n:]
+        z, r = gates[:, :n], gates[:, n:]
         # what the gradient of a state is multiplied by, for all times at once
-        to_new = (1 - z) * (1 - new * new)
-        to_z = (before - new) * z * (1 - z)
-        to_r = inner * r * (1 - r)
+        rest = 1 - z
+        to_new = new * new
+        np.subtract(1, to_new, out=to_new)
+        to_new *= rest
+        to_z = before - new
+        to_z *= z
+        to_z *= rest
+        to_r = inner * r
+        to_r *= 1 - r
+        d_out = np.ascontiguousarray(d_out.transpose(0, 2, 1))
         d_new = np.empty_like(d_out)
-        d_u = np.empty((*inputs.shape, 3 * n), dtype=d_out.dtype)
-        d_h = np.zeros(d_out.shape[1:], dtype=d_out.dtype)
+        d_u = np.empty((len(d_out), 3 * n, d_out.shape[2]), dtype=d_out.dtype)
+        d_h, through = np.zeros_like(d_out[0]), np.empty_like(d_out[0])
         state = np.ascontiguousarray(p["state"].T)
         for t in range(len(inputs) - 1, -1, -1):
             d_h += d_out[t]
-            g = d_u[t]
-            np.multiply(d_h, to_z[t], out=g[:, :n])
-            np.multiply(d_h, to_new[t], out=d_new[t])
-            np.multiply(d_new[t], to_r[t], out=g[:, n : 2 * n])
-            np.multiply(d_new[t], r[t], out=g[:, 2 * n :])
+            g, made = d_u[t], d_new[t]
+            np.multiply(d_h, to_z[t], out=g[:n])
+            np.multiply(d_h, to_new[t], out=made)
+            np.multiply(made, to_r[t], out=g[n : 2 * n])
+            np.multiply(made, r[t], out=g[2 * n :])
             d_h *= z[t]
-            d_h += g @ state
+            if len(d_h[0]) > 1:
+                d_h += np.matmul(p["state"], g, out=through)
+            else:
+                d_h[:, 0] += g[:, 0] @ state
             if keep is not None:
-                d_h *= keep[t][:, None]
-        flat = d_u.reshape(-1, 3 * n)
-        grads["state"] += before.reshape(-1, n).T @ flat
+                d_h *= keep[t]
+        flat = _rows(d_u)
+        grads["state"] += _rows(before).T @ flat
         grads["reset_bias"] += flat[:, 2 * n :].sum(0)
-        flat[:, 2 * n :] = d_new.reshape(-1, n)
+        flat[:, 2 * n :] = _rows(d_new)
         grads["gate_bias"] += flat.sum(0)
         ids = inputs.ravel()
-        grads["input"] += p["embed"][ids].T @ flat
+        grads["input"] += np.take(p["embed"], ids, axis=0).T @ flat
         d_embed = flat @ p["input"].T
         order = np.argsort(ids.astype(np.uint16), kind="stable")
         ids = ids[order]
         first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        grads["embed"][ids[first]] += np.add.reduceat(d_embed[order], first, axis=0)
+        grads["embed"][ids[first]] += np.add.reduceat(np.take(d_embed, order, axis=0), first, axis=0)
 
     def window_gradient(self, inputs, targets, weight, h, keep=None):
         """Negative log-likelihood of a window (time x lanes), its gradient as a vector, and the last state. keep: 0
@@ -298,26 +336,26 @@ class Gru:
         return out
 
 
+#: Class logits are computed for a multiple of so many, for which the matrix product takes less time; those added count for nothing.
+WIDTH = 16
 #: Logits that a state can move by no more than this need no greatest value taken off before they are raised.
 FLAT = 40.0
 
 
-def _lifted(weights: np.ndarray, bias: np.ndarray, reach: float) -> tuple[np.ndarray, bool]:
+def _lifted(weights: np.ndarray, bias: np.ndarray, reach: float, width: int = 1) -> tuple[np.ndarray, bool]:
     """Weights (... x units x outputs) with the biases, less the greatest of them, as one more unit; and whether states
-    of components up to `reach` keep all sums of the raised logits between exp(-FLAT) and exp(FLAT) an output."""
-    out = np.empty((*weights.shape[:-2], weights.shape[-2] + 1, weights.shape[-1]), dtype=weights.dtype)
-    out[..., :-1, :] = weights
-    out[..., -1, :] = bias - bias.max(-1, keepdims=True)
+    of components up to `reach` keep all sums of the raised logits between exp(-FLAT) and exp(FLAT) an output. Zeros
+    fill the last axis up to a multiple of `width`."""
+    units, outputs = weights.shape[-2:]
+    out = np.zeros((*weights.shape[:-2], units + 1, -(-outputs // width) * width), dtype=weights.dtype)
+    out[..., :units, :outputs] = weights
+    out[..., units, :outputs] = bias - bias.max(-1, keepdims=True)
     return out, reach * float(np.abs(weights).sum(-2).max(initial=0)) <= FLAT
 
 
-def _exponentials(logits: np.ndarray, at: np.ndarray, chosen: np.ndarray, flat: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Raises the rows in place; the chosen values before that, and the sums of the rows."""
-    if not flat:
-        logits -= logits.max(1, keepdims=True)
-    picked = logits[at, chosen]
-    np.exp(logits, out=logits)
-    return picked, logits @ np.ones(logits.shape[1], dtype=logits.dtype)
+def _rows(values: np.ndarray) -> np.ndarray:
+    """Times x units x lanes as tokens x units."""
+    return values.transpose(0, 2, 1).reshape(-1, values.shape[1])
 
 
 def _blocks(documents: Iterator[np.ndarray], lanes: int, first: int):

@@ -68,8 +68,6 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
-_IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
-_LOWER = np.frombuffer(LOWER, np.uint8)
 
 
 class Words:
@@ -77,15 +75,15 @@ class Words:
 
     def __init__(self, raws: list[bytes]):
         # a space after each text, so that no word goes on into the next
-        data = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
-        inside = ~_IS_SPACE[data]
-        before = np.empty_like(inside)
-        before[:1], before[1:] = False, inside[:-1]
-        heads = np.flatnonzero(inside & ~before)
-        tails = np.flatnonzero(before & ~inside)
+        data = np.frombuffer(b" ".join([*raws, b""]).translate(LOWER), np.uint8)
+        inside = (data != 32) & (data - np.uint8(9) > 4)  # bytes below 9 go round to large ones
+        turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        if inside[:1].any():
+            turns = np.concatenate([[0], turns])
+        heads, tails = turns[::2], turns[1::2]
         bounds = np.zeros(len(heads) + 1, dtype=np.int32)
         np.cumsum(tails - heads, out=bounds[1:])
-        letters = _LOWER[data[inside]]
+        letters = data[inside]
         coded = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
         coded = coded.dictionary_encode()
         _, places, chars = coded.dictionary.buffers()
@@ -229,35 +227,44 @@ class Vocabulary:
         # the end stands for itself, after the distinct words
         end = len(places)
         places = np.append(places, self.index.get(END, -1))
-        shapes[end] = shape(END)
+        if places[end] < 0:
+            shapes[end] = shape(END)
         words.distinct.append(END)
+        codes = self.ids[places].astype("<u2") if len(self.ids) else np.empty(len(places), dtype="<u2")
+        codes[list(shapes)] = [self.size + kind for kind in shapes.values()]
+        # the tokens of all texts, and what is known of those in the head
+        which = np.insert(words.which, words.starts[1:], end)
+        starts = [start + i for i, start in enumerate(words.starts)]
+        at, made = np.take(places, which), np.take(codes, which)
+        inside_head = at >= 0
+        found = at[inside_head]
+        base, inside = np.take(self.count_term, found), np.take(self.inside_term, found)
+        before = np.concatenate([[0], np.cumsum(inside_head)])[starts].tolist()
+        others = which[~inside_head].tolist()
         out = []
-        for raw, a, b in zip(raws, words.starts, words.starts[1:]):
+        for raw, a, b, c, d in zip(raws, starts, starts[1:], before, before[1:]):
             if len(raw) > PIECE_BYTES:
                 out.append(self.encode(raw))
                 continue
-            ids, rare, which = [], [], np.append(words.which[a:b], end)
-            sums = self._sums(places[which], which, words.distinct, shapes.__getitem__, (0, 0, 0.0, 0.0), ids, rare)
-            out.append((*sums, b"".join(ids), rare))
+            term, rare = float(inside[c:d].sum()), others[a - c : b - d]
+            for i in rare:
+                term += self._shape_scale[shapes[i]]
+            total = (b - a) * self.base_scale + float(base[c:d].sum())
+            out.append((b - a, d - c, total, term, made[a:b].tobytes(), [words.distinct[i] for i in rare]))
         return out
 
     def _add(self, words: list, n: int, known: int, base: float, inside: float, ids: list, rare: list) -> tuple:
         at = np.fromiter(map(self.index.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        return self._sums(at, range(len(words)), words, lambda i: shape(words[i]), (n, known, base, inside), ids, rare)
-
-    def _sums(self, at: np.ndarray, which, words: list, shape_of, sums: tuple, ids: list, rare: list) -> tuple:
-        """`sums` with those of tokens added, given as their places in the head and numbers in `words`."""
-        n, known, base, inside = sums
         found = at[at >= 0]
         here = np.empty(len(at), dtype="<u2")
         here[at >= 0] = self.ids[found]
         base += len(at) * self.base_scale + float(self.count_term[found].sum())
         inside += float(self.inside_term[found].sum())
         for i in np.flatnonzero(at < 0).tolist():
-            kind = shape_of(which[i])
+            kind = shape(words[i])
             here[i] = self.size + kind
             inside += self._shape_scale[kind]
-            rare.append(words[which[i]])
+            rare.append(words[i])
         ids.append(here.tobytes())
         return n + len(at), known + len(found), base, inside
 

@@ -434,6 +434,27 @@ def test_every_token_of_the_documents_reaches_training(make):
     assert row.s > 0.65 * row.b
 
 
+def test_all_logits_of_a_window_are_raised_at_once(monkeypatch):
+    """Those of the classes and of the words of each class, in one call however many classes there are."""
+    rng, calls = np.random.default_rng(6), []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def exp(self, *args, **kwargs):
+            calls.append(1)
+            return np.exp(*args, **kwargs)
+
+    model = Gru(640, 7, size=8).start(rng.integers(1, 50, 640), rng.integers(1, 50, 7))
+    model.p["word"][:] = rng.normal(0, 0.5, model.p["word"].shape)
+    states, targets = rng.normal(0, 1, (300, 8)).astype(np.float32), rng.integers(0, 647, 300)
+    alone = [float(model.log_probabilities(states[i : i + 1], targets[i : i + 1])[0]) for i in range(300)]
+    monkeypatch.setattr("tagloom.llm.gru.np", Counting())
+    assert model.log_probabilities(states, targets) == pytest.approx(alone, rel=1e-5)
+    assert len(calls) == 1
+
+
 def test_scores_do_not_depend_on_lanes_or_windows():
     rng = np.random.default_rng(1)
     model = Gru(130, 7, size=8).start(rng.integers(1, 50, 130), rng.integers(1, 50, 7))
